@@ -13,15 +13,17 @@ NO_REVIEWS = "no reviews yet"
 log = logging.getLogger(__name__)
 
 
-def strip_texts(df):
-    """Strip every string column."""
-    return df.withColumns({c: strip(c) for c, t in df.dtypes if t == "string"})
+def strip_texts(df, but=()):
+    """Strip every string column, except those in `but`."""
+    return df.withColumns(
+        {c: strip(c) for c, t in df.dtypes if t == "string" and c not in but}
+    )
 
 
 def clean_discount(c):
     """Blank to null; a percent sign is added where it is missing."""
     text = empty_to_null(strip(as_column(c).cast("string")))
-    return F.when(text.endswith("%"), text).otherwise(F.concat(text, F.lit("%")))
+    return F.regexp_replace(text, r"(?s)^(.*?)%?\z", "$1%")
 
 
 def text_or(c, default):
@@ -38,11 +40,10 @@ RULES = {
 
 
 def clean(df, rules=RULES):
-    """Strip all texts, then apply each rule whose column is there."""
+    """Strip all texts and apply each rule whose column is there; rules strip as well."""
     for column in rules:
         if column not in df.columns:
             log.warning("Column %r was not found.", column)
-    stripped = strip_texts(df)
-    return stripped.withColumns(
+    return strip_texts(df, rules).withColumns(
         {c: rule(c) for c, rule in rules.items() if c in df.columns}
     )

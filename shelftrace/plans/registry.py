@@ -109,7 +109,7 @@ def csv_feed(spark, sf_dir):
 def validate_feed(spark, sf_dir):
     return _classified(spark, sf_dir).select(
         "row_no",
-        F.col("validation_errors").isNull().alias("is_valid"),
+        "is_valid",
         "validation_errors",
         text.strip("sku").alias("sku"),
         numeric.parse_price("current_price").alias("current_price"),

@@ -10,7 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Arrow batches are bounded by bytes as well as rows, so wide pages fit in a worker.
     "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
-    "spark.sql.parquet.filterPushdown": "true",
+    # HotSpot never compiles a method over 8000 bytes. A row of text rules is longer
+    # than that as one generated method; such stages run faster split up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 

@@ -1,7 +1,6 @@
 """Feeds in, split and raw sheets out."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelftrace.operators import columns, validate
 
@@ -43,25 +42,21 @@ def write_split(classified, path):
     prunes the other.
     """
     watched, seen = validate.observe_routes(classified)
-    watched.withColumn("is_valid", F.col("validation_errors").isNull()).write.mode(
-        "overwrite"
-    ).partitionBy("is_valid").parquet(path)
+    watched.write.mode("overwrite").partitionBy("is_valid").parquet(path)
     return seen.get
 
 
 def read_classified(spark, path, read_schema):
-    """The classified rows of a split; the schema keeps empty splits readable."""
-    fields = T.StructType([*read_schema, T.StructField("is_valid", T.BooleanType())])
-    return spark.read.schema(fields).parquet(path)
+    """The classified rows of a split; the schema keeps an empty route readable."""
+    return spark.read.schema(read_schema).parquet(path)
 
 
 def read_accepted(spark, path, read_schema):
-    split = read_classified(spark, path, read_schema).where("is_valid")
-    return validate.accepted(split).drop("is_valid")
+    return validate.accepted(read_classified(spark, path, read_schema))
 
 
 def read_rejected(spark, path, read_schema):
-    return read_classified(spark, path, read_schema).where("NOT is_valid").drop("is_valid")
+    return validate.rejected(read_classified(spark, path, read_schema))
 
 
 def write_cleaned(df, path):
