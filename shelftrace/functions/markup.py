@@ -7,9 +7,13 @@ from shelftrace.functions.text import as_column, empty_to_null
 # Named references common in link targets.
 REFERENCES = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 
-# Comments and scripts may hold text that looks like a link.
-UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ANCHOR = r"(?is)(<a\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*>)"
+# Comments and scripts may hold text that looks like a link. Loops are possessive: no
+# page makes them backtrack, or recurse with the length of a tag.
+UNSEEN = r"(?is)<(?:!--.*?-->|(script|style)(?=[\s/>]).*?</\1\s*>)"
+ANCHOR = (
+    r"(?is)(<a(?=[\s/])(?:[\s/]++|[^\s/>][^\s/>=]*+"
+    r"(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+>)"
+)
 
 
 def anchors(html):

@@ -38,36 +38,47 @@ def _remove_dot_segments(path):
     return F.concat(F.lit("/"), F.array_join(F.concat(kept, closing), "/"))
 
 
-def resolve_url(base, ref):
-    """A link found on page `base` as an absolute URL."""
-    base, ref = as_column(base), as_column(ref)
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
-    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    base_path = F.regexp_extract(base, r"^[^:/?#]+://[^/?#]*([^?#]*)", 1)
-    base_query = F.regexp_extract(base, r"^[^?#]*(\?[^#]+)", 1)
-    folder = F.regexp_extract(base_path, r"^(.*/)", 1)
+def with_resolved_url(df, base, ref, name):
+    """A link found on page `base` as an absolute URL, in column `name`.
 
-    # An empty query or fragment at the end says nothing and is dropped.
-    link = F.regexp_replace(ref, r"#\z", "")
-    link = F.regexp_replace(link, r"\?(?=#|\z)", "")
-    path = F.regexp_extract(link, r"^([^?#]*)", 1)
-    tail = F.substr(link, F.length(path) + 1)
+    The steps are columns of their own, so each is computed once per row.
+    """
+    page, link = as_column(base), F.col("_link")
+    step = df.withColumn("_ref", as_column(ref))
+    ref = F.col("_ref")
 
-    merged = F.when(path.startswith("/"), path).otherwise(
-        F.regexp_replace(F.concat(F.lit("/"), folder, path), "/{2,}", "/")
+    # An empty query or fragment at the end says nothing and is dropped.
+    step = step.withColumn(
+        "_link", F.regexp_replace(F.regexp_replace(ref, r"#\z", ""), r"\?(?=#|\z)", "")
+    )
+    step = step.withColumns(
+        {
+            "_path": F.regexp_extract(link, r"^([^?#]*)", 1),
+            "_origin": F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1),
+            "_place": F.regexp_extract(page, r"^[^:/?#]+://[^/?#]*([^?#]*)", 1),
+        }
+    )
+    folder = F.regexp_extract("_place", r"^(.*/)", 1)
+    step = step.withColumn(
+        "_merged",
+        F.when(F.col("_path").startswith("/"), F.col("_path")).otherwise(
+            F.regexp_replace(F.concat(F.lit("/"), folder, "_path"), "/{2,}", "/")
+        ),
     )
     plain = F.when(
-        merged.rlike(r"/\.{1,2}(?:/|\z)"), _remove_dot_segments(merged)
-    ).otherwise(merged)
-
-    return (
-        F.when(ref == "", base)
+        F.col("_merged").rlike(r"/\.{1,2}(?:/|\z)"), _remove_dot_segments(F.col("_merged"))
+    ).otherwise(F.col("_merged"))
+    scheme = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
+    query = F.regexp_extract(page, r"^[^?#]*(\?[^#]+)", 1)
+    tail = F.substr(link, F.length("_path") + 1)
+    return step.withColumn(
+        name,
+        F.when(ref == "", page)
         .when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref)
         .when(link.startswith("//"), F.concat(scheme, link))
         .when(
-            (link == "") | link.startswith("#"),
-            F.concat(origin, base_path, base_query, link),
+            (link == "") | link.startswith("#"), F.concat("_origin", "_place", query, link)
         )
-        .when(link.startswith("?"), F.concat(origin, base_path, link))
-        .otherwise(F.concat(origin, plain, tail))
-    )
+        .when(link.startswith("?"), F.concat("_origin", "_place", link))
+        .otherwise(F.concat("_origin", plain, tail)),
+    ).drop("_ref", "_link", "_path", "_origin", "_place", "_merged")

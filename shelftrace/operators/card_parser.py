@@ -1,6 +1,7 @@
 """Raw fields of product cards, for use inside tasks."""
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 # Selectors as paths of (tag, classes), outermost first.
 CARD = [("article", {"prd", "_fb", "col", "c-prd"})]
@@ -14,6 +15,11 @@ TEXTS = {
     "stars_text": [("div", {"rev"}), ("div", {"stars", "_s"})],
     "reviews_text": [("div", {"rev"})],
 }
+# Attributes kept of the first link and image, by the field they fill.
+ATTRIBUTES = {
+    "link": (LINK, {"link_href": "href", "link_id": "data-gtm-id"}),
+    "image": (IMAGE, {"image_src": "src", "image_data_src": "data-src"}),
+}
 
 # Tags without an end tag, and tags that break a line of text.
 VOID = frozenset(
@@ -30,80 +36,123 @@ RAW_FIELDS = [
     *TEXTS,
 ]
 
+SELECTED = frozenset(
+    tag
+    for path in [CARD, LINK, IMAGE, *TEXTS.values()]
+    for tag, _ in path
+)
 
-class CardParser(HTMLParser):
-    """Collects the raw fields of each card, first match of every selector."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.cards = []
-        self._open = []  # (tag, classes, card or None, texts to fill)
-
-    def _matches(self, path, tag, classes):
-        *outer, (last_tag, last_classes) = path
-        if tag != last_tag or not last_classes <= classes:
-            return False
-        ancestors = iter(reversed(self._open))
-        return all(
-            any(t == want and c <= have for t, have, _, _ in ancestors)
-            for want, c in reversed(outer)
-        )
-
-    def handle_starttag(self, tag, attrs):
-        values = dict(reversed(attrs))  # the first of a repeated attribute counts
-        classes = set((values.get("class") or "").split())
-        if tag in BREAKS:
-            self.handle_data("\n")
-        texts = []
-        for card in [c for _, _, c, _ in self._open if c is not None]:
-            if self._matches(LINK, tag, classes) and "_link" not in card:
-                card["_link"] = True
-                card["link_href"] = values.get("href")
-                card["link_id"] = values.get("data-gtm-id")
-            if self._matches(IMAGE, tag, classes) and "_image" not in card:
-                card["_image"] = True
-                card["image_src"] = values.get("src")
-                card["image_data_src"] = values.get("data-src")
-            for name, path in TEXTS.items():
-                if name not in card and self._matches(path, tag, classes):
-                    card[name] = []
-                    texts.append(card[name])
-        card = None
-        if self._matches(CARD, tag, classes):
-            card = {"data_sku": values.get("data-sku")}
-            self.cards.append(card)
-        if tag not in VOID:
-            self._open.append((tag, classes, card, texts))
+NO_CLASSES = frozenset()
 
-    def handle_endtag(self, tag):
-        if any(t == tag for t, *_ in self._open):
-            if tag in BREAKS:
-                self.handle_data("\n")
-            while self._open.pop()[0] != tag:
-                pass
+# Possessive throughout: no input makes these backtrack.
+TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)
+      | <(?P<raw>script|style|textarea|title)(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)
+      | <(?P<end>/?+)(?P<tag>[a-z][^\s/>]*+)
+        (?P<attributes>(?:[\s/]++
+          | [^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+)*+)>
+      | <[!?/][^>]*+>""",
+    re.S | re.I | re.X,
+)
+ATTRIBUTE = re.compile(
+    r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+"""
+)
+
+
+def read_attributes(text):
+    """Attributes of one tag; the first of a repeated name counts."""
+    found = {}
+    for name, double, single, bare in ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), unescape(double or single or bare))
+    return found
 
-    def handle_data(self, data):
-        if self._open and self._open[-1][0] in ("script", "style"):
-            return
-        for *_, texts in self._open:
-            for text in texts:
-                text.append(data)
+
+def _by_last_tag():
+    """What to look for at each tag: (name, classes of the last step, steps before)."""
+    wanted = {}
+    paths = {"card": CARD, **{k: path for k, (path, _) in ATTRIBUTES.items()}, **TEXTS}
+    for name, (*outer, (tag, classes)) in paths.items():
+        wanted.setdefault(tag, []).append((name, frozenset(classes), outer[::-1]))
+    return wanted
+
+
+WANTED = _by_last_tag()
+
+
+def below(outer, ancestors):
+    """Do the ancestors hold the outer steps, innermost first?"""
+    upwards = reversed(ancestors)
+    return all(any(t == tag and want <= have for t, have in upwards) for tag, want in outer)
 
 
 def read_cards(html):
-    parser = CardParser()
-    parser.feed(html)
-    parser.close()
-    for position, card in enumerate(parser.cards):
-        row = {"position": position, "parse_error": None}
-        for name in RAW_FIELDS:
-            value = card.get(name)
-            row[name] = "".join(value) if isinstance(value, list) else value
-        yield row
+    """One dict of raw fields per card; a selector's first match in a card counts."""
+    cards = []
+    elements = []  # open elements as (tag, classes)
+    open_cards = []  # (depth, card)
+    open_texts = []  # (depth, pieces)
+    done = 0
+    for token in TOKEN.finditer(html):
+        _, end, tag, attributes = token.groups()
+        if tag and not tag.islower():
+            tag = tag.lower()
+        if open_texts:
+            piece = html[done : token.start()]
+            if "&" in piece:
+                piece = unescape(piece)
+            if tag in BREAKS:
+                piece += "\n"
+            for _, pieces in open_texts:
+                pieces.append(piece)
+        done = token.end()
+        if not tag:
+            continue
+        if end:
+            depth = len(elements) - 1
+            while depth >= 0 and elements[depth][0] != tag:
+                depth -= 1
+            if depth >= 0:
+                del elements[depth:]
+                if open_texts and open_texts[-1][0] >= depth:
+                    open_texts = [t for t in open_texts if t[0] < depth]
+                if open_cards and open_cards[-1][0] >= depth:
+                    open_cards = [c for c in open_cards if c[0] < depth]
+            continue
+        values, classes = None, NO_CLASSES
+        if tag in SELECTED and "class" in attributes.lower():
+            values = read_attributes(attributes)
+            classes = frozenset(values.get("class", "").split())
+        for name, last, outer in WANTED.get(tag, ()) if classes else ():
+            if not last <= classes or not below(outer, elements):
+                continue
+            if name == "card":
+                card = {"data_sku": values.get("data-sku")}
+                cards.append(card)
+                open_cards.append((len(elements), card))
+                continue
+            for _, card in open_cards:
+                if name in card:
+                    continue
+                if name in ATTRIBUTES:
+                    card[name] = True
+                    fields = ATTRIBUTES[name][1]
+                    card.update({f: values.get(a) for f, a in fields.items()})
+                else:
+                    card[name] = []
+                    open_texts.append((len(elements), card[name]))
+        if tag not in VOID:
+            elements.append((tag, classes))
+    for _, pieces in open_texts:
+        pieces.append(unescape(html[done:]))
+    for position, card in enumerate(cards):
+        card["position"] = position
+        for name in TEXTS.keys() & card.keys():
+            card[name] = "".join(card[name])
+    return cards
 
 
 def page_rows(html):
     try:
-        return list(read_cards(html))
+        return read_cards(html)
     except Exception as error:  # one bad page must not stop the job
         return [{"parse_error": f"{type(error).__name__}: {error}"}]

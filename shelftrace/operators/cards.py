@@ -14,7 +14,7 @@ from shelftrace.functions.numeric import (
     reviews_in_parentheses,
 )
 from shelftrace.functions.text import collapse_whitespace, empty_to_null, first_present
-from shelftrace.functions.urls import resolve_url
+from shelftrace.functions.urls import with_resolved_url
 from shelftrace.operators import card_parser
 from shelftrace.operators.card_parser import CARD, RAW_FIELDS, page_rows
 from shelftrace.operators.rank import first_per_key, identified
@@ -76,14 +76,14 @@ def card_records(cards, base_url="url"):
         "sku": first_present("data_sku", "link_id"),
         "product_name": collapse_whitespace("name_text"),
         "image_url": F.coalesce(empty_to_null("image_src"), "image_data_src"),
-        "product_url": resolve_url(base_url, "link_href"),
         "current_price": first_number("price_text"),
         "old_price": first_number("old_price_text"),
         "discount": first_number("discount_text"),
         "rating": rating_phrase(stars),
         "reviews_count": reviews_in_parentheses(reviews),
     }
-    return cards.withColumns(made).drop(*RAW_FIELDS)
+    linked = with_resolved_url(cards, base_url, "link_href", "product_url")
+    return linked.withColumns(made).drop(*RAW_FIELDS)
 
 
 def _keyed(records):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelftrace.functions.markup import anchors, attribute, has_class
-from shelftrace.functions.urls import resolve_url
+from shelftrace.functions.urls import with_resolved_url
 
 # Class and label of the link to the next listing page.
 NEXT_CLASS = "pg"
@@ -13,23 +13,24 @@ NEXT_LABEL = "الصفحة التالية"
 def page_links(pages, url="url", html="html"):
     """Every link of every page with its position, resolved against the page."""
     tags = pages.select("page_id", url, F.posexplode(anchors(html)).alias("position", "tag"))
-    return (
-        tags.withColumn("href", attribute("tag", "href"))
-        .where(F.col("href").isNotNull())
-        .withColumn("link", resolve_url(url, "href"))
-        .drop("tag")
-    )
+    found = tags.withColumn("href", attribute("tag", "href")).drop("tag")
+    return with_resolved_url(found.where(F.col("href").isNotNull()), url, "href", "link")
 
 
 def next_page(pages, url="url", html="html", css_class=NEXT_CLASS, label=NEXT_LABEL):
     """URL of the next listing page; null where a page has no such link."""
     wanted = F.filter(
         anchors(html),
-        lambda tag: has_class(tag, css_class)
+        lambda tag: F.contains(tag, F.lit(css_class))
+        & has_class(tag, css_class)
         & (attribute(tag, "aria-label") == F.lit(label)),
     )
-    href = attribute(F.try_element_at(wanted, F.lit(1)), "href")
-    return pages.withColumn("next_url", resolve_url(url, href)).drop(html)
+    # Pages without the label anywhere, most of them, are not searched for anchors.
+    labelled = F.when(F.contains(F.col(html), F.lit(label)), wanted)
+    href = attribute(F.try_element_at(labelled, F.lit(1)), "href")
+    return with_resolved_url(pages.withColumn("_href", href).drop(html), url, "_href", "next_url").drop(
+        "_href"
+    )
 
 
 def pages_without_next(followed):

@@ -11,6 +11,16 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows):
+    """Rows over all cores if the files have fewer splits than that.
+
+    For plain scans ahead of heavy work per row. A table of many splits, as on a
+    cluster, is left alone.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _price_text(step):
     return (
         f"cast(cast((floor(o_totalprice / 250000) + 1) * {step} as decimal(18,2)) as string)"
@@ -45,8 +55,10 @@ RAW_FEED = {
 
 
 def raw_feed(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    return orders.selectExpr(*[f"{text} AS {name}" for name, text in RAW_FEED.items()])
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
+    )
+    return spread(orders).selectExpr(*[f"{text} AS {name}" for name, text in RAW_FEED.items()])
 
 
 def batch_time(year):
@@ -115,11 +127,12 @@ PAGE_URL = "'https://shop.example.com/ar/all/?page=' || cast(c_custkey + 1 as st
 
 def listing_pages(spark, sf_dir):
     """Listing pages rendered row by row, without a shuffle."""
-    numbers = F.transform(
-        F.sequence(F.lit(0), F.lit(CARDS_PER_PAGE - 1)),
-        lambda i: F.col("c_custkey") * CARDS_PER_PAGE + i,
+    first = F.col("c_custkey") * CARDS_PER_PAGE
+    numbers = F.sequence(first, first + (CARDS_PER_PAGE - 1))
+    products = F.transform(
+        numbers, lambda g: F.struct(g.alias("g"), (g + 7 - (g * g) % 7).alias("p"))
     )
-    cards = F.transform(numbers, lambda g: _card(g, g + 7 - (g * g) % 7))
+    cards = F.transform(products, lambda card: _card(card.g, card.p))
     page = F.col("c_custkey") + 1
     link = F.when(page % 10 == 0, "").otherwise(
         F.concat(
@@ -136,7 +149,7 @@ def listing_pages(spark, sf_dir):
         link,
         F.lit("</body></html>"),
     )
-    customer = table(spark, sf_dir, "customer")
+    customer = spread(table(spark, sf_dir, "customer").select("c_custkey"))
     return customer.select(
         F.col("c_custkey").alias("page_id"), F.expr(PAGE_URL).alias("url"), html.alias("html")
     )

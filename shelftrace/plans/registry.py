@@ -14,7 +14,7 @@ from shelftrace.operators import (
     typed,
     validate,
 )
-from shelftrace.plans import feeds, load
+from shelftrace.plans import feeds
 from shelftrace.plans.extract import extract_records
 from shelftrace.sources import export, feed, staging
 from shelftrace.sources.shared import fresh_path
@@ -269,13 +269,15 @@ def scd2_incremental(spark, sf_dir):
     staged = staging.staged_rows(
         _cleaned(spark, sf_dir), F.col("batch_no").cast("string"), SOURCE_FILE
     )
-    staging.append_batch(staged, store.staging_path())
-    batches = (
-        staging.read_staging(spark, store.staging_path()).select("load_batch_id").distinct()
-    )
+    path = store.staging_path()
+    _, last_stage_id = staging.append_batch(staged, path)
+    batches = staging.read_staging(spark, path).select("load_batch_id").distinct()
     # One number per load; each load is a job of its own.
     for year in sorted(int(row[0]) for row in batches.toLocalIterator()):
-        load.merge_batch(spark, store, str(year), feeds.batch_moment(year))
+        batch = staging.read_batch(spark, path, str(year))
+        store.apply(
+            typed.latest_typed(batch), str(year), feeds.batch_moment(year), last_stage_id
+        )
     return _versions(store.all_versions())
 
 
@@ -367,7 +369,7 @@ def link_resolve(spark, sf_dir):
         F.concat(F.lit("../u"), "page_id"),
     )
     pages = _pages(spark, sf_dir).select("page_id", "url", F.explode(references).alias("ref"))
-    return pages.withColumn("link", urls.resolve_url("url", "ref"))
+    return urls.with_resolved_url(pages, "url", "ref", "link")
 
 
 @query

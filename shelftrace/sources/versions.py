@@ -77,8 +77,11 @@ class VersionStore:
         return self.commits()[-1]
 
     def _publish(self, commit):
-        row = self.spark.createDataFrame([asdict(commit)], LOG_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        values = asdict(commit)
+        row = self.spark.range(1, numPartitions=1).select(
+            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA]
+        )
+        row.write.mode("append").parquet(f"{self.root}/log")
 
     def staging_path(self):
         return f"{self.root}/staging/epoch={self.last_commit().epoch}"
@@ -86,18 +89,17 @@ class VersionStore:
     # -- reading -----------------------------------------------------------
 
     def _read(self, paths, is_current):
-        if not paths:
-            empty = self.spark.createDataFrame([], STORED)
-            rows = empty
-        else:
+        if paths:
             rows = self.spark.read.schema(STORED).parquet(*paths)
+        else:
+            rows = self.spark.createDataFrame([], STORED)
         return rows.withColumn("iscurrent", F.lit(is_current)).select(
             *schema.DIMENSION_SCHEMA.names
         )
 
-    def current(self):
-        last = self.last_commit()
-        return self._read([last.current_path] if last.current_path else [], 1)
+    def current(self, commit=None):
+        path = (commit or self.last_commit()).current_path
+        return self._read([path] if path else [], 1)
 
     def closed(self):
         return self._read([c.closed_path for c in self.commits() if c.closed_path], 0)
@@ -115,12 +117,13 @@ class VersionStore:
 
         A batch that is already in the log changes nothing.
         """
-        if self.is_applied(batch_id):
+        commits = self.commits()
+        if any(c.batch_id == batch_id for c in commits):
             return 0
-        last = self.last_commit()
+        last = commits[-1]
         attempt = f"{last.version + 1:08d}-{uuid.uuid4().hex}"
         time = history.as_time(change_time)
-        current = self.current()
+        current = self.current(last)
         source = source.persist()
         try:
             inserted = self._write_opened(current, source, time, attempt)
