@@ -27,14 +27,14 @@ def changed(current, source, key="sku"):
 def openable(current, source, key="sku"):
     """Incoming rows that no surviving current row stands for.
 
-    Survivors are the current rows that `changed` leaves alone, so the condition
-    is in the join and the closed rows need not be computed first.
+    Survivors are the current rows that `changed` leaves alone. They are found from
+    keys and fingerprints with an inner join, for which a small batch can be sent to
+    the dimension; an anti join against the dimension itself would shuffle it always.
     """
-    standing = current.select(
-        F.col(key).alias("_key"), F.col("row_hash").alias("_standing")
-    )
-    survives = F.coalesce(F.col("_standing") == F.col("row_hash"), F.lit(True))
-    return source.join(standing, (F.col(key) == F.col("_key")) & survives, "left_anti")
+    incoming = source.select(key, F.col("row_hash").alias("_incoming"))
+    standing = F.coalesce(F.col("row_hash") == F.col("_incoming"), F.lit(True))
+    survivors = current.select(key, "row_hash").join(incoming, key).where(standing)
+    return source.join(survivors.select(key), key, "left_anti")
 
 
 def close_changed(current, source, change_time, key="sku"):

@@ -22,12 +22,22 @@ def usable(df):
     )
 
 
-def typed(df, *carry):
-    """Lenient conversions; text that does not convert becomes null.
+PRICE_LIMIT = 1e16
+
+
+def strict_price(column):
+    """A validated price; one that does not fit the dimension stops the batch.
 
-    Prices were checked on validation, so one that does not fit the dimension
-    is an error and stops the batch, under Spark's default ANSI mode.
+    Checked here because an infinite double casts to null without an error.
     """
+    c = F.col(column)
+    error = F.raise_error(F.concat(F.lit(f"{column} out of range: "), c.cast("string")))
+    fits = c.isNull() | (F.abs(c) < PRICE_LIMIT)
+    return F.when(fits, c.cast(schema.PRICE)).otherwise(error.cast(schema.PRICE))
+
+
+def typed(df, *carry):
+    """Lenient conversions; text that does not convert becomes null."""
     return df.select(
         *carry,
         "stage_id",
@@ -35,8 +45,8 @@ def typed(df, *carry):
         "product_name",
         "image_url",
         "product_url",
-        F.col("current_price").cast(schema.PRICE).alias("current_price"),
-        F.col("old_price").cast(schema.PRICE).alias("old_price"),
+        strict_price("current_price").alias("current_price"),
+        strict_price("old_price").alias("old_price"),
         lenient_percent("discount").alias("discount_percent"),
         lenient_rating("rating").alias("rating"),
         lenient_count("reviews_count").alias("reviews_count"),

@@ -29,6 +29,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("closed", T.LongType()),
         T.StructField("last_product_id", T.LongType()),
         T.StructField("last_stage_id", T.LongType()),
+        T.StructField("buckets", T.IntegerType()),
     ]
 )
 
@@ -50,12 +51,20 @@ class Commit:
     closed: int = 0
     last_product_id: int = 0
     last_stage_id: int = 0
+    buckets: int = 0
 
 
 class VersionStore:
-    def __init__(self, spark, root):
+    """`buckets` keeps the versions hashed and sorted by SKU in that many buckets.
+
+    A merge then shuffles the batch only, whatever the size of the dimension; choose
+    it so that a bucket fits a task. Without it, the join is left to Spark alone.
+    """
+
+    def __init__(self, spark, root, buckets=0):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     # -- log ---------------------------------------------------------------
 
@@ -101,6 +110,30 @@ class VersionStore:
         path = (commit or self.last_commit()).current_path
         return self._read([path] if path else [], 1)
 
+    def _mergeable(self, commit):
+        """Current rows for a merge, through a catalog entry that knows the buckets."""
+        if not commit.current_path or not commit.buckets:
+            return self.current(commit)
+        path = commit.current_path.rsplit("/", 1)[0]
+        name = self._table_name(path)
+        if not self.spark.catalog.tableExists(name):
+            fields = ", ".join(
+                f"{f.name} {f.dataType.simpleString()}"
+                for f in [*STORED, schema.DIMENSION_SCHEMA["iscurrent"]]
+            )
+            self.spark.sql(
+                f"CREATE TABLE {name} ({fields}) USING parquet PARTITIONED BY (iscurrent)"
+                f" CLUSTERED BY (sku) SORTED BY (sku) INTO {commit.buckets} BUCKETS"
+                f" LOCATION '{path}'"
+            )
+            self.spark.catalog.recoverPartitions(name)
+        rows = self.spark.table(name).where("iscurrent = 1")
+        return rows.select(*schema.DIMENSION_SCHEMA.names)
+
+    @staticmethod
+    def _table_name(path):
+        return "versions_" + path.rsplit("/", 1)[1].replace("-", "_")
+
     def closed(self):
         return self._read([c.closed_path for c in self.commits() if c.closed_path], 0)
 
@@ -123,7 +156,9 @@ class VersionStore:
         last = commits[-1]
         attempt = f"{last.version + 1:08d}-{uuid.uuid4().hex}"
         time = history.as_time(change_time)
-        current = self.current(last)
+        current = self._mergeable(last)
+        if self.buckets:
+            source = source.repartition(self.buckets, "sku")
         source = source.persist()
         try:
             inserted = self._write_opened(current, source, time, attempt)
@@ -146,6 +181,8 @@ class VersionStore:
                     "product_id",
                     last.last_product_id,
                 )
+                if self.buckets:
+                    opened = opened.repartition(self.buckets, "sku")
                 rows = history.close_changed(current, source, time).unionByName(opened)
                 commit = self._write_versions(rows, attempt, commit)
         finally:
@@ -166,12 +203,19 @@ class VersionStore:
         """Current and newly closed rows in one job, as partitions of one folder."""
         path = f"{self.root}/versions/{attempt}"
         seen = Observation()
-        rows.observe(
+        writer = rows.observe(
             seen,
             F.count_if(F.col("iscurrent") == 0).alias("closed"),
             F.count_if(F.col("iscurrent") == 1).alias("current"),
             F.max("product_id").alias("last_product_id"),
-        ).write.partitionBy("iscurrent").parquet(path)
+        ).write.partitionBy("iscurrent")
+        if self.buckets:
+            # An external table: its catalog entry can go without the files.
+            writer.format("parquet").bucketBy(self.buckets, "sku").sortBy("sku").option(
+                "path", path
+            ).saveAsTable(self._table_name(path))
+        else:
+            writer.parquet(path)
         found = seen.get
         closed = found.get("closed", 0)
         return replace(
@@ -179,6 +223,7 @@ class VersionStore:
             current_path=f"{path}/iscurrent=1" if found.get("current") else None,
             closed_path=f"{path}/iscurrent=0" if closed else None,
             closed=closed,
+            buckets=self.buckets,
             last_product_id=max(commit.last_product_id, found.get("last_product_id") or 0),
         )
 
