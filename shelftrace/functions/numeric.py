@@ -48,9 +48,15 @@ def _matched(c, pattern, data_type):
 
 
 def parse_price(c):
-    """A price as double, or null if the text is no finite, non-negative decimal."""
+    """A price as double, or null if the text is no finite, non-negative decimal.
+
+    Plain numbers are read at once; only other texts go through the rarer forms:
+    other white space, underscores, other digits.
+    """
     text = ascii_digits(F.replace(strip(c), F.lit("_"), F.lit("")))
-    return _matched(text, PRICE_PATTERN, "double")
+    return F.coalesce(
+        _matched(F.trim(c), PRICE_PATTERN, "double"), _matched(text, PRICE_PATTERN, "double")
+    )
 
 
 def lenient_percent(c):

@@ -10,11 +10,15 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# The same set as a class for regular expressions.
-WHITESPACE_CLASS = (
-    r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}"
-    r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The same set for regular expressions, without and with the plain space.
+RARE_SPACES = (
+    r"\x{9}-\x{d}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}"
+    r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+WHITESPACE_CLASS = f"[ {RARE_SPACES}]"
+
+# A run of white space, unless it is one plain space already: most gaps are.
+UNEVEN_GAP = f"(?:[{RARE_SPACES}]| (?={WHITESPACE_CLASS})){WHITESPACE_CLASS}*+"
 
 # Texts that a sheet reader takes for a missing cell.
 NULL_TOKENS = [
@@ -60,7 +64,7 @@ def null_tokens_to_null(c):
 def collapse_whitespace(c):
     """Runs of white space become one space; empty text becomes null, blank text ''."""
     c = as_column(c)
-    return F.when(c != "", F.btrim(F.regexp_replace(c, f"{WHITESPACE_CLASS}+", " ")))
+    return F.when(c != "", F.btrim(F.regexp_replace(c, UNEVEN_GAP, " ")))
 
 
 def first_present(*columns):

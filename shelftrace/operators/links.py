@@ -18,7 +18,7 @@ def page_links(pages, url="url", html="html"):
 
 
 def next_page(pages, url="url", html="html", css_class=NEXT_CLASS, label=NEXT_LABEL):
-    """URL of the next listing page; null where a page has no such link."""
+    """The link to the next listing page, as found and resolved; null where there is none."""
     wanted = F.filter(
         anchors(html),
         lambda tag: F.contains(tag, F.lit(css_class))
@@ -28,11 +28,10 @@ def next_page(pages, url="url", html="html", css_class=NEXT_CLASS, label=NEXT_LA
     # Pages without the label anywhere, most of them, are not searched for anchors.
     labelled = F.when(F.contains(F.col(html), F.lit(label)), wanted)
     href = attribute(F.try_element_at(labelled, F.lit(1)), "href")
-    return with_resolved_url(pages.withColumn("_href", href).drop(html), url, "_href", "next_url").drop(
-        "_href"
-    )
+    found = pages.withColumn("next_href", href).drop(html)
+    return with_resolved_url(found, url, "next_href", "next_url")
 
 
 def pages_without_next(followed):
     """Pages where a crawl would have stopped: the report of missing links."""
-    return followed.where(F.col("next_url").isNull())
+    return followed.where(F.col("next_href").isNull())

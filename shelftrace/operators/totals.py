@@ -3,50 +3,59 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelftrace.sources.shared import stored
+
 BLOCK = 1 << 16
 
 
 def running_total(df, order, value, name, block=BLOCK, levels=1):
-    """Running sum of `value` by the unique whole number `order`.
+    """Running sum of `value` by the unique whole number `order`; other columns go.
 
     A window without partitions would put all rows in one task. Here rows are
     summed per block of consecutive numbers, the block sums are totalled, and the
     total ahead of each block is added inside it. One task sees at most `block`
     rows, or one row per block; `levels` stacks blocks of blocks.
+
+    Both uses of the rows read the same columns of the same repartitioning, so what
+    lies ahead of it runs once.
     """
     if levels == 0:
-        return df.withColumn(name, F.sum(value).over(Window.orderBy(order)))
-    numbered = df.withColumn("_block", F.floor(F.col(order) / F.lit(block)))
-    sums = numbered.groupBy("_block").agg(F.sum(value).alias("_sum"))
-    sums = sums.withColumnRenamed("_block", "_at")
-    ahead = running_total(sums, "_at", "_sum", "_through", block, levels - 1).select(
+        total = F.sum(value).over(Window.orderBy(order))
+        return df.select(order, value, total.alias(name))
+    rows = df.select(
+        order, value, F.floor(F.col(order) / F.lit(block)).alias("_block")
+    ).repartition("_block")
+    # The first number of a block places it; asking for it keeps the columns the same.
+    sums = rows.groupBy("_block").agg(F.sum(value).alias("_sum"), F.min(order).alias("_from"))
+    places = sums.select(F.floor(F.col("_from") / F.lit(block)).alias("_at"), "_sum")
+    ahead = running_total(places, "_at", "_sum", "_through", block, levels - 1).select(
         F.col("_at").alias("_block"), (F.col("_through") - F.col("_sum")).alias("_ahead")
     )
-    inside = Window.partitionBy("_block").orderBy(order)
+    inside = F.sum(value).over(Window.partitionBy("_block").orderBy(order))
     return (
-        numbered.withColumn("_inside", F.sum(value).over(inside))
+        rows.withColumn("_inside", inside)
         .join(ahead, "_block")
-        .withColumn(name, F.col("_inside") + F.col("_ahead"))
-        .drop("_block", "_inside", "_ahead")
+        .select(order, value, (F.col("_inside") + F.col("_ahead")).alias(name))
     )
 
 
 def unique_by_page(df, page, key, block=BLOCK):
     """Per page: unique products on it, products first seen on it, running total.
 
-    First sightings come from a minimum per key, which combines before the
-    shuffle, so neither a frequent product nor a long page fills one task.
+    Both counts come from groups that combine before the shuffle, by page and product
+    and by product, so neither a frequent product nor a long page fills one task. The
+    result per page is small beside the rows; it is stored, as the total reads it twice.
     """
     seen = df.where(F.col(key).isNotNull())
-    on_page = seen.groupBy(page).agg(F.count_distinct(key).alias("unique_on_page"))
-    first_seen = (
-        seen.groupBy(key)
-        .agg(F.min(page).alias(page))
-        .groupBy(page)
-        .agg(F.count(F.lit(1)).alias("new_products"))
+    on_page = seen.select(page, key).distinct().withColumn("_new", F.lit(0))
+    first_seen = seen.groupBy(key).agg(F.min(page).alias(page)).withColumn("_new", F.lit(1))
+    counts = on_page.unionByName(first_seen).groupBy(page).agg(
+        F.count_if(F.col("_new") == 0).alias("unique_on_page"),
+        F.count_if(F.col("_new") == 1).alias("new_products"),
     )
-    per_page = on_page.join(first_seen, page, "left").na.fill(0, ["new_products"])
-    return running_total(per_page, page, "new_products", "total_unique", block)
+    per_page = stored(counts, "per-page")
+    total = running_total(per_page, page, "new_products", "total_unique", block)
+    return per_page.select(page, "unique_on_page").join(total, page)
 
 
 def page_sequence(df, actual, expected):

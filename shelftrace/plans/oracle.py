@@ -329,6 +329,7 @@ listed AS (
 SELECT page_id, position, href, {_ORIGIN} || href AS link FROM listed""",
     "next_page": """SELECT c_custkey AS page_id,
   'https://shop.example.com/ar/all/?page=' || (c_custkey + 1) AS url,
+  CASE WHEN (c_custkey + 1) % 10 <> 0 THEN '?page=' || (c_custkey + 2) || '&sort=a' END AS next_href,
   CASE WHEN (c_custkey + 1) % 10 <> 0
        THEN 'https://shop.example.com/ar/all/?page=' || (c_custkey + 2) || '&sort=a' END AS next_url
 FROM customer""",

@@ -17,7 +17,7 @@ from shelftrace.operators import (
 from shelftrace.plans import feeds
 from shelftrace.plans.extract import extract_records
 from shelftrace.sources import export, feed, staging
-from shelftrace.sources.shared import fresh_path
+from shelftrace.sources.shared import fresh_path, stored
 from shelftrace.sources.versions import VersionStore
 
 QUERIES = {}
@@ -92,7 +92,9 @@ def _two_loads(spark, sf_dir):
     earlier = earlier.withColumn("change_time", feeds.batch_time(F.col("batch_no")))
     source = typed.latest_typed(staged.where(F.col("batch_no") == INCOMING))
     dimension = history.rebuild(earlier.drop("batch_no"))
-    return dimension.withColumn("created_at", F.col("st_date")), source
+    dimension = dimension.withColumn("created_at", F.col("st_date"))
+    # A merge meets both sides as stored tables and reads each more than once.
+    return stored(dimension, "dimension"), stored(source, "source")
 
 
 # -- reading, validation, cleaning ---------------------------------------------
@@ -386,7 +388,7 @@ def unique_by_page(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    return feeds.table(spark, sf_dir, "documents")
+    return feeds.spread(feeds.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query
@@ -415,7 +417,10 @@ def phrase_extract(spark, sf_dir):
         F.when(F.col("l_linenumber") == 3, F.concat(F.lit("1,"), count)).otherwise(count),
         F.lit(")"),
     )
-    return feeds.table(spark, sf_dir, "lineitem").select(
+    lines = feeds.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_returnflag"
+    )
+    return feeds.spread(lines).select(
         "l_orderkey",
         "l_linenumber",
         numeric.rating_phrase(phrase).alias("rating"),

@@ -19,3 +19,11 @@ def shared_folder(spark):
 def fresh_path(spark, label):
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df, label):
+    """The rows as a table in the shared folder: computed once, read as often as needed."""
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
