@@ -27,3 +27,9 @@ def stored(df, label):
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def exists(spark, path):
+    """Is there anything at the path, on whatever file system it names?"""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -8,7 +8,6 @@ import uuid
 from dataclasses import asdict, dataclass, replace
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 from shelftrace import schema
 from shelftrace.operators import history
 from shelftrace.sources.numbering import read_numbered
+from shelftrace.sources.shared import exists
 
 LOG_SCHEMA = T.StructType(
     [
@@ -70,12 +70,10 @@ class VersionStore:
 
     def commits(self):
         """Commits since the last reset, oldest first: one small row per merge."""
-        try:
-            log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/log")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        path = f"{self.root}/log"
+        if not exists(self.spark, path):
             return [Commit()]
+        log = self.spark.read.schema(LOG_SCHEMA).parquet(path)
         found = [Commit(**row.asDict()) for row in log.orderBy("version").collect()]
         numbers = [c.version for c in found]
         if len(set(numbers)) < len(numbers):
@@ -157,36 +155,34 @@ class VersionStore:
         attempt = f"{last.version + 1:08d}-{uuid.uuid4().hex}"
         time = history.as_time(change_time)
         current = self._mergeable(last)
-        if self.buckets:
-            source = source.repartition(self.buckets, "sku")
-        source = source.persist()
-        try:
-            inserted = self._write_opened(current, source, time, attempt)
-            commit = replace(
-                last,
-                version=last.version + 1,
-                batch_id=batch_id,
-                change_time=change_time,
-                closed_path=None,
-                inserted=inserted,
-                closed=0,
-                last_product_id=last.last_product_id + inserted,
-                last_stage_id=max(last_stage_id or 0, last.last_stage_id),
+        # The batch is read several times. As files it outlives executors, and its
+        # partitions follow its size.
+        source.write.parquet(f"{self.root}/source/{attempt}")
+        source = self.spark.read.schema(source.schema).parquet(f"{self.root}/source/{attempt}")
+        inserted = self._write_opened(current, source, time, attempt)
+        commit = replace(
+            last,
+            version=last.version + 1,
+            batch_id=batch_id,
+            change_time=change_time,
+            closed_path=None,
+            inserted=inserted,
+            closed=0,
+            last_product_id=last.last_product_id + inserted,
+            last_stage_id=max(last_stage_id or 0, last.last_stage_id),
+        )
+        if inserted or not history.changed(current, source).isEmpty():
+            opened = read_numbered(
+                self.spark,
+                f"{self.root}/opened/{attempt}",
+                NUMBERED_LATER,
+                "product_id",
+                last.last_product_id,
             )
-            if inserted or not history.changed(current, source).isEmpty():
-                opened = read_numbered(
-                    self.spark,
-                    f"{self.root}/opened/{attempt}",
-                    NUMBERED_LATER,
-                    "product_id",
-                    last.last_product_id,
-                )
-                if self.buckets:
-                    opened = opened.repartition(self.buckets, "sku")
-                rows = history.close_changed(current, source, time).unionByName(opened)
-                commit = self._write_versions(rows, attempt, commit)
-        finally:
-            source.unpersist()
+            if self.buckets:
+                opened = opened.repartition(self.buckets, "sku")
+            rows = history.close_changed(current, source, time).unionByName(opened)
+            commit = self._write_versions(rows, attempt, commit)
         self._publish(commit)
         return inserted
 
