@@ -53,3 +53,11 @@ def nan_to_null(df):
     """NaN becomes null, over all floating columns."""
     floats = [c for c, t in df.dtypes if t in ("double", "float")]
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+
+
+def collate_key(df, column="sku", collation="UTF8_LCASE_RTRIM"):
+    """Compare a key without regard to case and trailing spaces.
+
+    Keys compare byte by byte unless both sides of a merge go through here.
+    """
+    return df.withColumn(column, F.collate(column, collation))

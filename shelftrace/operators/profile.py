@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 WIDEST = 50
 MARGIN = 2
+TIME_WIDTH = 22
 
 
 def distinct_profile(df, columns=("rating", "reviews_count"), approximate=False):
@@ -12,24 +13,25 @@ def distinct_profile(df, columns=("rating", "reviews_count"), approximate=False)
     return df.agg(*[count(c).alias(f"distinct_{c}") for c in columns])
 
 
-def column_profile(df):
+def column_profile(df, fixed=()):
     """Display width of each column: widest value or header, plus a margin, capped.
 
-    One aggregation over the table; the one-row result is then turned into rows.
+    Columns in `fixed` have the width of a rendered time. One aggregation over the
+    table; the one-row result is then turned into rows.
     """
+    measured = [c for c in df.columns if c not in fixed]
     widths = df.agg(
-        *[F.max(F.length(F.col(c).cast("string"))).alias(c) for c in df.columns]
+        *[F.max(F.length(F.col(c).cast("string"))).alias(c) for c in measured]
     )
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.least(
-                    F.greatest(F.coalesce(F.col(c), F.lit(0)), F.lit(len(c))) + MARGIN,
-                    F.lit(WIDEST),
-                ).alias("display_width"),
-            )
-            for c in df.columns
-        ]
-    )
-    return widths.select(F.inline(cells))
+
+    def width(c):
+        if c in fixed:
+            return F.lit(TIME_WIDTH)
+        widest = F.greatest(F.coalesce(F.col(c), F.lit(0)), F.lit(len(c)))
+        return F.least(widest + MARGIN, F.lit(WIDEST))
+
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), width(c).alias("display_width"))
+        for c in df.columns
+    ]
+    return widths.select(F.inline(F.array(*cells)))

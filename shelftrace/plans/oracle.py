@@ -313,6 +313,14 @@ SELECT product_id, {_VERSION_ATTRIBUTES},
   strftime(st_date, '%Y-%m-%d %H:%M:%S') AS st_date,
   strftime(end_date, '%Y-%m-%d %H:%M:%S') AS end_date, iscurrent
 FROM migrated WHERE iscurrent = 1 ORDER BY product_id""",
+    "export_profile": f"WITH {_MIGRATED}\n"
+    + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(least(greatest(length('{c}'),"
+        f" coalesce(max(length(CAST({c} AS varchar))), 0)) + 2, 50) AS integer) AS display_width"
+        " FROM migrated WHERE iscurrent = 1"
+        for c in ("product_id", "sku", "product_name", "product_url", "reviews_count")
+    )
+    + "\nUNION ALL SELECT 'st_date', 22 UNION ALL SELECT 'end_date', 22",
     "page_number": _paged(_PAGE_NO),
     "page_sequence_check": f"""SELECT page_id, {_PAGE_NO} AS actual_page,
   page_id % 10 + 1 AS expected_page

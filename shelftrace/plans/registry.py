@@ -309,6 +309,14 @@ def current_export(spark, sf_dir):
     return _plain(export.with_rendered_times(export.export_rows(spark, table)))
 
 
+@query
+def export_profile(spark, sf_dir):
+    rows = export.export_rows(spark, _migrated(spark, sf_dir), ordered=False).select(
+        "product_id", "sku", "product_name", "product_url", "reviews_count", "st_date", "end_date"
+    )
+    return profile.column_profile(rows, fixed=("st_date", "end_date"))
+
+
 # -- pages ---------------------------------------------------------------------------
 
 

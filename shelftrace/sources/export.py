@@ -2,6 +2,7 @@
 
 import logging
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from shelftrace import schema
@@ -33,12 +34,15 @@ def with_rendered_times(rows, columns=("st_date", "end_date")):
 
 
 def export_current(spark, dimension, path, format="csv", ordered=True):
-    """Write the current rows; returns False and writes nothing if there are none."""
-    rows = export_rows(spark, dimension, ordered)
+    """Write the current rows; returns how many. None at all writes nothing."""
     if dimension.where("iscurrent = 1").isEmpty():
         log.warning("No current data found.")
-        return False
+        return 0
+    seen = Observation()
+    rows = export_rows(spark, dimension, ordered)
     if format == "csv":
         rows = with_rendered_times(rows)
-    rows.write.mode("errorifexists").format(format).option("header", True).save(path)
-    return True
+    rows.observe(seen, F.count(F.lit(1)).alias("exported")).write.mode(
+        "errorifexists"
+    ).format(format).option("header", True).save(path)
+    return seen.get["exported"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import plan
 from shelftrace import schema
 from shelftrace.operators import history
+from shelftrace.operators.columns import collate_key
 from shelftrace.operators.typed import with_fingerprint
 from shelftrace.plans import feeds, registry
 from shelftrace.plans.load import load_feed, merge_batch, stage_feed
@@ -231,11 +232,11 @@ def test_staging_outlives_a_failed_merge(spark, tmp_path):
 
 def test_export(spark, tmp_path):
     store = VersionStore(spark, str(tmp_path / "dim"))
-    assert not export.export_current(spark, store.all_versions(), str(tmp_path / "none"))
+    assert export.export_current(spark, store.all_versions(), str(tmp_path / "none")) == 0
     assert not (tmp_path / "none").exists()
     store.apply(source(spark, [(1, "A", "x"), (2, "B", "x")]), "b1", T[0])
     store.apply(source(spark, [(3, "A", "y")]), "b2", T[1])
-    assert export.export_current(spark, store.all_versions(), str(tmp_path / "out"))
+    assert export.export_current(spark, store.all_versions(), str(tmp_path / "out")) == 2
     back = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert back.columns == schema.EXPORT_COLUMNS
     assert sorted((r.sku, r.st_date, r.end_date) for r in back.collect()) == [
@@ -256,3 +257,10 @@ def test_landing_folder(spark, tmp_path):
     land([(1, "A", "5", "6")])
     rows = [(r.sku, str(r.current_price), r.iscurrent) for r in store.all_versions().collect()]
     assert sorted(rows) == [("A", "1.00", 0), ("A", "5.00", 1)]
+
+
+def test_collated_merge(spark):
+    table = spark.createDataFrame([("A ", "x", T[0], None, 1, 1)], DIMENSION)
+    batch = spark.createDataFrame([("a", "x"), ("b", "x")], "sku string, row_hash string")
+    rows = history.merge(collate_key(table), collate_key(batch), T[5]).collect()
+    assert sorted(r.sku for r in rows) == ["A ", "b"]

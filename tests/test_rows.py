@@ -182,6 +182,8 @@ def test_unique_by_page(spark):
 def test_profiles(spark):
     df = spark.createDataFrame([("abc", None), ("x" * 60, None)], "a string, long_name string")
     assert {tuple(r) for r in profile.column_profile(df).collect()} == {("a", 50), ("long_name", 11)}
+    fixed = profile.column_profile(df, fixed=("a",))
+    assert {tuple(r) for r in fixed.collect()} == {("a", 22), ("long_name", 11)}
     rows = spark.createDataFrame([("1", "x"), ("1", None)], "rating string, reviews_count string")
     assert tuple(profile.distinct_profile(rows).first()) == (1, 1)
     assert tuple(profile.distinct_profile(rows, approximate=True).first()) == (1, 1)
@@ -216,3 +218,9 @@ def test_remote_options():
     options = remote.jdbc_read_options("jdbc:x", "SELECT 1", "id", (0, 9), 3)
     assert options["dbtable"] == "(SELECT 1) AS q" and options["numPartitions"] == "3"
     assert "partitionColumn" not in remote.jdbc_read_options("jdbc:x", "SELECT 1")
+
+
+def test_collated_key(spark):
+    df = spark.createDataFrame([("a", 1), ("A  ", 2), ("b", 3)], "sku string, n long")
+    assert sorted(r.n for r in rank.latest_per_key(columns.collate_key(df), "sku", "n").collect()) == [2, 3]
+    assert rank.latest_per_key(df, "sku", "n").count() == 3
