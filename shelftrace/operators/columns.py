@@ -6,9 +6,13 @@ from shelftrace import schema
 from shelftrace.functions.text import null_tokens_to_null
 
 
+def clean_header(name):
+    return name.strip().replace("%", "").strip()
+
+
 def normalise_headers(df):
     """Header text stripped, `%` deleted, stripped again."""
-    names = [c.strip().replace("%", "").strip() for c in df.columns]
+    names = [clean_header(c) for c in df.columns]
     twice = sorted({n for n in names if names.count(n) > 1})
     if twice:
         raise ValueError(f"Columns collide after header cleaning: {twice}")
@@ -16,8 +20,9 @@ def normalise_headers(df):
 
 
 def to_feed_columns(df):
-    """Sheet headers to the column names used here; other columns keep theirs."""
-    return df.withColumnsRenamed(schema.HEADERS)
+    """Sheet headers, raw or cleaned, to the column names used here; others stay."""
+    names = {clean_header(header): column for header, column in schema.HEADERS.items()}
+    return normalise_headers(df).withColumnsRenamed(names)
 
 
 def to_sheet_headers(df):

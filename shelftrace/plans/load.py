@@ -5,7 +5,8 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
-from shelftrace.operators import clean, validate
+from shelftrace import schema
+from shelftrace.operators import clean, columns, validate
 from shelftrace.operators.typed import latest_typed
 from shelftrace.sources import feed as feeds
 from shelftrace.sources import staging
@@ -36,6 +37,7 @@ def number_by_arrival(spark, df, order, name="row_no"):
 
 def stage_feed(spark, feed, store, batch_id, source_file):
     """Validate, quarantine, clean and stage one feed. Each step is durable."""
+    columns.require_columns(feed, ["row_no", *schema.FEED_COLUMNS])
     classified = validate.classify(feed)
     split = f"{store.root}/split/batch={batch_id}"
     routes = feeds.write_split(classified, split)
@@ -53,6 +55,7 @@ def stage_feed(spark, feed, store, batch_id, source_file):
 def merge_batch(spark, store, batch_id, change_time, last_stage_id=None):
     """Merge a staged batch. Staging outlives a failed merge, so this can be rerun."""
     batch = staging.read_batch(spark, store.staging_path(), batch_id)
+    columns.reject_empty(batch, f"Batch {batch_id}")
     if last_stage_id is None:
         last_stage_id = batch.agg(F.max("stage_id")).first()[0]
     return store.apply(latest_typed(batch), batch_id, change_time, last_stage_id)

@@ -93,8 +93,7 @@ def _two_loads(spark, sf_dir):
     source = typed.latest_typed(staged.where(F.col("batch_no") == INCOMING))
     dimension = history.rebuild(earlier.drop("batch_no"))
     dimension = dimension.withColumn("created_at", F.col("st_date"))
-    # A merge meets both sides as stored tables and reads each more than once.
-    return stored(dimension, "dimension"), stored(source, "source")
+    return dimension, source
 
 
 # -- reading, validation, cleaning ---------------------------------------------
@@ -223,13 +222,16 @@ def changed_rows(spark, sf_dir):
 def new_keys(spark, sf_dir):
     """Incoming rows that open a version: new products and changed ones."""
     dimension, source = _two_loads(spark, sf_dir)
+    source = stored(source, "source")
     opened = history.openable(history.current_versions(dimension), source)
     return opened.select("sku", "stage_id", "row_hash")
 
 
 @query
 def scd2_merge(spark, sf_dir):
+    """A merge meets both sides as stored tables and reads each more than once."""
     dimension, source = _two_loads(spark, sf_dir)
+    dimension, source = stored(dimension, "dimension"), stored(source, "source")
     return _versions(history.merge(dimension, source, feeds.batch_time(F.lit(INCOMING))))
 
 

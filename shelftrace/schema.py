@@ -24,7 +24,7 @@ PRICE = T.DecimalType(18, 2)
 PERCENT = T.DecimalType(8, 2)
 RATING = T.DecimalType(4, 2)
 
-# The attributes whose change opens a new version, in fingerprint order.
+# The attributes whose change opens a new version, in fingerprint order.
 TRACKED = [
     "product_name",
     "image_url",
@@ -81,6 +81,7 @@ DIMENSION_SCHEMA = T.StructType(
     ]
 )
 
+# The columns of an export, in order.
 EXPORT_COLUMNS = [
     "product_id",
     "sku",

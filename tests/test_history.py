@@ -218,6 +218,10 @@ def test_load_feed(spark, tmp_path):
     second = load_feed(spark, raw(spark, [(1, "A", "3", "4"), (2, "B", "1", "2")]), store, T[1], "f.csv")
     assert second.inserted == 1
     assert store.current().where("sku = 'B'").first().stage_id == 4
+    with pytest.raises(ValueError, match="row_no"):
+        load_feed(spark, raw(spark, [(1, "A", "1", "2")]).drop("row_no"), store, T[2], "f.csv")
+    with pytest.raises(ValueError, match="Batch unknown is empty"):
+        merge_batch(spark, store, "unknown", T[2])
     with pytest.raises(ValueError, match="no valid rows"):
         load_feed(spark, raw(spark, [(1, None, "1", "2")]), store, T[2], "f.csv")
 

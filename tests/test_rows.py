@@ -45,6 +45,11 @@ def test_headers(spark):
         columns.normalise_headers(spark.createDataFrame([(1, 2)], ["Discount", "Discount %"]))
 
 
+def test_cleaned_headers_are_known(spark):
+    df = spark.createDataFrame([("5%", "A", 1)], ["Discount", " SKU", "row_no"])
+    assert columns.to_feed_columns(df).columns == ["discount", "sku", "row_no"]
+
+
 def test_required_columns(spark):
     with pytest.raises(ValueError, match=r"\['sku'\]"):
         columns.project_required(spark.createDataFrame([(1,)], ["x"]), ["x", "sku"])
