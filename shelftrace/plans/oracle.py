@@ -246,6 +246,9 @@ SELECT row_no AS stage_id, 'orders.parquet' AS source_file, sku, product_name, i
   product_url, current_price, old_price, discount, rating, reviews_count,
   CAST(batch_no AS varchar) AS load_batch_id
 FROM cleaned""",
+    "batch_counts": f"""WITH {_CLEANED}
+SELECT CAST(batch_no AS varchar) AS load_batch_id, count(*) AS rows_staged,
+  max(row_no) AS last_stage_id FROM cleaned GROUP BY batch_no""",
     "typed_feed": f"WITH {_CLEANED},\n{_typed('cleaned')}\nSELECT batch_no, stage_id, "
     f"{_VERSION_ATTRIBUTES} FROM typed",
     "row_fingerprint": f"WITH {_CLEANED},\n{_typed('cleaned')}\n"

@@ -42,6 +42,7 @@ VERSION_COLUMNS = [
 
 
 def query(function):
+    """Register a query under its name."""
     QUERIES[function.__name__] = function
     return function
 
@@ -182,6 +183,14 @@ def stage_batch(spark, sf_dir):
     return staging.read_staging(spark, path)
 
 
+@query
+def batch_counts(spark, sf_dir):
+    """Rows staged per batch, counted on the staging table."""
+    return stage_batch(spark, sf_dir).groupBy("load_batch_id").agg(
+        F.count(F.lit(1)).alias("rows_staged"), F.max("stage_id").alias("last_stage_id")
+    )
+
+
 @query
 def typed_feed(spark, sf_dir):
     return _plain(typed.typed(typed.usable(_staged(spark, sf_dir)), "batch_no"))

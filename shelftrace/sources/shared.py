@@ -2,6 +2,12 @@
 
 import tempfile
 import uuid
+from functools import lru_cache
+
+
+@lru_cache(maxsize=1)
+def _own_folder():
+    return tempfile.mkdtemp(prefix="shelftrace-")
 
 
 def shared_folder(spark):
@@ -11,9 +17,7 @@ def shared_folder(spark):
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="shelftrace-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder()
 
 
 def fresh_path(spark, label):

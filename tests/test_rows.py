@@ -8,7 +8,7 @@ from conftest import plan
 from shelftrace import schema
 from shelftrace.operators import clean, columns, profile, rank, totals, typed, validate
 from shelftrace.plans import feeds, load
-from shelftrace.sources import feed, remote, staging
+from shelftrace.sources import feed, remote, shared, staging
 from shelftrace.sources.numbering import arrival_order, read_numbered, write_sorted
 
 REASONS = {
@@ -229,3 +229,25 @@ def test_collated_key(spark):
     df = spark.createDataFrame([("a", 1), ("A  ", 2), ("b", 3)], "sku string, n long")
     assert sorted(r.n for r in rank.latest_per_key(columns.collate_key(df), "sku", "n").collect()) == [2, 3]
     assert rank.latest_per_key(df, "sku", "n").count() == 3
+
+
+def test_cleaned_output(spark, tmp_path):
+    df = spark.createDataFrame([(" a ", " 5 ")], "sku string, discount string")
+    feed.write_cleaned(clean.clean(df), str(tmp_path / "cleaned"))
+    assert tuple(spark.read.parquet(str(tmp_path / "cleaned")).first()) == ("a", "5%")
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        feed.write_cleaned(df, str(tmp_path / "cleaned"))
+
+
+def test_shared_folder(spark, monkeypatch):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared.fresh_path(spark, "x") != shared.fresh_path(spark, "x")
+    assert shared.shared_folder(spark) == folder
+
+    class Session:
+        conf = {"spark.master": "yarn"}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared.shared_folder(Session)
+    Session.conf = {"spark.master": "local[2]"}
+    assert shared.shared_folder(Session) == shared.shared_folder(Session) != folder
