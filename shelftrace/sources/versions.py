@@ -74,7 +74,9 @@ class VersionStore:
         if not exists(self.spark, path):
             return [Commit()]
         log = self.spark.read.schema(LOG_SCHEMA).parquet(path)
-        found = [Commit(**row.asDict()) for row in log.orderBy("version").collect()]
+        found = sorted(
+            (Commit(**row.asDict()) for row in log.collect()), key=lambda c: c.version
+        )
         numbers = [c.version for c in found]
         if len(set(numbers)) < len(numbers):
             raise RuntimeError(f"Two writers committed the same version in {self.root}")
@@ -99,7 +101,8 @@ class VersionStore:
         if paths:
             rows = self.spark.read.schema(STORED).parquet(*paths)
         else:
-            rows = self.spark.createDataFrame([], STORED)
+            # Provably empty for the optimizer, so a first merge joins nothing.
+            rows = self.spark.createDataFrame([], STORED).where(F.lit(False))
         return rows.withColumn("iscurrent", F.lit(is_current)).select(
             *schema.DIMENSION_SCHEMA.names
         )

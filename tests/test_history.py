@@ -268,3 +268,10 @@ def test_collated_merge(spark):
     batch = spark.createDataFrame([("a", "x"), ("b", "x")], "sku string, row_hash string")
     rows = history.merge(collate_key(table), collate_key(batch), T[5]).collect()
     assert sorted(r.sku for r in rows) == ["A ", "b"]
+
+
+def test_first_merge_joins_nothing(spark, tmp_path):
+    current = VersionStore(spark, str(tmp_path / "dim")).current()
+    batch = source(spark, [(1, "A", "x")])
+    assert "Join" not in plan(history.openable(current, batch))
+    assert "Join" not in plan(history.close_changed(current, batch, F.lit(T[0])))
