@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelftrace.llm import lm_scoring
+from shelftrace.llm import bpe, lm_scoring
 from shelftrace.llm.common import remainder, table
 
 QUERIES = {}
@@ -26,3 +26,15 @@ def op1_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     scored = lm_scoring.score_documents(docs, PIECE_FILE, remainder("doc_id", 7) != 2)
     return scored.withColumn("held_out", held_out(7, 2))
+
+
+@query
+def op2_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    decoded = bpe.decode_documents(bpe.encode_documents(docs, WORD_BPE_FILE), WORD_BPE_FILE)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
