@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelftrace.llm import bpe, lm_scoring
+from shelftrace.llm import bpe, lm_scoring, url_filter
 from shelftrace.llm.common import remainder, table
 
 QUERIES = {}
@@ -38,3 +38,27 @@ def op2_bpe(spark, sf_dir):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+# Hosts with one of these in their name make the list of blocked URLs.
+LISTED_HOSTS = ["ads-track", "casino-win", "spam-farm"]
+
+
+def listed_urls(pages):
+    """Canonical URLs of the pages on listed hosts."""
+    host, path = url_filter.url_host(F.col("url")), url_filter.url_path(F.col("url"))
+    return pages.where(host.rlike("|".join(LISTED_HOSTS))).select(
+        url_filter.canonical_url(host, path).alias("canonical")
+    )
+
+
+@query
+def op3_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge_urls(pages, listed_urls(pages), URL_RULES)
