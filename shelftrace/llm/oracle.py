@@ -35,3 +35,49 @@ select page_id, host, path, rule, case
     else 'allow' end as verdict
 from ruled
 """
+
+SQL["op8_mixing"] = r"""
+with recursive sized as (
+  select doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+    ('0x' || substr(md5('8:' || coalesce(doc_id::varchar, '')), 1, 12))::bigint as hash
+  from documents),
+sums as (select source, sum(size)::bigint as source_size from sized group by source),
+ranked as (
+  select source, source_size, 3 * source_size as most,
+    [5, 2, 1][((row_number() over (order by source collate "C" asc nulls last) - 1) % 3 + 1)::int]
+      as weight
+  from sums),
+-- Sources fill in the order of most / weight: full ones are a prefix of that order.
+ordered as (
+  select *, row_number() over (order by most::double / weight, source) as place,
+    coalesce(sum(most) over (order by most::double / weight, source
+      rows between unbounded preceding and 1 preceding), 0)::bigint as used,
+    (sum(weight) over (order by most::double / weight desc, source desc))::bigint as open_weight,
+    (sum(source_size) over ())::bigint as total
+  from ranked),
+level as (
+  select min(place) as place from ordered
+  where weight * (total - used) < most * open_weight),
+targets as (
+  select o.source, o.source_size,
+    case when l.place is null or o.place < l.place then o.most::double
+      else o.weight::double * (e.total - e.used)::double / e.open_weight::double end as target
+  from ordered o, level l left join ordered e on e.place = l.place),
+rooms as (
+  select *, case when source_size > 0 then floor(target / source_size) else 0 end as repeats
+  from targets),
+along as (
+  select s.*, r.source_size, r.target, r.repeats::bigint as repeats,
+    r.target - r.repeats * r.source_size as room,
+    (sum(size) over (partition by s.source order by hash))::bigint as upto,
+    (sum(size) over (partition by s.source, hash))::bigint as words
+  from sized s join rooms r on s.source is not distinct from r.source),
+fit as (
+  select *, upto <= room
+    or (room - (upto - words) > 0 and upto - room < room - (upto - words)) as fits
+  from along)
+select doc_id, size, source_size, target,
+  size * least(repeats + (case when fits then 1 else 0 end), 3) as taken
+from fit
+"""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelftrace.llm import bpe, lm_scoring, url_filter
+from shelftrace.llm import bpe, lm_scoring, mixing, url_filter
 from shelftrace.llm.common import remainder, table
 
 QUERIES = {}
@@ -62,3 +62,8 @@ def listed_urls(pages):
 def op3_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return url_filter.judge_urls(pages, listed_urls(pages), URL_RULES)
+
+
+@query
+def op8_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
