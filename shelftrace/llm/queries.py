@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelftrace.llm import bpe, lm_scoring, mixing, url_filter
+from shelftrace.llm import bpe, lm_scoring, mixing, spotsigs, url_filter
 from shelftrace.llm.common import remainder, table
 
 QUERIES = {}
@@ -67,3 +67,8 @@ def op3_url_filter(spark, sf_dir):
 @query
 def op8_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_spotsigs(spark, sf_dir):
+    return spotsigs.fingerprint_documents(table(spark, sf_dir, "documents"))
