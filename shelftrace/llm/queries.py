@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelftrace.llm import bpe, lm_scoring, mixing, spotsigs, url_filter
+from shelftrace.llm import bpe, langid, lm_scoring, mixing, spotsigs, url_filter
 from shelftrace.llm.common import remainder, table
 
 QUERIES = {}
@@ -72,3 +72,10 @@ def op8_mixing(spark, sf_dir):
 @query
 def op4_spotsigs(spark, sf_dir):
     return spotsigs.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, remainder("doc_id", 4) != 2)
+    return found.withColumn("held_out", held_out(4, 2))
