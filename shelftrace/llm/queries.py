@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from shelftrace.llm import bpe, langid, lm_scoring, mixing, spotsigs, url_filter
+from shelftrace.llm import bpe, langid, lm_scoring, mixing, spotsigs, toxicity, url_filter
 from shelftrace.llm.common import remainder, table
 
 QUERIES = {}
@@ -79,3 +79,16 @@ def op5_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs, remainder("doc_id", 4) != 2)
     return found.withColumn("held_out", held_out(4, 2))
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score_documents(docs, labels, remainder("doc_id", 5) != 0)
+    return scored.select(
+        "doc_id",
+        held_out(5, 0),
+        "score",
+        "predicted",
+        F.size("passages").alias("n_passages"),
+    )
