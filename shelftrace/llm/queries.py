@@ -2,7 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from shelftrace.llm import bpe, langid, lm_scoring, mixing, spotsigs, toxicity, url_filter
+from shelftrace.llm import (
+    bpe,
+    html_extract,
+    langid,
+    lm_scoring,
+    mixing,
+    spotsigs,
+    toxicity,
+    url_filter,
+)
 from shelftrace.llm.common import remainder, table
 
 QUERIES = {}
@@ -92,3 +101,8 @@ def op10_toxicity(spark, sf_dir):
         "predicted",
         F.size("passages").alias("n_passages"),
     )
+
+
+@query
+def op9_html_extraction(spark, sf_dir):
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
