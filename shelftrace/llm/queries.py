@@ -9,6 +9,7 @@ from shelftrace.llm import (
     lm_scoring,
     mixing,
     spotsigs,
+    topk,
     toxicity,
     url_filter,
 )
@@ -106,3 +107,8 @@ def op10_toxicity(spark, sf_dir):
 @query
 def op9_html_extraction(spark, sf_dir):
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
