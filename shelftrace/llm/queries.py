@@ -8,6 +8,7 @@ from shelftrace.llm import (
     langid,
     lm_scoring,
     mixing,
+    near_dedup,
     spotsigs,
     topk,
     toxicity,
@@ -112,3 +113,8 @@ def op9_html_extraction(spark, sf_dir):
 @query
 def op6_topk(spark, sf_dir):
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op7_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
