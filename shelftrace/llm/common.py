@@ -36,3 +36,22 @@ def batch_of(schema, columns):
 
 
 LETTER = re.compile(r"[^\W\d_]")
+
+
+def highest(rows, level, most):
+    """The rows with the highest values of `level`, a whole number of few distinct
+    values: `most` at most, and all rows of a level or none. Counts per level decide, so
+    no task passes on rows that do not belong to the result."""
+    counts = rows.groupBy(level.cast("long").alias("level")).agg(F.count(F.lit(1))).collect()
+    held, least = 0, None
+    for value, count in sorted(((v, c) for v, c in counts if v is not None), reverse=True):
+        held += count
+        if held > most:
+            break
+        least = value
+    return rows.where(F.lit(False) if least is None else level.cast("long") >= least)
+
+
+def frequency_level(column):
+    """Sixteen levels for each doubling of a count."""
+    return F.floor(F.log2(F.col(column)) * 16)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelftrace.llm.common import batch_of
+from shelftrace.llm.common import batch_of, highest
 from shelftrace.sources.shared import stored
 
 # Labelled documents that are learnt from are at most about so many, chosen by hash.
@@ -158,13 +158,8 @@ def word_scores(counts):
         outside / (F.lit(clean + whole_prior) - outside)
     )
     rated = counts.withColumns({"odds": odds, "z": odds / F.sqrt(1 / inside + 1 / outside)})
-    chosen = (
-        rated.where(F.col("z") >= LEAST_Z)
-        .orderBy(F.desc("z"), "word")
-        .limit(MOST_WORDS)
-        .select("word", "odds", "toxic", "clean")
-        .collect()
-    )
+    chosen = highest(rated.where(F.col("z") >= LEAST_Z), F.floor(F.col("z") * 4), MOST_WORDS)
+    chosen = chosen.select("word", "odds", "toxic", "clean").collect()
     # The rest: all other words as one, with the same kind of log-odds.
     held = [sum(r[2] for r in chosen), sum(r[3] for r in chosen)]
     odd = [(toxic - held[0] + 0.5) / (toxic + 1), (clean - held[1] + 0.5) / (clean + 1)]
