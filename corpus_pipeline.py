@@ -1,9 +1,71 @@
-"""A training corpus from `documents`: stages that each call one operator."""
+"""A training corpus from `documents`, in stages that each call one operator.
 
-STAGES = []
+Toxic documents go, then those of no known language, then all but one of each group of
+near-duplicates; what is left is mixed to the sources' target weights and encoded.
+"""
+
+from pyspark.sql import functions as F
+
+from shelftrace.llm import bpe, langid, mixing, near_dedup, toxicity
+from shelftrace.llm.common import remainder, table
+from shelftrace.llm.queries import WORD_BPE_FILE
+from shelftrace.sources.shared import stored
+
+
+def clean_language(spark, docs, sf_dir):
+    """Documents without toxic passages: those that the label is not likely for."""
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, remainder("doc_id", 5) != 0)
+    scored = toxicity.detect(docs, model, score="__score", passages="__passages")
+    return scored.where(F.col("__score") < 0.5).select(*docs.columns)
+
+
+def known_language(spark, docs, sf_dir):
+    """Documents near enough to a language that is learnt from the documents."""
+    model = langid.train(docs, remainder("doc_id", 4) != 2)
+    found = langid.classify(
+        docs, model, lang_pred="__lang", score="__score", rejected="__rejected"
+    )
+    return found.where(~F.col("__rejected")).select(*docs.columns)
+
+
+def one_of_each(spark, docs, sf_dir):
+    """One document of each class of near-duplicates, the one with the least id."""
+    return near_dedup.deduplicate(docs)
+
+
+def mixed(spark, docs, sf_dir):
+    """The mix: every document as often as it is taken, 0 to 3 times."""
+    return mixing.mixed_documents(docs)
+
+
+def encoded(spark, docs, sf_dir):
+    """(doc_id, n_tokens, ids, decoded_sha256) of every document of the mix."""
+    found = bpe.decode_documents(bpe.encode_documents(docs, WORD_BPE_FILE), WORD_BPE_FILE)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("toxicity", clean_language),
+    ("language", known_language),
+    ("near_dedup", one_of_each),
+    ("mixing", mixed),
+    ("bpe", encoded),
+]
+
+# Samples of weighted sets, centroids and byte pairs are beyond SQL; tests/llm compares
+# the rows with brute-force versions of the stages.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
     """Rows of the last stage; each stage is written and read again by the next."""
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -128,6 +128,22 @@ def thresholds(sized, targets):
     return stored(state.drop("room"), "mix-thresholds")
 
 
+def sized_documents(docs, seed, id, text, source):
+    """(id, source, size, hash), written once and read for every histogram."""
+    rows = docs.select(
+        F.col(id).alias("id"),
+        F.col(source).alias("source"),
+        word_count(text).alias("size"),
+        hash_value(id, seed).alias("hash"),
+    )
+    return stored(rows, "sized")
+
+
+def times_taken(most):
+    extra = (F.col("hash") < F.col("below")).cast("long")
+    return F.least(F.col("repeats") + extra, F.lit(most))
+
+
 def mix(docs, weights=WEIGHTS, most=MOST_REPEATS, seed=8, id="doc_id", text="text", source="source"):
     """(id, size, source_size, target, taken) of every document.
 
@@ -136,21 +152,25 @@ def mix(docs, weights=WEIGHTS, most=MOST_REPEATS, seed=8, id="doc_id", text="tex
     id share one place and are taken alike; null ids likewise. Other columns are
     ignored. Every run on the same rows gives the same result, whatever their order.
     """
-    sized = stored(
-        docs.select(
-            F.col(id).alias("id"),
-            F.col(source).alias("source"),
-            word_count(text).alias("size"),
-            hash_value(id, seed).alias("hash"),
-        ),
-        "sized",
-    )
+    sized = sized_documents(docs, seed, id, text, source)
     limits = thresholds(sized, source_targets(sized, weights, most))
-    extra = (F.col("hash") < F.col("below")).cast("long")
     return sized.join(limits, F.col("source").eqNullSafe(F.col("of"))).select(
         F.col("id").alias(id),
         "size",
         "source_size",
         "target",
-        (F.col("size") * F.least(F.col("repeats") + extra, F.lit(most))).alias("taken"),
+        (F.col("size") * times_taken(most)).alias("taken"),
     )
+
+
+def mixed_documents(docs, weights=WEIGHTS, most=MOST_REPEATS, seed=8, id="doc_id", text="text", source="source"):
+    """The rows of the mix with all their columns, each as often as it is taken."""
+    sized = sized_documents(docs, seed, id, text, source)
+    limits = thresholds(sized, source_targets(sized, weights, most))
+    limits = limits.select("of", "repeats", "below")
+    limits = limits.toDF(*(f"__{c}" for c in limits.columns))
+    extra = (hash_value(id, seed) < F.col("__below")).cast("long")
+    times = F.least(F.col("__repeats") + extra, F.lit(most)).cast("int")
+    rows = docs.join(limits, F.col(source).eqNullSafe(F.col("__of")))
+    repeated = rows.withColumn("__time", F.explode(F.array_repeat(F.lit(1), times)))
+    return repeated.select(*docs.columns)

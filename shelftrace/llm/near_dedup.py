@@ -229,14 +229,9 @@ def with_node(docs, id, text):
     )
 
 
-def near_duplicates(docs, threshold=THRESHOLD, id="doc_id", text="text"):
-    """(id, class_id) of every document: the least id of its class.
-
-    Equal texts are in one class; texts without words are in a class only with their
-    equals. Null texts count as empty. A class whose ids are all null has a null
-    class_id. Repeated rows come out as often as they occur; other columns are ignored.
-    """
-    docs = with_node(docs, id, text)
+def text_classes(docs, threshold=THRESHOLD):
+    """(node, class) for every distinct text of `docs` (columns node and text); a class
+    is named by one of its nodes."""
     idf = bucket_weights(docs)
     signed = band_keys(docs, idf).where(F.size("bands") > 0)
     bands = stored(signed.groupBy("node").agg(F.first("bands").alias("bands")), "bands")
@@ -254,19 +249,46 @@ def near_duplicates(docs, threshold=THRESHOLD, id="doc_id", text="text"):
         .select(F.col("a_class").alias("a"), F.col("b_class").alias("b"))
     )
     merged = components(between).select(
-        F.col("node").alias("component"), F.col("component").alias("merged")
-    )
-    single = between.select(F.col("a").alias("node")).union(between.select("b")).distinct()
-    classes = classes.unionByName(
-        single.join(classes, "node", "left_anti").withColumn("component", F.col("node"))
-    )
-    classes = classes.join(merged, "component", "left").select(
-        "node", F.coalesce("merged", "component").alias("class")
+        F.col("node").alias("first_class"), F.col("component").alias("merged")
     )
+    every = docs.select("node").distinct().join(classes, "node", "left")
+    every = every.withColumn("first_class", F.coalesce("component", "node"))
+    every = every.join(merged, "first_class", "left")
+    return every.select("node", F.coalesce("merged", "first_class").alias("class"))
+
+
+def near_duplicates(docs, threshold=THRESHOLD, id="doc_id", text="text"):
+    """(id, class_id) of every document: the least id of its class.
+
+    Equal texts are in one class; texts without words are in a class only with their
+    equals. Null texts count as empty. A class whose ids are all null has a null
+    class_id. Repeated rows come out as often as they occur; other columns are ignored.
+    """
+    docs = with_node(docs, id, text)
+    # Copies of one text are summed up before classes are.
     least = docs.groupBy("node").agg(F.min("id").alias("least"))
-    least = stored(
-        least.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node")), "least"
-    )
+    least = stored(least.join(text_classes(docs, threshold), "node"), "classes")
     ids = least.groupBy("class").agg(F.min("least").alias("class_id"))
     named = least.join(ids, "class").select("node", "class_id")
     return docs.join(named, "node").select(F.col("id").alias(id), "class_id")
+
+
+def deduplicate(docs, threshold=THRESHOLD, id="doc_id", text="text"):
+    """One row of each class of near-duplicates, with all its columns: the one with the
+    least id, rows without an id only where no other is."""
+    keyed = with_node(docs, id, text)
+    first = F.min(F.struct(F.col("id").isNull().alias("without"), "id"))
+    least = stored(
+        keyed.groupBy("node").agg(first.alias("first")).join(text_classes(keyed, threshold), "node"),
+        "classes",
+    )
+    kept = least.groupBy("class").agg(F.min(F.struct("first", "node")).alias("kept"))
+
+    def row_key(of_node, of_id):
+        known = F.coalesce(of_id.cast("string"), F.lit("null"))
+        return F.md5(F.concat_ws(":", F.hex(of_node), known))
+
+    kept = kept.select(row_key(F.col("kept.node"), F.col("kept.first.id")).alias("__kept"))
+    node = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+    rows = docs.withColumn("__kept", row_key(node, F.col(id)))
+    return rows.join(kept, "__kept", "left_semi").dropDuplicates(["__kept"]).drop("__kept")

@@ -68,7 +68,7 @@ def maximal_segments(scores):
     return [(first, last, end - low) for first, last, low, end, _ in stack]
 
 
-def passages(words, table, rest):
+def segments_of(words, table, rest):
     """Maximal segments of a text as (first word, last word, score). Only words in the
     table can start or end one; a gap between two of them is one step."""
     steps, places, last = [], [], None
@@ -88,7 +88,7 @@ def significant(words, model):
     """(passages with their expected number, evidence) of a text."""
     found, evidence = [], 0.0
     size = max(len(words), 1)
-    for first, last, score in passages(words, model["words"], model["rest"]):
+    for first, last, score in segments_of(words, model["words"], model["rest"]):
         chance = math.log(model["k"] * size) - model["lambda"] * score
         if chance < math.log(LEAST_EVALUE):
             found.append((first, last, score, math.exp(max(chance, -700.0))))
@@ -196,7 +196,7 @@ def _evidence(sample, model):
             rows = []
             for text in batch.column("text"):
                 words = tokens(text.as_py())
-                segments = passages(words, own["words"], own["rest"])
+                segments = segments_of(words, own["words"], own["rest"])
                 largest = max((s[2] for s in segments), default=0.0)
                 rows.append((significant(words, own)[1], len(words), largest))
             columns = [list(c) for c in zip(*rows)] or [[], [], []]
@@ -263,8 +263,8 @@ PASSAGE = pa.struct(
 )
 
 
-def detect(docs, model, text="text"):
-    """The rows with `score` (0 to 1) and `passages`: first and last word (from 0), score
+def detect(docs, model, text="text", score="score", passages="passages"):
+    """The rows with a score (0 to 1) and passages: first and last word (from 0), score
     and expected number by chance of every significant segment."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
@@ -281,13 +281,13 @@ def detect(docs, model, text="text"):
                 found.append([dict(zip(names, s)) for s in segments])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores, pa.float64()), pa.array(found, pa.list_(PASSAGE))],
-                names=[*batch.schema.names, "score", "passages"],
+                names=[*batch.schema.names, score, passages],
             )
 
     return docs.mapInArrow(
         scan,
-        f"{kinds}, score double, "
-        "passages array<struct<first int, last int, score double, expected double>>",
+        f"{kinds}, {score} double, "
+        f"{passages} array<struct<first int, last int, score double, expected double>>",
     )
 
 
