@@ -12,6 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelftrace.sources.shared import stored
+
 # Common words of English, German, French and Spanish.
 ANCHORS = sorted(
     set(
@@ -170,3 +172,49 @@ def fingerprint_documents(docs, id="doc_id", text="text"):
         jaccard(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
         jaccard(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
     )
+
+
+def near_duplicates(docs, threshold=0.8, id="doc_id", text="text"):
+    """(pairs, members): pairs (a, b, likeness) between documents of different sets whose
+    similarity reaches the threshold, and (id, set_id) of every document.
+
+    Documents with equal signature sets are one class, named by its least id. A set is
+    looked up by its rarest signatures, as many as a set so similar cannot all lack, and
+    only in its own partition of lengths and the next. Classes whose ids are all null
+    are in no pair.
+    """
+    rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    signed = with_signatures(rows, "text", "signatures").drop("text")
+    signed = signed.withColumn("set", F.md5(fingerprint(F.col("signatures"))))
+    sets = stored(
+        signed.groupBy("set").agg(F.min("id").alias("set_id"), F.first("signatures").alias("signatures")),
+        "signature-sets",
+    )
+    members = signed.select("id", "set").join(sets.select("set", "set_id"), "set")
+    members = members.select(F.col("id").alias(id), "set_id")
+    named = sets.where(F.col("set_id").isNotNull() & (F.size("signatures") > 0))
+    single = named.select("set_id", F.size("signatures").alias("length"), F.explode("signatures").alias("signature"))
+    rarity = single.groupBy("signature").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    ordered = single.join(rarity, "signature", "left").groupBy("set_id", "length").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("sets", F.lit(1)).alias("sets"), "signature"))).alias("all")
+    )
+    needed = F.col("length") - F.ceil(F.col("length") * F.lit(threshold)) + 1
+    prefix = ordered.select(
+        "set_id",
+        length_partition(F.col("all"), threshold).alias("part"),
+        F.explode(F.slice("all", F.lit(1), needed.cast("int"))).alias("first"),
+    ).select("set_id", "part", "first.signature")
+    near = prefix.select(F.col("set_id").alias("a"), "part", "signature").join(
+        prefix.select(
+            F.col("set_id").alias("b"), F.explode(F.array(F.col("part"), F.col("part") - 1, F.col("part") + 1)).alias("part"), "signature"
+        ),
+        ["signature", "part"],
+    )
+    candidates = near.where("a < b").select("a", "b").distinct()
+
+    def of(name):
+        return named.select(F.col("set_id").alias(name), F.col("signatures").alias(f"{name}_set"))
+
+    likeness = jaccard(F.col("a_set"), F.col("b_set"), threshold)
+    pairs = candidates.join(of("a"), "a").join(of("b"), "b").select("a", "b", likeness.alias("likeness"))
+    return pairs.where(F.col("likeness") >= threshold), members

@@ -1,0 +1,43 @@
+"""Small tables with the cases that every operator must stand."""
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, "
+    "id long, row long, word string, score double, node string, key string, size int"
+)
+CLASHING = (7, 8, "w", 0.5, "n", "k", 3)
+
+WORDS = "the house of a river and old stones in that valley is far from every road".split()
+
+
+def rows():
+    """Null ids and texts, empty and wordless ones, repeated rows, ties, a long text."""
+    plain = " ".join(WORDS * 3)
+    texts = [
+        (1, plain, "en", "s"),
+        (2, plain, "en", "s"),
+        (2, plain, "en", "s"),
+        (3, plain + " again and again", None, "s"),
+        (4, None, "en", "s"),
+        (None, "words without an id but with the letters", "en", None),
+        (None, None, None, None),
+        (5, "", "en", "b"),
+        (6, " \n\t ", "en", "b"),
+        (7, "*** !!! 123", "de", "b"),
+        (8, "Ünïcode ťext ﬁ 中文 mit Wörtern und Zeichen 😀", "de", "a"),
+        (9, " ".join(f"w{i % 977}" for i in range(20_000)), "de", "a"),
+        (10, "x" * 50_000, "en", "a"),
+        (11, "One\u00a0word\u2003and another <|endoftext|> <|ENDOFTEXT|>", "en", "a"),
+    ]
+    return [(i, t, lang, source, 0, *CLASHING) for i, t, lang, source in texts]
+
+
+def documents(spark):
+    return spark.createDataFrame(rows(), SCHEMA)
+
+
+def no_documents(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def found(df):
+    return [tuple(r) for r in df.collect()]

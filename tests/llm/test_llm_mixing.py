@@ -1,0 +1,76 @@
+import duckdb
+import pytest
+from llm_tables import documents, found, no_documents
+from pyspark.sql import functions as F
+
+from shelftrace.llm import mixing
+from shelftrace.llm.oracle import SQL
+
+
+def targets(sizes):
+    """Shares of named sizes by weight, capped at three times the size."""
+    weights = {s: (5, 2, 1)[n % 3] for n, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+    full = set()
+    while True:
+        spare = sum(sizes.values()) - sum(3 * sizes[s] for s in full)
+        shares = sum(w for s, w in weights.items() if s not in full)
+        over = {s for s in sizes if s not in full and weights[s] * spare >= 3 * sizes[s] * shares}
+        if not over:
+            return {s: float(3 * sizes[s]) if s in full else weights[s] * spare / shares for s in sizes}
+        full |= over
+
+
+def source_rows(spark):
+    rows = []
+    for source, texts in (("a", 3), ("b", 400), ("B", 50), ("é", 7), (None, 90), ("z", 0)):
+        for i in range(texts):
+            rows.append((len(rows), "w " * (1 + (i * 7919) % 83), source, 1, 2.0))
+    rows.append((len(rows), None, "z", 1, 2.0))
+    rows += [rows[5], (None, "null id", "b", 1, 2.0), (None, "another null", "b", 1, 2.0)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, hash long, target double")
+
+
+def test_targets_are_met(spark):
+    docs = source_rows(spark)
+    got = mixing.mix(docs).join(docs.select("doc_id", "source").distinct(), "doc_id")
+    sums = {
+        r[0]: r[1:] for r in got.groupBy("source").agg(
+            F.sum("size"), F.first("target"), F.sum("taken"), F.max("size")
+        ).collect()
+    }
+    sizes = dict(found(docs.groupBy("source").agg(F.sum(mixing.word_count()))))
+    want = targets(sizes)
+    for source, (_, target, taken, largest) in sums.items():
+        assert target == pytest.approx(want[source])
+        assert abs(taken - target) <= largest + 2
+    assert mixing.mix(docs).where("taken > 3 * size or taken < 0").count() == 0
+
+
+def test_equals_sql(spark):
+    docs = source_rows(spark)
+    connection = duckdb.connect()
+    connection.register("documents", docs.toArrow())
+    connection.execute("CREATE TABLE rows AS SELECT * FROM documents")
+    result = connection.execute(SQL["op8_mixing"])
+    names = [d[0] for d in result.description]
+    ours = mixing.mix(docs.repartition(5)).select(*names)
+    rows = sorted(result.fetchall(), key=str)
+    assert sorted(found(ours), key=str) == rows
+
+
+def test_odd_documents(spark):
+    docs = documents(spark)
+    got = found(mixing.mix(docs))
+    assert len(got) == docs.count()
+    assert all(r[4] == 0 for r in got if r[0] in (4, 5, 6))
+    assert found(mixing.mix(no_documents(spark))) == []
+
+
+def test_rows_of_the_mix(spark):
+    docs = source_rows(spark)
+    docs = docs.where("text is not null")
+    taken = {r[0]: r[4] // r[1] for r in found(mixing.mix(docs)) if r[0] is not None and r[1]}
+    rows = mixing.mixed_documents(docs)
+    assert rows.columns == docs.columns
+    counts = dict(found(rows.where("doc_id is not null and doc_id <> 5").groupBy("doc_id").count()))
+    assert counts == {i: n for i, n in taken.items() if n and i != 5}
