@@ -69,13 +69,14 @@ def failed_pages(cards):
 
 
 def card_records(cards, base_url="url"):
-    """The nine feed fields of each card; links are resolved against the page."""
+    """The nine feed fields of each card; links and image addresses are resolved against
+    the page, as a browser gives them. An address that waits in `data-src` stays as it is."""
     stars = F.coalesce(collapse_whitespace("stars_text"), F.lit(""))
     reviews = F.coalesce(collapse_whitespace("reviews_text"), F.lit(""))
     made = {
         "sku": first_present("data_sku", "link_id"),
         "product_name": collapse_whitespace("name_text"),
-        "image_url": F.coalesce(empty_to_null("image_src"), "image_data_src"),
+        "image_url": F.coalesce(empty_to_null("image_address"), "image_data_src"),
         "current_price": first_number("price_text"),
         "old_price": first_number("old_price_text"),
         "discount": first_number("discount_text"),
@@ -83,7 +84,9 @@ def card_records(cards, base_url="url"):
         "reviews_count": reviews_in_parentheses(reviews),
     }
     linked = with_resolved_url(cards, base_url, "link_href", "product_url")
-    return linked.withColumns(made).drop(*RAW_FIELDS)
+    source = empty_to_null("image_src")
+    shown = with_resolved_url(linked, base_url, source, "image_address")
+    return shown.withColumns(made).drop(*RAW_FIELDS, "image_address")
 
 
 def _keyed(records):
@@ -95,6 +98,7 @@ def page_records(records, page="page_id"):
     return first_per_key(_keyed(records), [page, "identity"], "position")
 
 
-def catalogue(records, page="page_no"):
-    """Unique records over all pages, the first page of a product wins."""
-    return first_per_key(_keyed(records), "identity", [page, "position"])
+def catalogue(records, page="page_no", id="page_id"):
+    """Unique records over all pages, the first page of a product wins; of pages with
+    one number, the one with the least id."""
+    return first_per_key(_keyed(records), "identity", [page, id, "position"])

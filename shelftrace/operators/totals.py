@@ -46,9 +46,9 @@ def unique_by_page(df, page, key, block=BLOCK):
     and by product, so neither a frequent product nor a long page fills one task. The
     result per page is small beside the rows; it is stored, as the total reads it twice.
     """
-    seen = df.where(F.col(key).isNotNull())
-    on_page = seen.select(page, key).distinct().withColumn("_new", F.lit(0))
-    first_seen = seen.groupBy(key).agg(F.min(page).alias(page)).withColumn("_new", F.lit(1))
+    pairs = df.where(F.col(key).isNotNull()).select(page, key).distinct()
+    on_page = pairs.withColumn("_new", F.lit(0))
+    first_seen = pairs.groupBy(key).agg(F.min(page).alias(page)).withColumn("_new", F.lit(1))
     counts = on_page.unionByName(first_seen).groupBy(page).agg(
         F.count_if(F.col("_new") == 0).alias("unique_on_page"),
         F.count_if(F.col("_new") == 1).alias("new_products"),

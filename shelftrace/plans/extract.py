@@ -1,5 +1,7 @@
 """From stored listing pages to the raw feed."""
 
+from pyspark.sql import functions as F
+
 from shelftrace.functions.urls import page_number
 from shelftrace.operators import cards, totals
 
@@ -12,6 +14,21 @@ def extract_records(pages, last_page=None):
     return cards.card_records(cards.parsed_cards(cards.raw_cards(numbered)))
 
 
+def failed_pages(pages):
+    """(page_id, url, parse_error) of the pages that gave no cards because they failed."""
+    failed = cards.failed_pages(cards.raw_cards(pages.select("page_id", "url", "html")))
+    return failed.select("page_id", "url", "parse_error")
+
+
+def extract_counts(pages):
+    """Per page that can hold a card: its cards, or that it failed."""
+    found = cards.raw_cards(pages.select("page_id", "html"))
+    failed = F.col("parse_error").isNotNull()
+    return found.groupBy("page_id").agg(
+        F.count_if(~failed).alias("cards"), F.count_if(failed).alias("failures")
+    )
+
+
 def extract_catalogue(pages, last_page=None):
     """Unique products over all pages, the first page wins."""
     return cards.catalogue(extract_records(pages, last_page))

@@ -11,16 +11,6 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows):
-    """Rows over all cores if the files have fewer splits than that.
-
-    For plain scans ahead of heavy work per row. A table of many splits, as on a
-    cluster, is left alone.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _price_text(step):
     return (
         f"cast(cast((floor(o_totalprice / 250000) + 1) * {step} as decimal(18,2)) as string)"
@@ -58,7 +48,7 @@ def raw_feed(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
     )
-    return spread(orders).selectExpr(*[f"{text} AS {name}" for name, text in RAW_FEED.items()])
+    return orders.selectExpr(*[f"{text} AS {name}" for name, text in RAW_FEED.items()])
 
 
 def batch_time(year):
@@ -149,7 +139,7 @@ def listing_pages(spark, sf_dir):
         link,
         F.lit("</body></html>"),
     )
-    customer = spread(table(spark, sf_dir, "customer").select("c_custkey"))
+    customer = table(spark, sf_dir, "customer").select("c_custkey")
     return customer.select(
         F.col("c_custkey").alias("page_id"), F.expr(PAGE_URL).alias("url"), html.alias("html")
     )

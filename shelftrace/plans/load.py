@@ -35,7 +35,11 @@ def number_by_arrival(spark, df, order, name="row_no"):
     return read_numbered(spark, path, df.schema, name)
 
 
-def stage_feed(spark, feed, store, batch_id, source_file):
+class NoValidRows(ValueError):
+    """Every row of a feed was quarantined."""
+
+
+def stage_feed(spark, feed, store, batch_id, source_file, state=None):
     """Validate, quarantine, clean and stage one feed. Each step is durable."""
     columns.require_columns(feed, ["row_no", *schema.FEED_COLUMNS])
     classified = validate.classify(feed)
@@ -43,30 +47,31 @@ def stage_feed(spark, feed, store, batch_id, source_file):
     routes = feeds.write_split(classified, split)
     valid, invalid = routes.get("valid", 0), routes.get("invalid", 0)
     if not valid:
-        raise ValueError(f"The feed has no valid rows ({invalid} invalid)")
+        raise NoValidRows(f"The feed has no valid rows ({invalid} invalid)")
     accepted = feeds.read_accepted(spark, split, classified.schema)
-    rows = staging.staged_rows(
-        clean.clean(accepted), batch_id, source_file, store.last_commit().last_stage_id
-    )
+    last = (state or store.state()).last
+    rows = staging.staged_rows(clean.clean(accepted), batch_id, source_file, last.last_stage_id)
     staged, last_stage_id = staging.append_batch(rows, store.staging_path())
     return valid, invalid, staged, last_stage_id
 
 
-def merge_batch(spark, store, batch_id, change_time, last_stage_id=None):
+def merge_batch(spark, store, batch_id, change_time, last_stage_id=None, state=None):
     """Merge a staged batch. Staging outlives a failed merge, so this can be rerun."""
     batch = staging.read_batch(spark, store.staging_path(), batch_id)
     columns.reject_empty(batch, f"Batch {batch_id}")
     if last_stage_id is None:
         last_stage_id = batch.agg(F.max("stage_id")).first()[0]
-    return store.apply(latest_typed(batch), batch_id, change_time, last_stage_id)
+    return store.apply(latest_typed(batch), batch_id, change_time, last_stage_id, state)
 
 
 def load_feed(spark, feed, store, change_time, source_file, batch_id=None):
+    """Stage and merge one feed; the log is read once."""
     batch_id = batch_id or new_batch_id()
-    if store.is_applied(batch_id):
+    state = store.state(batch_id)
+    if state.applied:
         return LoadResult(batch_id, 0, 0, 0, 0)
     valid, invalid, staged, last_stage_id = stage_feed(
-        spark, feed, store, batch_id, source_file
+        spark, feed, store, batch_id, source_file, state
     )
-    inserted = merge_batch(spark, store, batch_id, change_time, last_stage_id)
+    inserted = merge_batch(spark, store, batch_id, change_time, last_stage_id, state)
     return LoadResult(batch_id, valid, invalid, staged, inserted)

@@ -1,9 +1,16 @@
 """The same results in plain SQL, computed by another engine from the same tables."""
 
-from shelftrace.functions.text import NULL_TOKENS, WHITESPACE
+from shelftrace.functions.text import WHITESPACE
 from shelftrace.plans.feeds import EVENT_FEED, LEGACY_TABLE, RAW_FEED
 
 
+# Texts for a missing cell, written out apart from the code that is checked.
+_TOKENS = (
+    "'', '<NA>', 'N/A', 'NA', 'n/a', 'NULL', 'null', 'None', 'NaN', 'nan', '-NaN', '-nan',"
+    " '#NA', '#N/A', '#N/A N/A', '1.#IND', '1.#QNAN', '-1.#IND', '-1.#QNAN'"
+)
+
+
 def _select(columns, table):
     listed = ",\n    ".join(f"{text.replace('TS', 'timestamp ')} AS {name}" for name, text in columns.items())
     return f"SELECT\n    {listed}\n  FROM {table}"
@@ -41,13 +48,20 @@ def _price_reason(c):
 
 _RAW = f"feed AS (\n  {_select(RAW_FEED, 'orders')}\n)"
 
+def _present(columns):
+    return ", ".join(f"CASE WHEN {c} NOT IN ({_TOKENS}) THEN {c} END AS {c}" for c in columns)
+
+
+_SHEET = [c for c in RAW_FEED if c not in ("row_no", "batch_no")]
+
 _CLASSIFIED = f"""{_RAW},
+present AS (SELECT row_no, batch_no, {_present(_SHEET)} FROM feed),
 judged AS (
   SELECT *, nullif(concat_ws(' | ',
       CASE WHEN sku IS NULL OR {_trim('sku')} = '' THEN 'sku: Value error, SKU is required' END,
       {_price_reason('current_price')},
       {_price_reason('old_price')}), '') AS validation_errors
-  FROM feed
+  FROM present
 )"""
 
 _CLEANED = f"""{_CLASSIFIED},
@@ -155,9 +169,11 @@ def _paged(number):
     return f"SELECT page_id, url, {number} AS page_no FROM pages"
 
 
+# The query is cut into parameters; the first `page` with a value counts.
 _PAGE_NO = (
-    "coalesce(try_cast(url_decode(nullif(regexp_extract(url,"
-    r" '^[^#?]*\?(?:[^#]*?&)??page=([^&#]+)', 1), '')) AS bigint), 1)"
+    "coalesce(try_cast(url_decode(substr(list_filter(string_split(split_part("
+    "split_part(url, '#', 1), '?', 2), '&'), lambda part: part LIKE 'page=_%')[1], 6))"
+    " AS bigint), 1)"
 )
 
 _ORIGIN = r"regexp_extract(url, '^https?://[^/?#]*')"
@@ -167,16 +183,16 @@ _PARENT = rf"CASE WHEN {_FOLDER} = '/' THEN '/' ELSE regexp_replace({_FOLDER}, '
 
 # Cards as they were put on the listing pages, and the records expected from them.
 _CARDS = r"""numbered AS (
-  SELECT c_custkey + 1 AS page_no, CAST(i AS integer) AS position, c_custkey * 5 + i AS g
+  SELECT c_custkey AS page_id, c_custkey + 1 AS page_no, CAST(i AS integer) AS position, c_custkey * 5 + i AS g
   FROM customer, unnest([0, 1, 2, 3, 4]) AS five(i)
 ),
 products AS (SELECT *, g + 7 - (g * g) % 7 AS p FROM numbered),
 records AS (
-  SELECT page_no, position,
+  SELECT page_id, page_no, position,
     CASE WHEN p % 11 <> 0 THEN 'P-' || p WHEN g % 13 <> 5 THEN 'G-' || p END AS sku,
     CASE WHEN p % 17 <> 3 THEN 'Item ' || p || ' & Co' END AS product_name,
     CASE g % 4 WHEN 0 THEN NULL WHEN 1 THEN '/i/' || p || '.jpg'
-         ELSE '/i/' || p || '.png' END AS image_url,
+         ELSE 'https://shop.example.com/i/' || p || '.png' END AS image_url,
     CASE WHEN g % 13 <> 5 THEN 'https://shop.example.com/item-' || p || '.html' END AS product_url,
     CASE WHEN p % 19 <> 0 THEN CAST((p % 9 + 1) * 1000 + p % 1000 + 0.5 AS double) END AS current_price,
     CASE WHEN g % 3 <> 0 THEN CAST(9000 + p % 1000 AS double) END AS old_price,
@@ -202,8 +218,6 @@ _WS_CLASS = (
     r"[\x{0009}-\x{000d}\x{001c}-\x{0020}\x{0085}\x{00a0}\x{1680}"
     r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
-_TOKENS = ", ".join(f"'{t}'" for t in NULL_TOKENS)
-_SHEET = [c for c in RAW_FEED if c not in ("row_no", "batch_no")]
 _PROFILED = (
     "sku", "product_name", "image_url", "product_url", "discount", "rating", "reviews_count",
 )
@@ -213,9 +227,7 @@ _PHRASE = """'Rated ' || CAST(l_quantity AS varchar)
     || CAST(l_suppkey * l_linenumber AS varchar) || ')'"""
 
 SQL = {
-    "csv_feed": f"WITH {_RAW}\nSELECT "
-    + ", ".join(f"CASE WHEN {c} NOT IN ({_TOKENS}) THEN {c} END AS {c}" for c in _SHEET)
-    + " FROM feed",
+    "csv_feed": f"WITH {_RAW}\nSELECT {_present(_SHEET)} FROM feed",
     "validate_feed": f"""WITH {_CLASSIFIED}
 SELECT row_no, validation_errors IS NULL AS is_valid, validation_errors, {_trim('sku')} AS sku,
   {_price('current_price')} AS current_price, {_price('old_price')} AS old_price
@@ -375,6 +387,28 @@ FROM pages_of LEFT JOIN firsts USING (page_no)""",
   CASE WHEN text <> '' THEN {_trim(f"regexp_replace(text, '{_WS_CLASS}+', ' ', 'g')")} END AS collapsed,
   {_trim('text')} AS stripped
 FROM documents""",
+    "load_counts": f"""{_HISTORY},
+judged_by AS (
+  SELECT batch_no, count(*) FILTER (validation_errors IS NULL) AS valid,
+    count(*) FILTER (validation_errors IS NOT NULL) AS invalid FROM judged GROUP BY batch_no
+),
+opened_by AS (SELECT batch_no, count(*) AS inserted FROM versions GROUP BY batch_no)
+SELECT CAST(batch_no AS varchar) AS batch_id, valid, invalid, valid AS staged,
+  coalesce(inserted, 0) AS inserted
+FROM judged_by LEFT JOIN opened_by USING (batch_no)""",
+    "product_ids": f"""{_HISTORY},
+opened_by AS (SELECT st_date, count(*) AS products FROM versions GROUP BY st_date)
+SELECT st_date, products, products AS distinct_ids,
+  CAST(sum(products) OVER (ORDER BY st_date) - products + 1 AS bigint) AS first_id,
+  CAST(sum(products) OVER (ORDER BY st_date) AS bigint) AS last_id
+FROM opened_by""",
+    "landing_load": f"{_HISTORY}{_VERSION_SELECT}",
+    "export_file": f"""WITH {_MIGRATED}
+SELECT row_number() OVER (ORDER BY product_id) AS place, product_id, {_VERSION_ATTRIBUTES},
+  st_date, end_date, iscurrent
+FROM migrated WHERE iscurrent = 1""",
+    "extract_counts": """SELECT c_custkey AS page_id, 5 AS cards, 0 AS failures
+FROM customer""",
     "first_number": """SELECT doc_id, CAST(nullif(regexp_extract(replace(text, ',', ''),
   '[0-9]+(?:[.][0-9]+)?'), '') AS double) AS number
 FROM documents""",
@@ -388,7 +422,7 @@ SELECT l_orderkey, l_linenumber,
 FROM phrases""",
     "card_extract": f"WITH {_CARDS}\nSELECT * FROM records",
     "page_catalogue": f"WITH {_CARDS}\n"
-    + _rank_one("* EXCLUDE (rn)", "page_no, identity", "position", "keyed"),
+    + _rank_one("* EXCLUDE (rn)", "page_id, identity", "position", "keyed"),
     "card_catalogue": f"WITH {_CARDS}\n"
-    + _rank_one("* EXCLUDE (rn)", "identity", "page_no, position", "keyed"),
+    + _rank_one("* EXCLUDE (rn)", "identity", "page_no, page_id, position", "keyed"),
 }

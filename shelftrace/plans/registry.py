@@ -1,11 +1,14 @@
 """Every query, each a function of (spark, sf_dir) over whole tables."""
 
+from dataclasses import astuple
+
 from pyspark.sql import functions as F
 
 from shelftrace.functions import numeric, text, urls
 from shelftrace.operators import (
     cards,
     clean,
+    columns,
     history,
     links,
     profile,
@@ -14,11 +17,13 @@ from shelftrace.operators import (
     typed,
     validate,
 )
-from shelftrace.plans import feeds
+from shelftrace.plans import extract, feeds, load
 from shelftrace.plans.extract import extract_records
 from shelftrace.sources import export, feed, staging
+from shelftrace.sources.numbering import read_numbered
 from shelftrace.sources.shared import fresh_path, stored
 from shelftrace.sources.versions import VersionStore
+from shelftrace.streaming import landing
 
 QUERIES = {}
 
@@ -56,8 +61,13 @@ def _plain(df):
 # -- stages shared by several queries -----------------------------------------
 
 
+def _read(spark, sf_dir):
+    """The raw feed as a sheet reader gives it: texts for a missing cell are null."""
+    return columns.nullify_tokens(feeds.raw_feed(spark, sf_dir))
+
+
 def _classified(spark, sf_dir):
-    return validate.classify(feeds.raw_feed(spark, sf_dir))
+    return validate.classify(_read(spark, sf_dir))
 
 
 def _cleaned(spark, sf_dir):
@@ -88,7 +98,10 @@ def _two_loads(spark, sf_dir):
     """A dimension of the earlier batches, and the later rows as one batch."""
     lumped = F.when(F.col("batch_no") <= LAST_MERGED, F.col("batch_no")).otherwise(INCOMING)
     staged = _staged(spark, sf_dir).withColumn("batch_no", lumped.cast("int"))
-    # One batch filter per side, below the ranking: neither side ranks the other's rows.
+    # Written once by batch; each side reads its own partitions and ranks only those.
+    path = fresh_path(spark, "cleaned")
+    staged.write.partitionBy("batch_no").parquet(path)
+    staged = spark.read.schema(staged.schema).parquet(path)
     earlier = typed.latest_typed(staged.where(F.col("batch_no") <= LAST_MERGED), "batch_no")
     earlier = earlier.withColumn("change_time", feeds.batch_time(F.col("batch_no")))
     source = typed.latest_typed(staged.where(F.col("batch_no") == INCOMING))
@@ -179,7 +192,7 @@ def stage_batch(spark, sf_dir):
     rows = staging.staged_rows(
         _cleaned(spark, sf_dir), F.col("batch_no").cast("string"), SOURCE_FILE
     )
-    staging.append_batch(rows, path)
+    staging.append_batch(rows, path, several=True)
     return staging.read_staging(spark, path)
 
 
@@ -283,7 +296,7 @@ def scd2_incremental(spark, sf_dir):
         _cleaned(spark, sf_dir), F.col("batch_no").cast("string"), SOURCE_FILE
     )
     path = store.staging_path()
-    _, last_stage_id = staging.append_batch(staged, path)
+    _, last_stage_id = staging.append_batch(staged, path, several=True)
     batches = staging.read_staging(spark, path).select("load_batch_id").distinct()
     # One number per load; each load is a job of its own.
     for year in sorted(int(row[0]) for row in batches.toLocalIterator()):
@@ -294,6 +307,57 @@ def scd2_incremental(spark, sf_dir):
     return _versions(store.all_versions())
 
 
+def _yearly_feeds(spark, sf_dir):
+    """(year, raw feed of that year), oldest first; one number per load on the driver."""
+    feed = feeds.raw_feed(spark, sf_dir)
+    years = sorted(row[0] for row in feed.select("batch_no").distinct().toLocalIterator())
+    return [(year, feed.where(F.col("batch_no") == year).drop("batch_no")) for year in years]
+
+
+def _loaded(spark, sf_dir):
+    """A store that was loaded feed by feed, and the result of every load."""
+    store = VersionStore(spark, fresh_path(spark, "dimension"))
+    results = [
+        load.load_feed(
+            spark, columns.nullify_tokens(feed), store, feeds.batch_moment(year), SOURCE_FILE, str(year)
+        )
+        for year, feed in _yearly_feeds(spark, sf_dir)
+    ]
+    return store, results
+
+
+@query
+def load_counts(spark, sf_dir):
+    """What the load of each yearly feed reports."""
+    _, results = _loaded(spark, sf_dir)
+    schema = "batch_id string, valid long, invalid long, staged long, inserted long"
+    return spark.createDataFrame([astuple(r) for r in results], schema)
+
+
+@query
+def product_ids(spark, sf_dir):
+    """The ids of each load: as many as products, dense, after those of the load before."""
+    store, _ = _loaded(spark, sf_dir)
+    return store.all_versions().groupBy("st_date").agg(
+        F.count(F.lit(1)).alias("products"),
+        F.count_distinct("product_id").alias("distinct_ids"),
+        F.min("product_id").alias("first_id"),
+        F.max("product_id").alias("last_id"),
+    )
+
+
+@query
+def landing_load(spark, sf_dir):
+    """The yearly feeds put into a landing folder one by one and loaded as they come."""
+    folder, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "landing-checkpoint")
+    store = VersionStore(spark, fresh_path(spark, "dimension"))
+    for year, feed in _yearly_feeds(spark, sf_dir):
+        feed.coalesce(1).write.mode("append").parquet(folder)
+        moment = feeds.batch_moment(year)
+        landing.start_landing(spark, folder, store, checkpoint, lambda m=moment: m).awaitTermination()
+    return _versions(store.all_versions())
+
+
 def _migrated(spark, sf_dir):
     return history.bootstrap(
         history.migrate_columns(feeds.legacy_table(spark, sf_dir))
@@ -320,6 +384,16 @@ def current_export(spark, sf_dir):
     return _plain(export.with_rendered_times(export.export_rows(spark, table)))
 
 
+@query
+def export_file(spark, sf_dir):
+    """The export as written: every row with its place in the files."""
+    path = fresh_path(spark, "export")
+    table = history.backfill_fingerprints(_migrated(spark, sf_dir))
+    rows = export.export_rows(spark, table)
+    export.export_current(spark, table, path, format="parquet")
+    return _plain(read_numbered(spark, path, rows.schema, "place"))
+
+
 @query
 def export_profile(spark, sf_dir):
     rows = export.export_rows(spark, _migrated(spark, sf_dir), ordered=False).select(
@@ -335,6 +409,11 @@ def _pages(spark, sf_dir):
     return feeds.table(spark, sf_dir, "pages")
 
 
+def _listing(spark, sf_dir):
+    """The listing pages as a stored table: rendered once, whatever reads them."""
+    return stored(feeds.listing_pages(spark, sf_dir), "listing")
+
+
 @query
 def page_number(spark, sf_dir):
     return _pages(spark, sf_dir).select(
@@ -370,12 +449,12 @@ def page_links(spark, sf_dir):
 
 @query
 def next_page(spark, sf_dir):
-    return links.next_page(feeds.listing_pages(spark, sf_dir))
+    return links.next_page(_listing(spark, sf_dir))
 
 
 @query
 def missing_next_page(spark, sf_dir):
-    followed = links.next_page(feeds.listing_pages(spark, sf_dir))
+    followed = links.next_page(_listing(spark, sf_dir))
     return links.pages_without_next(followed).select("page_id", "url")
 
 
@@ -407,7 +486,7 @@ def unique_by_page(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    return feeds.spread(feeds.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return feeds.table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 @query
@@ -439,7 +518,7 @@ def phrase_extract(spark, sf_dir):
     lines = feeds.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_returnflag"
     )
-    return feeds.spread(lines).select(
+    return lines.select(
         "l_orderkey",
         "l_linenumber",
         numeric.rating_phrase(phrase).alias("rating"),
@@ -451,7 +530,7 @@ def phrase_extract(spark, sf_dir):
 
 
 def _records(spark, sf_dir):
-    return extract_records(feeds.listing_pages(spark, sf_dir)).drop("url", "page_id")
+    return extract_records(_listing(spark, sf_dir)).drop("url")
 
 
 @query
@@ -459,9 +538,15 @@ def card_extract(spark, sf_dir):
     return _records(spark, sf_dir)
 
 
+@query
+def extract_counts(spark, sf_dir):
+    """Cards and failures of every page."""
+    return extract.extract_counts(_listing(spark, sf_dir))
+
+
 @query
 def page_catalogue(spark, sf_dir):
-    return cards.page_records(_records(spark, sf_dir), "page_no")
+    return cards.page_records(_records(spark, sf_dir))
 
 
 @query

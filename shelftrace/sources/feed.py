@@ -12,16 +12,22 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 
+# What a file must not hold: another header than the first one's, or a row with more or
+# fewer cells than the header. Both stop the read; neither moves cells to other columns.
+CHECKED = {"enforceSchema": False, "mode": "FAILFAST", "columnPruning": False}
+
 
 def read_feed(spark, path, format="csv", multiline=False):
     """A raw feed, everything as text, missing-cell texts as null.
 
-    CSV takes its column order from the header line and nothing is inferred. A
-    missing path fails here. `multiline` allows line breaks inside cells, at the
-    price of one task per file.
+    CSV takes its column order from the header line and nothing is inferred. Files of
+    one path must agree in their headers; a file that does not, or a row whose cells do
+    not match the header, stops the read. A missing path fails here. `multiline` allows
+    line breaks inside cells, at the price of one task per file.
     """
     if format == "csv":
-        raw = spark.read.options(**CSV_OPTIONS, multiLine=multiline).csv(path)
+        options = {**CSV_OPTIONS, **CHECKED, "multiLine": multiline}
+        raw = spark.read.options(**options).csv(path)
     else:
         raw = spark.read.format(format).load(path)
     texts = raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
@@ -29,7 +35,8 @@ def read_feed(spark, path, format="csv", multiline=False):
 
 
 def write_raw_sheet(records, path, format="csv"):
-    """Extracted records under the nine sheet headers, in fixed order."""
+    """Extracted records under the nine sheet headers, in fixed order. A cell with a line
+    break needs `multiline` to be read again; without it the read stops."""
     sheet = columns.to_sheet_headers(records)
     options = CSV_OPTIONS if format == "csv" else {}
     sheet.write.mode("errorifexists").format(format).options(**options).save(path)

@@ -4,10 +4,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
-# Offsets of this many files, some 10 MB, are sent to all executors; more are joined.
-BROADCAST_FILES = 100_000
-
-
 def write_sorted(df, order, path):
     """Write rows in a total order: file n holds the n-th range, sorted."""
     df.orderBy(*order).write.mode("errorifexists").parquet(path)
@@ -18,7 +14,7 @@ def read_numbered(spark, path, row_schema, name, base=0):
 
     A file's offset is the row count of the files ahead of it; inside a file the
     reader knows each row's place. The offsets have one row per file, counted
-    from the files themselves, so their size is that of the file listing.
+    from the files themselves; how they are joined is left to Spark.
     """
     rows = spark.read.schema(row_schema).parquet(path).select(
         "*",
@@ -36,8 +32,6 @@ def read_numbered(spark, path, row_schema, name, base=0):
         .withColumn("_ahead", F.coalesce(F.sum("_count").over(ahead), F.lit(0)))
         .select("_file", "_ahead")
     )
-    if len(rows.inputFiles()) <= BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
     number = F.col("_ahead") + F.col("_row") + F.lit(base + 1)
     return rows.join(offsets, "_file").withColumn(name, number).drop(
         "_file", "_row", "_ahead"

@@ -1,17 +1,24 @@
 """The folder that all executors share."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
 
+from py4j.protocol import Py4JJavaError
+
 
 @lru_cache(maxsize=1)
 def _own_folder():
-    return tempfile.mkdtemp(prefix="shelftrace-")
+    folder = tempfile.mkdtemp(prefix="shelftrace-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark):
-    """The cluster's `spark.checkpoint.dir`; a temporary folder only in local mode."""
+    """The cluster's `spark.checkpoint.dir`; only in local mode a temporary folder, which
+    goes when the program ends."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
@@ -37,3 +44,22 @@ def exists(spark, path):
     """Is there anything at the path, on whatever file system it names?"""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def create_file(spark, path, text):
+    """Write a small file unless it is there already; was it written?"""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(place.getParent())
+    try:
+        stream = system.create(place, False)
+    except Py4JJavaError:
+        if system.exists(place):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True

@@ -26,13 +26,16 @@ def as_literal(value):
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def append_batch(staged, path):
-    """Write one batch; staging the same batch id again replaces it.
+def append_batch(staged, path, several=False):
+    """Write one batch; staging the same batch id again replaces it. `several` batches at
+    once are brought together by batch first, else every task writes a file of each.
 
     Returns the number of staged rows and their highest stage id, counted by the
     write itself.
     """
     seen = Observation()
+    if several:
+        staged = staged.hint("rebalance", F.col("load_batch_id"))
     staged.observe(
         seen,
         F.count(F.lit(1)).alias("staged"),

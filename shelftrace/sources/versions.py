@@ -1,11 +1,14 @@
 """The dimension on plain files, for installs without a table format.
 
-A merge writes new folders and then appends one row to the log; readers go by the
-log alone, so a failed merge leaves only unreferenced files. One writer at a time.
+Versions lie in folders by merge and by hash bucket of their key. A merge reads and
+rewrites the buckets that its batch changes, and then publishes one small file in the
+log, named by its version; readers go by the log alone, so a failed merge leaves only
+unreferenced files, and of two writers one fails.
 """
 
+import json
 import uuid
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import Observation
@@ -15,166 +18,174 @@ from pyspark.sql import types as T
 from shelftrace import schema
 from shelftrace.operators import history
 from shelftrace.sources.numbering import read_numbered
-from shelftrace.sources.shared import exists
-
-LOG_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("epoch", T.LongType()),
-        T.StructField("batch_id", T.StringType()),
-        T.StructField("change_time", T.TimestampNTZType()),
-        T.StructField("current_path", T.StringType()),
-        T.StructField("closed_path", T.StringType()),
-        T.StructField("inserted", T.LongType()),
-        T.StructField("closed", T.LongType()),
-        T.StructField("last_product_id", T.LongType()),
-        T.StructField("last_stage_id", T.LongType()),
-        T.StructField("buckets", T.IntegerType()),
-    ]
-)
+from shelftrace.sources.shared import create_file, exists
 
-STORED = T.StructType([f for f in schema.DIMENSION_SCHEMA if f.name != "iscurrent"])
+LOG_SCHEMA = (
+    "version long, batch_id string, change_time string, attempt string, buckets array<int>,"
+    " bucket_count int, inserted long, closed long, last_product_id long, last_stage_id long"
+)
+PLACE = [
+    T.StructField("attempt", T.StringType()),
+    T.StructField("iscurrent", T.IntegerType()),
+    T.StructField("bucket", T.IntegerType()),
+]
+STORED = T.StructType([*(f for f in schema.DIMENSION_SCHEMA if f.name != "iscurrent"), *PLACE])
 NUMBERED_LATER = T.StructType(
-    [f for f in schema.DIMENSION_SCHEMA if f.name != "product_id"]
+    [*(f for f in schema.DIMENSION_SCHEMA if f.name != "product_id"), PLACE[-1]]
 )
 
 
 @dataclass(frozen=True)
 class Commit:
     version: int = 0
-    epoch: int = 0
     batch_id: str | None = None
-    change_time: datetime | None = None
-    current_path: str | None = None
-    closed_path: str | None = None
+    change_time: str | None = None
+    attempt: str | None = None
+    buckets: list = field(default_factory=list)
+    bucket_count: int = 0
     inserted: int = 0
     closed: int = 0
     last_product_id: int = 0
     last_stage_id: int = 0
-    buckets: int = 0
 
 
-class VersionStore:
-    """`buckets` keeps the versions hashed and sorted by SKU in that many buckets.
+@dataclass(frozen=True)
+class State:
+    """The last commit, whether a batch is in the log, and the merge that wrote each
+    bucket last."""
 
-    A merge then shuffles the batch only, whatever the size of the dimension; choose
-    it so that a bucket fits a task. Without it, the join is left to Spark alone.
-    """
+    last: Commit = Commit()
+    applied: bool = False
+    places: dict = field(default_factory=dict)
 
-    def __init__(self, spark, root, buckets=0):
+
+class VersionStore:
+    """`buckets` is the number of hash buckets of a new store; choose it so that a
+    bucket's current rows fit a task. A store keeps the number it began with."""
+
+    def __init__(self, spark, root, buckets=64):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
 
     # -- log ---------------------------------------------------------------
 
-    def commits(self):
-        """Commits since the last reset, oldest first: one small row per merge."""
+    def _log(self):
         path = f"{self.root}/log"
         if not exists(self.spark, path):
-            return [Commit()]
-        log = self.spark.read.schema(LOG_SCHEMA).parquet(path)
-        found = sorted(
-            (Commit(**row.asDict()) for row in log.collect()), key=lambda c: c.version
+            return None
+        return self.spark.read.schema(LOG_SCHEMA).json(path)
+
+    def state(self, batch_id=None):
+        """One aggregate over the log, a row per bucket at most."""
+        log = self._log()
+        if log is None:
+            return State()
+        commit = F.struct(*[f for f in log.columns])
+        rows = (
+            log.withColumn("bucket", F.explode_outer("buckets"))
+            .groupBy("bucket")
+            .agg(
+                F.max_by(commit, "version").alias("last"),
+                F.max(F.col("batch_id").eqNullSafe(F.lit(batch_id))).alias("applied"),
+            )
+            .collect()
+        )
+        last = max((r["last"] for r in rows), key=lambda c: c["version"])
+        return State(
+            Commit(**last.asDict()),
+            any(r["applied"] for r in rows),
+            {r["bucket"]: r["last"]["attempt"] for r in rows if r["bucket"] is not None},
         )
-        numbers = [c.version for c in found]
-        if len(set(numbers)) < len(numbers):
-            raise RuntimeError(f"Two writers committed the same version in {self.root}")
-        return [c for c in found if c.epoch == found[-1].epoch] or [Commit()]
 
     def last_commit(self):
-        return self.commits()[-1]
+        return self.state().last
+
+    def is_applied(self, batch_id):
+        return self.state(batch_id).applied
 
     def _publish(self, commit):
-        values = asdict(commit)
-        row = self.spark.range(1, numPartitions=1).select(
-            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA]
-        )
-        row.write.mode("append").parquet(f"{self.root}/log")
+        path = f"{self.root}/log/{commit.version:012d}.json"
+        if not create_file(self.spark, path, json.dumps(asdict(commit))):
+            raise RuntimeError(f"Another writer committed version {commit.version} in {self.root}")
 
     def staging_path(self):
-        return f"{self.root}/staging/epoch={self.last_commit().epoch}"
+        return f"{self.root}/staging"
 
     # -- reading -----------------------------------------------------------
 
-    def _read(self, paths, is_current):
-        if paths:
-            rows = self.spark.read.schema(STORED).parquet(*paths)
-        else:
-            # Provably empty for the optimizer, so a first merge joins nothing.
-            rows = self.spark.createDataFrame([], STORED).where(F.lit(False))
-        return rows.withColumn("iscurrent", F.lit(is_current)).select(
-            *schema.DIMENSION_SCHEMA.names
-        )
-
-    def current(self, commit=None):
-        path = (commit or self.last_commit()).current_path
-        return self._read([path] if path else [], 1)
-
-    def _mergeable(self, commit):
-        """Current rows for a merge, through a catalog entry that knows the buckets."""
-        if not commit.current_path or not commit.buckets:
-            return self.current(commit)
-        path = commit.current_path.rsplit("/", 1)[0]
-        name = self._table_name(path)
-        if not self.spark.catalog.tableExists(name):
-            fields = ", ".join(
-                f"{f.name} {f.dataType.simpleString()}"
-                for f in [*STORED, schema.DIMENSION_SCHEMA["iscurrent"]]
-            )
-            self.spark.sql(
-                f"CREATE TABLE {name} ({fields}) USING parquet PARTITIONED BY (iscurrent)"
-                f" CLUSTERED BY (sku) SORTED BY (sku) INTO {commit.buckets} BUCKETS"
-                f" LOCATION '{path}'"
-            )
-            self.spark.catalog.recoverPartitions(name)
-        rows = self.spark.table(name).where("iscurrent = 1")
-        return rows.select(*schema.DIMENSION_SCHEMA.names)
-
-    @staticmethod
-    def _table_name(path):
-        return "versions_" + path.rsplit("/", 1)[1].replace("-", "_")
+    def _empty(self):
+        # Provably empty for the optimizer, so a first merge joins nothing.
+        return self.spark.createDataFrame([], STORED).where(F.lit(False))
+
+    def _current(self, state, buckets=None):
+        """Current rows with their bucket: of every bucket one folder, or of those asked for."""
+        paths = [
+            f"{self.root}/versions/attempt={attempt}/iscurrent=1/bucket={bucket}"
+            for bucket, attempt in sorted(state.places.items())
+            if buckets is None or bucket in buckets
+        ]
+        if not paths:
+            return self._empty()
+        reader = self.spark.read.schema(STORED).option("basePath", f"{self.root}/versions")
+        return reader.parquet(*paths)
+
+    def current(self, state=None):
+        return self._current(state or self.state()).select(*schema.DIMENSION_SCHEMA.names)
 
     def closed(self):
-        return self._read([c.closed_path for c in self.commits() if c.closed_path], 0)
+        """Closed rows of all merges in the log, as one folder of partitions."""
+        path, log = f"{self.root}/versions", self._log()
+        if log is None or not exists(self.spark, path):
+            return self._empty().select(*schema.DIMENSION_SCHEMA.names)
+        rows = self.spark.read.schema(STORED).parquet(path).where("iscurrent = 0")
+        rows = rows.join(log.where("closed > 0").select("attempt"), "attempt", "left_semi")
+        return rows.select(*schema.DIMENSION_SCHEMA.names)
 
     def all_versions(self):
         return self.current().unionByName(self.closed())
 
     # -- writing -----------------------------------------------------------
 
-    def is_applied(self, batch_id):
-        return any(c.batch_id == batch_id for c in self.commits())
+    def _bucketed(self, rows, count):
+        return rows.withColumn("bucket", F.pmod(F.xxhash64("sku"), F.lit(count)).cast("int"))
 
-    def apply(self, source, batch_id, change_time, last_stage_id=None):
+    def apply(self, source, batch_id, change_time, last_stage_id=None, state=None):
         """Merge one batch and return the number of new versions.
 
-        A batch that is already in the log changes nothing.
+        A batch that is already in the log changes nothing. The change time must be later
+        than that of the merge before: versions would else end before they start.
         """
-        commits = self.commits()
-        if any(c.batch_id == batch_id for c in commits):
+        state = state or self.state(batch_id)
+        if state.applied:
             return 0
-        last = commits[-1]
+        last = state.last
+        moment = change_time.isoformat() if isinstance(change_time, datetime) else str(change_time)
+        if last.change_time and datetime.fromisoformat(moment) <= datetime.fromisoformat(last.change_time):
+            raise ValueError(f"Change time {moment} is not later than {last.change_time}")
         attempt = f"{last.version + 1:08d}-{uuid.uuid4().hex}"
-        time = history.as_time(change_time)
-        current = self._mergeable(last)
-        # The batch is read several times. As files it outlives executors, and its
-        # partitions follow its size.
-        source.write.parquet(f"{self.root}/source/{attempt}")
-        source = self.spark.read.schema(source.schema).parquet(f"{self.root}/source/{attempt}")
-        inserted = self._write_opened(current, source, time, attempt)
+        count = last.bucket_count or self.buckets
         commit = replace(
             last,
             version=last.version + 1,
             batch_id=batch_id,
-            change_time=change_time,
-            closed_path=None,
-            inserted=inserted,
+            change_time=moment,
+            attempt=attempt,
+            buckets=[],
+            bucket_count=count,
+            inserted=0,
             closed=0,
-            last_product_id=last.last_product_id + inserted,
             last_stage_id=max(last_stage_id or 0, last.last_stage_id),
         )
-        if inserted or not history.changed(current, source).isEmpty():
+        # The batch is read several times. As files it outlives executors, and its
+        # partitions follow its size.
+        path = f"{self.root}/source/{attempt}"
+        self._bucketed(source, count).write.parquet(path)
+        source = self.spark.read.parquet(path)
+        met = {r[0] for r in source.select("bucket").distinct().collect()}
+        time = history.as_time(change_time)
+        inserted = self._write_opened(self._current(state, met), source, time, attempt)
+        if inserted:
             opened = read_numbered(
                 self.spark,
                 f"{self.root}/opened/{attempt}",
@@ -182,10 +193,12 @@ class VersionStore:
                 "product_id",
                 last.last_product_id,
             )
-            if self.buckets:
-                opened = opened.repartition(self.buckets, "sku")
+            # A row that closes has a new version of its key, so no other bucket changes.
+            changing = {r[0] for r in opened.select("bucket").distinct().collect()}
+            current = self._current(state, changing).drop("attempt")
             rows = history.close_changed(current, source, time).unionByName(opened)
-            commit = self._write_versions(rows, attempt, commit)
+            commit = self._write_versions(rows, commit)
+            commit = replace(commit, inserted=inserted)
         self._publish(commit)
         return inserted
 
@@ -198,55 +211,45 @@ class VersionStore:
         ).write.parquet(f"{self.root}/opened/{attempt}")
         return seen.get.get("inserted", 0)
 
-    def _write_versions(self, rows, attempt, commit):
-        """Current and newly closed rows in one job, as partitions of one folder."""
-        path = f"{self.root}/versions/{attempt}"
+    def _write_versions(self, rows, commit):
+        """Current and newly closed rows in one job, as partitions of one folder, with
+        few files to a bucket."""
+        path = f"{self.root}/versions/attempt={commit.attempt}"
         seen = Observation()
-        writer = rows.observe(
+        rows.hint("rebalance", F.col("iscurrent"), F.col("bucket")).observe(
             seen,
             F.count_if(F.col("iscurrent") == 0).alias("closed"),
-            F.count_if(F.col("iscurrent") == 1).alias("current"),
+            F.count_if(~F.col("iscurrent").isin(0, 1)).alias("odd"),
             F.max("product_id").alias("last_product_id"),
-        ).write.partitionBy("iscurrent")
-        if self.buckets:
-            # An external table: its catalog entry can go without the files.
-            writer.format("parquet").bucketBy(self.buckets, "sku").sortBy("sku").option(
-                "path", path
-            ).saveAsTable(self._table_name(path))
-        else:
-            writer.parquet(path)
+            F.max("stage_id").alias("last_stage_id"),
+        ).write.partitionBy("iscurrent", "bucket").parquet(path)
         found = seen.get
-        closed = found.get("closed", 0)
+        if found.get("odd"):
+            raise ValueError(f"{found['odd']} rows are neither current (1) nor closed (0)")
+        written = self.spark.read.schema(STORED).parquet(path).where("iscurrent = 1")
         return replace(
             commit,
-            current_path=f"{path}/iscurrent=1" if found.get("current") else None,
-            closed_path=f"{path}/iscurrent=0" if closed else None,
-            closed=closed,
-            buckets=self.buckets,
+            buckets=sorted(r[0] for r in written.select("bucket").distinct().collect()),
+            closed=found.get("closed", 0),
             last_product_id=max(commit.last_product_id, found.get("last_product_id") or 0),
+            last_stage_id=max(commit.last_stage_id, found.get("last_stage_id") or 0),
         )
 
     def adopt(self, table, batch_id="adopted", change_time=None):
-        """Publish an existing dimension, migrated and bootstrapped, as version 1."""
+        """Publish an existing dimension as version 1. Rows not yet marked as current or
+        closed become current, as `history.bootstrap` has it; both id sequences go on from
+        the table's highest."""
         last = self.last_commit()
-        if last.version and last.current_path:
+        if last.version:
             raise RuntimeError("Only an empty store can adopt a table")
-        attempt = f"{last.version + 1:08d}-{uuid.uuid4().hex}"
-        rows = table.select(
+        rows = history.bootstrap(table).select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.DIMENSION_SCHEMA]
         )
         commit = Commit(
-            version=last.version + 1,
-            epoch=last.epoch,
+            version=1,
             batch_id=batch_id,
-            change_time=change_time,
+            change_time=change_time and str(change_time),
+            attempt=f"{1:08d}-{uuid.uuid4().hex}",
+            bucket_count=self.buckets,
         )
-        self._publish(self._write_versions(rows, attempt, commit))
-
-    def reset(self):
-        """Empty dimension and staging table at once and restart both id sequences.
-
-        One log row does it; the old files stay until someone removes them.
-        """
-        last = self.last_commit()
-        self._publish(Commit(version=last.version + 1, epoch=last.epoch + 1))
+        self._publish(self._write_versions(self._bucketed(rows, self.buckets), commit))

@@ -1,16 +1,22 @@
 """Feeds picked up from a landing folder as they arrive.
 
-Each micro-batch is one load. Its batch id comes from the stream's own batch
-number, so a micro-batch that is replayed after a failure is recognised.
+Each micro-batch is one load. Its batch id is made of the stream's own id, which its
+checkpoint keeps, and the batch number: a micro-batch that is replayed after a failure
+is recognised, and no other stream's batch is taken for it. A micro-batch without a
+valid row stays in quarantine and the stream goes on.
 """
 
+import json
+import logging
 from datetime import datetime, timezone
 
 from pyspark.sql import types as T
 
 from shelftrace import schema
 from shelftrace.operators.columns import nullify_tokens
-from shelftrace.plans.load import load_feed
+from shelftrace.plans.load import NoValidRows, load_feed
+
+log = logging.getLogger(__name__)
 
 LANDING_SCHEMA = T.StructType([T.StructField("row_no", T.LongType()), *schema.RAW_SCHEMA])
 
@@ -19,15 +25,25 @@ def _now():
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def _stream_id(spark, checkpoint):
+    """The id that a checkpoint gives its stream, whichever run it is."""
+    kept = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(kept)["id"]
+
+
 def start_landing(spark, folder, store, checkpoint, clock=_now, files_per_batch=1):
     """Load everything in the folder that was not loaded yet, then stop."""
 
     def load(rows, number):
-        if not rows.isEmpty():
-            feed = nullify_tokens(rows)
+        if rows.isEmpty():
+            return
+        batch_id = f"landing-{_stream_id(spark, checkpoint)}-{number}"
+        try:
             load_feed(
-                rows.sparkSession, feed, store, clock(), folder, f"landing-{number}"
+                rows.sparkSession, nullify_tokens(rows), store, clock(), folder, batch_id
             )
+        except NoValidRows as found:
+            log.warning("%s: %s", batch_id, found)
 
     return (
         spark.readStream.schema(LANDING_SCHEMA)

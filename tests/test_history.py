@@ -125,7 +125,7 @@ def versions(store):
     )
 
 
-@pytest.mark.parametrize("buckets", [0, 3])
+@pytest.mark.parametrize("buckets", [1, 5])
 def test_store(spark, tmp_path, buckets):
     root = str(tmp_path / "dim")
     store = VersionStore(spark, root, buckets)
@@ -158,35 +158,62 @@ def test_failed_merge_leaves_the_table(spark, tmp_path):
     assert store.apply(source(spark, [(2, "A", "y")]), "b2", T[1]) == 1
 
 
-def test_reset(spark, tmp_path):
+def test_a_small_merge_rewrites_one_bucket(spark, tmp_path):
+    store = VersionStore(spark, str(tmp_path / "dim"), buckets=8)
+    store.apply(source(spark, [(i, f"S{i}", "x") for i in range(200)]), "b1", T[0])
+    before = store.state()
+    assert len(before.places) == 8
+    store.apply(source(spark, [(300, "S7", "y")]), "b2", T[1])
+    after = store.state()
+    moved = [b for b in range(8) if before.places[b] != after.places[b]]
+    assert len(moved) == 1
+    files = list((tmp_path / "dim" / "versions" / f"attempt={after.last.attempt}").rglob("*.parquet"))
+    assert {f.parent.name for f in files} == {f"bucket={moved[0]}"}
+    read = plan(store._current(after, moved))
+    assert "Location: InMemoryFileIndex(1 paths)" in read
+    assert store.current().count() == 200 and store.closed().count() == 1
+
+
+def test_a_load_reads_the_log_once(spark, tmp_path, monkeypatch):
     store = VersionStore(spark, str(tmp_path / "dim"))
-    store.apply(source(spark, [(1, "A", "x")]), "b1", T[0], 7)
-    before = store.staging_path()
-    store.reset()
-    assert store.all_versions().count() == 0
-    assert store.staging_path() != before and store.last_commit().last_stage_id == 0
-    assert store.apply(source(spark, [(1, "A", "x")]), "b1", T[1]) == 1
-    assert store.current().first().product_id == 1
-
-
-def test_buckets_spare_the_dimension_a_shuffle(spark, tmp_path):
-    store = VersionStore(spark, str(tmp_path / "dim"), buckets=3)
-    store.apply(source(spark, [(i, f"S{i}", "x") for i in range(50)]), "b1", T[0])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        current = store._mergeable(store.last_commit())
-        batch = source(spark, [(99, "S1", "y")]).repartition(3, "sku")
-        text = plan(history.close_changed(current, batch, F.lit(T[1])))
-        text += plan(history.openable(current, batch))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Bucketed: true" in text and "SortMergeJoin" in text
-    lines = text.splitlines()
-    scans = [i for i, line in enumerate(lines) if "FileScan" in line]
-    assert len(scans) == 2
-    for i in scans:
-        above = [line for line in lines[max(0, i - 4) : i] if "Exchange" in line]
-        assert not above
+    reads = []
+    read = VersionStore._log
+    monkeypatch.setattr(VersionStore, "_log", lambda self: reads.append(1) or read(self))
+    load_feed(spark, raw(spark, [(1, "A", "1", "2")]), store, T[0], "f.csv", "b1")
+    load_feed(spark, raw(spark, [(1, "A", "3", "4")]), store, T[1], "f.csv", "b2")
+    assert len(reads) == 2
+
+
+def test_change_times_only_grow(spark, tmp_path):
+    store = VersionStore(spark, str(tmp_path / "dim"))
+    store.apply(source(spark, [(1, "A", "x")]), "b1", T[2])
+    for moment in (T[1], T[2]):
+        with pytest.raises(ValueError, match="not later"):
+            store.apply(source(spark, [(2, "A", "y")]), "b2", moment)
+    assert versions(store) == [("A", "x", T[2], T[8], 1)]
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    store = VersionStore(spark, str(tmp_path / "dim"))
+    state = store.state("late")
+    store.apply(source(spark, [(1, "A", "x")]), "b1", T[0])
+    with pytest.raises(RuntimeError, match="Another writer"):
+        store.apply(source(spark, [(1, "A", "z")]), "late", T[1], state=state)
+    assert versions(store) == [("A", "x", T[0], T[8], 1)]
+
+
+def test_unmarked_table_is_adopted_whole(spark, small, tmp_path):
+    store = VersionStore(spark, str(tmp_path / "dim"))
+    table = history.migrate_columns(feeds.legacy_table(spark, small))
+    store.adopt(table)
+    assert store.all_versions().count() == table.count()
+    highest = table.agg(F.max("product_id"), F.max("stage_id")).first()
+    last = store.last_commit()
+    assert (last.last_product_id, last.last_stage_id) == tuple(highest)
+    other = VersionStore(spark, str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="neither current"):
+        other.adopt(table.withColumn("iscurrent", F.lit(2)))
+    assert other.last_commit().version == 0
 
 
 def test_adopted_table(spark, small, tmp_path):
@@ -263,6 +290,26 @@ def test_landing_folder(spark, tmp_path):
     assert sorted(rows) == [("A", "1.00", 0), ("A", "5.00", 1)]
 
 
+def test_two_landing_folders_and_a_file_without_valid_rows(spark, tmp_path):
+    store, times = VersionStore(spark, str(tmp_path / "dim")), iter(T)
+
+    def land(folder, rows):
+        feed = raw(spark, rows).select("row_no", *schema.FEED_COLUMNS)
+        path = str(tmp_path / folder)
+        feed.coalesce(1).write.mode("append").parquet(path)
+        query = start_landing(spark, path, store, f"{path}-cp", lambda: next(times))
+        query.awaitTermination()
+        assert query.exception() is None
+
+    land("one", [(1, "A", "1", "2")])
+    land("two", [(1, "B", "1", "2")])
+    land("one", [(1, None, "1", "2"), (2, "", "x", "2")])
+    land("one", [(1, "C", "1", "2")])
+    assert sorted(r.sku for r in store.current().collect()) == ["A", "B", "C"]
+    kept = spark.read.parquet(str(tmp_path / "dim" / "split")).where("is_valid = false")
+    assert kept.count() == 2
+
+
 def test_collated_merge(spark):
     table = spark.createDataFrame([("A ", "x", T[0], None, 1, 1)], DIMENSION)
     batch = spark.createDataFrame([("a", "x"), ("b", "x")], "sku string, row_hash string")

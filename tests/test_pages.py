@@ -48,6 +48,37 @@ def test_records(spark):
     assert (rows[2].sku, rows[2].product_name) == (None, "No link")
 
 
+def test_image_addresses_are_resolved(spark):
+    card = '<article class="prd _fb col c-prd" data-sku="{}"><div class="img-c"><img class="img" {}></div></article>'
+    kinds = {"A": 'src="/a.jpg" data-src="/b.jpg"', "B": 'src="" data-src="/b.jpg"', "C": 'src="c.jpg"', "D": "alt=x"}
+    page = pages(spark, "".join(card.format(*k) for k in kinds.items()))
+    found = {r.sku: r.image_url for r in extract_records(page).collect()}
+    assert found == {"A": "https://h/a.jpg", "B": "/b.jpg", "C": "https://h/ar/all/c.jpg", "D": None}
+
+
+def test_pages_with_one_number_are_kept_apart(spark):
+    card = '<article class="prd _fb col c-prd" data-sku="S"><h3 class="name">{}</h3></article>'
+    rows = [(2, "https://h/x", card.format("of two")), (1, "https://h/y", card.format("of one"))]
+    for order in (rows, rows[::-1]):
+        listing = spark.createDataFrame(order, "page_id long, url string, html string").repartition(1)
+        assert extract_catalogue(listing).first().product_name == "of one"
+        records = cards.page_records(extract_records(listing)).collect()
+        assert sorted((r.page_id, r.product_name) for r in records) == [(1, "of one"), (2, "of two")]
+
+
+def test_failed_pages_are_a_table(spark, monkeypatch):
+    from shelftrace.operators import card_parser
+    from shelftrace.plans import extract
+
+    def broken(html):
+        raise ValueError("broken")
+
+    card = '<article class="prd _fb col c-prd" data-sku="S"></article>'
+    monkeypatch.setattr(card_parser, "read_cards", broken)
+    found = extract.failed_pages(pages(spark, card)).collect()
+    assert [(r.page_id, r.parse_error) for r in found] == [(0, "ValueError: broken")]
+
+
 def test_first_card_wins_on_and_across_pages(spark):
     later = '<article class="prd _fb col c-prd" data-sku="S1"><h3 class="name">Later</h3></article>'
     both = pages(spark, PAGE, later)

@@ -251,3 +251,30 @@ def test_shared_folder(spark, monkeypatch):
         shared.shared_folder(Session)
     Session.conf = {"spark.master": "local[2]"}
     assert shared.shared_folder(Session) == shared.shared_folder(Session) != folder
+
+
+HEADER = ",".join(schema.HEADERS)
+
+
+@pytest.mark.parametrize(
+    "files",
+    [
+        [f"{HEADER}\nA,,,,1,2,,,\n", "Product Name,SKU" + HEADER[len("SKU,Product Name"):] + "\nx,A,,,1,2,,,\n"],
+        [f"{HEADER}\nA,,,,1,2,,,,extra\n"],
+        [f'{HEADER}\nA,"two\nlines",,,1,2,,,\n'],
+    ],
+)
+def test_sheets_that_would_be_misread_stop_the_read(spark, tmp_path, files):
+    for number, text in enumerate(files):
+        (tmp_path / f"{number}.csv").write_text(text)
+    with pytest.raises(Exception):
+        feed.read_feed(spark, str(tmp_path)).select("sku").collect()
+
+
+def test_line_breaks_survive_with_multiline(spark, tmp_path):
+    rows = spark.createDataFrame([["a\nb", *["x"] * 8]], schema.RAW_SCHEMA)
+    path = str(tmp_path / "sheet")
+    feed.write_raw_sheet(rows, path)
+    assert feed.read_feed(spark, path, multiline=True).first().sku == "a\nb"
+    with pytest.raises(Exception):
+        feed.read_feed(spark, path).collect()
