@@ -1,24 +1,30 @@
 """BPE encoding through a table of distinct words, and decoding through the pieces.
 
 Texts are split at ASCII white space, which no token of the tokenizer crosses. Each
-distinct word is encoded once. A document becomes a list of word numbers: the most
-frequent words (a fixed number) are known to all tasks, every other word is joined to
-its ids and put back at its position.
+distinct word is encoded once. A document becomes a list of word numbers: frequent words
+(a fixed number at most) are known to all tasks, every other word is joined to its ids
+and put back at its position.
 """
 
+import os
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from shelftrace.llm.common import batch_of
+from shelftrace.llm.common import batch_of, frequency_level, highest
+from shelftrace.llm.shingles import BYTES_AT_ONCE, mixed, word_hashes
 from shelftrace.sources.shared import stored
 
-FREQUENT_WORDS = 1 << 19
-FLUSH_WORDS = 300_000
+# Most words whose numbers all tasks know; a number is three bytes at most.
+FREQUENT_WORDS = (1 << 21) - 2
+FLUSH_WORDS = 400_000
 WORDS_PER_BATCH = 50_000
+WORDS_AT_ONCE = 2048
+ROWS_AT_ONCE = 256
 
 
 def load_tokenizer(path):
@@ -31,24 +37,34 @@ def load_tokenizer(path):
     return tokenizer
 
 
-def split_words(text):
-    """Words as bytes, in order. The tokenizer lowers case itself; lowering A-Z first
-    makes fewer distinct words, but must not turn text into a special token."""
+# A-Z in lower case and ASCII white space as spaces.
+SPACED = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
+
+
+def spaced(text):
+    """The text as bytes with its words between spaces. The tokenizer lowers case itself;
+    lowering A-Z first makes fewer distinct words, but must not turn text into a special
+    token."""
     raw = text.encode("utf-8", "surrogatepass") if text else b""
-    if b"<|" in raw:
-        return [w if b"<|" in w else w.lower() for w in raw.split()]
-    return raw.lower().split()
+    if b"<|" not in raw:
+        return raw.translate(SPACED)
+    return b" ".join(w if b"<|" in w else w.lower() for w in raw.split())
+
+
+def split_words(text):
+    return spaced(text).split()
 
 
-def word_uses(docs):
-    """(word, uses) over the column text."""
+def common_words(docs):
+    """(word, uses) of words that some part of the documents holds more than once. A word
+    that no part holds twice is not frequent; leaving it out halves what is shuffled."""
     schema = pa.schema([("word", pa.string()), ("uses", pa.int64())])
 
     def count(batches):
         found = Counter()
 
         def flush():
-            words = list(found)
+            words = [w for w, uses in found.items() if uses > 1]
             for start in range(0, len(words), WORDS_PER_BATCH):
                 part = words[start : start + WORDS_PER_BATCH]
                 yield batch_of(schema, [[w.decode() for w in part], [found[w] for w in part]])
@@ -66,41 +82,111 @@ def word_uses(docs):
 
 
 def encode_words(words, path):
-    """The words (columns word, uses) with `ids`, each encoded once."""
+    """(word, uses, ids) of distinct words, each encoded once; ids are two bytes each, or
+    four if the vocabulary asks for it."""
 
     def encode(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tokenizer = load_tokenizer(path)
+        width = id_width(tokenizer)
         for batch in batches:
-            for start in range(0, batch.num_rows, WORDS_PER_BATCH):
-                part = batch.slice(start, WORDS_PER_BATCH)
+            for start in range(0, batch.num_rows, WORDS_AT_ONCE):
+                part = batch.slice(start, WORDS_AT_ONCE)
                 made = tokenizer.encode_batch_fast(
                     part.column("word").to_pylist(), add_special_tokens=False
                 )
-                ids = pa.array([m.ids for m in made], pa.list_(pa.int32()))
+                ids = [np.array(m.ids, width).tobytes() for m in made]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, ids], names=[*part.schema.names, "ids"]
+                    [*part.columns, pa.array(ids, pa.binary())], names=["word", "uses", "ids"]
                 )
 
-    return words.mapInArrow(encode, "word string, uses long, ids array<int>")
-
-
-def _keyed(docs):
-    """Documents by a key of id and text, equal for repeated rows only."""
-    return docs.withColumns(
-        {
-            "key": F.xxhash64("id", "text"),
-            "more_key": F.xxhash64("text", "id", F.lit(1)),
-        }
-    )
+    return words.select("word", "uses").mapInArrow(encode, "word string, uses long, ids binary")
 
 
-KEY = ["key", "more_key"]
-KEY_FIELDS = [("key", pa.int64()), ("more_key", pa.int64())]
+def id_width(tokenizer):
+    return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def _numbers(frequent):
-    """Word number by word, from the broadcast column."""
-    return {w: n for n, w in enumerate(pa.array(frequent).cast(pa.binary()).to_pylist())}
+def _keyed(docs):
+    """Documents by a key that only repeated rows share: the id and a hash of the text, a
+    short one where there is an id."""
+    whole = F.xxhash64("text")
+    return docs.withColumn(
+        "text_key", F.when(F.col("id").isNull(), whole).otherwise(F.hash("text").cast("long"))
+    ).withColumn("id_key", F.coalesce(F.col("id").cast("string"), F.lit("")))
+
+
+KEY = ["id_key", "text_key"]
+KEY_FIELDS = [("id_key", pa.string()), ("text_key", pa.int64())]
+
+
+class WordIndex:
+    """Numbers of distinct words, by two hashes of 64 bits: the first finds the word, the
+    second confirms it. What is broadcast is vars() of it, some 24 bytes a word."""
+
+    def __init__(self, words):
+        hashes, checks, *_ = hashed_words(b" ".join(words))
+        order = np.argsort(hashes)
+        self.numbers = order.astype(np.int32)
+        self.hashes, self.checks = hashes[order], checks[order]
+        # A table over the first bits narrows each search to a few entries.
+        bits = max(1, len(words).bit_length())
+        self.shift = np.uint64(64 - bits)
+        starts = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.first = np.searchsorted(self.hashes, starts).astype(np.int32)
+
+    @classmethod
+    def of(cls, parts):
+        made = cls.__new__(cls)
+        vars(made).update(parts)
+        return made
+
+    def find(self, hashes, checks):
+        """The number of each word; the count of words for all that are not in here."""
+        size = len(self.hashes)
+        out = np.full(len(hashes), size, np.int64)
+        if not size or not len(hashes):
+            return out
+        at = self.first[hashes >> self.shift].astype(np.int64)
+        rows = np.arange(len(hashes))
+        while len(rows):
+            place = at[rows]
+            rows, place = rows[place < size], place[place < size]
+            same = self.hashes[place] == hashes[rows]
+            hit = same & (self.checks[place] == checks[rows])
+            out[rows[hit]] = self.numbers[place[hit]]
+            onward = ~hit & (self.hashes[place] <= hashes[rows])
+            rows = rows[onward]
+            at[rows] += 1
+        return out
+
+
+def hashed_words(raw):
+    """(hashes, second hashes, first places, places after) of the words between spaces."""
+    hashes, first, after = word_hashes(raw)
+    # The second hash mixes in the sum of squares of the word's bytes.
+    squares = np.arange(1, 257, dtype=np.uint64) ** np.uint64(2)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(squares[np.frombuffer(raw, np.uint8)], out=sums[1:])
+    return hashes, mixed(hashes * np.uint64(3) + sums[after] - sums[first]), first, after
+
+
+def number_words(texts, index):
+    """For every text (it as bytes, first places of its words, places after, numbers)."""
+    start = 0
+    while start < len(texts):
+        end, size, raws = start, 0, []
+        while end < len(texts) and (end == start or size < BYTES_AT_ONCE):
+            raws.append(spaced(texts[end]))
+            size += len(raws[-1]) + 1
+            end += 1
+        hashes, checks, first, after = hashed_words(b" ".join(raws))
+        numbers = index.find(hashes, checks)
+        bounds = np.cumsum([0, *(len(r) + 1 for r in raws)])
+        cut = np.searchsorted(first, bounds)
+        for own, low, high, begin in zip(raws, cut[:-1], cut[1:], bounds):
+            yield own, first[low:high] - begin, after[low:high] - begin, numbers[low:high]
+        start = end
 
 
 def _rare_words(docs, frequent):
@@ -108,22 +194,24 @@ def _rare_words(docs, frequent):
     schema = pa.schema([*KEY_FIELDS, ("position", pa.int32()), ("word", pa.string())])
 
     def find(batches):
-        numbers = _numbers(frequent.value[0])
+        index = WordIndex.of(frequent.value["index"])
+        gap = len(index.hashes)
         for batch in batches:
             out = [[] for _ in schema]
             keys = zip(*(batch.column(k).to_pylist() for k in KEY))
-            for key, value in zip(keys, batch.column("text")):
-                for position, word in enumerate(split_words(value.as_py())):
-                    if word not in numbers:
-                        for column, cell in zip(out, (*key, position, word.decode())):
-                            column.append(cell)
+            texts = batch.column("text").to_pylist()
+            for key, (raw, first, after, numbers) in zip(keys, number_words(texts, index)):
+                for position in np.flatnonzero(numbers == gap).tolist():
+                    word = raw[first[position] : after[position]].decode()
+                    for column, cell in zip(out, (*key, position, word)):
+                        column.append(cell)
                 if len(out[0]) >= WORDS_PER_BATCH:
                     yield batch_of(schema, out)
                     out = [[] for _ in schema]
             yield batch_of(schema, out)
 
     return docs.select(*KEY, "text").mapInArrow(
-        find, "key long, more_key long, position int, word string"
+        find, "id_key string, text_key long, position int, word string"
     )
 
 
@@ -132,14 +220,11 @@ def _numbered(docs, frequent):
     kinds = dict(docs.dtypes)
 
     def pack(batches):
-        numbers = _numbers(frequent.value[0])
-        gap, get = len(numbers), numbers.get
+        index = WordIndex.of(frequent.value["index"])
         for batch in batches:
             packed = [
-                zlib.compress(
-                    _varints(np.array([get(w, gap) for w in split_words(v.as_py())], np.uint32)), 1
-                )
-                for v in batch.column("text")
+                zlib.compress(_varints(numbers.astype(np.uint32)), 1)
+                for *_, numbers in number_words(batch.column("text").to_pylist(), index)
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), *(batch.column(k) for k in KEY), pa.array(packed, pa.binary())],
@@ -147,7 +232,7 @@ def _numbered(docs, frequent):
             )
 
     return docs.select("id", *KEY, "text").mapInArrow(
-        pack, f"id {kinds['id']}, key long, more_key long, packed binary"
+        pack, f"id {kinds['id']}, id_key string, text_key long, packed binary"
     )
 
 
@@ -172,38 +257,48 @@ def _from_varints(data):
     return numbers
 
 
-def _filled(rows, frequent):
+def packed_lists(column, width):
+    """(flat ids, first places, sizes) of a column of packed ids."""
+    octets = np.dtype(width).itemsize
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // octets
+    flat = np.frombuffer(b"".join(column.to_pylist()), width)
+    return flat, np.cumsum(sizes) - sizes, sizes
+
+
+def _filled(rows, frequent, width):
     """Ids of each document: those of its word numbers, joined ids in the gaps."""
     kinds = dict(rows.dtypes)
 
     def fill(batches):
-        ids = pa.array(frequent.value[1])
-        offsets = ids.offsets.to_numpy()
-        starts, sizes = offsets[:-1], np.diff(offsets)
-        flat = ids.values.to_numpy(zero_copy_only=False)
+        common, starts, sizes = frequent.value["ids"]
         gap = len(sizes)
         # A gap counts as an empty word here and is widened below.
         starts, sizes = np.append(starts, 0), np.append(sizes, 0)
         for batch in batches:
-            made = []
-            joined = batch.column("rare").to_pylist()
-            for data, rare in zip(batch.column("packed").to_pylist(), joined):
-                numbers = _from_varints(zlib.decompress(data))
-                lengths, begins, source = sizes[numbers], starts[numbers], flat
-                if rare:
-                    lists = [r["ids"] for r in sorted(rare, key=lambda r: r["position"])]
-                    gaps = np.flatnonzero(numbers == gap)
-                    own = np.array([len(x) for x in lists])
-                    lengths[gaps] = own
-                    begins[gaps] = len(flat) + np.cumsum(own) - own
-                    source = np.concatenate([flat, [i for x in lists for i in x]])
-                total = np.cumsum(lengths)
-                shift = np.repeat(begins - (total - lengths), lengths)
-                made.append(source[np.arange(len(shift)) + shift].astype(np.int32))
-            lengths = np.array([0, *map(len, made)], np.int64).cumsum().astype(np.int32)
-            values = np.concatenate(made) if made else np.empty(0, np.int32)
-            arrays = pa.ListArray.from_arrays(pa.array(lengths), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), arrays], names=["id", "ids"])
+            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(begin, ROWS_AT_ONCE)
+                rare = part.column("rare")
+                found = pc.list_flatten(rare)
+                positions = found.field("position").to_numpy(zero_copy_only=False)
+                extra, extra_starts, extra_sizes = packed_lists(found.field("ids"), width)
+                source = np.concatenate([common, extra])
+                counts = pc.fill_null(pc.list_value_length(rare), 0).to_numpy(zero_copy_only=False)
+                upto = np.cumsum(counts)
+                made = []
+                for data, low, high in zip(part.column("packed").to_pylist(), upto - counts, upto):
+                    numbers = _from_varints(zlib.decompress(data))
+                    lengths, begins = sizes[numbers], starts[numbers]
+                    if high > low:
+                        own = low + np.argsort(positions[low:high], kind="stable")
+                        gaps = np.flatnonzero(numbers == gap)
+                        lengths[gaps] = extra_sizes[own]
+                        begins[gaps] = len(common) + extra_starts[own]
+                    total = np.cumsum(lengths)
+                    shift = np.repeat(begins - (total - lengths), lengths)
+                    made.append(source[np.arange(len(shift)) + shift].astype(np.int32))
+                offsets = np.cumsum([0, *map(len, made)]).astype(np.int32)
+                arrays = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made)))
+                yield pa.RecordBatch.from_arrays([part.column("id"), arrays], names=["id", "ids"])
 
     return rows.select("id", "packed", "rare").mapInArrow(
         fill, f"id {kinds['id']}, ids array<int>"
@@ -219,22 +314,29 @@ def encode_documents(docs, path, id="doc_id", text="text", frequent_words=FREQUE
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    words = stored(encode_words(word_uses(docs), path), "words")
-    frequent_rows = (
-        words.orderBy(F.desc("uses"), "word").limit(frequent_words).select("word", "ids").toArrow()
-    )
+    width = id_width(load_tokenizer(path))
+    counted = stored(common_words(docs), "common-words")
+    known = encode_words(highest(counted, frequency_level("uses"), frequent_words), path)
+    # The most frequent first: their numbers take the fewest bytes.
+    known = known.toArrow().sort_by([("uses", "descending"), ("word", "ascending")])
+    words = known.column("word").cast(pa.binary()).to_pylist()
     frequent = spark.sparkContext.broadcast(
-        tuple(frequent_rows.column(c).combine_chunks() for c in ("word", "ids"))
+        {
+            "index": vars(WordIndex(words)),
+            "ids": packed_lists(known.column("ids").combine_chunks(), width),
+        }
     )
     keyed = _keyed(docs)
-    rare = (
-        _rare_words(keyed, frequent)
-        .join(words.select("word", F.col("ids").alias("rare_ids")), "word")
+    rare = _rare_words(keyed, frequent)
+    # The distinct other words, encoded, and joined back to every place they stand at.
+    others = encode_words(rare.groupBy("word").agg(F.count(F.lit(1)).alias("uses")), path)
+    placed = (
+        rare.join(others.drop("uses"), "word")
         .groupBy(*KEY)
-        .agg(F.collect_set(F.struct("position", F.col("rare_ids").alias("ids"))).alias("rare"))
+        .agg(F.collect_set(F.struct("position", "ids")).alias("rare"))
     )
-    rows = _numbered(keyed, frequent).join(rare, KEY, "left")
-    return _filled(rows, frequent).withColumnRenamed("id", id)
+    rows = _numbered(keyed, frequent).join(placed, KEY, "left")
+    return _filled(rows, frequent, width).withColumnRenamed("id", id)
 
 
 def pieces_of(path):
@@ -247,19 +349,22 @@ def decode_documents(encoded, path, ids="ids"):
     """The rows with `decoded`: pieces joined to their ids, special tokens kept, with a
     space between pieces, as a tokenizer without a decoder does. Null ids give null."""
     spark = encoded.sparkSession
-    pieces = spark.sparkContext.broadcast(pieces_of(path))
+    pieces = spark.sparkContext.broadcast(pa.array(pieces_of(path), pa.string()))
     kinds = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)
 
     def decode(batches):
-        piece = pieces.value.__getitem__
         for batch in batches:
-            texts = [
-                None if row is None else " ".join(map(piece, row))
-                for row in batch.column(ids).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())],
-                names=[*batch.schema.names, "decoded"],
-            )
+            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(begin, ROWS_AT_ONCE)
+                lists = part.column(ids)
+                # The join: piece of each id, in place.
+                found = pieces.value.take(pc.list_flatten(lists))
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), found), " ")
+                texts = pc.if_else(pc.is_valid(lists), texts, pa.scalar(None, pa.string()))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, texts], names=[*part.schema.names, "decoded"]
+                )
 
     return encoded.mapInArrow(decode, f"{kinds}, decoded string")

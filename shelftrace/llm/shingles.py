@@ -23,6 +23,7 @@ SEPARATED = bytes(
     c if c >= 128 or c in _LOWER else c + 32 if 65 <= c <= 90 else 32 for c in range(256)
 )
 _PRIME = np.uint64(0x100000001B3)
+_INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
 
 
 def mixed(values):
@@ -32,28 +33,29 @@ def mixed(values):
     return values ^ (values >> np.uint64(31))
 
 
-def powers(count):
+def powers(base, count):
     out = np.ones(max(count, 1), np.uint64)
-    if count > 1:
-        out[1:] = _PRIME
-        out = np.multiply.accumulate(out)
-    return out
+    out[1:] = base
+    return np.multiply.accumulate(out)
+
+
+def word_places(raw):
+    """(first places, places after the last byte) of the words between spaces."""
+    inside = np.zeros(len(raw) + 2, bool)
+    inside[1:-1] = np.frombuffer(raw, np.uint8) != 32
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    return turns[::2], turns[1::2]
 
 
 def word_hashes(raw):
-    """Hashes of the words of a separated text, with the place of their first bytes."""
-    octets = np.frombuffer(raw, np.uint8)
-    inside = octets != 32
-    starts = inside.copy()
-    starts[1:] &= ~inside[:-1]
-    first = np.flatnonzero(starts)
-    if not len(first):
-        return np.empty(0, np.uint64), first
-    word = np.cumsum(starts)[inside] - 1
-    place = np.flatnonzero(inside) - first[word]
-    parts = (octets[inside].astype(np.uint64) + np.uint64(1)) * powers(int(place.max()) + 1)[place]
-    begin = np.flatnonzero(starts[inside])
-    return mixed(np.add.reduceat(parts, begin)), first
+    """(hashes, first places, places after the last byte) of the words between spaces."""
+    first, after = word_places(raw)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    octets = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)
+    np.cumsum(octets * powers(_PRIME, len(raw))[: len(raw)], out=sums[1:])
+    # The word's part of the sum, moved to where a text would begin with it.
+    begun = powers(_INVERSE, len(raw) + 1)[first]
+    return mixed((sums[after] - sums[first]) * begun), first, after
 
 
 def shingle_arrays(texts):
@@ -66,7 +68,7 @@ def shingle_arrays(texts):
             raws.append((texts[end] or "").encode("utf-8", "surrogatepass").translate(SEPARATED))
             size += len(raws[-1]) + 1
             end += 1
-        words, first = word_hashes(b" ".join(raws))
+        words, first, _ = word_hashes(b" ".join(raws))
         bounds = np.cumsum([0, *(len(r) + 1 for r in raws)])
         cut = np.searchsorted(first, bounds)
         whole = np.zeros(max(len(words) - SHINGLE_WORDS + 1, 0), np.uint64)
