@@ -110,6 +110,13 @@ def current_versions(dimension):
     return dimension.where("iscurrent = 1")
 
 
+def as_of(dimension, moment):
+    """The versions that were valid at a moment: begun by then and not yet ended."""
+    moment = as_time(moment)
+    ended = F.col("end_date").isNotNull() & (F.col("end_date") <= moment)
+    return dimension.where((F.col("st_date") <= moment) & ~ended)
+
+
 def bootstrap(table, every_row=False):
     """Validity columns for a table that had none.
 

@@ -244,6 +244,7 @@ UNION ALL
 SELECT row_no, sku, current_price, old_price, validation_errors
 FROM judged WHERE validation_errors IS NOT NULL""",
     "clean_feed": f"WITH {_CLEANED}\nSELECT * FROM cleaned",
+    "cleaned_table": f"WITH {_CLEANED}\nSELECT * FROM cleaned",
     "distinct_profile": f"""WITH {_CLEANED}
 SELECT count(DISTINCT rating) AS distinct_rating,
   count(DISTINCT reviews_count) AS distinct_reviews_count FROM cleaned""",
@@ -292,6 +293,8 @@ WHERE now.sku IS NULL OR now.row_hash <> source.row_hash""",
     "scd2_merge": f"{_LUMPED_HISTORY}{_VERSION_SELECT}",
     "scd2_history": f"{_HISTORY}{_VERSION_SELECT}",
     "scd2_current": f"{_HISTORY}{_VERSION_SELECT} WHERE end_date IS NULL",
+    "scd2_as_of": f"{_HISTORY}{_VERSION_SELECT} WHERE st_date <= TIMESTAMP '1998-07-01'"
+    " AND (end_date IS NULL OR end_date > TIMESTAMP '1998-07-01')",
     "merge_counts": f"{_HISTORY}SELECT st_date, count(*) AS rows_inserted FROM versions GROUP BY st_date",
     "scd2_incremental": f"{_HISTORY}{_VERSION_SELECT}",
     "scd2_events": f"""WITH event_feed AS (

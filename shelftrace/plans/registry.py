@@ -169,6 +169,14 @@ def clean_feed(spark, sf_dir):
     return _cleaned(spark, sf_dir)
 
 
+@query
+def cleaned_table(spark, sf_dir):
+    """The cleaned feed as written for later use."""
+    path = fresh_path(spark, "cleaned")
+    feed.write_cleaned(_cleaned(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 @query
 def distinct_profile(spark, sf_dir):
     return profile.distinct_profile(_cleaned(spark, sf_dir))
@@ -267,6 +275,15 @@ def scd2_current(spark, sf_dir):
     return _versions(history.current_versions(history.rebuild(_latest(spark, sf_dir))))
 
 
+AS_OF = "1998-07-01 00:00:00"
+
+
+@query
+def scd2_as_of(spark, sf_dir):
+    """The products as they were in the middle of a year."""
+    return _versions(history.as_of(history.rebuild(_latest(spark, sf_dir)), AS_OF))
+
+
 @query
 def merge_counts(spark, sf_dir):
     """Versions opened by each batch."""

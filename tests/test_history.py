@@ -216,6 +216,20 @@ def test_unmarked_table_is_adopted_whole(spark, small, tmp_path):
     assert other.last_commit().version == 0
 
 
+def test_point_in_time(spark, tmp_path):
+    store = VersionStore(spark, str(tmp_path / "dim"))
+    store.apply(source(spark, [(1, "A", "x"), (2, "B", "x")]), "b1", T[0])
+    store.apply(source(spark, [(3, "A", "y")]), "b2", T[2])
+
+    def at(moment):
+        rows = history.as_of(store.all_versions(), moment).collect()
+        return sorted((r.sku, r.product_name) for r in rows)
+
+    assert at(T[0]) == at(T[1]) == [("A", "x"), ("B", "x")]
+    assert at(T[2]) == at(T[5]) == [("A", "y"), ("B", "x")]
+    assert at("2020-01-01 00:00:00") == []
+
+
 def test_adopted_table(spark, small, tmp_path):
     store = VersionStore(spark, str(tmp_path / "dim"))
     old = feeds.legacy_table(spark, small)
