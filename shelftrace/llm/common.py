@@ -1,7 +1,5 @@
 """Helpers that several operators share."""
 
-import re
-
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -25,19 +23,12 @@ def words_of(text):
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def whole_text(column="text"):
-    return F.coalesce(F.col(column), F.lit("")).alias(column)
-
-
 def batch_of(schema, columns):
     """A record batch from lists, by the Arrow schema."""
     arrays = [pa.array(v, f.type) for v, f in zip(columns, schema)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-LETTER = re.compile(r"[^\W\d_]")
-
-
 def highest(rows, level, most):
     """The rows with the highest values of `level`, a whole number of few distinct
     values: `most` at most, and all rows of a level or none. Counts per level decide, so

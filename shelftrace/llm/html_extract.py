@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelftrace.llm.html_blocks import blocks, deepest, shares, text_under
 from shelftrace.llm.url_filter import url_host
+from shelftrace.sources.shared import stored
 
 # Least average share of the text that the winning container holds.
 LEAST_SHARE = 0.75
@@ -41,18 +42,21 @@ def container_votes(pages):
 
 
 def winning_paths(pages, least=LEAST_SHARE):
-    """(voting_host, winner): the deepest path of each host with enough votes. The
-    empty path, the whole page, has a whole vote of every page that has text."""
-    votes = container_votes(pages).groupBy("host", "path").agg(F.sum("share").alias("votes"))
+    """(voting_host, winner): the deepest path of each host with enough votes, of several
+    the one with most votes, then the first by text. The empty path, the whole page, has
+    a whole vote of every page that has text. Few paths have enough votes; only those are
+    compared, one at a time."""
+    votes = stored(
+        container_votes(pages).groupBy("host", "path").agg(F.sum("share").alias("votes")), "votes"
+    )
+    whole = votes.where(F.col("path") == "")
+    whole = whole.select(F.col("host").alias("voting_host"), F.col("votes").alias("pages"))
     depth = F.when(F.col("path") == "", 0).otherwise(F.size(F.split("path", STEP)))
-    # Deepest first, then by votes, then by text, among the paths with enough votes.
     rated = F.struct((-depth).alias("depth"), (-F.col("votes")).alias("votes"), "path")
-    ranked = votes.groupBy(F.col("host").alias("voting_host")).agg(
-        F.max(F.when(F.col("path") == "", F.col("votes"))).alias("pages"),
-        F.collect_set(rated).alias("rated"),
+    enough = votes.join(whole, F.col("host") == F.col("voting_host")).where(
+        F.col("votes") >= F.lit(least) * F.col("pages") - 1e-6
     )
-    enough = F.filter("rated", lambda r: -r["votes"] >= F.lit(least) * F.col("pages") - 1e-6)
-    return ranked.select("voting_host", F.array_min(enough)["path"].alias("winner"))
+    return enough.groupBy("voting_host").agg(F.min(rated)["path"].alias("winner"))
 
 
 def extract_pages(pages, least=LEAST_SHARE, id="page_id", url="url", html="html"):
