@@ -12,7 +12,7 @@ from shelftrace.llm.queries import WORD_BPE_FILE
 from shelftrace.sources.shared import stored
 
 
-def clean_language(spark, docs, sf_dir):
+def without_toxicity(spark, docs, sf_dir):
     """Documents without toxic passages: those that the label is not likely for."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels, remainder("doc_id", 5) != 0)
@@ -51,7 +51,7 @@ def encoded(spark, docs, sf_dir):
 
 
 STAGES = [
-    ("toxicity", clean_language),
+    ("toxicity", without_toxicity),
     ("language", known_language),
     ("near_dedup", one_of_each),
     ("mixing", mixed),

@@ -3,7 +3,6 @@ import random
 import numpy as np
 import pytest
 from llm_tables import documents, found, no_documents, rows
-from pyspark.sql import functions as F
 
 from shelftrace.llm import near_dedup
 from shelftrace.llm.components import components
