@@ -1,7 +1,6 @@
 """Column expressions on handmade rows."""
 
 import random
-import re
 import sys
 from decimal import Decimal, InvalidOperation
 from urllib.parse import urljoin
