@@ -2,8 +2,8 @@
 
 Texts are split at ASCII white space, which no token of the tokenizer crosses. Each
 distinct word is encoded once. A document becomes a list of word numbers: frequent words
-(a fixed number at most) are known to all tasks, every other word is joined to its ids
-and put back at its position.
+(a fixed number at most) are known to all tasks, every other word is brought together
+from all its places, encoded, and its ids are joined back by document and position.
 """
 
 import os
@@ -103,6 +103,38 @@ def encode_words(words, path):
     return words.select("word", "uses").mapInArrow(encode, "word string, uses long, ids binary")
 
 
+def encode_places(rare, path):
+    """(key, position, ids) of words by their places. All places of a word come together
+    in one partition, in a row, so each word is encoded once and its ids go back to all
+    its places. A word here is rarer than every frequent one."""
+
+    def encode(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        tokenizer = load_tokenizer(path)
+        width = id_width(tokenizer)
+        last = ids = None
+        for batch in batches:
+            for start in range(0, batch.num_rows, WORDS_AT_ONCE):
+                part = batch.slice(start, WORDS_AT_ONCE)
+                words = part.column("word").to_pylist()
+                fresh = [w for before, w in zip([last, *words], words) if w != before]
+                made = iter(tokenizer.encode_batch_fast(fresh, add_special_tokens=False))
+                placed = []
+                for word in words:
+                    if word != last:
+                        last, ids = word, np.array(next(made).ids, width).tobytes()
+                    placed.append(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in [*KEY, "position"]), pa.array(placed, pa.binary())],
+                    names=[*KEY, "position", "ids"],
+                )
+
+    together = rare.repartition("word").sortWithinPartitions("word")
+    return together.mapInArrow(
+        encode, "id_key string, text_key long, position int, ids binary"
+    )
+
+
 def id_width(tokenizer):
     return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
@@ -327,14 +359,8 @@ def encode_documents(docs, path, id="doc_id", text="text", frequent_words=FREQUE
         }
     )
     keyed = _keyed(docs)
-    rare = _rare_words(keyed, frequent)
-    # The distinct other words, encoded, and joined back to every place they stand at.
-    others = encode_words(rare.groupBy("word").agg(F.count(F.lit(1)).alias("uses")), path)
-    placed = (
-        rare.join(others.drop("uses"), "word")
-        .groupBy(*KEY)
-        .agg(F.collect_set(F.struct("position", "ids")).alias("rare"))
-    )
+    placed = encode_places(_rare_words(keyed, frequent), path)
+    placed = placed.groupBy(*KEY).agg(F.collect_set(F.struct("position", "ids")).alias("rare"))
     rows = _numbered(keyed, frequent).join(placed, KEY, "left")
     return _filled(rows, frequent, width).withColumnRenamed("id", id)
 
