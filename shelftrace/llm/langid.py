@@ -132,8 +132,9 @@ def train(docs, training, sample=SAMPLE, text="text", lang="lang", id="doc_id"):
     idf = (np.log((rows + 1) / (frequency + 1)) + 1).astype(np.float32)
     share = F.least(F.lit(float(1 << 20)), F.lit(float(sample << 20)) / F.count(F.lit(1)))
     shares = docs.groupBy(F.col("lang").alias("of")).agg(F.ceil(share).alias("upto"))
+    # A number per language: the model, which goes to all tasks as well, is far larger.
     chosen = docs.join(
-        shares, (F.col("lang") == F.col("of")) & (F.col("place") < F.col("upto"))
+        F.broadcast(shares), (F.col("lang") == F.col("of")) & (F.col("place") < F.col("upto"))
     )
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
