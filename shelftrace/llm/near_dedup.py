@@ -119,8 +119,9 @@ def texts_of(docs, nodes):
     """(node, text) of the given nodes, once each. A Bloom filter keeps other texts out of
     the shuffle."""
     hits = possible_hits(docs.select("node", "text"), "node", nodes, block_count(nodes.count()))
-    found = hits.join(nodes, "node", "left_semi")
-    return stored(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    # Copies of a text are brought together in each task, before the shuffle.
+    single = hits.groupBy("node").agg(F.first("text").alias("text"))
+    return stored(single.join(nodes, "node", "left_semi"), "texts")
 
 
 def verified(pairs, texts, idf, threshold):
@@ -160,7 +161,7 @@ def open_buckets(shared, classes):
     return rows.join(largest, "key").withColumn("asks", F.col("class") != F.col("largest"))
 
 
-def tile_links(keys, nodes, classes, sketches, askers, threshold):
+def tile_links(nodes, classes, sketches, askers, threshold):
     """Links between texts of different classes in one tile: for each asker and class the
     most similar text, if it reaches the threshold. `askers` are row numbers."""
     hashes = np.concatenate([h for h, _ in sketches])
@@ -209,7 +210,7 @@ def remaining_links(opened, texts, idf, threshold, block=BLOCK):
         sketches = [weighted(s, shared.value) for s in shingle_arrays(table["text"].to_pylist())]
         named = {c: n for n, c in enumerate(sorted(set(classes)))}
         numbers = np.array([named[c] for c in classes])
-        links = tile_links(key, nodes, numbers, sketches, np.flatnonzero(asks), threshold)
+        links = tile_links(nodes, numbers, sketches, np.flatnonzero(asks), threshold)
         links = [(a, b) for a, b in links if a != b]
         return pa.table(
             {
