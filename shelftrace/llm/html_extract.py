@@ -15,6 +15,8 @@ from shelftrace.sources.shared import stored
 
 # Least average share of the text that the winning container holds.
 LEAST_SHARE = 0.75
+# A host with this share of all pages or more is large; there are a thousand at most.
+LARGE_HOST = 0.001
 STEP = " > "
 
 
@@ -42,7 +44,7 @@ def container_votes(pages):
 
 
 def winning_paths(pages, least=LEAST_SHARE):
-    """(voting_host, winner): the deepest path of each host with enough votes, of several
+    """(voting_host, winner, pages): the deepest path of each host with enough votes, of several
     the one with most votes, then the first by text. The empty path, the whole page, has
     a whole vote of every page that has text. Few paths have enough votes; only those are
     compared, one at a time."""
@@ -56,7 +58,20 @@ def winning_paths(pages, least=LEAST_SHARE):
     enough = votes.join(whole, F.col("host") == F.col("voting_host")).where(
         F.col("votes") >= F.lit(least) * F.col("pages") - 1e-6
     )
-    return enough.groupBy("voting_host").agg(F.min(rated)["path"].alias("winner"))
+    winners = enough.groupBy("voting_host").agg(
+        F.min(rated)["path"].alias("winner"), F.first("pages").alias("pages")
+    )
+    return stored(winners, "winners")
+
+
+def with_winner(pages, winners):
+    """The pages with their host's winner, null for a host without text. Pages of large
+    hosts stay where they are: the winners of those are few and go to all tasks."""
+    every = winners.agg(F.sum("pages")).first()[0] or 0.0
+    large = F.broadcast(winners.where(F.col("pages") >= LARGE_HOST * every).drop("pages"))
+    same = F.col("host") == F.col("voting_host")
+    others = pages.join(large, same, "left_anti").join(winners.drop("pages"), same, "left")
+    return pages.join(large, same).unionByName(others)
 
 
 def extract_pages(pages, least=LEAST_SHARE, id="page_id", url="url", html="html"):
@@ -72,8 +87,7 @@ def extract_pages(pages, least=LEAST_SHARE, id="page_id", url="url", html="html"
         F.col(html).alias("html"),
         url_host(F.col(url)).alias("host"),
     )
-    winners = winning_paths(pages, least)
-    chosen = pages.join(winners, F.col("host") == F.col("voting_host"), "left")
+    chosen = with_winner(pages, winning_paths(pages, least))
     kind = dict(pages.dtypes)["id"]
 
     def extract(batches):
