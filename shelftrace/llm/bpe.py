@@ -156,13 +156,16 @@ class WordIndex:
     """Numbers of distinct words, by two hashes of 64 bits: the first finds the word, the
     second confirms it. What is broadcast is vars() of it, some 24 bytes a word."""
 
-    def __init__(self, words):
-        hashes, checks, *_ = hashed_words(b" ".join(words))
+    def __init__(self, parts):
+        """From lists of words, which are hashed one list at a time."""
+        made = [hashed_words(b" ".join(words))[:2] for words in parts]
+        hashes = np.concatenate([m[0] for m in made] or [np.empty(0, np.uint64)])
+        checks = np.concatenate([m[1] for m in made] or [np.empty(0, np.uint64)])
         order = np.argsort(hashes)
         self.numbers = order.astype(np.int32)
         self.hashes, self.checks = hashes[order], checks[order]
         # A table over the first bits narrows each search to a few entries.
-        bits = max(1, len(words).bit_length())
+        bits = max(1, len(hashes).bit_length())
         self.shift = np.uint64(64 - bits)
         starts = np.arange(1 << bits, dtype=np.uint64) << self.shift
         self.first = np.searchsorted(self.hashes, starts).astype(np.int32)
@@ -221,6 +224,12 @@ def number_words(texts, index):
         start = end
 
 
+def _parts(batch):
+    """A batch in slices, so that a task holds few texts in more than one form."""
+    for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+        yield batch.slice(start, ROWS_AT_ONCE)
+
+
 def _rare_words(docs, frequent):
     """(key, position, word) for words that are not frequent."""
     schema = pa.schema([*KEY_FIELDS, ("position", pa.int32()), ("word", pa.string())])
@@ -230,16 +239,17 @@ def _rare_words(docs, frequent):
         gap = len(index.hashes)
         for batch in batches:
             out = [[] for _ in schema]
-            keys = zip(*(batch.column(k).to_pylist() for k in KEY))
-            texts = batch.column("text").to_pylist()
-            for key, (raw, first, after, numbers) in zip(keys, number_words(texts, index)):
-                for position in np.flatnonzero(numbers == gap).tolist():
-                    word = raw[first[position] : after[position]].decode()
-                    for column, cell in zip(out, (*key, position, word)):
-                        column.append(cell)
-                if len(out[0]) >= WORDS_PER_BATCH:
-                    yield batch_of(schema, out)
-                    out = [[] for _ in schema]
+            for part in _parts(batch):
+                keys = zip(*(part.column(k).to_pylist() for k in KEY))
+                texts = part.column("text").to_pylist()
+                for key, (raw, first, after, numbers) in zip(keys, number_words(texts, index)):
+                    for position in np.flatnonzero(numbers == gap).tolist():
+                        word = raw[first[position] : after[position]].decode()
+                        for column, cell in zip(out, (*key, position, word)):
+                            column.append(cell)
+                    if len(out[0]) >= WORDS_PER_BATCH:
+                        yield batch_of(schema, out)
+                        out = [[] for _ in schema]
             yield batch_of(schema, out)
 
     return docs.select(*KEY, "text").mapInArrow(
@@ -254,14 +264,15 @@ def _numbered(docs, frequent):
     def pack(batches):
         index = WordIndex.of(frequent.value["index"])
         for batch in batches:
-            packed = [
-                zlib.compress(_varints(numbers.astype(np.uint32)), 1)
-                for *_, numbers in number_words(batch.column("text").to_pylist(), index)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(batch.column(k) for k in KEY), pa.array(packed, pa.binary())],
-                names=["id", *KEY, "packed"],
-            )
+            for part in _parts(batch):
+                packed = [
+                    zlib.compress(_varints(numbers.astype(np.uint32)), 1)
+                    for *_, numbers in number_words(part.column("text").to_pylist(), index)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), *(part.column(k) for k in KEY), pa.array(packed, pa.binary())],
+                    names=["id", *KEY, "packed"],
+                )
 
     return docs.select("id", *KEY, "text").mapInArrow(
         pack, f"id {kinds['id']}, id_key string, text_key long, packed binary"
@@ -293,8 +304,11 @@ def packed_lists(column, width):
     """(flat ids, first places, sizes) of a column of packed ids."""
     octets = np.dtype(width).itemsize
     sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // octets
-    flat = np.frombuffer(b"".join(column.to_pylist()), width)
-    return flat, np.cumsum(sizes) - sizes, sizes
+    _, offsets, data = column.cast(pa.binary()).buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    used = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if len(column) and data else b""
+    flat = np.frombuffer(bytes(used), width)
+    return flat, (np.cumsum(sizes) - sizes).astype(np.int32), sizes.astype(np.int32)
 
 
 def _filled(rows, frequent, width):
@@ -307,8 +321,7 @@ def _filled(rows, frequent, width):
         # A gap counts as an empty word here and is widened below.
         starts, sizes = np.append(starts, 0), np.append(sizes, 0)
         for batch in batches:
-            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(begin, ROWS_AT_ONCE)
+            for part in _parts(batch):
                 rare = part.column("rare")
                 found = pc.list_flatten(rare)
                 positions = found.field("position").to_numpy(zero_copy_only=False)
@@ -351,13 +364,14 @@ def encode_documents(docs, path, id="doc_id", text="text", frequent_words=FREQUE
     known = encode_words(highest(counted, frequency_level("uses"), frequent_words), path)
     # The most frequent first: their numbers take the fewest bytes.
     known = known.toArrow().sort_by([("uses", "descending"), ("word", "ascending")])
-    words = known.column("word").cast(pa.binary()).to_pylist()
+    parts = (b.column("word").cast(pa.binary()).to_pylist() for b in known.to_batches(WORDS_PER_BATCH))
     frequent = spark.sparkContext.broadcast(
         {
-            "index": vars(WordIndex(words)),
+            "index": vars(WordIndex(parts)),
             "ids": packed_lists(known.column("ids").combine_chunks(), width),
         }
     )
+    del known
     keyed = _keyed(docs)
     placed = encode_places(_rare_words(keyed, frequent), path)
     placed = placed.groupBy(*KEY).agg(F.collect_set(F.struct("position", "ids")).alias("rare"))
@@ -380,8 +394,7 @@ def decode_documents(encoded, path, ids="ids"):
 
     def decode(batches):
         for batch in batches:
-            for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(begin, ROWS_AT_ONCE)
+            for part in _parts(batch):
                 lists = part.column(ids)
                 # The join: piece of each id, in place.
                 found = pieces.value.take(pc.list_flatten(lists))

@@ -9,7 +9,7 @@ SHINGLE_WORDS = 5
 FREQUENCY_BUCKETS = 1 << 18
 RARE_SHARE = 0.1
 # Texts are worked on together up to so many bytes.
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 18
 
 SAMPLES = 64
 BAND_ROWS = 4

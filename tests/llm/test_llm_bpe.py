@@ -36,7 +36,7 @@ def test_varints_round_trip():
 
 def test_index_knows_its_words_only():
     words = [f"w{i}".encode() for i in range(5000)]
-    index = bpe.WordIndex(words)
+    index = bpe.WordIndex([words[:1234], words[1234:]])
     hashes, checks, *_ = bpe.hashed_words(b" ".join([*words[::-1], b"w5000", b"w", b"0w"]))
     assert index.find(hashes, checks).tolist() == [*range(4999, -1, -1), 5000, 5000, 5000]
     assert bpe.WordIndex([]).find(hashes, checks).tolist() == [0] * 5003
