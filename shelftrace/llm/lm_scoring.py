@@ -16,11 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelftrace.llm.common import batch_of, words_of
+from shelftrace.llm.common import batch_of, frequency_level, highest, words_of
 from shelftrace.llm.lattice import WORD_START, Vocabulary, expected_counts, log_likelihoods
 from shelftrace.sources.shared import stored
 
-# Words that travel to the tasks; the rest is joined.
+# Most words that travel to the tasks; the rest is joined.
 FREQUENT_WORDS = 1 << 17
 # Share of each seen word's count that goes to the pieces.
 DISCOUNT = 0.75
@@ -183,8 +183,7 @@ def _looked_up(docs, words):
     """Per document its sums over frequent words (word is null), and its other words."""
     frequent = {
         row[0].encode("utf-8", "surrogatepass"): tuple(row[1:])
-        for row in words.orderBy(F.desc("all_uses"), "word")
-        .limit(FREQUENT_WORDS)
+        for row in highest(words, frequency_level("all_uses"), FREQUENT_WORDS)
         .select("word", "known", "base_part", "score_part")
         .collect()
     }
