@@ -109,7 +109,7 @@ def test_no_python_runs(spark, small):
 
 def test_near_duplicates(spark):
     base = "the house by the river is old and the stones of the bridge are worn as in the valley of a mill "
-    texts = [base * 2 + "the end of one tale", base * 2 + "the end of one tale of kings", "unlike " * 30 + "the other story is told"]
+    texts = [base * 2 + "the end of one tale", base * 2 + "the end of one tale of kings and queens", "unlike " * 30 + "the other story is told"]
     docs = spark.createDataFrame(
         [(10 + i, t) for i, t in enumerate(texts)] + [(20, texts[0]), (None, texts[0]), (30, None)],
         "doc_id long, text string",
