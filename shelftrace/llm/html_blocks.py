@@ -29,6 +29,7 @@ ASIDE_WORDS = frozenset(
 # The page's header, but not the article's own.
 HEADER = "header"
 ARTICLE = frozenset(["article", "main"])
+TITLE = "h1"
 
 TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)
@@ -58,19 +59,26 @@ def _names(attributes):
 
 
 def blocks(html):
-    """(path, text, characters in links) of each block that is not aside, in page order.
+    """(path, text, characters in links) of each block of titled_blocks."""
+    return [found[:3] for found in titled_blocks(html)]
+
+
+def titled_blocks(html):
+    """(path, text, characters in links, whether it is a title) of each block that is not
+    aside, in page order.
 
     A path is a tuple of container steps, outermost first; a step is the tag with its
     classes, digits generalised. Elements left open end with what holds them.
     """
     out, pieces, path, stack = [], [], (), []
     asides = links = linked = articles = 0
+    title = False
 
     def flush():
         nonlocal pieces, linked
         text = " ".join("".join(pieces).split())
         if text and not asides:
-            out.append((path, text, min(linked, len(text))))
+            out.append((path, text, min(linked, len(text)), title))
         pieces, linked = [], 0
 
     def add(text):
@@ -92,9 +100,10 @@ def blocks(html):
             pieces.append(" ")
         elif tag in BREAKS:
             flush()
+            title = tag == TITLE and not token["end"]
         elif tag in CONTAINERS:
             flush()
-            links = 0
+            links, title = 0, False
             if token["end"]:
                 depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
                 if depth is not None:
@@ -123,7 +132,7 @@ def blocks(html):
 def shares(found):
     """Share of the page's text outside links that each container path holds."""
     held, total = {}, 0.0
-    for path, text, linked in found:
+    for path, text, linked, *_ in found:
         weight = len(text) - linked
         total += weight
         for depth in range(len(path) + 1):
@@ -131,11 +140,56 @@ def shares(found):
     return {p: w / total for p, w in held.items()} if total else {}
 
 
+def is_article(step):
+    return step.split(".", 1)[0] in ARTICLE
+
+
 def deepest(rated, least):
     """The deepest path with a share of at least `least`, first by text if several."""
     good = [p for p, share in rated.items() if share >= least]
     return min(good, key=lambda p: (-len(p), p), default=())
 
 
+def main_container(rated, least):
+    """As deepest, but an article or main element goes before what it holds."""
+    articles = {p: share for p, share in rated.items() if p and is_article(p[-1])}
+    return deepest(articles, least) or deepest(rated, least)
+
+
 def text_under(found, path):
-    return "\n".join(text for own, text, _ in found if own[: len(path)] == path)
+    return "\n".join(text for own, text, *_ in found if own[: len(path)] == path)
+
+
+def article_text(found, path):
+    """The blocks at the main container `path` and those around it that belong to the
+    article, one per line; empty if the page has no such container.
+
+    The outermost container around it that has text of its own, beside its containers,
+    belongs to the article; so do containers beside `path` with a title. Nothing outside
+    the article or main element that holds `path` does. Blocks that are mostly links
+    are left out around `path`, not in it.
+    """
+    if not any(own[: len(path)] == path for own, *_ in found):
+        return ""
+    least = next((d for d, step in enumerate(path, 1) if is_article(step)), 0)
+    top, beside = len(path), set()
+    for own, text, linked, title in found:
+        if own[:least] != path[:least] or own[: len(path)] == path or 2 * linked > len(text):
+            continue
+        if own == path[: len(own)]:
+            top = min(top, len(own))
+        elif title:
+            beside.add(own[: _common(own, path) + 1])
+
+    def belongs(own, text, linked):
+        if own[: len(path)] == path:
+            return True
+        around = own[:top] == path[:top] or own[: _common(own, path) + 1] in beside
+        return around and 2 * linked <= len(text)
+
+    return "\n".join(text for own, text, linked, _ in found if belongs(own, text, linked))
+
+
+def _common(left, right):
+    """Number of first steps that two paths share."""
+    return next((d for d, (a, b) in enumerate(zip(left, right)) if a != b), min(len(left), len(right)))

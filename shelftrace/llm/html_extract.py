@@ -2,14 +2,16 @@
 
 Each page rates its containers by the share of its text outside links that they hold,
 and every container path gets these shares as votes of its host. The host's winner is
-the deepest path that holds most of the text of its pages on average; the text is then
-taken from the containers at that path. A page without such a container goes by its own.
+the deepest path that holds most of the text of its pages on average, an article or main
+element before what it holds; the text is then taken from the containers at that path
+and from what lies around them and belongs to the article. A page without such a
+container goes by its own.
 """
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelftrace.llm.html_blocks import blocks, deepest, shares, text_under
+from shelftrace.llm.html_blocks import ARTICLE, article_text, blocks, main_container, shares, titled_blocks
 from shelftrace.llm.url_filter import url_host
 from shelftrace.sources.shared import stored
 
@@ -44,8 +46,9 @@ def container_votes(pages):
 
 
 def winning_paths(pages, least=LEAST_SHARE):
-    """(voting_host, winner, pages): the deepest path of each host with enough votes, of several
-    the one with most votes, then the first by text. The empty path, the whole page, has
+    """(voting_host, winner, pages): the deepest path of each host with enough votes, one that
+    ends with an article or main element first, of several the one with most votes, then
+    the first by text. The empty path, the whole page, has
     a whole vote of every page that has text. Few paths have enough votes; only those are
     compared, one at a time."""
     votes = stored(
@@ -54,7 +57,13 @@ def winning_paths(pages, least=LEAST_SHARE):
     whole = votes.where(F.col("path") == "")
     whole = whole.select(F.col("host").alias("voting_host"), F.col("votes").alias("pages"))
     depth = F.when(F.col("path") == "", 0).otherwise(F.size(F.split("path", STEP)))
-    rated = F.struct((-depth).alias("depth"), (-F.col("votes")).alias("votes"), "path")
+    tag = F.substring_index(F.substring_index("path", STEP, -1), ".", 1)
+    rated = F.struct(
+        (~tag.isin(*sorted(ARTICLE))).alias("inner"),
+        (-depth).alias("depth"),
+        (-F.col("votes")).alias("votes"),
+        "path",
+    )
     enough = votes.join(whole, F.col("host") == F.col("voting_host")).where(
         F.col("votes") >= F.lit(least) * F.col("pages") - 1e-6
     )
@@ -94,10 +103,10 @@ def extract_pages(pages, least=LEAST_SHARE, id="page_id", url="url", html="html"
         for batch in batches:
             texts = []
             for page, winner in zip(batch.column("html"), batch.column("winner").to_pylist()):
-                found = blocks(page.as_py() or "")
-                text = text_under(found, tuple(winner.split(STEP)) if winner else ())
+                found = titled_blocks(page.as_py() or "")
+                text = article_text(found, tuple(winner.split(STEP)) if winner else ())
                 if not text and found:
-                    text = text_under(found, deepest(shares(found), least))
+                    text = article_text(found, main_container(shares(found), least))
                 texts.append(text)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())],

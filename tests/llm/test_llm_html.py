@@ -73,3 +73,35 @@ def test_odd_pages(spark):
 
 def test_no_pages(spark):
     assert found(html_extract.extract_pages(pages(spark, []))) == []
+
+
+BODY = "<p>" + "words of the story " * 40 + "</p>"
+STORY = ("words of the story " * 40).strip()
+
+
+def extracted(spark, *htmls):
+    rows = [(i, "http://h.org/", html) for i, html in enumerate(htmls)]
+    return [r[2] for r in sorted(found(html_extract.extract_pages(pages(spark, rows))))]
+
+
+def test_title_and_lead_beside_the_body(spark):
+    part = f"<h1>T</h1><p>lead</p><div class=body>{BODY}</div>"
+    stray = "<div class=s><p>Read these other stories</p></div>"
+    for tag in ("article", "main", "div"):
+        assert extracted(spark, *[f"{stray}<{tag}>{part}</{tag}>"] * 3) == [f"T\nlead\n{STORY}"] * 3
+    assert extracted(spark, part) == [f"T\nlead\n{STORY}"]
+    head = f"{stray}<div class=page><div class=head><h1>T</h1><p>lead</p></div><div class=body>{BODY}</div></div>"
+    assert extracted(spark, head) == [f"T\nlead\n{STORY}"]
+
+
+def test_list_pages(spark):
+    items = "".join(f"<li>item {i} of the list" for i in range(40))
+    want = "T\nintro\n" + "\n".join(f"item {i} of the list" for i in range(40))
+    for tag in ("article", "div"):
+        page = f"<div class=s><p>Read on</p></div><{tag}><h1>T</h1><p>intro<ul>{items}</ul></{tag}>"
+        assert extracted(spark, page, page) == [want] * 2
+
+
+def test_links_around_the_body_are_left_out(spark):
+    page = f"<div><h1>T</h1><div class=body>{BODY}</div><p><a href=x>Next story</a></p></div>"
+    assert extracted(spark, page) == [f"T\n{STORY}"]
