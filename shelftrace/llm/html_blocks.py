@@ -16,7 +16,8 @@ CONTAINERS = frozenset(
 )
 BREAKS = frozenset("body caption h1 h2 h3 h4 h5 h6 head hr html legend p pre".split())
 # Parts of a page that are not the article, by element and by word in class, id or role.
-ASIDE_TAGS = frozenset("aside dialog footer form menu nav search".split())
+ASIDE_TAGS = frozenset("aside dialog footer menu nav search".split())
+FORM = "form"
 ASIDE_WORDS = frozenset(
     """
     ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment
@@ -26,6 +27,14 @@ ASIDE_WORDS = frozenset(
     social sponsor sponsored subscribe subscription taboola toolbar widget widgets
     """.split()
 )
+# Those that can be longer than the article they follow.
+REPLY_WORDS = frozenset("comment comments disqus replies reply respond".split())
+# Words of names that tell what a container has or lacks, not what it is.
+TELLING = frozenset(
+    "closed disabled enabled free has have no non not open with without".split()
+)
+# How a container is marked: a form, by some words of a name, by a whole name, as replies.
+FORMS, PARTLY, WHOLLY, REPLIES = range(1, 5)
 # The page's header, but not the article's own.
 HEADER = "header"
 ARTICLE = frozenset(["article", "main"])
@@ -48,14 +57,24 @@ DIGITS = re.compile(r"[0-9]+")
 
 
 def _names(attributes):
-    """({class, id, role words}, generalised classes) of a start tag."""
-    words, classes = set(), []
+    """(mark by the names in class, id and role, 0 for none; generalised classes) of a
+    start tag."""
+    mark, classes = 0, []
     for found in ATTRIBUTE.finditer(attributes):
         value = (found[2] or found[3] or found[4] or "").lower()
-        words.update(NAME_PARTS.split(value))
+        mark = max(mark, *map(_mark, value.split()), 0)
         if found[1].lower() == "class":
             classes = sorted({DIGITS.sub("#", c) for c in value.split()})
-    return words, classes
+    return mark, classes
+
+
+def _mark(name):
+    words = {w for w in NAME_PARTS.split(name) if w}
+    if ASIDE_WORDS.isdisjoint(words) or not TELLING.isdisjoint(words):
+        return 0
+    if not REPLY_WORDS.isdisjoint(words):
+        return REPLIES
+    return WHOLLY if words <= ASIDE_WORDS else PARTLY
 
 
 def blocks(html):
@@ -68,9 +87,11 @@ def titled_blocks(html):
     aside, in page order.
 
     A path is a tuple of container steps, outermost first; a step is the tag with its
-    classes, digits generalised. Elements left open end with what holds them.
+    classes, digits generalised. Elements left open end with what holds them. What a
+    container's names say of it is weighed at the end, when its share is known.
     """
     out, pieces, path, stack = [], [], (), []
+    marked, within = [], ()
     asides = links = linked = articles = 0
     title = False
 
@@ -78,7 +99,7 @@ def titled_blocks(html):
         nonlocal pieces, linked
         text = " ".join("".join(pieces).split())
         if text and not asides:
-            out.append((path, text, min(linked, len(text)), title))
+            out.append((path, text, min(linked, len(text)), title, within, articles > 0))
         pieces, linked = [], 0
 
     def add(text):
@@ -107,26 +128,62 @@ def titled_blocks(html):
             if token["end"]:
                 depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
                 if depth is not None:
-                    for _, aside, article, _ in stack[depth:]:
+                    for _, aside, article, *_ in stack[depth:]:
                         asides -= aside
                         articles -= article
-                    path = stack[depth][3]
+                    path, within = stack[depth][3:]
                     del stack[depth:]
             elif not token["attributes"].endswith("/") or tag == "div":
-                words, classes = _names(token["attributes"]) if token["attributes"] else ((), [])
-                aside = (
-                    tag in ASIDE_TAGS
-                    or (tag == HEADER and not articles)
-                    or (tag not in ARTICLE and not ASIDE_WORDS.isdisjoint(words))
-                )
+                mark, classes = _names(token["attributes"]) if token["attributes"] else (0, [])
+                aside = tag in ASIDE_TAGS or (tag == HEADER and not articles)
                 article = tag in ARTICLE
-                stack.append((tag, aside, article, path))
+                stack.append((tag, aside, article, path, within))
+                if article:
+                    for number in within:
+                        marked[number][2] = True
+                elif not aside and (mark or tag == FORM):
+                    within = (*within, len(marked))
+                    # Mark, whether it lies in an article and whether it holds one.
+                    marked.append([mark or FORMS, articles > 0, False])
                 asides += aside
                 articles += article
                 path = (*path, ".".join([tag, *classes]))
     add(html[at:])
     flush()
-    return out
+    held = _asides(out, marked)
+    return [found[:4] for found in out if held.isdisjoint(found[4])]
+
+
+def _asides(found, marked):
+    """Numbers of the marked containers that are aside.
+
+    A mark does not hold for a container with most of the article's text, or of the
+    page's if it has no article. Within an article or beside one, where no article lies
+    in it, a whole name still holds, and replies hold as long as there is other text.
+    """
+    if not marked:
+        return frozenset()
+    texts = [(len(text) - linked, within, article) for _, text, linked, _, within, article in found]
+    if any(weight for weight, _, article in texts if article):
+        texts = [t for t in texts if t[2]]
+        articles = True
+    else:
+        articles = False
+    total, held = sum(t[0] for t in texts), [0] * len(marked)
+    for weight, within, _ in texts:
+        for number in within:
+            held[number] += weight
+
+    def holds(mark, inside, around, weight):
+        if 2 * weight <= total:
+            return True
+        if mark == FORMS:
+            return articles and not around
+        if mark == REPLIES and (inside or not articles):
+            return weight < total
+        return mark == WHOLLY and inside and not around and weight < total
+
+    return {n for n, m in enumerate(marked) if holds(*m, held[n])}
 
 
 def shares(found):

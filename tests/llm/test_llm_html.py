@@ -105,3 +105,33 @@ def test_list_pages(spark):
 def test_links_around_the_body_are_left_out(spark):
     page = f"<div><h1>T</h1><div class=body>{BODY}</div><p><a href=x>Next story</a></p></div>"
     assert extracted(spark, page) == [f"T\n{STORY}"]
+
+
+def test_wrappers_named_after_what_they_have_or_lack():
+    wrappers = [
+        "div class='layout no-sidebar'",
+        "div class='page has-sidebar'",
+        "div id='post' class='ad-free'",
+        "section class='article-with-comments'",
+        "div class='comments-open'",
+        "div class='page sidebar'",
+        "div class='sidebar-left'",
+        "form id=whole",
+    ]
+    for start in wrappers:
+        for part in ("<article>{}</article>", "<div><article>{}</article></div>", "{}"):
+            if start.startswith("form") and part == "{}":
+                continue
+            page = f"<{start}>{part.format(BODY)}</{start.split()[0]}><div class=ad>Buy</div>"
+            assert text(page) == STORY, page
+
+
+def test_asides_longer_than_the_article():
+    long = "<p>much to say " * 50
+    for aside in ("div class=comments", "div class='comments-area'", "div class=ad", "div class=ad-slot"):
+        assert text(f"<article><p>short</p></article><{aside}>{long}</div>") == "short"
+    for aside in ("div class=comments", "div class=comment-list", "div class=ad"):
+        assert text(f"<article><p>short</p><{aside}>{long}</div></article>") == "short"
+    assert text(f"<p>short</p><div class=comments>{long}</div>") == "short"
+    cards = "<div class=related><article><p>A card</p></article></div>"
+    assert text(f"<article>{BODY}</article>{cards}") == STORY
