@@ -3,9 +3,15 @@
 import re
 from html import unescape
 
-# Elements without content worth reading, without an end tag, that hold
-# other blocks, and that start and end a block.
-RAW = "script|style|noscript|template|textarea|select|button|iframe|object|svg|math|title|option|canvas|audio|video"
+# Elements without content worth reading, to their end tag or the page's end,
+# and those that end with the next block if they have no end tag of their own; elements
+# that end an option; elements without an end tag, that hold other blocks, and that start
+# and end a block.
+RAW = "script|style|noscript|template|textarea|select|title"
+SKIPPED = frozenset("audio button canvas iframe math object option svg video".split())
+FOREIGN = frozenset(["math", "svg"])
+NESTED = FOREIGN | {"object"}
+OPTION, OPTION_ENDS = "option", frozenset("datalist optgroup option select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = frozenset(
     """
@@ -52,6 +58,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(
     r"""(?<![^\s"'/])(class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++))""", re.I
 )
+SAME_TAG = {t: re.compile(rf"<(/?+){t}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for t in SKIPPED}
 NAME_PARTS = re.compile(r"[^a-z]+")
 DIGITS = re.compile(r"[0-9]+")
 
@@ -110,12 +117,30 @@ def titled_blocks(html):
             if links:
                 linked += len(text.strip())
 
-    at = 0
-    for token in TOKEN.finditer(html):
-        add(html[at : token.start()])
+    at, skipped = 0, None
+    while token := TOKEN.search(html, at):
+        if not skipped:
+            add(html[at : token.start()])
         at = token.end()
-        tag = (token["tag"] or "").lower()
-        if tag == "a":
+        tag = (token["tag"] or token["raw"] or "").lower()
+        if skipped:
+            ended = tag == skipped and token["end"]
+            ended = ended or (skipped == OPTION and tag in OPTION_ENDS)
+            if tag == skipped and not ended and tag in NESTED:
+                at = _next_same(html, at, tag) or at
+            elif ended or tag == skipped or tag in CONTAINERS or tag in BREAKS:
+                skipped = None
+        if skipped or token["raw"]:
+            continue
+        if tag in SKIPPED:
+            if not token["end"]:
+                empty = tag in FOREIGN and token["attributes"].endswith("/")
+                same = None if empty else _next_same(html, at, tag)
+                if same:
+                    at = same
+                elif not empty:
+                    skipped = tag
+        elif tag == "a":
             links = 0 if token["end"] else 1
         elif tag == "br":
             pieces.append(" ")
@@ -148,12 +173,19 @@ def titled_blocks(html):
                 asides += aside
                 articles += article
                 path = (*path, ".".join([tag, *classes]))
-    add(html[at:])
+    if not skipped:
+        add(html[at:])
     flush()
     held = _asides(out, marked)
     return [found[:4] for found in out if held.isdisjoint(found[4])]
 
 
+def _next_same(html, at, tag):
+    """Where the end tag of an element ends, None if it has none before the next of its kind."""
+    same = SAME_TAG[tag].search(html, at)
+    return same.end() if same and same[1] else None
+
+
 def _asides(found, marked):
     """Numbers of the marked containers that are aside.
 

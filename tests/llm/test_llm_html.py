@@ -135,3 +135,28 @@ def test_asides_longer_than_the_article():
     assert text(f"<p>short</p><div class=comments>{long}</div>") == "short"
     cards = "<div class=related><article><p>A card</p></article></div>"
     assert text(f"<article>{BODY}</article>{cards}") == STORY
+
+
+def test_elements_without_an_end_tag_do_not_swallow_the_page():
+    for start in (
+        "<svg class=icon/>",
+        "<svg class='icon' />",
+        "<math/>",
+        "<svg><path d=x>",
+        "<datalist id=d><option value=a>A<option>B</datalist>",
+        "<select><option>A</select>",
+        "<button>Menu",
+        "<button class='x>y'>Menu</button>",
+        "<video src=x>",
+        "<audio src=x>",
+        "<canvas>",
+        "<object data=x>",
+        "<iframe src=x />",
+        "<div><button>Menu</div>",
+    ):
+        assert text(f"{start}<article><p>first</p><p>second</p></article>") == "first\nsecond", start
+        assert text(f"{start}<p>first</p>{start}<p>second") == "first\nsecond", start
+    assert text("<p>a <svg/>b <svg><title>T</title><text>t</text></svg>c <math></math>d</p>") == "a b c d"
+    assert text("<p>a <video><p>no video</p></video>b <option>x</option>c</p>") == "a b c"
+    assert text("<p>a <svg><svg></svg><text>t</text></svg>b <script>x") == "a b"
+    assert text("<p>a <button>x<button>y</button>b</p>") == "a b"
