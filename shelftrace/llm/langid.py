@@ -4,8 +4,8 @@ A text is a vector of hashed character n-grams within words, weighted by log fre
 and inverse document frequency and of length one. Document frequencies come from every
 training document; the centroids come from clustering a bounded sample of each language
 (SAMPLE documents are expected, chosen by hash). A text takes the language of the
-centroid with the largest cosine, and is rejected if it is further from it than the
-language's own documents get.
+centroid with the largest cosine, and is rejected if it is further from it than all but
+few of the language's own texts of its length.
 """
 
 import math
@@ -18,8 +18,17 @@ DIMENSIONS = 1 << 12
 SAMPLE = 1000
 CLUSTERS = 4
 TURNS = 12
-# A text may be this much less similar than the least similar sample document.
-SLACK = 0.5
+# A cluster holds this share of its language's sample at least.
+LEAST_SIZE = 0.02
+# The share of a language's texts that may lie under its cut, and the share of that cosine
+# that is the cut, as texts that were not learnt from are less similar.
+UNDER, SLACK = 0.005, 0.9
+# Passages for a cut, as many at least, several of each text if there are fewer texts.
+PASSAGES = 1000
+# Least letters of the classes of length that have cuts of their own; shorter texts are of
+# the first.
+LENGTHS = (2, 8, 16, 32, 64, 128, 256, 512)
+SEED = 5
 UNKNOWN = "und"
 ROWS_AT_ONCE = 256
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -96,28 +105,72 @@ def document_frequencies(docs):
     return frequency, rows
 
 
-def cluster(vectors, clusters=CLUSTERS, turns=TURNS):
-    """Spherical k-means from far-apart first centres; unit centroids."""
-    centres = [vectors.mean(axis=0)]
-    nearest = vectors @ centres[0]
+def cluster(vectors, clusters=CLUSTERS, turns=TURNS, seed=SEED):
+    """Spherical k-means from k-means++ documents; unit centroids. A cluster below the least
+    size starts anew from a document of the largest, and is left out if it stays so."""
+    chance = np.random.default_rng(seed)
+    least = max(1, int(LEAST_SIZE * len(vectors)))
+    centres = [vectors[chance.integers(len(vectors))]]
+    away = 1 - vectors @ centres[0]
     for _ in range(1, min(clusters, len(vectors))):
-        centres.append(vectors[int(nearest.argmin())])
-        nearest = np.maximum(nearest, vectors @ centres[-1])
+        weights = away.clip(0).astype(float)
+        weights = weights / weights.sum() if weights.sum() > 0 else None
+        centres.append(vectors[chance.choice(len(vectors), p=weights)])
+        away = np.minimum(away, 1 - vectors @ centres[-1])
     centres = np.array(centres)
-    for _ in range(turns):
-        norms = np.linalg.norm(centres, axis=1, keepdims=True)
-        centres = np.divide(centres, norms, out=np.zeros_like(centres), where=norms > 0)
+    for turn in range(turns):
         own = (vectors @ centres.T).argmax(axis=1)
-        for number in range(len(centres)):
-            if (own == number).any():
-                centres[number] = vectors[own == number].mean(axis=0)
-    norms = np.linalg.norm(centres, axis=1, keepdims=True)
-    return np.divide(centres, norms, out=np.zeros_like(centres), where=norms > 0)
+        sizes = np.bincount(own, minlength=len(centres))
+        largest = np.flatnonzero(own == sizes.argmax())
+        for number, size in enumerate(sizes):
+            if size >= least:
+                mean = vectors[own == number].mean(axis=0)
+                centres[number] = mean / np.linalg.norm(mean)
+            elif turn < turns // 2:
+                centres[number] = vectors[chance.choice(largest)]
+    sizes = np.bincount((vectors @ centres.T).argmax(axis=1), minlength=len(centres))
+    return centres[sizes >= min(least, sizes.max())]
+
+
+def length_class(counts):
+    """Number of the class in LENGTHS of each row of n-gram counts, three to a letter."""
+    return np.searchsorted(LENGTHS, counts.sum(axis=1) / 3, "right").clip(1) - 1
+
+
+def passage(text, wanted, letters, chance):
+    """`wanted` letters of a text from the start of a word, None if it has too few."""
+    letter = letters[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    upto = np.cumsum(letter)
+    starts = np.flatnonzero(letter & ~np.concatenate([[False], letter[:-1]]))
+    starts = starts[upto[starts] + wanted - 1 <= upto[-1]] if len(letter) else starts
+    if not len(starts):
+        return None
+    start = chance.choice(starts)
+    return text[start : np.searchsorted(upto, upto[start] + wanted - 1) + 1]
+
+
+def least_cosines(texts, counts, idf, centres, letters):
+    """The cut of each class of length: all but few of the texts of that length and of
+    as long passages of longer ones are more similar to their centroid. That of a longer
+    class is not less, whatever few texts it has."""
+    chance = np.random.default_rng(SEED)
+    own, classes = (unit_vectors(counts, idf) @ centres.T).max(axis=1), length_class(counts)
+    cuts, times = [], -(-PASSAGES // len(texts))
+    for number, wanted in enumerate(LENGTHS):
+        parts = [passage(t, wanted, letters, chance) for t in texts for _ in range(times)]
+        parts = gram_counts([p for p in parts if p], letters)
+        cosines = [own[classes == number]]
+        if len(parts):
+            cosines.append((unit_vectors(parts, idf) @ centres.T).max(axis=1))
+        cosines = np.concatenate(cosines)
+        least = np.quantile(cosines, UNDER, method="lower") if len(cosines) else 0.0
+        cuts.append(max(SLACK * float(least), *cuts[-1:], 0.0))
+    return cuts
 
 
 def train(docs, training, sample=SAMPLE, text="text", lang="lang", id="doc_id"):
     """The model as a dict of arrays: languages, centroids, of (language number of each
-    centroid), cut (least similarity of each language) and idf.
+    centroid), cut (least similarity of each language by class of length) and idf.
 
     Learns from rows where `training` holds, `lang` is not null and the text has a
     letter. About `sample` documents of each language are clustered, one language to a
@@ -139,14 +192,14 @@ def train(docs, training, sample=SAMPLE, text="text", lang="lang", id="doc_id"):
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def centroids(key, table):
-        vectors = unit_vectors(
-            gram_counts(table.column("text").to_pylist(), letter_table()), shared.value
-        )
-        vectors = vectors[vectors.any(axis=1)]
-        if not len(vectors):
-            return pa.table({"lang": pa.array([], pa.string()), "centroid": pa.array([], pa.binary()), "cut": pa.array([], pa.float64())})
-        centres = cluster(vectors)
-        cut = float((vectors @ centres.T).max(axis=1).min()) * SLACK
+        texts, letters = table.column("text").to_pylist(), letter_table()
+        counts = gram_counts(texts, letters)
+        known = counts.any(axis=1)
+        texts, counts = [t for t, k in zip(texts, known) if k], counts[known]
+        if not len(counts):
+            return pa.table({"lang": pa.array([], pa.string()), "centroid": pa.array([], pa.binary()), "cut": pa.array([], pa.list_(pa.float64()))})
+        centres = cluster(unit_vectors(counts, shared.value))
+        cut = least_cosines(texts, counts, shared.value, centres, letters)
         return pa.table(
             {
                 "lang": [key[0].as_py()] * len(centres),
@@ -158,7 +211,7 @@ def train(docs, training, sample=SAMPLE, text="text", lang="lang", id="doc_id"):
     made = (
         chosen.select("lang", "text")
         .groupBy("lang")
-        .applyInArrow(centroids, "lang string, centroid binary, cut double")
+        .applyInArrow(centroids, "lang string, centroid binary, cut array<double>")
         .collect()
     )
     made.sort(key=lambda r: (r[0], r[1]))
@@ -168,14 +221,14 @@ def train(docs, training, sample=SAMPLE, text="text", lang="lang", id="doc_id"):
         "languages": languages,
         "centroids": np.array([np.frombuffer(r[1], np.float32) for r in made]).reshape(-1, DIMENSIONS),
         "of": np.array([languages.index(r[0]) for r in made], int),
-        "cut": np.array([cuts[name] for name in languages]),
+        "cut": np.array([cuts[name] for name in languages]).reshape(-1, len(LENGTHS)),
         "idf": idf,
     }
 
 
 def classify(docs, model, text="text", lang_pred="lang_pred", score="score", rejected="rejected"):
     """The rows with the nearest language, its cosine (0 to 1) and whether the text is
-    too far from that language.
+    too far from that language for its length.
 
     A null text, one without letters, or any text if no language was learnt gives `und`
     with score 0 and is rejected. Of equally near languages the first by name wins.
@@ -197,7 +250,7 @@ def classify(docs, model, text="text", lang_pred="lang_pred", score="score", rej
                     place = near.argmax(axis=1)
                     which[known] = own["of"][place]
                     best[known] = near[np.arange(len(place)), place].clip(0, 1)
-                    away[known] = best[known] < own["cut"][which[known]]
+                    away[known] = best[known] < own["cut"][which[known], length_class(counts[known])]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(names[which], pa.string()), pa.array(best), pa.array(away)],
                     names=[*part.schema.names, lang_pred, score, rejected],

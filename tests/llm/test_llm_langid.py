@@ -1,3 +1,5 @@
+import base64
+
 import numpy as np
 from llm_tables import documents, found, no_documents, rows
 from pyspark.sql import functions as F
@@ -49,3 +51,47 @@ def test_sample_bound_does_not_change_frequencies(spark, small):
 def test_clusters_of_few_vectors():
     vectors = np.eye(langid.DIMENSIONS, dtype=np.float32)[:2]
     assert langid.cluster(vectors).shape == (2, langid.DIMENSIONS)
+
+
+FINNISH = (
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on "
+    "annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."
+)
+
+
+def random_letters(chance):
+    return "".join(chance.choice(list("abcdefghijklmnopqrstuvwxyz "), 400))
+
+
+def test_junk_and_foreign_latin_text_are_rejected(spark, small):
+    docs = spark.read.parquet(small.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    docs = docs.select("doc_id", "text", "lang")
+    chance = np.random.default_rng(1)
+    odd = [(-i, random_letters(chance), "en") for i in (1, 2)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    learnt = remainder("doc_id", 4) != 2
+    model = langid.train(docs, learnt | (F.col("doc_id") < 0))
+    junk = base64.b64encode(chance.bytes(300)).decode()
+    texts = [random_letters(chance), junk, FINNISH, FINNISH[:60]]
+    texts = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r[3] for r in found(langid.classify(texts, model))] == [True] * 4
+    held_out = langid.classify(docs.where(~learnt & (F.col("doc_id") > 0)), model)
+    rejected, all_rows = held_out.agg(F.sum(F.col("rejected").cast("int")), F.count("*")).first()
+    assert all_rows > 200 and rejected <= 0.02 * all_rows
+
+
+def test_odd_vectors_make_no_clusters():
+    chance = np.random.default_rng(2)
+    vectors = chance.random((400, 64)) * 0.4 + np.repeat(np.eye(4, 64) * 3, 100, axis=0)
+    vectors[::133] = np.eye(64)[10:14]
+    vectors = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+    centres = langid.cluster(vectors)
+    sizes = np.bincount((vectors @ centres.T).argmax(axis=1), minlength=len(centres))
+    assert len(centres) > 1 and sizes.min() >= 8
+    assert np.allclose(np.linalg.norm(centres, axis=1), 1, atol=1e-5)
+
+
+def test_short_texts_have_a_cut_of_their_own(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    cut = langid.train(docs, F.lit(True))["cut"]
+    assert (cut[:, 0] < cut[:, -1]).all()
