@@ -92,18 +92,18 @@ class ImpactIndex:
         return possible, self.vectors[possible] @ query
 
 
-def best_of(ids, vectors, query_ids, queries, wanted):
-    """(query id, id, score) of the best candidates of each query, not itself."""
+def best_of(ids, copies, vectors, query_ids, query_copies, queries, wanted):
+    """(query id, query copy, id, score) of the best candidates of each query, not itself."""
     index = ImpactIndex(vectors)
     out = []
-    for own, query in zip(query_ids, queries):
+    for own, copy, query in zip(query_ids, query_copies, queries):
         # One more than wanted, for the query itself may be among them.
         rows, scores = index.search(query, min(wanted + 1, len(ids)))
-        other = ids[rows] != own
+        other = (ids[rows] != own) | (copies[rows] != copy)
         rows, scores = rows[other], scores[other]
         best = np.lexsort((ids[rows], -scores))[:wanted]
-        out.append((np.full(len(best), own), ids[rows[best]], scores[best]))
-    return [np.concatenate(c) for c in zip(*out)] if out else [[], [], []]
+        out.append((np.full(len(best), own), np.full(len(best), copy), ids[rows[best]], scores[best]))
+    return [np.concatenate(c) for c in zip(*out)] if out else [[], [], [], []]
 
 
 def _matrix(column, width):
@@ -118,19 +118,22 @@ def _matrix(column, width):
 
 
 def scaled_vectors(rows, id, vector, scale=SCALE):
-    """(id, vector of long): each component floor(scale * x). Vectors that are null or
-    hold a null or a value that is not finite are left out, null ids too; of rows of one
-    id the least vector stays."""
+    """(id, copy, vector of long): each component floor(scale * x). Vectors that are null or
+    hold a null or a value that is not finite are left out, null ids too; rows of one id
+    and vector are one, different vectors of one id are numbered as its copies."""
     values = F.transform(F.col(vector), lambda x: x.cast("double"))
     odd = F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = F.transform(values, lambda x: F.floor(x * scale).cast("long"))
     good = rows.where(F.col(id).isNotNull() & F.col(vector).isNotNull() & ~odd)
-    return good.groupBy(F.col(id).cast("long").alias("id")).agg(F.min(whole).alias("vector"))
+    rows = good.select(F.col(id).cast("long").alias("id"), whole.alias("vector"))
+    rows = rows.dropDuplicates(["id", "vector"])
+    copy = F.row_number().over(Window.partitionBy("id").orderBy("vector")).cast("long")
+    return rows.select("id", copy.alias("copy"), "vector")
 
 
 def top_products(vectors, queries, wanted):
-    """(query_id, rank, vec_id, score) for each query of a table (id, vector) against all
-    rows of another: the `wanted` highest inner products, all if there are fewer, ties
+    """(query_id, rank, vec_id, score) for each query of a table (id, copy, vector)
+    against all other rows of another: the `wanted` highest inner products, all if there are fewer, ties
     by smaller id. A missing component counts as zero. Products are whole numbers as
     long as they fit 63 bits."""
     rows, asked = vectors.count(), queries.count()
@@ -138,36 +141,38 @@ def top_products(vectors, queries, wanted):
     groups = max(1, -(-asked // QUERIES_PER_BLOCK))
 
     def dealt(table, own, parts, other):
-        place = F.pmod(F.xxhash64("id", F.lit(own)), F.lit(parts)).cast("int")
+        place = F.pmod(F.xxhash64("id", "copy", F.lit(own)), F.lit(parts)).cast("int")
         return table.withColumns(
             {own: place, other[0]: F.explode(F.sequence(F.lit(0), F.lit(other[1] - 1)))}
-        ).select("id", "vector", "block", "query_block")
+        ).select("id", "copy", "vector", "block", "query_block")
 
     candidates = dealt(vectors, "block", blocks, ("query_block", groups))
     askers = dealt(queries, "query_block", groups, ("block", blocks))
 
     def search(key, left, right):
-        found = [[], [], []]
+        found = [[], [], [], []]
         if left.num_rows and right.num_rows:
             width = max(1, *(pc.max(pc.list_value_length(t["vector"])).as_py() for t in (left, right)))
             found = best_of(
                 left["id"].to_numpy(),
+                left["copy"].to_numpy(),
                 _matrix(left["vector"], width),
                 right["id"].to_numpy(),
+                right["copy"].to_numpy(),
                 _matrix(right["vector"], width),
                 wanted,
             )
         return pa.table(
-            {n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), found)}
+            {n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "copy", "vec_id", "score"), found)}
         )
 
     tiles = ["block", "query_block"]
     found = (
         candidates.groupBy(*tiles)
         .cogroup(askers.groupBy(*tiles))
-        .applyInArrow(search, "query_id long, vec_id long, score long")
+        .applyInArrow(search, "query_id long, copy long, vec_id long, score long")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id", "copy").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best))
     return ranked.where(F.col("rank") <= wanted).select("query_id", "rank", "vec_id", "score")
 

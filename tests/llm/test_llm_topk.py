@@ -70,3 +70,14 @@ def test_any_number_wanted(spark, wanted):
     got = found(topk.search(table, F.col("id") % 50 == 0, wanted))
     vectors = {i: [math.floor(256 * x) for x in v] for i, v in rows}
     assert sorted(got) == sorted(best(vectors, [0, 50, 100], wanted))
+
+
+def test_different_vectors_of_one_id_all_take_part(spark):
+    rows = [(50, [1.0]), (50, [3.0]), (50, [3.0]), (7, [2.0]), (7, [5.0]), (8, [4.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = found(topk.search(table, F.col("id") % 50 == 0, 4))
+    one, best = 256 * 256, [(7, 5), (8, 4), (50, 3), (7, 2)]
+    want = [(50, rank, i, x * one) for rank, (i, x) in enumerate(best, 1)]
+    best = [(7, 5), (8, 4), (7, 2), (50, 1)]
+    want += [(50, rank, i, 3 * x * one) for rank, (i, x) in enumerate(best, 1)]
+    assert sorted(got) == sorted(want)
