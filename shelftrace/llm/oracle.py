@@ -99,3 +99,67 @@ ranked as (
   from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
+
+SQL["op12_reverse_search"] = r"""
+with folded as (
+  select doc_id, row_number() over () as row,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+sized as (select row, doc_id, len(terms)::bigint as n, terms from folded where len(terms) > 0),
+whole as (select count(*)::bigint as docs, sum(n)::bigint as words from sized),
+counts as (
+  select row, term, count(*)::bigint as tf
+  from (select row, unnest(terms) as term from sized) group by row, term),
+held as (select term, count(*)::bigint as df from counts group by term),
+items as (
+  select item_id, text as item, term, count(*)::bigint as uses
+  from (select distinct item_id, text, unnest(range(len(found))) as place, found[place + 1] as term
+    from (select item_id, text, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as found from benchmark))
+  group by item_id, text, term),
+weighed as (
+  select i.*, floor(1000 * ln((2 * w.docs + 2)::double / (2 * h.df + 1)::double))::bigint as weight
+  from items i join held h using (term) cross join whole w),
+scored as (
+  select i.item_id, i.item, c.row, sum(i.uses * i.weight * ((1000000000 * c.tf)
+    // (1000 * c.tf + 8 * (100 - 75 + (75 * s.n * w.docs) // w.words))))::bigint as score
+  from weighed i join counts c using (term) join sized s using (row) cross join whole w
+  group by i.item_id, i.item, c.row),
+ranked as (
+  select item_id, item, doc_id, score, (row_number() over (partition by item_id, item
+    order by score desc, doc_id nulls last, row))::int as rank
+  from scored join sized using (row) where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
+SQL["op13_fill_middle"] = r"""
+with drawn as (
+  select doc_id, coalesce(text, '') as text, sha256('1:' || coalesce(doc_id::varchar, '')) as digest
+  from documents),
+cut as (
+  select doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') as tokens,
+    ('0x' || substr(digest, 1, 8))::bigint as h1, ('0x' || substr(digest, 9, 8))::bigint as h2,
+    ('0x' || substr(digest, 17, 8))::bigint as h3, ('0x' || substr(digest, 25, 8))::bigint as h4
+  from drawn),
+places as (
+  select *, len(tokens)::bigint as n, least(h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)) as first,
+    greatest(h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)) as second,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+      or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from cut),
+parts as (
+  select *, array_to_string(tokens[1:first], '') as prefix,
+    array_to_string(tokens[first + 1:second], '') as middle,
+    array_to_string(tokens[second + 1:], '') as suffix
+  from places)
+select doc_id, n, form,
+  case when form <> 'plain' then length(prefix) end as prefix_chars,
+  case when form <> 'plain' then length(middle) end as middle_chars,
+  sha256(case form when 'plain' then text
+    when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
+"""

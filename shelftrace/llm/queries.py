@@ -4,11 +4,14 @@ from pyspark.sql import functions as F
 
 from shelftrace.llm import (
     bpe,
+    fill_middle,
     html_extract,
     langid,
     lm_scoring,
     mixing,
     near_dedup,
+    reverse_search,
+    simhash,
     spotsigs,
     topk,
     toxicity,
@@ -118,3 +121,28 @@ def op6_topk(spark, sf_dir):
 @query
 def op7_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_reverse_search(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return reverse_search.search(docs, items)
+
+
+@query
+def op13_fill_middle(spark, sf_dir):
+    made = fill_middle.restore(fill_middle.transform(table(spark, sf_dir, "documents")))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )

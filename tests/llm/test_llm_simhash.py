@@ -1,0 +1,120 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from llm_tables import documents, found, no_documents
+
+from shelftrace.llm import simhash
+
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def fingerprint(text):
+    """By definition, bit by bit."""
+    words = re.findall("[^\x20\x09-\x0d]+", (text or "").translate(UPPER))
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [" ".join(words)] * bool(words)
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def component_ids(rows):
+    """[(id, fingerprint)] -> [(id, hex, component)] by comparing all pairs."""
+    prints = sorted({f for _, f in rows})
+    least = {f: min((i for i, g in rows if g == f and i is not None), default=None) for f in prints}
+    label = {f: f for f in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if (a ^ b).bit_count() <= 3 and label[a] > label[b]:
+                    label[a], changed = label[b], True
+    smallest = {}
+    for f in prints:
+        if least[f] is not None:
+            smallest[label[f]] = min(least[f], smallest.get(label[f], least[f]))
+    return [(i, f"{f:016x}", smallest.get(label[f])) for i, f in rows]
+
+
+def near_texts(seed, groups, copies):
+    random.seed(seed)
+    rows, id = [], 0
+    for _ in range(groups):
+        words = [f"w{random.randrange(300)}" for _ in range(random.choice([3, 40, 150]))]
+        for _ in range(copies):
+            edited = list(words)
+            for _ in range(random.choice([0, 0, 1, 1, 2])):
+                edited[random.randrange(len(edited))] = f"x{random.randrange(50)}"
+            rows.append((id, " ".join(edited).upper() if id % 3 else "\n".join(edited)))
+            id += 1
+    return rows
+
+
+def test_fingerprint_as_defined(monkeypatch):
+    texts = ["", " ", None, "One", "one  two", "a b c", "Ä b C d e", "x " * 50, " ".join(map(str, range(400)))]
+    for limit in (1 << 16, 7):
+        monkeypatch.setattr(simhash, "SHINGLES_AT_ONCE", limit)
+        for text in texts:
+            assert simhash.fingerprint(text) % (1 << 64) == fingerprint(text)
+
+
+@pytest.mark.parametrize("small, tile", [(32, 512), (2, 4), (1, 1)])
+def test_links_connect_what_all_pairs_connect(monkeypatch, small, tile):
+    monkeypatch.setattr(simhash, "SMALL", small)
+    monkeypatch.setattr(simhash, "TILE", tile)
+    random.seed(9)
+    bases = [random.getrandbits(64) for _ in range(6)]
+    prints = {b ^ sum(1 << random.randrange(64) for _ in range(random.randrange(4))) for b in bases for _ in range(25)}
+    prints = np.array(sorted(prints, key=lambda p: (p.bit_count(), p)), np.uint64)
+    units = np.sort(np.arange(len(prints)) % 3)
+    order = np.lexsort((prints, np.bitwise_count(prints), units))
+    units, prints = units[order], prints[order]
+    links = simhash.links_of(units, prints, 3)
+    assert len(links) < len(prints)
+    for unit in range(3):
+        own = np.flatnonzero(units == unit)
+        label = {i: i for i in own}
+        for _ in own:
+            for a, b in links:
+                if a in label:
+                    label[a] = label[b] = min(label[a], label[b])
+        for a in own:
+            for b in own:
+                if (int(prints[a]) ^ int(prints[b])).bit_count() <= 3:
+                    assert label[a] == label[b]
+
+
+@pytest.mark.parametrize("block", [4096, 4])
+def test_all_pairs_meet_in_blocks_and_tiles(spark, block):
+    """Random fingerprints near a few others, most of them in one block of each band."""
+    random.seed(block)
+    base = random.getrandbits(64)
+    flips = [sum(1 << b for b in random.sample(range(64), random.randrange(6))) for _ in range(120)]
+    prints = sorted({base ^ f for f in flips} | {random.getrandbits(64) for _ in range(80)})
+    table = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long")
+    links = [(a % (1 << 64), b % (1 << 64)) for a, b in found(simhash.near_links(table, block=block))]
+    assert all((a ^ b).bit_count() <= 3 for a, b in links)
+    label = {p: p for p in prints}
+    for _ in prints:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    want = {f: c for (_, f, c) in component_ids([(p, p) for p in prints])}
+    assert {f"{p:016x}": c for p, c in label.items()} == want
+
+
+def test_documents(spark):
+    rows = near_texts(3, 25, 6) + [(900, ""), (901, None), (902, " \n"), (None, ""), (None, "lone text here now"), (5, "a b c d"), (5, "a b c d")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found(simhash.near_duplicates(table))
+    want = component_ids([(i, fingerprint(t)) for i, t in rows])
+    assert len({c for *_, c in want}) < len(rows) - 20
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_common_cases(spark):
+    docs = documents(spark)
+    want = component_ids([(r.doc_id, fingerprint(r.text)) for r in docs.collect()])
+    assert sorted(found(simhash.near_duplicates(docs)), key=repr) == sorted(want, key=repr)
+    assert found(simhash.near_duplicates(no_documents(spark))) == []
