@@ -60,13 +60,28 @@ ATTRIBUTE = re.compile(
 
 
 def read_attributes(text):
-    """Attributes of one tag; the first of a repeated name counts."""
+    """Attributes of one tag as they stand; the first of a repeated name counts."""
     found = {}
     for name, double, single, bare in ATTRIBUTE.findall(text):
-        found.setdefault(name.lower(), unescape(double or single or bare))
+        found.setdefault(name.lower(), double or single or bare)
     return found
 
 
+def decoded(text):
+    """With its character references decoded; Python refuses numbers of thousands of
+    digits, for one."""
+    return unescape(text) if text and "&" in text else text
+
+
+def class_names(text):
+    """The classes of a class attribute; one that cannot be decoded counts as it stands."""
+    try:
+        text = decoded(text)
+    except Exception:  # whether the card fails is for its own fields to say
+        pass
+    return frozenset(text.split())
+
+
 def _by_last_tag():
     """What to look for at each tag: (name, classes of the last step, steps before)."""
     wanted = {}
@@ -86,7 +101,8 @@ def below(outer, ancestors):
 
 
 def read_cards(html):
-    """One dict of raw fields per card; a selector's first match in a card counts."""
+    """One dict of raw fields per card, or with the error of that card; a selector's first
+    match in a card counts."""
     cards = []
     elements = []  # open elements as (tag, classes)
     open_cards = []  # (depth, card)
@@ -97,13 +113,11 @@ def read_cards(html):
         if tag and not tag.islower():
             tag = tag.lower()
         if open_texts:
-            piece = html[done : token.start()]
-            if "&" in piece:
-                piece = unescape(piece)
+            found = [html[done : token.start()]]
             if tag in BREAKS:
-                piece += "\n"
+                found.append("\n")
             for _, pieces in open_texts:
-                pieces.append(piece)
+                pieces += found
         done = token.end()
         if not tag:
             continue
@@ -121,7 +135,7 @@ def read_cards(html):
         values, classes = None, NO_CLASSES
         if tag in SELECTED and "class" in attributes.lower():
             values = read_attributes(attributes)
-            classes = frozenset(values.get("class", "").split())
+            classes = class_names(values.get("class", ""))
         for name, last, outer in WANTED.get(tag, ()) if classes else ():
             if not last <= classes or not below(outer, elements):
                 continue
@@ -143,12 +157,21 @@ def read_cards(html):
         if tag not in VOID:
             elements.append((tag, classes))
     for _, pieces in open_texts:
-        pieces.append(unescape(html[done:]))
-    for position, card in enumerate(cards):
-        card["position"] = position
-        for name in TEXTS.keys() & card.keys():
-            card[name] = "".join(card[name])
-    return cards
+        pieces.append(html[done:])
+    return [card_row(position, card) for position, card in enumerate(cards)]
+
+
+def card_row(position, card):
+    """The raw fields of one card with references decoded, or why they cannot be."""
+    try:
+        row = {
+            name: "".join(map(decoded, value)) if name in TEXTS else decoded(value)
+            for name, value in card.items()
+            if name in RAW_FIELDS
+        }
+    except Exception as error:  # one bad card must not cost the page
+        row = {"parse_error": f"{type(error).__name__}: {error}"}
+    return row | {"position": position}
 
 
 def page_rows(html):

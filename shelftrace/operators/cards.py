@@ -30,8 +30,9 @@ RAW_CARD_SCHEMA = "position int, parse_error string, " + ", ".join(
 def raw_cards(pages, html="html"):
     """One row per card: the other page columns, position and raw fields.
 
-    Pages that cannot hold a card never reach Python. A page that fails to parse
-    gives one row with `parse_error`.
+    Pages that cannot hold a card never reach Python. A card that cannot be read gives
+    its position and `parse_error`, and costs no other card of its page; a page that
+    cannot be parsed at all gives one row with `parse_error` and no position.
     """
     keep = [f for f in pages.schema.fields if f.name != html]
     names = [f.name for f in keep]
@@ -65,7 +66,11 @@ def parsed_cards(cards):
 
 
 def failed_pages(cards):
-    return cards.where(F.col("parse_error").isNotNull())
+    return cards.where(F.col("parse_error").isNotNull() & F.col("position").isNull())
+
+
+def failed_cards(cards):
+    return cards.where(F.col("parse_error").isNotNull() & F.col("position").isNotNull())
 
 
 def card_records(cards, base_url="url"):
@@ -89,16 +94,16 @@ def card_records(cards, base_url="url"):
     return shown.withColumns(made).drop(*RAW_FIELDS, "image_address")
 
 
-def _keyed(records):
+def keyed(records):
     return identified(records, "sku", "product_url", "product_name")
 
 
 def page_records(records, page="page_id"):
     """Unique records per page, the first card of a product wins."""
-    return first_per_key(_keyed(records), [page, "identity"], "position")
+    return first_per_key(keyed(records), [page, "identity"], "position")
 
 
 def catalogue(records, page="page_no", id="page_id"):
     """Unique records over all pages, the first page of a product wins; of pages with
     one number, the one with the least id."""
-    return first_per_key(_keyed(records), "identity", [page, id, "position"])
+    return first_per_key(keyed(records), "identity", [page, id, "position"])

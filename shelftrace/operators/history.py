@@ -106,6 +106,23 @@ def rebuild(latest, time="change_time", key="sku", fingerprint="row_hash"):
     )
 
 
+def with_ends(opened, key="sku"):
+    """Versions as they were opened, with their ends: a current one ends where the next of
+    its key begins. Rows that were closed before keep their end."""
+    following = F.lead("st_date").over(Window.partitionBy(key).orderBy("st_date", "product_id"))
+    ends = _is_current() & F.col("_next").isNotNull()
+    return (
+        opened.withColumn("_next", following)
+        .withColumns(
+            {
+                "end_date": F.when(ends, F.col("_next")).otherwise(F.col("end_date")),
+                "iscurrent": F.when(ends, F.lit(0)).otherwise(F.col("iscurrent")),
+            }
+        )
+        .drop("_next")
+    )
+
+
 def current_versions(dimension):
     return dimension.where("iscurrent = 1")
 
@@ -117,6 +134,46 @@ def as_of(dimension, moment):
     return dimension.where((F.col("st_date") <= moment) & ~ended)
 
 
+# Moments of one key that a task takes; a key with more of them is dealt to several.
+MOMENTS_PER_TASK = 1 << 20
+
+
+def as_of_moments(dimension, moments, key="sku", moment="moment", most=MOMENTS_PER_TASK):
+    """The moments with the version of their key that was valid then, as struct `version`,
+    null if there was none; a version is valid from its start until before its end.
+
+    Versions and moments of a key are sorted by time together and each moment takes the
+    last version that began before: an as-of join by one shuffle and one sort, whose work
+    does not grow with versions times moments. A key with more than `most` moments is
+    dealt to several tasks, each with a copy of the key's versions. Of versions of a key
+    that start at the same time, the one with the greatest end counts, an open one before
+    others. Moments without a key or time get no version.
+    """
+    versions = dimension.where(F.col(key).isNotNull() & F.col("st_date").isNotNull())
+    versions = versions.select(
+        F.col(key).alias("_key"), F.col("st_date").alias("_time"), F.struct(*dimension.columns).alias("version")
+    )
+    asked = moments.select(
+        F.col(key).alias("_key"), F.col(moment).cast("timestamp_ntz").alias("_time"), F.struct(*moments.columns).alias("_row")
+    )
+    counts = asked.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.count(F.lit(1)).alias("_count"))
+    hot = counts.where(F.col("_count") > most).select("_key", F.ceil(F.col("_count") / most).cast("int").alias("_deals"))
+    deals = F.coalesce("_deals", F.lit(1))
+    # Moments without a key meet nothing; they spread over all tasks.
+    dealt = F.when(F.col("_key").isNull(), F.xxhash64("_row")).otherwise(F.pmod(F.xxhash64("_row"), deals))
+    asked = asked.join(hot, "_key", "left").withColumn("_deal", dealt).drop("_deals")
+    versions = versions.join(hot, "_key", "left").withColumn(
+        "_deal", F.explode(F.sequence(F.lit(0).cast("long"), deals.cast("long") - 1))
+    ).drop("_deals")
+    both = versions.unionByName(asked, allowMissingColumns=True)
+    end = F.coalesce("version.end_date", F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))
+    along = Window.partitionBy("_key", "_deal").orderBy("_time", F.col("_row").isNotNull(), end)
+    last = F.last("version", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    joined = both.withColumn("_last", last).where(F.col("_row").isNotNull())
+    ended = F.col("_last.end_date").isNotNull() & (F.col("_last.end_date") <= F.col("_time"))
+    return joined.select("_row.*", F.when(F.col("_time").isNotNull() & ~ended, F.col("_last")).alias("version"))
+
+
 def bootstrap(table, every_row=False):
     """Validity columns for a table that had none.
 

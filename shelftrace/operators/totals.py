@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelftrace.sources.numbering import in_ranges
 from shelftrace.sources.shared import stored
 
 BLOCK = 1 << 16
@@ -63,5 +64,45 @@ def page_sequence(df, actual, expected):
     return df.where(F.col(actual) != F.col(expected))
 
 
+def page_runs(df, crawl, page, first=1):
+    """(crawl, first_page, last_page, pages, repeated, missing_before): the runs of
+    consecutive page numbers of every crawl, how many rows repeat a number of the run, and
+    how many numbers are missing before it; the first run is expected at `first`.
+
+    Numbers are counted by crawl and page first. The counts are cut into ranges by crawl
+    and page; what a range must know of those before it, their last page and where their
+    last run began, is one row per range. So a crawl of any length is spread over tasks.
+    Rows without a crawl or a number take no part.
+    """
+    counted = df.where(F.col(crawl).isNotNull() & F.col(page).isNotNull()).groupBy(
+        F.col(crawl).alias("crawl"), F.col(page).cast("long").alias("page")
+    ).agg(F.count(F.lit(1)).alias("times"))
+    ranges = in_ranges(counted, ["crawl", "page"])
+    last = ranges.groupBy("_part").agg(F.max(F.struct("crawl", "page")).alias("last"))
+    # One row per range from here to the join.
+    ahead = last.select("_part", F.lag("last").over(Window.orderBy("_part")).alias("ahead"))
+    along = Window.partitionBy("_part").orderBy("crawl", "page")
+    prior = F.coalesce(F.lag(F.struct("crawl", "page")).over(along), F.col("ahead"))
+    rows = ranges.join(ahead, "_part").withColumn("prior", prior)
+    same = F.col("prior.crawl").eqNullSafe(F.col("crawl"))
+    gap = F.when(same, F.col("page") - F.col("prior.page") - 1)
+    rows = rows.withColumn("gap", gap).withColumn(
+        "begun", F.when(F.col("gap").isNull() | (F.col("gap") > 0), F.col("page"))
+    )
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("run", F.last("begun", ignorenulls=True).over(upto))
+    # A run may have begun in a range before: the last beginning ahead of this range.
+    begun = rows.groupBy("_part").agg(F.max_by("begun", F.when(F.col("begun").isNotNull(), F.struct("crawl", "page"))).alias("begun"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = begun.select("_part", F.last("begun", ignorenulls=True).over(earlier).alias("carried"))
+    runs = rows.join(carried, "_part").groupBy("crawl", F.coalesce("run", "carried").alias("first_page"))
+    return runs.agg(
+        F.max("page").alias("last_page"),
+        F.count(F.lit(1)).alias("pages"),
+        F.sum(F.col("times") - 1).alias("repeated"),
+        F.max(F.when(F.col("begun").isNotNull(), F.coalesce("gap", F.col("begun") - F.lit(first)))).alias("missing_before"),
+    )
+
+
 def first_pages(df, page, last=10):
     return df.where(F.col(page).between(1, last))

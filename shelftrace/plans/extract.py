@@ -20,8 +20,15 @@ def failed_pages(pages):
     return failed.select("page_id", "url", "parse_error")
 
 
+def failed_cards(pages):
+    """(page_id, url, position, parse_error) of the cards that could not be read; the
+    other cards of their pages are records."""
+    failed = cards.failed_cards(cards.raw_cards(pages.select("page_id", "url", "html")))
+    return failed.select("page_id", "url", "position", "parse_error")
+
+
 def extract_counts(pages):
-    """Per page that can hold a card: its cards, or that it failed."""
+    """Per page that can hold a card: its cards, and cards or pages that failed."""
     found = cards.raw_cards(pages.select("page_id", "html"))
     failed = F.col("parse_error").isNotNull()
     return found.groupBy("page_id").agg(

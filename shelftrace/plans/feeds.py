@@ -115,14 +115,19 @@ CARDS_PER_PAGE = 5
 PAGE_URL = "'https://shop.example.com/ar/all/?page=' || cast(c_custkey + 1 as string)"
 
 
-def listing_pages(spark, sf_dir):
-    """Listing pages rendered row by row, without a shuffle."""
+# A reference to a character with a number that no reader takes.
+POISON = "&#" + "9" * 5000 + ";"
+
+
+def listing_pages(spark, sf_dir, poisoned=False):
+    """Listing pages rendered row by row, without a shuffle. If `poisoned`, the name of
+    every 29th card cannot be read."""
     first = F.col("c_custkey") * CARDS_PER_PAGE
     numbers = F.sequence(first, first + (CARDS_PER_PAGE - 1))
     products = F.transform(
         numbers, lambda g: F.struct(g.alias("g"), (g + 7 - (g * g) % 7).alias("p"))
     )
-    cards = F.transform(products, lambda card: _card(card.g, card.p))
+    cards = F.transform(products, lambda card: _card(card.g, card.p, poisoned))
     page = F.col("c_custkey") + 1
     link = F.when(page % 10 == 0, "").otherwise(
         F.concat(
@@ -145,8 +150,9 @@ def listing_pages(spark, sf_dir):
     )
 
 
-def _card(g, p):
+def _card(g, p, poisoned):
     text = p.cast("string")
+    spoilt = (g % 29 == 7) if poisoned else F.lit(False)
 
     def lit(value):
         return F.lit(value)
@@ -190,7 +196,7 @@ def _card(g, p):
             )
         ),
         image,
-        F.when(p % 17 == 3, lit("")).otherwise(
+        F.when(spoilt, lit(f"<h3 class=name>{POISON}</h3>")).when(p % 17 == 3, lit("")).otherwise(
             F.concat(lit('<h3 class="name"> Item \n '), text, lit(" &amp; Co </h3>"))
         ),
         F.when(p % 19 == 0, lit("")).otherwise(price),
@@ -207,3 +213,32 @@ def _card(g, p):
         F.when(g % 13 == 5, lit("")).otherwise(lit("</a>")),
         lit("</article>"),
     )
+
+
+# Steps of a site from `customer`: mostly to the next page, some without a link, some to a
+# page that is not stored, and some back, so that crawls go round.
+SITE_STEPS = {
+    "page": "'p' || cast(c_custkey as string)",
+    "next": "case when c_custkey % 97 = 96 then null"
+    " when c_custkey % 89 = 88 then 'gone' || cast(c_custkey as string)"
+    " when c_custkey % 83 = 82 then 'p' || cast(c_custkey - 5 as string)"
+    " else 'p' || cast(c_custkey + 1 as string) end",
+}
+
+
+def site_steps(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer")
+    return customer.selectExpr(*[f"{text} AS {name}" for name, text in SITE_STEPS.items()])
+
+
+# A price question for every order: the product, and when.
+ORDER_MOMENTS = {
+    "row_no": "o_orderkey",
+    "sku": "case when o_orderkey % 71 = 0 then null else 'SKU-' || cast(o_custkey as string) end",
+    "moment": "case when o_orderkey % 61 = 0 then null else cast(o_orderdate as timestamp_ntz) end",
+}
+
+
+def order_moments(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return orders.selectExpr(*[f"{text} AS {name}" for name, text in ORDER_MOMENTS.items()])

@@ -10,8 +10,7 @@ from shelftrace.operators import clean, columns, validate
 from shelftrace.operators.typed import latest_typed
 from shelftrace.sources import feed as feeds
 from shelftrace.sources import staging
-from shelftrace.sources.numbering import read_numbered, write_sorted
-from shelftrace.sources.shared import fresh_path
+from shelftrace.sources.numbering import numbered
 
 
 @dataclass(frozen=True)
@@ -28,11 +27,9 @@ def new_batch_id():
     return str(uuid4())
 
 
-def number_by_arrival(spark, df, order, name="row_no"):
+def number_by_arrival(df, order, name="row_no"):
     """Row numbers in the order of `order`, for feeds that bring none."""
-    path = fresh_path(spark, "numbered")
-    write_sorted(df, order, path)
-    return read_numbered(spark, path, df.schema, name)
+    return numbered(df, order, name)
 
 
 class NoValidRows(ValueError):
@@ -40,7 +37,9 @@ class NoValidRows(ValueError):
 
 
 def stage_feed(spark, feed, store, batch_id, source_file, state=None):
-    """Validate, quarantine, clean and stage one feed. Each step is durable."""
+    """Validate, quarantine, clean and stage one feed. Each step is durable.
+
+    `source_file` is a text, or a column of the feed that names the file of each row."""
     columns.require_columns(feed, ["row_no", *schema.FEED_COLUMNS])
     classified = validate.classify(feed)
     split = f"{store.root}/split/batch={batch_id}"
@@ -49,8 +48,9 @@ def stage_feed(spark, feed, store, batch_id, source_file, state=None):
     if not valid:
         raise NoValidRows(f"The feed has no valid rows ({invalid} invalid)")
     accepted = feeds.read_accepted(spark, split, classified.schema)
-    last = (state or store.state()).last
-    rows = staging.staged_rows(clean.clean(accepted), batch_id, source_file, last.last_stage_id)
+    last, _ = state or store.state()
+    base = last.last_stage_id if last else 0
+    rows = staging.staged_rows(clean.clean(accepted), batch_id, source_file, base)
     staged, last_stage_id = staging.append_batch(rows, store.staging_path())
     return valid, invalid, staged, last_stage_id
 
@@ -65,10 +65,10 @@ def merge_batch(spark, store, batch_id, change_time, last_stage_id=None, state=N
 
 
 def load_feed(spark, feed, store, change_time, source_file, batch_id=None):
-    """Stage and merge one feed; the log is read once."""
+    """Stage and merge one feed; the table of loads is read once."""
     batch_id = batch_id or new_batch_id()
     state = store.state(batch_id)
-    if state.applied:
+    if state[1]:
         return LoadResult(batch_id, 0, 0, 0, 0)
     valid, invalid, staged, last_stage_id = stage_feed(
         spark, feed, store, batch_id, source_file, state

@@ -1,7 +1,7 @@
 """The same results in plain SQL, computed by another engine from the same tables."""
 
 from shelftrace.functions.text import WHITESPACE
-from shelftrace.plans.feeds import EVENT_FEED, LEGACY_TABLE, RAW_FEED
+from shelftrace.plans.feeds import EVENT_FEED, LEGACY_TABLE, ORDER_MOMENTS, RAW_FEED, SITE_STEPS
 
 
 # Texts for a missing cell, written out apart from the code that is checked.
@@ -214,6 +214,29 @@ def _rank_one(select, keys, order, table):
     )
 
 
+# Crawls one page after another, with the pages seen so far.
+_CRAWLS = f"""steps AS (
+  {_select(SITE_STEPS, 'customer')}
+),
+walk AS (
+  SELECT page AS start, page, 1 AS pages, [page] AS seen FROM steps
+  WHERE CAST(substr(page, 2) AS bigint) % 50 = 0
+  UNION ALL
+  SELECT w.start, n.page, w.pages + 1, list_append(w.seen, n.page)
+  FROM walk w JOIN steps s ON s.page = w.page JOIN steps n ON n.page = s.next
+  WHERE NOT list_contains(w.seen, n.page) AND w.pages < <cap>
+),
+ends AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY start ORDER BY pages DESC) AS rn FROM walk)
+  WHERE rn = 1
+)
+SELECT e.start, CAST(e.pages AS bigint) AS pages, e.page AS last_page, s.next AS next_page,
+  CASE WHEN e.pages >= <cap> THEN 'page cap' WHEN s.next IS NULL THEN 'no next link'
+       WHEN n.page IS NULL THEN 'page not stored' ELSE 'cycle' END AS outcome
+FROM ends e JOIN steps s ON s.page = e.page LEFT JOIN steps n ON n.page = s.next"""
+
+_LISTING_URL = "'https://shop.example.com/ar/all/?page=' ||"
+
 _WS_CLASS = (
     r"[\x{0009}-\x{000d}\x{001c}-\x{0020}\x{0085}\x{00a0}\x{1680}"
     r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -428,4 +451,55 @@ FROM phrases""",
     + _rank_one("* EXCLUDE (rn)", "page_id, identity", "position", "keyed"),
     "card_catalogue": f"WITH {_CARDS}\n"
     + _rank_one("* EXCLUDE (rn)", "identity", "page_no, page_id, position", "keyed"),
+    "migrated_table": f"""WITH legacy AS (
+  {_select(LEGACY_TABLE, 'customer')}
+)
+SELECT product_id, sku, CAST(current_price AS double) AS current_price, created_at,
+  effective_from AS st_date, effective_to AS end_date, CAST(NULL AS integer) AS iscurrent
+FROM legacy""",
+    "untidy_headers": f"WITH {_RAW}\nSELECT * EXCLUDE (row_no, batch_no) FROM feed",
+    "partial_clean": f"WITH {_CLEANED}\nSELECT * EXCLUDE (rating, discount) FROM cleaned",
+    "distinct_sketches": f"""WITH {_CLEANED}
+SELECT batch_no, count(DISTINCT discount) AS distinct_discount,
+  count(DISTINCT rating) AS distinct_rating, count(DISTINCT reviews_count) AS distinct_reviews_count
+FROM cleaned GROUP BY GROUPING SETS ((batch_no), ())""",
+    "price_at_order": f"""{_HISTORY},
+moments AS (
+  {_select(ORDER_MOMENTS, 'orders').replace('timestamp_ntz', 'timestamp')}
+)
+SELECT m.row_no, m.sku, m.moment, v.st_date, CAST(v.current_price AS double) AS current_price, v.row_hash
+FROM moments m LEFT JOIN versions v ON v.sku = m.sku AND v.st_date <= m.moment
+  AND (v.end_date IS NULL OR m.moment < v.end_date)""",
+    "stream_changes": f"""{_HISTORY}SELECT sku, st_date AS change_time, stage_id, row_hash,
+  'opened' AS kind FROM versions""",
+    "landing_files": f"""WITH {_CLEANED}
+SELECT count(*) AS rows_staged, count(*) AS rows_named, CAST(1 AS bigint) AS batches FROM cleaned""",
+    "page_runs": f"""WITH numbered AS (
+  SELECT regexp_extract(url, '^https?://([^/?#]*)', 1) AS host, {_PAGE_NO} AS page FROM pages
+),
+counted AS (SELECT host, page, count(*) AS times FROM numbered GROUP BY host, page),
+islands AS (
+  SELECT *, page - row_number() OVER (PARTITION BY host ORDER BY page) AS island FROM counted
+),
+runs AS (
+  SELECT host, min(page) AS first_page, max(page) AS last_page, count(*) AS pages,
+    CAST(sum(times - 1) AS bigint) AS repeated FROM islands GROUP BY host, island
+)
+SELECT *, first_page - coalesce(lag(last_page) OVER (PARTITION BY host ORDER BY first_page), 0) - 1
+  AS missing_before FROM runs""",
+    "crawl_order": f"""SELECT {_LISTING_URL} (c_custkey - c_custkey % 10 + 1) AS start,
+  c_custkey % 10 AS position, {_LISTING_URL} (c_custkey + 1) AS page FROM customer""",
+    "crawl_report": "WITH RECURSIVE " + _CRAWLS.replace("<cap>", "1000000000"),
+    "crawl_report_capped": "WITH RECURSIVE " + _CRAWLS.replace("<cap>", "30"),
+    "crawl_catalogue": f"WITH {_CARDS}\n"
+    + _rank_one(
+        f"{_LISTING_URL} (page_id - page_id % 10 + 1) AS start, identity, page_id % 10 AS crawl_position,"
+        " page_id, position, product_name, current_price",
+        "page_id - page_id % 10, identity", "page_id, position", "keyed",
+    ),
+    "card_quarantine": f"""WITH {_CARDS}
+SELECT page_id, position, CASE WHEN g % 29 <> 7 THEN sku END AS sku,
+  CASE WHEN g % 29 <> 7 THEN product_name END AS product_name,
+  CASE WHEN g % 29 = 7 THEN 'ValueError' END AS error
+FROM records JOIN (SELECT page_id, position, g FROM numbered) USING (page_id, position)""",
 }

@@ -9,6 +9,7 @@ from shelftrace.operators import (
     cards,
     clean,
     columns,
+    crawl,
     history,
     links,
     profile,
@@ -20,10 +21,9 @@ from shelftrace.operators import (
 from shelftrace.plans import extract, feeds, load
 from shelftrace.plans.extract import extract_records
 from shelftrace.sources import export, feed, staging
-from shelftrace.sources.numbering import read_numbered
 from shelftrace.sources.shared import fresh_path, stored
 from shelftrace.sources.versions import VersionStore
-from shelftrace.streaming import landing
+from shelftrace.streaming import changes, landing
 
 QUERIES = {}
 
@@ -369,7 +369,7 @@ def landing_load(spark, sf_dir):
     folder, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "landing-checkpoint")
     store = VersionStore(spark, fresh_path(spark, "dimension"))
     for year, feed in _yearly_feeds(spark, sf_dir):
-        feed.coalesce(1).write.mode("append").parquet(folder)
+        feed.write.mode("append").parquet(folder)
         moment = feeds.batch_moment(year)
         landing.start_landing(spark, folder, store, checkpoint, lambda m=moment: m).awaitTermination()
     return _versions(store.all_versions())
@@ -408,7 +408,7 @@ def export_file(spark, sf_dir):
     table = history.backfill_fingerprints(_migrated(spark, sf_dir))
     rows = export.export_rows(spark, table)
     export.export_current(spark, table, path, format="parquet")
-    return _plain(read_numbered(spark, path, rows.schema, "place"))
+    return _plain(export.read_export(spark, path, rows.schema))
 
 
 @query
@@ -419,6 +419,85 @@ def export_profile(spark, sf_dir):
     return profile.column_profile(rows, fixed=("st_date", "end_date"))
 
 
+@query
+def migrated_table(spark, sf_dir):
+    """The legacy table without a column that every dimension has, migrated."""
+    legacy = feeds.legacy_table(spark, sf_dir).drop("iscurrent")
+    return _plain(history.migrate_columns(legacy)).select(
+        "product_id", "sku", "current_price", "created_at", "st_date", "end_date", "iscurrent"
+    )
+
+
+@query
+def untidy_headers(spark, sf_dir):
+    """The feed under headers as sheets have them, read by its rules for headers."""
+    sheet = columns.to_sheet_headers(feeds.raw_feed(spark, sf_dir))
+    untidy = sheet.toDF(*[f"  {header} % " for header in sheet.columns])
+    return columns.to_feed_columns(untidy)
+
+
+@query
+def partial_clean(spark, sf_dir):
+    """Cleaning of a feed without ratings and discounts: the other rules still hold."""
+    accepted = validate.accepted(_classified(spark, sf_dir))
+    return clean.clean(accepted.drop("rating", "discount"))
+
+
+@query
+def distinct_sketches(spark, sf_dir):
+    """Distinct values of each batch and of all, from sketches that were stored per batch."""
+    counted = ["discount", "rating", "reviews_count"]
+    rows = _cleaned(spark, sf_dir)
+    sketches = stored(profile.distinct_sketches(rows, "batch_no", counted), "sketches")
+    return profile.distinct_estimates(sketches, "batch_no", counted)
+
+
+@query
+def price_at_order(spark, sf_dir):
+    """The version of the ordered product at the time of every order."""
+    versions = history.rebuild(_latest(spark, sf_dir))
+    versions = versions.select("sku", "st_date", "end_date", "current_price", "row_hash")
+    found = history.as_of_moments(versions, feeds.order_moments(spark, sf_dir))
+    return _plain(
+        found.select("row_no", "sku", "moment", "version.st_date", "version.current_price", "version.row_hash")
+    )
+
+
+@query
+def stream_changes(spark, sf_dir):
+    """Versions that a stream opens by itself, the feeds arriving in two parts."""
+    folder, out = fresh_path(spark, "arrivals"), fresh_path(spark, "changes")
+    checkpoint = fresh_path(spark, "changes-checkpoint")
+    rows = _latest(spark, sf_dir).select("sku", "change_time", "stage_id", "row_hash", "batch_no")
+    rows = stored(rows, "latest")
+    for part in (F.col("batch_no") <= LAST_MERGED, F.col("batch_no") > LAST_MERGED):
+        rows.where(part).drop("batch_no").write.mode("append").parquet(folder)
+        changes.run_changes(spark, folder, rows.drop("batch_no").schema, out, checkpoint).awaitTermination()
+    found = spark.read.parquet(out)
+    return found.withColumn("change_time", F.col("change_time").cast("timestamp_ntz"))
+
+
+@query
+def landing_files(spark, sf_dir):
+    """Staged rows per batch, and how many of them name the file that holds them."""
+    folder, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "landing-checkpoint")
+    store = VersionStore(spark, fresh_path(spark, "dimension"))
+    feeds.raw_feed(spark, sf_dir).drop("batch_no").repartition(3, "row_no").write.parquet(folder)
+    landing.start_landing(
+        spark, folder, store, checkpoint, lambda: feeds.batch_moment(INCOMING)
+    ).awaitTermination()
+    staged = staging.read_staging(spark, store.staging_path())
+    held = spark.read.parquet(folder).select(
+        F.col("row_no").alias("stage_id"), F.col("_metadata.file_name").alias("held_in")
+    )
+    named = F.col("source_file").eqNullSafe(F.col("held_in"))
+    return staged.join(held, "stage_id").agg(
+        F.count(F.lit(1)).alias("rows_staged"),
+        F.count_if(named).alias("rows_named"),
+        F.count_distinct("load_batch_id").alias("batches"),
+    )
+
+
 # -- pages ---------------------------------------------------------------------------
 
 
@@ -427,8 +506,9 @@ def _pages(spark, sf_dir):
 
 
 def _listing(spark, sf_dir):
-    """The listing pages as a stored table: rendered once, whatever reads them."""
-    return stored(feeds.listing_pages(spark, sf_dir), "listing")
+    """The listing pages as a stored table: rendered once, whatever reads them, and spread
+    by page, for the table that they are rendered from may lie in a single part."""
+    return stored(feeds.listing_pages(spark, sf_dir).repartition("page_id"), "listing")
 
 
 @query
@@ -499,6 +579,63 @@ def unique_by_page(spark, sf_dir):
     return totals.unique_by_page(rows, "page_no", "sku")
 
 
+@query
+def page_runs(spark, sf_dir):
+    """Runs of page numbers of every host, with what repeats and what is missing."""
+    pages = _pages(spark, sf_dir).select(
+        F.regexp_extract("url", "^https?://([^/?#]*)", 1).alias("host"),
+        urls.page_number("url").alias("page_no"),
+    )
+    return totals.page_runs(pages, "host", "page_no").withColumnRenamed("crawl", "host")
+
+
+# The crawls of the listing begin at every tenth page, and the reference stops after ten.
+PAGES_PER_CRAWL = 10
+
+
+def _listing_starts(pages):
+    number = urls.page_number("url")
+    return pages.where(number % PAGES_PER_CRAWL == 1).select(crawl.listing_key("url").alias("start"))
+
+
+@query
+def crawl_order(spark, sf_dir):
+    """The pages of all crawls in the order of their next links."""
+    pages = _listing(spark, sf_dir)
+    steps = stored(crawl.page_steps(pages), "steps")
+    return crawl.crawl(steps, _listing_starts(pages), PAGES_PER_CRAWL)
+
+
+def _site_crawls(spark, sf_dir):
+    steps = stored(feeds.site_steps(spark, sf_dir), "steps")
+    number = F.substr("page", F.lit(2)).cast("long")
+    return steps, steps.where(number % 50 == 0).select(F.col("page").alias("start"))
+
+
+@query
+def crawl_report(spark, sf_dir):
+    """How far crawls without a page cap come, and what ends them."""
+    steps, starts = _site_crawls(spark, sf_dir)
+    return crawl.crawl_report(steps, starts, crawl.crawl(steps, starts))
+
+
+@query
+def crawl_report_capped(spark, sf_dir):
+    """The same crawls, each of 30 pages at most."""
+    steps, starts = _site_crawls(spark, sf_dir)
+    return crawl.crawl_report(steps, starts, crawl.crawl(steps, starts, 30), 30)
+
+
+@query
+def crawl_catalogue(spark, sf_dir):
+    """Unique products of every crawl, in the order of its links."""
+    pages = _listing(spark, sf_dir)
+    steps = stored(crawl.page_steps(pages), "steps")
+    reached = crawl.crawl(steps, _listing_starts(pages), PAGES_PER_CRAWL)
+    found = crawl.crawl_catalogue(extract_records(pages), reached)
+    return found.select("start", "identity", "crawl_position", "page_id", "position", "product_name", "current_price")
+
+
 # -- text ----------------------------------------------------------------------------
 
 
@@ -569,3 +706,20 @@ def page_catalogue(spark, sf_dir):
 @query
 def card_catalogue(spark, sf_dir):
     return cards.catalogue(_records(spark, sf_dir))
+
+
+@query
+def card_quarantine(spark, sf_dir):
+    """Cards of pages on which some cannot be read: those go to quarantine, others stay."""
+    pages = stored(feeds.listing_pages(spark, sf_dir, poisoned=True).repartition("page_id"), "listing")
+    good = extract_records(pages).select(
+        "page_id", "position", "sku", "product_name", F.lit(None).cast("string").alias("error")
+    )
+    bad = extract.failed_cards(pages).select(
+        "page_id",
+        "position",
+        F.lit(None).cast("string").alias("sku"),
+        F.lit(None).cast("string").alias("product_name"),
+        F.split_part("parse_error", F.lit(":"), F.lit(1)).alias("error"),
+    )
+    return good.unionByName(bad)

@@ -1,40 +1,39 @@
-"""Dense row numbers without a global window or a trip through the driver."""
+"""Row numbers in a total order, without a window over all rows or a trip to the driver."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelftrace.sources.shared import stored
 
-def write_sorted(df, order, path):
-    """Write rows in a total order: file n holds the n-th range, sorted."""
-    df.orderBy(*order).write.mode("errorifexists").parquet(path)
 
+def in_ranges(df, order, name="_part"):
+    """The rows as a stored table, cut into ranges of `order` that are numbered by `name`.
 
-def read_numbered(spark, path, row_schema, name, base=0):
-    """Rows of `write_sorted` with numbers base+1, base+2, ... in that order.
-
-    A file's offset is the row count of the files ahead of it; inside a file the
-    reader knows each row's place. The offsets have one row per file, counted
-    from the files themselves; how they are joined is left to Spark.
+    Each range fits a task. A window within ranges, together with one row per range,
+    stands for a window over all rows.
     """
-    rows = spark.read.schema(row_schema).parquet(path).select(
-        "*",
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    # part-<task>-<job>-c<count>: both numbers may outgrow their zero padding.
-    task = F.regexp_extract("_file", r"part-(\d+)-", 1).cast("long")
-    part = F.regexp_extract("_file", r"-c(\d+)\.", 1).cast("long")
-    ahead = Window.orderBy("_task", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy("_file")
-        .agg(F.count(F.lit(1)).alias("_count"))
-        .withColumns({"_task": task, "_part": part})
-        .withColumn("_ahead", F.coalesce(F.sum("_count").over(ahead), F.lit(0)))
-        .select("_file", "_ahead")
-    )
-    number = F.col("_ahead") + F.col("_row") + F.lit(base + 1)
-    return rows.join(offsets, "_file").withColumn(name, number).drop(
-        "_file", "_row", "_ahead"
+    ranged = df.repartitionByRange(*order).withColumn(name, F.spark_partition_id())
+    return stored(ranged, "ranges")
+
+
+def ahead_of(parts, value, name, part="_part"):
+    """(part, name): the sum of `value` over the ranges before each; one row per range."""
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    total = F.coalesce(F.sum(value).over(before), F.lit(0))
+    return parts.select(part, total.alias(name))
+
+
+def numbered(df, order, name, base=0):
+    """The rows with numbers base+1, base+2, ... in the order of `order`, unique columns."""
+    rows = in_ranges(df, order)
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_count"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    number = F.col("_ahead") + F.col("_place") + F.lit(base)
+    return (
+        rows.withColumn("_place", place)
+        .join(ahead_of(counts, "_count", "_ahead"), "_part")
+        .withColumn(name, number)
+        .drop("_part", "_place", "_ahead")
     )
 
 

@@ -6,8 +6,6 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from py4j.protocol import Py4JJavaError
-
 
 @lru_cache(maxsize=1)
 def _own_folder():
@@ -38,28 +36,3 @@ def stored(df, label):
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def exists(spark, path):
-    """Is there anything at the path, on whatever file system it names?"""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
-def create_file(spark, path, text):
-    """Write a small file unless it is there already; was it written?"""
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.mkdirs(place.getParent())
-    try:
-        stream = system.create(place, False)
-    except Py4JJavaError:
-        if system.exists(place):
-            return False
-        raise
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    return True

@@ -8,7 +8,7 @@ from shelftrace.operators.columns import nan_to_null, require_columns
 
 
 def staged_rows(df, batch_id, source_file, base=0, order="row_no"):
-    """The nine feed columns with batch id, source file and stage id.
+    """The nine feed columns with batch id, source file (a text or a column) and stage id.
 
     `order` numbers the rows of the feed by arrival; stage ids continue after
     `base`, so later batches always rank above earlier ones.
@@ -16,7 +16,7 @@ def staged_rows(df, batch_id, source_file, base=0, order="row_no"):
     require_columns(df, [order, *schema.FEED_COLUMNS])
     return nan_to_null(df).select(
         (F.lit(base) + F.col(order)).cast("bigint").alias("stage_id"),
-        F.lit(source_file).alias("source_file"),
+        as_literal(source_file).alias("source_file"),
         *schema.FEED_COLUMNS,
         as_literal(batch_id).alias("load_batch_id"),
     )

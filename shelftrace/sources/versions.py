@@ -1,14 +1,12 @@
-"""The dimension on plain files, for installs without a table format.
+"""The dimension as two plain tables that Spark jobs add to.
 
-Versions lie in folders by merge and by hash bucket of their key. A merge reads and
-rewrites the buckets that its batch changes, and then publishes one small file in the
-log, named by its version; readers go by the log alone, so a failed merge leaves only
-unreferenced files, and of two writers one fails.
+`versions` holds every version as its load opened it, by load and hash bucket of the key,
+and is never written again: where a version ends follows from the version after it, on
+reading. `loads` has a row for every load that is done; only its versions count. So a load
+shows as a whole or not at all, and one that failed can be done again. One writer at a time.
 """
 
-import json
 import uuid
-from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import Observation
@@ -17,239 +15,108 @@ from pyspark.sql import types as T
 
 from shelftrace import schema
 from shelftrace.operators import history
-from shelftrace.sources.numbering import read_numbered
-from shelftrace.sources.shared import create_file, exists
+from shelftrace.sources.numbering import numbered
+from shelftrace.sources.shared import stored
 
-LOG_SCHEMA = (
-    "version long, batch_id string, change_time string, attempt string, buckets array<int>,"
-    " bucket_count int, inserted long, closed long, last_product_id long, last_stage_id long"
+LOADS = (
+    "load_no long, load_id string, batch_id string, change_time timestamp_ntz, buckets int,"
+    " inserted long, last_product_id long, last_stage_id long"
 )
-PLACE = [
-    T.StructField("attempt", T.StringType()),
-    T.StructField("iscurrent", T.IntegerType()),
-    T.StructField("bucket", T.IntegerType()),
-]
-STORED = T.StructType([*(f for f in schema.DIMENSION_SCHEMA if f.name != "iscurrent"), *PLACE])
-NUMBERED_LATER = T.StructType(
-    [*(f for f in schema.DIMENSION_SCHEMA if f.name != "product_id"), PLACE[-1]]
-)
-
-
-@dataclass(frozen=True)
-class Commit:
-    version: int = 0
-    batch_id: str | None = None
-    change_time: str | None = None
-    attempt: str | None = None
-    buckets: list = field(default_factory=list)
-    bucket_count: int = 0
-    inserted: int = 0
-    closed: int = 0
-    last_product_id: int = 0
-    last_stage_id: int = 0
-
-
-@dataclass(frozen=True)
-class State:
-    """The last commit, whether a batch is in the log, and the merge that wrote each
-    bucket last."""
-
-    last: Commit = Commit()
-    applied: bool = False
-    places: dict = field(default_factory=dict)
+PARTITIONS = [T.StructField("load_id", T.StringType()), T.StructField("bucket", T.IntegerType())]
+STORED = T.StructType([*schema.DIMENSION_SCHEMA, *PARTITIONS])
 
 
 class VersionStore:
-    """`buckets` is the number of hash buckets of a new store; choose it so that a
-    bucket's current rows fit a task. A store keeps the number it began with."""
-
-    def __init__(self, spark, root, buckets=64):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.buckets = buckets
+    """`buckets` is the number of hash buckets of a new store; a merge reads those that its
+    batch has keys in. A store keeps the number it began with."""
 
-    # -- log ---------------------------------------------------------------
-
-    def _log(self):
-        path = f"{self.root}/log"
-        if not exists(self.spark, path):
-            return None
-        return self.spark.read.schema(LOG_SCHEMA).json(path)
-
-    def state(self, batch_id=None):
-        """One aggregate over the log, a row per bucket at most."""
-        log = self._log()
-        if log is None:
-            return State()
-        commit = F.struct(*[f for f in log.columns])
-        rows = (
-            log.withColumn("bucket", F.explode_outer("buckets"))
-            .groupBy("bucket")
-            .agg(
-                F.max_by(commit, "version").alias("last"),
-                F.max(F.col("batch_id").eqNullSafe(F.lit(batch_id))).alias("applied"),
-            )
-            .collect()
-        )
-        last = max((r["last"] for r in rows), key=lambda c: c["version"])
-        return State(
-            Commit(**last.asDict()),
-            any(r["applied"] for r in rows),
-            {r["bucket"]: r["last"]["attempt"] for r in rows if r["bucket"] is not None},
-        )
-
-    def last_commit(self):
-        return self.state().last
-
-    def is_applied(self, batch_id):
-        return self.state(batch_id).applied
-
-    def _publish(self, commit):
-        path = f"{self.root}/log/{commit.version:012d}.json"
-        if not create_file(self.spark, path, json.dumps(asdict(commit))):
-            raise RuntimeError(f"Another writer committed version {commit.version} in {self.root}")
+    def __init__(self, spark, root, buckets=16):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        for name, kind, parts in (("loads", LOADS, []), ("versions", STORED, ["load_id", "bucket"])):
+            empty = spark.createDataFrame([], kind).write.mode("ignore")
+            empty.partitionBy(*parts).parquet(f"{self.root}/{name}")
 
     def staging_path(self):
         return f"{self.root}/staging"
 
-    # -- reading -----------------------------------------------------------
-
-    def _empty(self):
-        # Provably empty for the optimizer, so a first merge joins nothing.
-        return self.spark.createDataFrame([], STORED).where(F.lit(False))
-
-    def _current(self, state, buckets=None):
-        """Current rows with their bucket: of every bucket one folder, or of those asked for."""
-        paths = [
-            f"{self.root}/versions/attempt={attempt}/iscurrent=1/bucket={bucket}"
-            for bucket, attempt in sorted(state.places.items())
-            if buckets is None or bucket in buckets
-        ]
-        if not paths:
-            return self._empty()
-        reader = self.spark.read.schema(STORED).option("basePath", f"{self.root}/versions")
-        return reader.parquet(*paths)
+    def loads(self):
+        return self.spark.read.schema(LOADS).parquet(f"{self.root}/loads")
 
-    def current(self, state=None):
-        return self._current(state or self.state()).select(*schema.DIMENSION_SCHEMA.names)
-
-    def closed(self):
-        """Closed rows of all merges in the log, as one folder of partitions."""
-        path, log = f"{self.root}/versions", self._log()
-        if log is None or not exists(self.spark, path):
-            return self._empty().select(*schema.DIMENSION_SCHEMA.names)
-        rows = self.spark.read.schema(STORED).parquet(path).where("iscurrent = 0")
-        rows = rows.join(log.where("closed > 0").select("attempt"), "attempt", "left_semi")
-        return rows.select(*schema.DIMENSION_SCHEMA.names)
+    def state(self, batch_id=None):
+        """(the last load as a row or None, is the batch among the loads); one aggregate."""
+        done = self.loads()
+        last = F.max_by(F.struct(*done.columns), "load_no")
+        applied = F.coalesce(F.max(F.col("batch_id").eqNullSafe(F.lit(batch_id))), F.lit(False))
+        return tuple(done.agg(last, applied).first())
 
-    def all_versions(self):
-        return self.current().unionByName(self.closed())
+    def _opened(self, buckets=None):
+        rows = self.spark.read.schema(STORED).parquet(f"{self.root}/versions")
+        if buckets is not None:
+            rows = rows.where(F.col("bucket").isin(buckets))
+        return rows.join(self.loads().select("load_id"), "load_id", "left_semi")
 
-    # -- writing -----------------------------------------------------------
+    def all_versions(self, buckets=None):
+        """All versions with their ends, or those of some buckets."""
+        return history.with_ends(self._opened(buckets)).select(*schema.DIMENSION_SCHEMA.names)
 
-    def _bucketed(self, rows, count):
-        return rows.withColumn("bucket", F.pmod(F.xxhash64("sku"), F.lit(count)).cast("int"))
+    def current(self, buckets=None):
+        return history.current_versions(self.all_versions(buckets))
 
     def apply(self, source, batch_id, change_time, last_stage_id=None, state=None):
         """Merge one batch and return the number of new versions.
 
-        A batch that is already in the log changes nothing. The change time must be later
-        than that of the merge before: versions would else end before they start.
+        A batch that was loaded before changes nothing. The change time must be later
+        than that of the load before: versions would else end before they start.
         """
-        state = state or self.state(batch_id)
-        if state.applied:
+        last, applied = state or self.state(batch_id)
+        if applied:
             return 0
-        last = state.last
-        moment = change_time.isoformat() if isinstance(change_time, datetime) else str(change_time)
-        if last.change_time and datetime.fromisoformat(moment) <= datetime.fromisoformat(last.change_time):
+        moment = datetime.fromisoformat(str(change_time))
+        if last and last.change_time and moment <= last.change_time:
             raise ValueError(f"Change time {moment} is not later than {last.change_time}")
-        attempt = f"{last.version + 1:08d}-{uuid.uuid4().hex}"
-        count = last.bucket_count or self.buckets
-        commit = replace(
-            last,
-            version=last.version + 1,
-            batch_id=batch_id,
-            change_time=moment,
-            attempt=attempt,
-            buckets=[],
-            bucket_count=count,
-            inserted=0,
-            closed=0,
-            last_stage_id=max(last_stage_id or 0, last.last_stage_id),
-        )
-        # The batch is read several times. As files it outlives executors, and its
-        # partitions follow its size.
-        path = f"{self.root}/source/{attempt}"
-        self._bucketed(source, count).write.parquet(path)
-        source = self.spark.read.parquet(path)
-        met = {r[0] for r in source.select("bucket").distinct().collect()}
-        time = history.as_time(change_time)
-        inserted = self._write_opened(self._current(state, met), source, time, attempt)
-        if inserted:
-            opened = read_numbered(
-                self.spark,
-                f"{self.root}/opened/{attempt}",
-                NUMBERED_LATER,
-                "product_id",
-                last.last_product_id,
-            )
-            # A row that closes has a new version of its key, so no other bucket changes.
-            changing = {r[0] for r in opened.select("bucket").distinct().collect()}
-            current = self._current(state, changing).drop("attempt")
-            rows = history.close_changed(current, source, time).unionByName(opened)
-            commit = self._write_versions(rows, commit)
-            commit = replace(commit, inserted=inserted)
-        self._publish(commit)
-        return inserted
+        # Read several times, so kept as files that outlive executors.
+        source = stored(source.withColumn("bucket", self._bucket(last)), "source")
+        met = [row[0] for row in source.select("bucket").distinct().collect()]
+        opened = history.openable(self.current(met), source)
+        opened = history.open_versions(opened, history.as_time(change_time))
+        opened = numbered(opened, ["sku"], "product_id", last.last_product_id if last else 0)
+        return self._add(opened, last, batch_id, moment, last_stage_id or 0)
 
-    def _write_opened(self, current, source, time, attempt):
-        """New versions go to files first: their places in those give the ids."""
-        seen = Observation()
-        opened = history.open_versions(history.openable(current, source), time)
-        opened.select(*NUMBERED_LATER.names).observe(
-            seen, F.count(F.lit(1)).alias("inserted")
-        ).write.parquet(f"{self.root}/opened/{attempt}")
-        return seen.get.get("inserted", 0)
-
-    def _write_versions(self, rows, commit):
-        """Current and newly closed rows in one job, as partitions of one folder, with
-        few files to a bucket."""
-        path = f"{self.root}/versions/attempt={commit.attempt}"
-        seen = Observation()
-        rows.hint("rebalance", F.col("iscurrent"), F.col("bucket")).observe(
+    def adopt(self, table, batch_id="adopted", change_time=None):
+        """Take an existing dimension as the first load. Rows not yet marked as current or
+        closed become current, as `history.bootstrap` has it; both id sequences go on from
+        the table's highest."""
+        if self.state()[0]:
+            raise RuntimeError("Only an empty store can adopt a table")
+        rows = history.bootstrap(table).withColumn("bucket", self._bucket(None))
+        moment = change_time and datetime.fromisoformat(str(change_time))
+        return self._add(rows, None, batch_id, moment, 0)
+
+    def _bucket(self, last):
+        count = last.buckets if last else self.buckets
+        return F.pmod(F.xxhash64("sku"), F.lit(count)).cast("int")
+
+    def _add(self, rows, last, batch_id, moment, last_stage_id):
+        """Write the versions of a load, then its row in `loads`."""
+        load_id, seen = uuid.uuid4().hex, Observation()
+        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.DIMENSION_SCHEMA], "bucket")
+        rows.hint("rebalance", F.col("bucket")).observe(
             seen,
-            F.count_if(F.col("iscurrent") == 0).alias("closed"),
+            F.count(F.lit(1)).alias("inserted"),
             F.count_if(~F.col("iscurrent").isin(0, 1)).alias("odd"),
-            F.max("product_id").alias("last_product_id"),
-            F.max("stage_id").alias("last_stage_id"),
-        ).write.partitionBy("iscurrent", "bucket").parquet(path)
+            F.max("product_id").alias("product"),
+            F.max("stage_id").alias("stage"),
+        ).write.partitionBy("bucket").parquet(f"{self.root}/versions/load_id={load_id}")
         found = seen.get
         if found.get("odd"):
             raise ValueError(f"{found['odd']} rows are neither current (1) nor closed (0)")
-        written = self.spark.read.schema(STORED).parquet(path).where("iscurrent = 1")
-        return replace(
-            commit,
-            buckets=sorted(r[0] for r in written.select("bucket").distinct().collect()),
-            closed=found.get("closed", 0),
-            last_product_id=max(commit.last_product_id, found.get("last_product_id") or 0),
-            last_stage_id=max(commit.last_stage_id, found.get("last_stage_id") or 0),
+        number, buckets, product, stage = (
+            (last.load_no, last.buckets, last.last_product_id, last.last_stage_id) if last else (0, self.buckets, 0, 0)
         )
-
-    def adopt(self, table, batch_id="adopted", change_time=None):
-        """Publish an existing dimension as version 1. Rows not yet marked as current or
-        closed become current, as `history.bootstrap` has it; both id sequences go on from
-        the table's highest."""
-        last = self.last_commit()
-        if last.version:
-            raise RuntimeError("Only an empty store can adopt a table")
-        rows = history.bootstrap(table).select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.DIMENSION_SCHEMA]
-        )
-        commit = Commit(
-            version=1,
-            batch_id=batch_id,
-            change_time=change_time and str(change_time),
-            attempt=f"{1:08d}-{uuid.uuid4().hex}",
-            bucket_count=self.buckets,
-        )
-        self._publish(self._write_versions(self._bucketed(rows, self.buckets), commit))
+        product, stage = max(product, found.get("product") or 0), max(stage, last_stage_id, found.get("stage") or 0)
+        inserted = found.get("inserted", 0)
+        row = (number + 1, load_id, batch_id, moment, buckets, inserted, product, stage)
+        cells = zip(row, T.StructType.fromDDL(LOADS))
+        done = self.spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in cells])
+        done.coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
+        return inserted

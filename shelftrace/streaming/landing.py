@@ -10,6 +10,7 @@ import json
 import logging
 from datetime import datetime, timezone
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelftrace import schema
@@ -31,8 +32,9 @@ def _stream_id(spark, checkpoint):
     return json.loads(kept)["id"]
 
 
-def start_landing(spark, folder, store, checkpoint, clock=_now, files_per_batch=1):
-    """Load everything in the folder that was not loaded yet, then stop."""
+def start_landing(spark, folder, store, checkpoint, clock=_now, files_per_batch=None):
+    """Load everything in the folder that was not loaded yet, then stop: as one batch, or
+    `files_per_batch` files at a time. Each staged row names the file it came from."""
 
     def load(rows, number):
         if rows.isEmpty():
@@ -40,16 +42,19 @@ def start_landing(spark, folder, store, checkpoint, clock=_now, files_per_batch=
         batch_id = f"landing-{_stream_id(spark, checkpoint)}-{number}"
         try:
             load_feed(
-                rows.sparkSession, nullify_tokens(rows), store, clock(), folder, batch_id
+                rows.sparkSession, nullify_tokens(rows), store, clock(), F.col("source_file"), batch_id
             )
         except NoValidRows as found:
             log.warning("%s: %s", batch_id, found)
 
+    reader = spark.readStream.schema(LANDING_SCHEMA)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    arrived = reader.parquet(folder).select(
+        *LANDING_SCHEMA.names, F.col("_metadata.file_name").alias("source_file")
+    )
     return (
-        spark.readStream.schema(LANDING_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-        .writeStream.foreachBatch(load)
+        arrived.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -14,6 +14,7 @@ from shelftrace.plans import feeds, registry
 from shelftrace.plans.load import load_feed, merge_batch, stage_feed
 from shelftrace.sources import export
 from shelftrace.sources.versions import VersionStore
+from shelftrace.streaming import changes
 from shelftrace.streaming.landing import start_landing
 
 T = [datetime(2024, 1, d) for d in range(1, 10)]
@@ -143,7 +144,7 @@ def test_store(spark, tmp_path, buckets):
     ids = {(r.sku, r.st_date): r.product_id for r in store.all_versions().collect()}
     assert sorted(ids.values()) == [1, 2, 3, 4, 5]
     assert max(ids["A", T[0]], ids["B", T[0]]) < min(ids["A", T[1]], ids["C", T[1]]) < ids["A", T[4]]
-    assert store.last_commit().last_stage_id == 6
+    assert store.state()[0].last_stage_id == 6
 
 
 def test_failed_merge_leaves_the_table(spark, tmp_path):
@@ -158,32 +159,39 @@ def test_failed_merge_leaves_the_table(spark, tmp_path):
     assert store.apply(source(spark, [(2, "A", "y")]), "b2", T[1]) == 1
 
 
-def test_a_small_merge_rewrites_one_bucket(spark, tmp_path):
+def test_a_small_merge_reads_one_bucket(spark, tmp_path):
     store = VersionStore(spark, str(tmp_path / "dim"), buckets=8)
     store.apply(source(spark, [(i, f"S{i}", "x") for i in range(200)]), "b1", T[0])
-    before = store.state()
-    assert len(before.places) == 8
+    first = {f.relative_to(tmp_path): f.stat().st_mtime_ns for f in (tmp_path / "dim/versions").rglob("*.parquet")}
+    assert len({f.parent.name for f in first}) == 8
     store.apply(source(spark, [(300, "S7", "y")]), "b2", T[1])
-    after = store.state()
-    moved = [b for b in range(8) if before.places[b] != after.places[b]]
-    assert len(moved) == 1
-    files = list((tmp_path / "dim" / "versions" / f"attempt={after.last.attempt}").rglob("*.parquet"))
-    assert {f.parent.name for f in files} == {f"bucket={moved[0]}"}
-    read = plan(store._current(after, moved))
-    assert "Location: InMemoryFileIndex(1 paths)" in read
-    assert store.current().count() == 200 and store.closed().count() == 1
+    files = {f.relative_to(tmp_path): f.stat().st_mtime_ns for f in (tmp_path / "dim/versions").rglob("*.parquet")}
+    assert len({f.parent.name for f in files.keys() - first.keys()}) == 1
+    assert first.items() <= files.items()  # what was written stays as it is
+    assert "bucket" in plan(store.current([3])).split("PartitionFilters: ")[1].split("]")[0]
+    assert store.current().count() == 200 and store.all_versions().count() == 201
 
 
-def test_a_load_reads_the_log_once(spark, tmp_path, monkeypatch):
+def test_a_load_reads_its_state_once(spark, tmp_path, monkeypatch):
     store = VersionStore(spark, str(tmp_path / "dim"))
     reads = []
-    read = VersionStore._log
-    monkeypatch.setattr(VersionStore, "_log", lambda self: reads.append(1) or read(self))
+    read = VersionStore.state
+    monkeypatch.setattr(VersionStore, "state", lambda self, batch: reads.append(1) or read(self, batch))
     load_feed(spark, raw(spark, [(1, "A", "1", "2")]), store, T[0], "f.csv", "b1")
     load_feed(spark, raw(spark, [(1, "A", "3", "4")]), store, T[1], "f.csv", "b2")
     assert len(reads) == 2
 
 
+def test_versions_of_an_unfinished_load_do_not_count(spark, tmp_path, monkeypatch):
+    store = VersionStore(spark, str(tmp_path / "dim"))
+    store.apply(source(spark, [(1, "A", "x")]), "b1", T[0])
+    kept = store.loads().collect()
+    store.apply(source(spark, [(2, "A", "y"), (3, "B", "x")]), "b2", T[1])
+    spark.createDataFrame(kept, store.loads().schema).write.parquet(str(tmp_path / "kept"))
+    monkeypatch.setattr(VersionStore, "loads", lambda self: spark.read.parquet(str(tmp_path / "kept")))
+    assert versions(store) == [("A", "x", T[0], T[8], 1)]
+
+
 def test_change_times_only_grow(spark, tmp_path):
     store = VersionStore(spark, str(tmp_path / "dim"))
     store.apply(source(spark, [(1, "A", "x")]), "b1", T[2])
@@ -193,27 +201,18 @@ def test_change_times_only_grow(spark, tmp_path):
     assert versions(store) == [("A", "x", T[2], T[8], 1)]
 
 
-def test_of_two_writers_one_fails(spark, tmp_path):
-    store = VersionStore(spark, str(tmp_path / "dim"))
-    state = store.state("late")
-    store.apply(source(spark, [(1, "A", "x")]), "b1", T[0])
-    with pytest.raises(RuntimeError, match="Another writer"):
-        store.apply(source(spark, [(1, "A", "z")]), "late", T[1], state=state)
-    assert versions(store) == [("A", "x", T[0], T[8], 1)]
-
-
 def test_unmarked_table_is_adopted_whole(spark, small, tmp_path):
     store = VersionStore(spark, str(tmp_path / "dim"))
     table = history.migrate_columns(feeds.legacy_table(spark, small))
     store.adopt(table)
     assert store.all_versions().count() == table.count()
     highest = table.agg(F.max("product_id"), F.max("stage_id")).first()
-    last = store.last_commit()
+    last, _ = store.state()
     assert (last.last_product_id, last.last_stage_id) == tuple(highest)
     other = VersionStore(spark, str(tmp_path / "other"))
     with pytest.raises(ValueError, match="neither current"):
         other.adopt(table.withColumn("iscurrent", F.lit(2)))
-    assert other.last_commit().version == 0
+    assert other.state()[0] is None
 
 
 def test_point_in_time(spark, tmp_path):
@@ -237,7 +236,7 @@ def test_adopted_table(spark, small, tmp_path):
     store.adopt(table)
     assert store.all_versions().count() == old.count()
     assert store.current().count() == table.where("iscurrent = 1").count()
-    last = store.last_commit().last_product_id
+    last = store.state()[0].last_product_id
     assert store.apply(source(spark, [(1, "NEW", "x")]), "b", T[0]) == 1
     assert store.current().where("sku = 'NEW'").first().product_id == last + 1
 
@@ -331,8 +330,70 @@ def test_collated_merge(spark):
     assert sorted(r.sku for r in rows) == ["A ", "b"]
 
 
-def test_first_merge_joins_nothing(spark, tmp_path):
-    current = VersionStore(spark, str(tmp_path / "dim")).current()
-    batch = source(spark, [(1, "A", "x")])
-    assert "Join" not in plan(history.openable(current, batch))
-    assert "Join" not in plan(history.close_changed(current, batch, F.lit(T[0])))
+def test_ends_follow_from_the_next_version(spark):
+    rows = [("A", "x", T[0], None, 1, 1), ("A", "y", T[2], None, 1, 2), ("B", "x", T[0], T[1], 0, 3), ("B", "y", T[3], None, 1, 4)]
+    found = history.with_ends(spark.createDataFrame(rows, DIMENSION)).collect()
+    assert sorted((r.sku, r.row_hash, r.end_date or T[8], r.iscurrent) for r in found) == [
+        ("A", "x", T[2], 0), ("A", "y", T[8], 1), ("B", "x", T[1], 0), ("B", "y", T[8], 1),
+    ]
+
+
+@pytest.mark.parametrize("most", [1 << 20, 3])
+def test_as_of_for_many_moments(spark, most):
+    """Against a comparison of every moment with every version."""
+    import random
+
+    random.seed(most)
+    day = [datetime(2024, 2, d) for d in range(1, 28)]
+    kept = []
+    for sku in "ABCDE":
+        starts = sorted(random.sample(range(25), 4))
+        for i, start in enumerate(starts):
+            end = None if i == 3 and sku != "E" else starts[i + 1] if i < 3 and random.random() < 0.7 else start + 1
+            kept.append((sku, f"{sku}{i}", day[start], None if end is None else day[end], int(end is None), i))
+    asked = [(n, random.choice("ABCDEX"), random.choice(day)) for n in range(200)]
+    asked += [(200, None, day[3]), (201, "A", None), (202, None, None), (203, "A", day[5]), (203, "A", day[5])]
+    table = spark.createDataFrame(kept, DIMENSION)
+    moments = spark.createDataFrame(asked, "n long, sku string, moment timestamp_ntz")
+    found = history.as_of_moments(table, moments, most=most).collect()
+    got = sorted((r.n, r.sku or "", r.moment or T[0], r.version.row_hash if r.version else "") for r in found)
+    want = []
+    for n, sku, moment in asked:
+        valid = [v[1] for v in kept if v[0] == sku and moment and v[2] <= moment and (v[3] is None or moment < v[3])]
+        want.append((n, sku or "", moment or T[0], valid[0] if valid else ""))
+    assert got == sorted(want)
+    assert "CartesianProduct" not in plan(history.as_of_moments(table, moments, most=most))
+    assert "NestedLoop" not in plan(history.as_of_moments(table, moments, most=most))
+
+
+def test_changes_in_a_stream(spark, tmp_path):
+    fields = spark.createDataFrame([], "sku string, change_time timestamp_ntz, stage_id long, row_hash string").schema
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+
+    def arrive(rows):
+        spark.createDataFrame(rows, fields).repartition(3).write.mode("append").parquet(folder)
+        query = changes.run_changes(spark, folder, fields, out, checkpoint)
+        query.awaitTermination()
+        assert query.exception() is None
+        found = spark.read.parquet(out).collect()
+        return sorted((r.sku, r.change_time, r.row_hash or "", r.kind) for r in found)
+
+    first = arrive([("A", T[0], 1, "x"), ("A", T[0], 2, "y"), ("A", T[1], 3, "y"), ("B", T[1], 4, "x"), (None, T[0], 5, "x")])
+    assert first == [("A", T[0], "y", "opened"), ("B", T[1], "x", "opened")]
+    second = arrive([("A", T[2], 6, "x"), ("B", T[2], 7, "x"), ("B", T[0], 8, "z"), ("C", T[0], 9, None)])
+    assert second == sorted(first + [("A", T[2], "x", "opened"), ("B", T[0], "z", "late")])
+    assert arrive([("A", T[3], 10, "x")]) == second
+
+
+def test_landed_rows_name_their_files(spark, tmp_path):
+    folder, store = str(tmp_path / "landing"), VersionStore(spark, str(tmp_path / "dim"))
+    for rows in ([(1, "A", "1", "2")], [(2, "B", "1", "2"), (3, "C", "1", "2")]):
+        feed = raw(spark, rows).select("row_no", *schema.FEED_COLUMNS)
+        feed.coalesce(1).write.mode("append").parquet(folder)
+    start_landing(spark, folder, store, str(tmp_path / "cp"), lambda: T[0]).awaitTermination()
+    names = {f.name: f for f in (tmp_path / "landing").glob("*.parquet")}
+    staged = spark.read.parquet(store.staging_path()).collect()
+    assert len(staged) == 3 and len({r.load_batch_id for r in staged}) == 1
+    for row in staged:
+        held = spark.read.parquet(str(names[row.source_file]))
+        assert row.sku in {r.sku for r in held.collect()}

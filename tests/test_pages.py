@@ -3,10 +3,10 @@
 import random
 
 from conftest import plan
-from shelftrace.operators import cards, links
+from shelftrace.operators import cards, crawl, links
 from shelftrace.operators.card_parser import read_cards
 from shelftrace.plans import feeds
-from shelftrace.plans.extract import extract_catalogue, extract_records
+from shelftrace.plans.extract import extract_catalogue, extract_counts, extract_records, failed_cards
 
 PAGE = """
 <article class="c-prd prd  col _fb extra" data-sku="S1">
@@ -144,3 +144,72 @@ def test_page_links(spark):
 def test_listing_pages_grow_with_the_table(spark, small):
     listing = feeds.listing_pages(spark, small)
     assert listing.count() == feeds.table(spark, small, "customer").count()
+
+
+def test_one_bad_card_costs_one_card(spark):
+    bad = "&#" + "9" * 5000 + ";"
+    card = '<article class="prd _fb col c-prd" data-sku="{}"><h3 class="name">{}</h3></article>'
+    html = card.format("A", "one &amp; two") + card.format("B", bad) + card.format(bad, "x") + card.format("C", "&#999999;")
+    html += f'<div class="{bad}">' + card.format("D", "last")
+    found = extract_records(pages(spark, html, PAGE))
+    assert {r.position: r.sku for r in found.where("page_id = 0").collect()} == {0: "A", 3: "C", 4: "D"}
+    assert found.where("page_id = 1").count() == 5
+    failed = failed_cards(pages(spark, html, PAGE)).collect()
+    assert sorted((r.page_id, r.position, r.parse_error.split(":")[0]) for r in failed) == [
+        (0, 1, "ValueError"), (0, 2, "ValueError"),
+    ]
+    counts = extract_counts(pages(spark, html, PAGE)).orderBy("page_id").collect()
+    assert [tuple(r) for r in counts] == [(0, 3, 2), (1, 5, 0)]
+
+
+def walked(steps, start, cap=None):
+    """A crawl one page after another: (pages, outcome)."""
+    pages, page = [], start
+    while page in steps and page not in pages and (cap is None or len(pages) < cap):
+        pages.append(page)
+        page = steps[page]
+    if cap is not None and len(pages) >= cap:
+        return pages, crawl.PAGE_CAP
+    if pages and page is None:
+        return pages, crawl.NO_LINK
+    return pages, crawl.CYCLE if page in pages else crawl.NOT_STORED
+
+
+def test_crawls(spark):
+    rng = random.Random(4)
+    steps = {f"p{i}": f"p{i + 1}" for i in range(120)}
+    steps |= {"p40": None, "p60": "gone", "p90": "p70", "self": "self", "a": "b", "b": "a", "alone": None}
+    steps |= {f"t{i}": f"t{rng.randrange(60)}" for i in range(40)}
+    starts = ["p0", "p0", "p39", "p40", "p50", "p61", "p91", "self", "a", "alone", "nowhere", "t3", "t9"]
+    table = spark.createDataFrame(list(steps.items()), "page string, next string")
+    begin = spark.createDataFrame([(s,) for s in starts], "start string")
+    for cap in (None, 0, 1, 7, 16, 1000):
+        reached = crawl.crawl(table, begin, cap)
+        got = {}
+        for r in sorted(reached.collect(), key=lambda r: (r.start, r.position)):
+            got.setdefault(r.start, []).append((r.position, r.page))
+        report = {r.start: r for r in crawl.crawl_report(table, begin, reached, cap).collect()}
+        assert report.keys() == set(starts)
+        for start in set(starts):
+            pages, outcome = walked(steps, start, cap)
+            assert got.get(start, []) == list(enumerate(pages))
+            assert (report[start].pages, report[start].outcome) == (len(pages), outcome)
+    assert crawl.crawl(table.limit(0), begin).count() == 0
+
+
+def test_crawl_of_pages(spark):
+    link = f"<a class='pg' href='{{}}' aria-label='{links.NEXT_LABEL}'>"
+    card = '<article class="prd _fb col c-prd" data-sku="S"><h3 class="name">{}</h3></article>'
+    rows = [
+        (5, "https://h/l/?x=1&page=1", link.format("?page=3&amp;sort=a") + card.format("of one")),
+        (6, "https://h/l/?page=1#again", link.format("?page=9")),
+        (2, "https://h/l/?page=3", link.format("/l/?page=2") + card.format("of three")),
+        (1, "https://h/l/?page=2", card.format("of two")),
+        (7, None, card.format("nowhere")),
+    ]
+    listing = spark.createDataFrame(rows, "page_id long, url string, html string")
+    starts = listing.where("page_id = 5").select(crawl.listing_key("url").alias("start"))
+    reached = crawl.crawl(crawl.page_steps(listing), starts)
+    assert [r.page for r in reached.orderBy("position").collect()] == [f"https://h/l/?page={n}" for n in (1, 3, 2)]
+    found = crawl.crawl_catalogue(extract_records(listing), reached).collect()
+    assert [(r.identity, r.product_name, r.crawl_position) for r in found] == [("S", "of one", 0)]

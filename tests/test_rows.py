@@ -9,7 +9,7 @@ from shelftrace import schema
 from shelftrace.operators import clean, columns, profile, rank, totals, typed, validate
 from shelftrace.plans import feeds, load
 from shelftrace.sources import feed, remote, shared, staging
-from shelftrace.sources.numbering import arrival_order, read_numbered, write_sorted
+from shelftrace.sources.numbering import arrival_order, numbered
 
 REASONS = {
     (None, None, None): "sku: Value error, SKU is required"
@@ -194,10 +194,9 @@ def test_profiles(spark):
     assert tuple(profile.distinct_profile(rows, approximate=True).first()) == (1, 1)
 
 
-def test_numbering_follows_the_order(spark, tmp_path):
+def test_numbering_follows_the_order(spark):
     df = spark.range(1000).select((F.lit(1000) - F.col("id")).alias("v")).repartition(7)
-    write_sorted(df, ["v"], str(tmp_path / "n"))
-    rows = read_numbered(spark, str(tmp_path / "n"), df.schema, "no", base=50).collect()
+    rows = numbered(df, ["v"], "no", base=50).collect()
     assert sorted((r.v, r.no) for r in rows) == [(i, i + 50) for i in range(1, 1001)]
 
 
@@ -209,10 +208,10 @@ def test_arrival_order_is_that_of_the_file(spark, tmp_path):
         df = arrival_order(spark.read.option("header", True).csv(str(path)))
         assert df.rdd.getNumPartitions() > 1
         order = ["arrival_file", "arrival_block", "arrival_row"]
-        numbered = load.number_by_arrival(spark, df, order).collect()
+        found = load.number_by_arrival(df, order).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert sorted((r.row_no, int(r.n)) for r in numbered) == [(i + 1, i) for i in range(3000)]
+    assert sorted((r.row_no, int(r.n)) for r in found) == [(i + 1, i) for i in range(3000)]
 
 
 def test_batch_ids_are_one_per_run():
@@ -278,3 +277,50 @@ def test_line_breaks_survive_with_multiline(spark, tmp_path):
     assert feed.read_feed(spark, path, multiline=True).first().sku == "a\nb"
     with pytest.raises(Exception):
         feed.read_feed(spark, path).collect()
+
+
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_page_runs(spark, partitions):
+    """Against runs found by going through sorted numbers."""
+    import random
+
+    random.seed(int(partitions))
+    rows = [("a", n) for n in range(3, 400) if n % 50] + [("a", 7), ("a", 7)]
+    rows += [("b", random.randrange(60)) for _ in range(40)] + [("c", 1), ("d", 5), (None, 3), ("a", None)]
+    want = []
+    for crawl in "abcd":
+        pages = [p for c, p in rows if c == crawl and p is not None]
+        before = 0
+        for page in sorted(set(pages)):
+            if want and want[-1][0] == crawl and want[-1][2] == page - 1:
+                want[-1][2] = page
+            else:
+                want.append([crawl, page, page, 0, 0, page - before - 1])
+            want[-1][3] += 1
+            want[-1][4] += pages.count(page) - 1
+            before = page
+    df = spark.createDataFrame(rows, "crawl string, n long").repartition(5)
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = totals.page_runs(df, "crawl", "n").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(list, found)) == want
+
+
+def test_sketches_merge_over_batches(spark, tmp_path):
+    rows = [(b, f"v{v}", None if v % 2 else "x") for b in range(3) for v in range(100 * b, 100 * b + 150)]
+    df = spark.createDataFrame(rows, "batch int, v string, w string")
+    path = str(tmp_path / "sketches")
+    for batch in range(3):
+        profile.distinct_sketches(df.where(f"batch = {batch}"), "batch", ["v", "w"]).write.mode("append").parquet(path)
+    found = profile.distinct_estimates(spark.read.parquet(path), "batch", ["v", "w"]).collect()
+    assert sorted((r.batch if r.batch is not None else 9, r.distinct_v, r.distinct_w) for r in found) == [
+        (0, 150, 1), (1, 150, 1), (2, 150, 1), (9, 350, 1),
+    ]
+    many = spark.range(100_000).select(F.lit(1).alias("b"), F.col("id").alias("v"))
+    estimate = profile.distinct_estimates(profile.distinct_sketches(many, "b", ["v"]), "b", ["v"], total=False)
+    assert abs(estimate.first().distinct_v - 100_000) < 3_000
