@@ -192,21 +192,32 @@ def _asides(found, marked):
     A mark does not hold for a container with most of the article's text, or of the
     page's if it has no article. Within an article or beside one, where no article lies
     in it, a whole name still holds, and replies hold as long as there is other text.
+    Within an article, a word of a longer name says little: a section on a market's share
+    is text. Such a name holds only where most of what it names is links.
     """
     if not marked:
         return frozenset()
-    texts = [(len(text) - linked, within, article) for _, text, linked, _, within, article in found]
-    if any(weight for weight, _, article in texts if article):
-        texts = [t for t in texts if t[2]]
+    texts = [
+        (len(text) - linked, linked, within, article) for _, text, linked, _, within, article in found
+    ]
+    in_links, in_all = [0] * len(marked), [0] * len(marked)
+    for weight, linked, within, _ in texts:
+        for number in within:
+            in_links[number] += linked
+            in_all[number] += weight + linked
+    if any(weight for weight, *_, article in texts if article):
+        texts = [t for t in texts if t[3]]
         articles = True
     else:
         articles = False
     total, held = sum(t[0] for t in texts), [0] * len(marked)
-    for weight, within, _ in texts:
+    for weight, _, within, _ in texts:
         for number in within:
             held[number] += weight
 
-    def holds(mark, inside, around, weight):
+    def holds(mark, inside, around, weight, mostly_links):
+        if mark == PARTLY and inside:
+            return mostly_links
         if 2 * weight <= total:
             return True
         if mark == FORMS:
@@ -215,7 +226,9 @@ def _asides(found, marked):
             return weight < total
         return mark == WHOLLY and inside and not around and weight < total
 
-    return {n for n, m in enumerate(marked) if holds(*m, held[n])}
+    return {
+        n for n, m in enumerate(marked) if holds(*m, held[n], 2 * in_links[n] > in_all[n])
+    }
 
 
 def shares(found):

@@ -160,3 +160,21 @@ def test_elements_without_an_end_tag_do_not_swallow_the_page():
     assert text("<p>a <video><p>no video</p></video>b <option>x</option>c</p>") == "a b c"
     assert text("<p>a <svg><svg></svg><text>t</text></svg>b <script>x") == "a b"
     assert text("<p>a <button>x<button>y</button>b</p>") == "a b"
+
+
+def test_sections_with_an_aside_word_in_a_longer_name_are_text():
+    section = "<h2>Heading</h2><p>what the section says of it"
+    for name in ("market-share", "social-history", "related-work", "menu-description", "search-results", "notice-period"):
+        for attribute in ("class", "id", "role"):
+            html = f"<article><p>before it<section {attribute}='{name}'>{section}</section><p>after it</article>"
+            assert text(html) == "before it\nHeading\nwhat the section says of it\nafter it", html
+    for aside in (
+        "<div class=comments><p>First!</div>",
+        "<div class='cookie-notice'><p>We use cookies</div>",
+        "<div class='social-share'><p>Tell others</div>",
+        "<div class='newsletter-signup'><a href=/n>Get our letters</a> <a href=/m>by mail</a></div>",
+        "<ul class='related-stories'><li><a href=/1>One story</a><li><a href=/2>Another</a></ul>",
+    ):
+        assert text(f"<article><p>before it</p>{aside}<p>after it</article>") == "before it\nafter it", aside
+    # Beside the article, a part of a name is still enough.
+    assert text(f"<article><p>{STORY}</article><div class='sidebar-left'><p>words</div>") == STORY
