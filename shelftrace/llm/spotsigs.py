@@ -31,7 +31,6 @@ al como con del el esta la las lo los mas no para pero por su sus una y
 CHAIN = 2
 # A chain ends with the words so far after its anchor.
 REACH = 8
-MIN_LIKENESS = 0.05
 
 
 def text_words(text):
@@ -85,60 +84,86 @@ def length_partition(signatures, threshold):
     return F.floor(F.log(length.cast("double")) / F.lit(-math.log(threshold)) + F.lit(1e-9))
 
 
-def jaccard(left, right, threshold=MIN_LIKENESS):
+def likeness(left, right):
+    """Jaccard similarity of two sets, whatever it is; two empty sets are alike."""
+    a, b = F.size(left), F.size(right)
+    # Sets without a common element need no intersection.
+    common = F.when(F.arrays_overlap(left, right), F.size(F.array_intersect(left, right)))
+    common = F.coalesce(common, F.lit(0)).cast("double")
+    return F.when((a == 0) & (b == 0), F.lit(1.0)).otherwise(common / (a + b - common))
+
+
+def jaccard(left, right, threshold):
     """Similarity of two sets; 0 if it is under `threshold`. Sets in partitions of length
     that are no neighbours are not compared. Two empty sets are alike."""
     a, b = F.size(left), F.size(right)
     apart = F.abs(length_partition(left, threshold) - length_partition(right, threshold)) > 1
     short = F.least(a, b) < F.lit(threshold) * F.greatest(a, b)
-    common = F.size(F.array_intersect(left, right)).cast("double")
-    likeness = common / (a + b - common)
-    return (
-        F.when((a == 0) & (b == 0), F.lit(1.0))
-        .when(apart | short, F.lit(0.0))
-        .otherwise(F.when(likeness >= threshold, likeness).otherwise(F.lit(0.0)))
+    found = likeness(left, right)
+    return F.when(((a > 0) | (b > 0)) & (apart | short), F.lit(0.0)).otherwise(
+        F.when(found >= threshold, found).otherwise(F.lit(0.0))
     )
 
 
-def with_next(docs, carried):
-    """Adds `next_<c>` for each carried column: its value in the next row by `id`, rows
-    of one id by text; after the last comes the first.
+def in_ranges(docs):
+    """(docs by ranges, heads): the documents with `__order` and `__hash`, by which they
+    are ordered, and the number of their range; and the first row of each range with the
+    range before it, that of the first being the last.
 
-    The ids are cut into ranges of like many rows, several per shuffle partition. The
-    first row of a range is also sent to the range before, where it comes last.
+    The ids are cut into ranges of like many rows, several per shuffle partition. An id
+    that fills ranges by itself, or rows without one, are cut further by the hash.
     """
-    spark = docs.sparkSession
-    lowest = F.lit(-(2**63))
-    docs = docs.withColumn("__order", F.coalesce(F.col("id").cast("long"), lowest))
-    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lowest = -(2**63)
+    docs = docs.withColumns(
+        {"__order": F.coalesce(F.col("id").cast("long"), F.lit(lowest)), "__hash": F.xxhash64("text")}
+    )
+    ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = [i / ranges for i in range(1, ranges)]
     cuts = docs.agg(F.percentile_approx("__order", shares, 10 * ranges)).first()[0] or []
-    splits = [-math.inf, *sorted({float(c) for c in cuts if c > -(2**63)}), math.inf]
+    # An id that is several cuts has as many ranges.
+    pieces = {c: cuts.count(c) + (c == lowest) for c in set(cuts)}
+    pieces = {c: count for c, count in pieces.items() if count > 1}
+    splits = [-math.inf, *sorted({float(c) for c in cuts if c > lowest}), math.inf]
     if len(splits) == 2:
         splits.insert(1, 0.0)
     bucketizer = Bucketizer(splits=splits, inputCol="__place", outputCol="__range")
-    placed = bucketizer.transform(
-        docs.withColumn("__place", F.col("__order").cast("double"))
-    ).drop("__place").withColumn("__range", F.col("__range").cast("int"))
-    # At most one row per range: a bounded table.
-    heads = placed.groupBy("__range").agg(F.min("__order").alias("__head"))
+    placed = bucketizer.transform(docs.withColumn("__place", F.col("__order").cast("double"))).drop("__place")
+    # Such an id is the least of its range; the other ids there come behind its pieces.
+    share = F.col("__hash").cast("double") / 2.0**64 + 0.5
+    piece = F.lit(ranges)
+    for hot, count in pieces.items():
+        own = F.least(F.floor(share * count), F.lit(count - 1))
+        piece = F.when(F.col("__order") == F.lit(hot), own).otherwise(piece)
+    placed = placed.withColumn("__range", (F.col("__range") * (ranges + 1) + piece).cast("long"))
+    # At most one row per range from here.
+    heads = placed.groupBy("__range").agg(F.min(F.struct("__order", "__hash")).alias("__first"))
     along = Window.orderBy("__range")
     everything = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.select(
-        "__head",
+        F.col("__first.__order").alias("__head"),
+        F.col("__first.__hash").alias("__head_hash"),
         F.coalesce(F.lag("__range").over(along), F.last("__range").over(everything)).alias("__before"),
     )
-    sent = placed.join(F.broadcast(heads), F.col("__order") == F.col("__head"), "left")
+    return placed, heads
+
+
+def with_next(docs, carried):
+    """Adds `next_<c>` for each carried column: its value in the next row by `id`, rows
+    of one id by a hash of their text; after the last comes the first. The first row of a
+    range is also sent to the range before, where it comes last."""
+    placed, heads = in_ranges(docs)
+    is_head = (F.col("__order") == F.col("__head")) & (F.col("__hash") == F.col("__head_hash"))
+    sent = placed.join(F.broadcast(heads), is_head, "left")
     places = F.array(
         F.struct(F.col("__range").alias("range"), F.lit(False).alias("tail")),
         F.struct(F.col("__before").alias("range"), F.lit(True).alias("tail")),
     )
     places = F.filter(places, lambda p: p["range"].isNotNull())
     sent = sent.withColumn("__to", F.explode(places))
-    order = Window.partitionBy("__to.range").orderBy("__to.tail", "__order", "text")
+    order = Window.partitionBy("__to.range").orderBy("__to.tail", "__order", "__hash", "text")
     following = {f"next_{c}": F.lead(c).over(order) for c in carried}
     out = sent.withColumns(following).where(~F.col("__to.tail"))
-    return out.drop("__to", "__order", "__range", "__head", "__before")
+    return out.drop("__to", "__order", "__hash", "__range", "__head", "__head_hash", "__before")
 
 
 def edited_text(text, following):
@@ -154,8 +179,9 @@ def fingerprint_documents(docs, id="doc_id", text="text"):
     near_next) of every document.
 
     A null text is empty. Null ids come first in the order of documents, rows of one id
-    in the order of their texts. Repeated rows come out as often as they occur; other
-    columns are ignored. A table of one row follows itself.
+    in the order of a hash of their texts. Repeated rows come out as often as they occur;
+    other columns are ignored. A table of one row follows itself. The two likenesses are
+    whole Jaccard similarities, however small; only near_duplicates has a threshold.
     """
     rows = docs.select(
         F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -169,8 +195,8 @@ def fingerprint_documents(docs, id="doc_id", text="text"):
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("signatures")).alias("fingerprint"),
         fingerprint(F.col("edited_signatures")).alias("edited_fingerprint"),
-        jaccard(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
-        jaccard(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
+        likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
+        likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
     )
 
 
@@ -215,6 +241,6 @@ def near_duplicates(docs, threshold=0.8, id="doc_id", text="text"):
     def of(name):
         return named.select(F.col("set_id").alias(name), F.col("signatures").alias(f"{name}_set"))
 
-    likeness = jaccard(F.col("a_set"), F.col("b_set"), threshold)
-    pairs = candidates.join(of("a"), "a").join(of("b"), "b").select("a", "b", likeness.alias("likeness"))
+    near = jaccard(F.col("a_set"), F.col("b_set"), threshold)
+    pairs = candidates.join(of("a"), "a").join(of("b"), "b").select("a", "b", near.alias("likeness"))
     return pairs.where(F.col("likeness") >= threshold), members

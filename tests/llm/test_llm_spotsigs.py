@@ -3,6 +3,7 @@ import math
 import re
 
 import pytest
+import xxhash
 from conftest import plan
 from llm_tables import documents, found, no_documents, rows
 from pyspark.sql import functions as F
@@ -24,12 +25,17 @@ def spots(text):
 
 
 def likeness(a, b):
-    value = len(a & b) / len(a | b) if a | b else 1.0
-    return value if value >= spotsigs.MIN_LIKENESS else 0.0
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def hashed(text):
+    """The order of texts of one id: XXH64 with seed 42, as a signed number."""
+    number = xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return number - (1 << 64) if number >> 63 else number
 
 
 def expected(table):
-    ordered = sorted(table, key=lambda r: (-math.inf if r[0] is None else r[0], r[1]))
+    ordered = sorted(table, key=lambda r: (-math.inf if r[0] is None else r[0], hashed(r[1])))
     out = []
     for place, (id, text) in enumerate(ordered):
         after = ordered[(place + 1) % len(ordered)][1]
@@ -122,3 +128,20 @@ def test_near_duplicates(spark):
     got = found(pairs)
     assert [(a, b) for a, b, _ in got] == [(10, 11)]
     assert got[0][2] == pytest.approx(likeness(sets[0], sets[1]))
+
+
+def test_small_likeness_is_reported(spark):
+    long = " ".join(f"the w{i} v{i}" for i in range(300))
+    table = [(1, long), (2, "the w7 v7"), (3, "unlike"), (4, "the w7 v7 of u1 t1")]
+    check(spotsigs.fingerprint_documents(spark.createDataFrame(table, "doc_id long, text string")), table)
+    assert expected(table)[0][4] == pytest.approx(1 / 300)
+
+
+@pytest.mark.parametrize("id", [None, 7])
+def test_rows_of_one_id_spread_over_ranges(spark, id):
+    table = [(id, f"the story number {i} of all") for i in range(400)] + [(i, f"by the road {i} on") for i in range(5, 60, 9)]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(5)
+    check(spotsigs.fingerprint_documents(docs), table)
+    rows = docs.select(F.col("doc_id").alias("id"), "text")
+    sizes = spotsigs.in_ranges(rows)[0].groupBy("__range").count().collect()
+    assert max(r["count"] for r in sizes) < 400 / 3
