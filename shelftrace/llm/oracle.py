@@ -83,19 +83,20 @@ from fit
 """
 
 SQL["op6_topk"] = """
-with vectors as (
-  select vec_id, min(list_transform(embedding, lambda x: floor(256 * x::double)::bigint)) as v
+with whole as (
+  select distinct vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
   from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-  group by vec_id),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+vectors as (select *, row_number() over (partition by vec_id order by v) as copy from whole),
 scored as (
-  select q.vec_id as query_id, c.vec_id,
+  select q.vec_id as query_id, q.copy, c.vec_id,
     coalesce(list_sum(list_transform(list_zip(q.v, c.v),
       lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0)::bigint as score
-  from vectors q join vectors c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
+  from vectors q join vectors c
+    on q.vec_id % 50 = 0 and (q.vec_id <> c.vec_id or q.copy <> c.copy)),
 ranked as (
-  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank
+  select *, row_number() over (partition by query_id, copy order by score desc, vec_id)::int as rank
   from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """

@@ -1,10 +1,11 @@
 """Exact top-k inner products, by an impact-ordered index read score at a time.
 
 Candidates and queries are dealt into blocks, and every pair of blocks is a task: the
-candidates' block is indexed by component and quantised value, and each query reads the
-index in segments of falling impact, adding quantised impacts up. It stops only once the
-bound on what is still unread proves that all but a few candidates are out, and scores
-those few exactly. The best of all blocks are ranked per query.
+candidates' block is indexed by component and quantised level. Queries read the index in
+segments of falling levels, many queries at a time, and add quantised impacts up. A query
+stops only once the bound on what is still unread of each row proves that all but a few
+candidates are out, and scores those few exactly. The best of all blocks are ranked per
+query.
 """
 
 import numpy as np
@@ -19,86 +20,88 @@ SCALE = 256
 CANDIDATES_PER_BLOCK = 8192
 QUERIES_PER_BLOCK = 1024
 LEVELS = 64
-# Each round reads all segments down to this part of the impact before.
-FALL = 0.5
+# Queries that read segments together: their sums fill some megabytes.
+QUERIES_AT_ONCE = 64
+# Whole numbers up to here are exact as doubles.
+MOST = 2.0**53
 
 
 class ImpactIndex:
-    """Postings of a block by component: rows in the order of their values, and where
-    each quantised level starts, counted from the least and from the greatest value."""
+    """Postings of a block: the quantised level of each component of each row, counted from
+    the least and from the greatest value of the component."""
 
     def __init__(self, vectors):
         self.vectors = vectors
-        self.low = vectors.min(axis=0)
-        self.high = vectors.max(axis=0)
+        self.low, self.high = vectors.min(axis=0), vectors.max(axis=0)
         self.step = np.maximum(1, -(-(self.high - self.low + 1) // LEVELS))
-        self.order = np.argsort(vectors, axis=0, kind="stable")
-        ordered = np.take_along_axis(vectors, self.order, axis=0)
-        count = vectors.shape[1]
-        levels = np.arange(LEVELS + 1)
-        # upward[d, l]: first place in order whose value is in level l or above.
-        self.upward = np.stack(
-            [np.searchsorted(ordered[:, d], self.low[d] + levels * self.step[d]) for d in range(count)]
-        )
-        # downward[d, l]: first place after those whose value is l levels or more down.
-        self.downward = np.stack(
-            [
-                np.searchsorted(ordered[:, d], self.high[d] - levels * self.step[d], side="right")
-                for d in range(count)
-            ]
-        )
-
-    def search(self, query, wanted):
-        """Rows that may be among the `wanted` best, with their exact scores: all that
-        are, ties included."""
+        self.upward = ((vectors - self.low) // self.step).astype(np.uint8)
+        self.downward = ((self.high - vectors) // self.step).astype(np.uint8)
+        # Sums of products of whole numbers are exact as doubles while they fit 53 bits.
+        self.reach = np.maximum(np.abs(self.low), np.abs(self.high)).astype(np.float64) + self.step
+        self.exact = vectors.astype(np.float64)
+
+    def products(self, rows, query):
+        if float(self.reach @ np.abs(query)) < MOST:
+            return (self.exact[rows] @ query.astype(np.float64)).astype(np.int64)
+        return self.vectors[rows] @ query
+
+    def search(self, queries, wanted):
+        """(rows, exact scores) for each query: rows that may be among its `wanted` best,
+        all that are, ties included."""
+        for start in range(0, len(queries), QUERIES_AT_ONCE):
+            yield from self._search(queries[start : start + QUERIES_AT_ONCE], wanted)
+
+    def _search(self, queries, wanted):
+        """Many queries read the segments together, from the highest level down.
+
+        A query's score is a base, its weight times step and level for each component, and
+        what quantising took. After a segment the rows that lead are scored exactly: no row
+        below the `wanted`-th of these scores is among the best. A row is out once its sum
+        and all that is unread of it prove it to be below; a query stops once few are left.
+        """
         rows = len(self.vectors)
-        used = np.flatnonzero(query)
-        weight = np.abs(query)
-        up = query > 0
-        # Impact of a segment: weight * step * level, for falling levels.
-        unit = weight * self.step
-        top = unit[used] * (LEVELS - 1)
-        floor = float((weight * (self.step - 1)).sum())
-        done = np.full(len(query), LEVELS)
-        sums = np.zeros(rows)
         limit = max(8 * wanted, rows // 8)
-        bar = float(top.max()) if len(used) else 0.0
-        possible = np.arange(rows)
-        while rows > limit and len(used):
-            bar *= FALL
-            next_level = np.maximum(1, np.ceil(bar / unit[used])).astype(int)
-            places, impacts, sizes = [], [], []
-            for d, level in zip(used, next_level):
-                if level < done[d]:
-                    bounds = (self.upward if up[d] else self.downward)[d, level : done[d] + 1]
-                    first, last = (bounds[0], bounds[-1]) if up[d] else (bounds[-1], bounds[0])
-                    if first < last:
-                        places.append(self.order[first:last, d])
-                        per_level = np.diff(bounds) if up[d] else -np.diff(bounds)[::-1]
-                        read = np.arange(level, done[d])
-                        impacts.append(unit[d] * (read if up[d] else read[::-1]))
-                        sizes.append(per_level)
-                    done[d] = level
-            if places:
-                worth = np.repeat(np.concatenate(impacts), np.concatenate(sizes))
-                sums += np.bincount(np.concatenate(places), worth, rows)
-            # What a row may still gain: an unread level of each component, and what
-            # quantising took from the levels that were read.
-            unread = float((unit[used] * (done[used] - 1)).sum()) + floor
-            least = np.partition(sums, rows - wanted)[rows - wanted]
-            possible = np.flatnonzero(sums + unread >= least)
-            if len(possible) <= limit or (done[used] <= 1).all():
-                break
-        return possible, self.vectors[possible] @ query
+        leading = min(rows, max(32, 4 * wanted))
+        possible = [np.arange(rows)] * len(queries)
+        fits = np.abs(queries).astype(np.float64) @ self.reach < MOST
+        open_queries = np.flatnonzero(fits & queries.any(axis=1)) if rows > limit else np.zeros(0, int)
+        units = np.abs(queries) * self.step.astype(np.float64)
+        base = np.where(queries > 0, queries * self.low, queries * self.high).sum(axis=1, dtype=np.float64)
+        lost = (np.abs(queries) * (self.step - 1)).sum(axis=1, dtype=np.float64)
+        least = np.full(len(queries), -np.inf)
+        sums, top = np.zeros((len(open_queries), rows)), LEVELS
+        while len(open_queries) and top > 1:
+            level = top // 2
+            own = units[open_queries]
+            read = np.zeros_like(sums)
+            for levels, signs in ((self.upward, queries > 0), (self.downward, queries < 0)):
+                weights = np.where(signs[open_queries], own, 0.0)
+                seen = levels >= level
+                segment = np.where(seen & (levels < top), levels, 0).astype(np.float64)
+                sums += weights @ segment.T
+                read += weights @ seen.T.astype(np.float64)
+            # A component of a row that is not read yet has a lower level.
+            rest = (level - 1) * (own.sum(axis=1)[:, None] - read) + lost[open_queries][:, None]
+            bound = sums + rest + base[open_queries][:, None]
+            leaders = np.argpartition(sums, rows - leading, axis=1)[:, rows - leading :]
+            going = np.ones(len(open_queries), bool)
+            for i, number in enumerate(open_queries):
+                scores = self.products(leaders[i], queries[number])
+                least[number] = max(least[number], np.partition(scores, leading - wanted)[leading - wanted])
+                possible[number] = np.flatnonzero(bound[i] >= least[number])
+                going[i] = len(possible[number]) > limit
+            open_queries, sums, top = open_queries[going], sums[going], level
+        for query, found in zip(queries, possible):
+            yield found, self.products(found, query)
 
 
 def best_of(ids, copies, vectors, query_ids, query_copies, queries, wanted):
     """(query id, query copy, id, score) of the best candidates of each query, not itself."""
     index = ImpactIndex(vectors)
     out = []
-    for own, copy, query in zip(query_ids, query_copies, queries):
-        # One more than wanted, for the query itself may be among them.
-        rows, scores = index.search(query, min(wanted + 1, len(ids)))
+    # One more than wanted, for the query itself may be among them.
+    found = index.search(queries, min(wanted + 1, len(ids)))
+    for own, copy, (rows, scores) in zip(query_ids, query_copies, found):
         other = (ids[rows] != own) | (copies[rows] != copy)
         rows, scores = rows[other], scores[other]
         best = np.lexsort((ids[rows], -scores))[:wanted]
