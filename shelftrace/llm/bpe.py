@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from shelftrace.llm.common import batch_of, frequency_level, highest
+from shelftrace.llm.common import batch_of, frequency_level, highest, releasing
 from shelftrace.llm.shingles import BYTES_AT_ONCE, mixed, word_hashes
 from shelftrace.sources.shared import stored
 
@@ -77,7 +77,7 @@ def common_words(docs):
                     yield from flush()
         yield from flush()
 
-    partial = docs.select("text").mapInArrow(count, "word string, uses long")
+    partial = docs.select("text").mapInArrow(releasing(count), "word string, uses long")
     return partial.groupBy("word").agg(F.sum("uses").alias("uses"))
 
 
@@ -100,7 +100,7 @@ def encode_words(words, path):
                     [*part.columns, pa.array(ids, pa.binary())], names=["word", "uses", "ids"]
                 )
 
-    return words.select("word", "uses").mapInArrow(encode, "word string, uses long, ids binary")
+    return words.select("word", "uses").mapInArrow(releasing(encode), "word string, uses long, ids binary")
 
 
 def encode_places(rare, path):
@@ -131,7 +131,7 @@ def encode_places(rare, path):
 
     together = rare.repartition("word").sortWithinPartitions("word")
     return together.mapInArrow(
-        encode, "id_key string, text_key long, position int, ids binary"
+        releasing(encode), "id_key string, text_key long, position int, ids binary"
     )
 
 
@@ -230,12 +230,12 @@ def _parts(batch):
         yield batch.slice(start, ROWS_AT_ONCE)
 
 
-def _rare_words(docs, frequent):
+def _rare_words(docs, index_sent):
     """(key, position, word) for words that are not frequent."""
     schema = pa.schema([*KEY_FIELDS, ("position", pa.int32()), ("word", pa.string())])
 
     def find(batches):
-        index = WordIndex.of(frequent.value["index"])
+        index = WordIndex.of(index_sent.value)
         gap = len(index.hashes)
         for batch in batches:
             out = [[] for _ in schema]
@@ -253,16 +253,16 @@ def _rare_words(docs, frequent):
             yield batch_of(schema, out)
 
     return docs.select(*KEY, "text").mapInArrow(
-        find, "id_key string, text_key long, position int, word string"
+        releasing(find), "id_key string, text_key long, position int, word string"
     )
 
 
-def _numbered(docs, frequent):
+def _numbered(docs, index_sent):
     """Documents as packed word numbers; the count of frequent words marks a gap."""
     kinds = dict(docs.dtypes)
 
     def pack(batches):
-        index = WordIndex.of(frequent.value["index"])
+        index = WordIndex.of(index_sent.value)
         for batch in batches:
             for part in _parts(batch):
                 packed = [
@@ -275,7 +275,7 @@ def _numbered(docs, frequent):
                 )
 
     return docs.select("id", *KEY, "text").mapInArrow(
-        pack, f"id {kinds['id']}, id_key string, text_key long, packed binary"
+        releasing(pack), f"id {kinds['id']}, id_key string, text_key long, packed binary"
     )
 
 
@@ -311,12 +311,14 @@ def packed_lists(column, width):
     return flat, (np.cumsum(sizes) - sizes).astype(np.int32), sizes.astype(np.int32)
 
 
-def _filled(rows, frequent, width):
-    """Ids of each document: those of its word numbers, joined ids in the gaps."""
+def _filled(rows, ids_sent, width, pieces_sent=None):
+    """Ids of each document: those of its word numbers, joined ids in the gaps; with
+    pieces also the decoded text."""
     kinds = dict(rows.dtypes)
+    decoded = ", decoded string" if pieces_sent else ""
 
     def fill(batches):
-        common, starts, sizes = frequent.value["ids"]
+        common, starts, sizes = ids_sent.value
         gap = len(sizes)
         # A gap counts as an empty word here and is widened below.
         starts, sizes = np.append(starts, 0), np.append(sizes, 0)
@@ -343,16 +345,23 @@ def _filled(rows, frequent, width):
                     made.append(source[np.arange(len(shift)) + shift].astype(np.int32))
                 offsets = np.cumsum([0, *map(len, made)]).astype(np.int32)
                 arrays = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), arrays], names=["id", "ids"])
+                columns, names = [part.column("id"), arrays], ["id", "ids"]
+                if pieces_sent:
+                    columns.append(_texts_of(arrays, pieces_sent.value))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.select("id", "packed", "rare").mapInArrow(
-        fill, f"id {kinds['id']}, ids array<int>"
+        releasing(fill), f"id {kinds['id']}, ids array<int>{decoded}"
     )
 
 
-def encode_documents(docs, path, id="doc_id", text="text", frequent_words=FREQUENT_WORDS):
+def encode_documents(
+    docs, path, id="doc_id", text="text", frequent_words=FREQUENT_WORDS, decode=False
+):
     """(id, ids) of every document, as the tokenizer at `path` encodes its whole text
-    without adding special tokens. A null text is empty and has no ids. Repeated rows
+    without adding special tokens; with `decode` also `decoded`, as decode_documents has
+    it, in the same pass. A null text is empty and has no ids. Repeated rows
     come out as often as they occur, null ids too; other columns are ignored. The file
     must lie at the same path on all executors, and its tokens must not depend on more
     than the word between white space, as with pre-tokenizers that drop white space.
@@ -365,45 +374,49 @@ def encode_documents(docs, path, id="doc_id", text="text", frequent_words=FREQUE
     # The most frequent first: their numbers take the fewest bytes.
     known = known.toArrow().sort_by([("uses", "descending"), ("word", "ascending")])
     parts = (b.column("word").cast(pa.binary()).to_pylist() for b in known.to_batches(WORDS_PER_BATCH))
-    frequent = spark.sparkContext.broadcast(
-        {
-            "index": vars(WordIndex(parts)),
-            "ids": packed_lists(known.column("ids").combine_chunks(), width),
-        }
-    )
+    # Apart, for no worker needs both.
+    index_sent = spark.sparkContext.broadcast(vars(WordIndex(parts)))
+    ids_sent = spark.sparkContext.broadcast(packed_lists(known.column("ids").combine_chunks(), width))
     del known
     keyed = _keyed(docs)
-    placed = encode_places(_rare_words(keyed, frequent), path)
+    placed = encode_places(_rare_words(keyed, index_sent), path)
     placed = placed.groupBy(*KEY).agg(F.collect_set(F.struct("position", "ids")).alias("rare"))
-    rows = _numbered(keyed, frequent).join(placed, KEY, "left")
-    return _filled(rows, frequent, width).withColumnRenamed("id", id)
+    rows = _numbered(keyed, index_sent).join(placed, KEY, "left")
+    pieces_sent = spark.sparkContext.broadcast(pieces_of(path)) if decode else None
+    return _filled(rows, ids_sent, width, pieces_sent).withColumnRenamed("id", id)
 
 
 def pieces_of(path):
     """Piece strings by id: the whole vocabulary, whose size is fixed."""
     tokenizer = load_tokenizer(path)
-    return [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
+    pieces = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
+    return pa.array(pieces, pa.string())
+
+
+def _texts_of(lists, pieces):
+    """The join of ids and pieces, in place: the piece of each id, those of a list with a
+    space between."""
+    found = pieces.take(pc.list_flatten(lists))
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), found), " ")
+    return pc.if_else(pc.is_valid(lists), texts, pa.scalar(None, pa.string()))
 
 
 def decode_documents(encoded, path, ids="ids"):
     """The rows with `decoded`: pieces joined to their ids, special tokens kept, with a
-    space between pieces, as a tokenizer without a decoder does. Null ids give null."""
-    spark = encoded.sparkSession
-    pieces = spark.sparkContext.broadcast(pa.array(pieces_of(path), pa.string()))
+    space between pieces, as a tokenizer without a decoder does. Null ids give null. A
+    column of that name is replaced."""
+    encoded = encoded.drop("decoded")
+    pieces = encoded.sparkSession.sparkContext.broadcast(pieces_of(path))
     kinds = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)
 
     def decode(batches):
         for batch in batches:
             for part in _parts(batch):
-                lists = part.column(ids)
-                # The join: piece of each id, in place.
-                found = pieces.value.take(pc.list_flatten(lists))
-                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), found), " ")
-                texts = pc.if_else(pc.is_valid(lists), texts, pa.scalar(None, pa.string()))
+                texts = _texts_of(part.column(ids), pieces.value)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, texts], names=[*part.schema.names, "decoded"]
                 )
 
-    return encoded.mapInArrow(decode, f"{kinds}, decoded string")
+    return encoded.mapInArrow(releasing(decode), f"{kinds}, decoded string")

@@ -1,5 +1,8 @@
 """Helpers that several operators share."""
 
+import ctypes
+import gc
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -29,6 +32,21 @@ def batch_of(schema, columns):
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def releasing(work):
+    """A function over Arrow batches that at its end gives free memory back to the system:
+    Python workers live on between stages, beside those of the next ones."""
+
+    def run(batches):
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
 def highest(rows, level, most):
     """The rows with the highest values of `level`, a whole number of few distinct
     values: `most` at most, and all rows of a level or none. Counts per level decide, so

@@ -45,7 +45,7 @@ def op1_lm_scoring(spark, sf_dir):
 @query
 def op2_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    decoded = bpe.decode_documents(bpe.encode_documents(docs, WORD_BPE_FILE), WORD_BPE_FILE)
+    decoded = bpe.encode_documents(docs, WORD_BPE_FILE, decode=True)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

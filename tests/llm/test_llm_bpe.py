@@ -15,6 +15,10 @@ def test_encodes_and_decodes_like_the_tokenizer(spark, frequent):
         ids = tokenizer.encode(row[1] or "", add_special_tokens=False).ids
         want.append((row[0], ids, tokenizer.decode(ids, skip_special_tokens=False)))
     assert sorted(got, key=str) == sorted(want, key=str)
+    both = bpe.encode_documents(documents(spark), WORD_BPE_FILE, frequent_words=frequent, decode=True)
+    assert sorted(found(both), key=str) == sorted(want, key=str)
+    again = bpe.decode_documents(both, WORD_BPE_FILE)
+    assert sorted(found(again), key=str) == sorted(want, key=str)
 
 
 def test_no_documents(spark):
