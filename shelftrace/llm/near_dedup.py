@@ -276,7 +276,8 @@ def near_duplicates(docs, threshold=THRESHOLD, id="doc_id", text="text"):
 
 def deduplicate(docs, threshold=THRESHOLD, id="doc_id", text="text"):
     """One row of each class of near-duplicates, with all its columns: the one with the
-    least id, rows without an id only where no other is."""
+    least id, rows without an id only where no other is. Of rows with that id and the same
+    text, the one whose columns hash lowest, whatever the order of the rows."""
     keyed = with_node(docs, id, text)
     first = F.min(F.struct(F.col("id").isNull().alias("without"), "id"))
     least = stored(
@@ -292,4 +293,7 @@ def deduplicate(docs, threshold=THRESHOLD, id="doc_id", text="text"):
     kept = kept.select(row_key(F.col("kept.node"), F.col("kept.first.id")).alias("__kept"))
     node = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
     rows = docs.withColumn("__kept", row_key(node, F.col(id)))
-    return rows.join(kept, "__kept", "left_semi").dropDuplicates(["__kept"]).drop("__kept")
+    rows = rows.join(kept, "__kept", "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = rows.groupBy("__kept").agg(F.min_by(whole, F.md5(F.to_json(whole))).alias("__row"))
+    return one.select("__row.*")

@@ -139,3 +139,10 @@ def test_components(spark):
     got = dict(found(components(spark.createDataFrame(links, "a long, b long"))))
     assert got == union_find(links, {n for link in links for n in link})
     assert found(components(spark.createDataFrame([], "a long, b long"))) == []
+
+
+def test_of_equal_ids_and_texts_the_same_row_stays(spark):
+    rows = [(1, "one text of some words here", f"source {i}", {"k": i}) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string,int>")
+    kept = [near_dedup.deduplicate(docs.repartition(n, "source")).collect() for n in (1, 3, 7)]
+    assert len(kept[0]) == 1 and kept[0] == kept[1] == kept[2]
