@@ -41,7 +41,7 @@ def mixed(spark, docs, sf_dir):
 
 def encoded(spark, docs, sf_dir):
     """(doc_id, n_tokens, ids, decoded_sha256) of every document of the mix."""
-    found = bpe.decode_documents(bpe.encode_documents(docs, WORD_BPE_FILE), WORD_BPE_FILE)
+    found = bpe.encode_documents(docs, WORD_BPE_FILE, decode=True)
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
