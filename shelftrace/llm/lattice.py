@@ -1,14 +1,21 @@
 """Segmentation lattices of words over a fixed piece vocabulary, as arrays.
 
 A word's lattice has a node per character and an arc per vocabulary piece. Words of
-like length are worked on together: one row per word, one column per node.
+like length are worked on together: one row per word, one column per node. A long word is
+worked on alone: arcs are found for all its characters at once, a window at a time, and
+the recursion goes over arcs instead of columns.
 """
 
+from math import exp, inf, log1p
+
 import numpy as np
 
 WORD_START = "▁"
 # Characters times words that are worked on at once.
 CHUNK_CELLS = 1 << 19
+# Words of more characters are worked on alone, by windows of so many of them.
+LONG_WORD = 128
+WINDOW = 1 << 16
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,8 +83,10 @@ def _step(code, char):
 
 
 def _chunks(words):
-    """Row numbers of words of like length, CHUNK_CELLS characters at a time."""
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    """Row numbers of words of like length, CHUNK_CELLS characters at a time; long words
+    are not among them."""
+    short = [i for i, word in enumerate(words) if len(word) <= LONG_WORD]
+    order = sorted(short, key=lambda i: len(words[i]))
     start = 0
     while start < len(order):
         end = start + 1
@@ -141,9 +150,79 @@ def log_likelihoods(words, vocabulary, scores):
     for chosen in _chunks(words):
         lengths, arcs = _arcs([words[i] for i in chosen], vocabulary)
         out[chosen] = _forward(lengths, arcs, scores)[np.arange(len(chosen)), lengths]
+    for i, word in enumerate(words):
+        if len(word) > LONG_WORD:
+            out[i] = _long_forward(word, vocabulary, scores)[-1]
     return out
 
 
+def _long_windows(word, vocabulary, scores, backward=False):
+    """The arcs of one word as (start nodes, end nodes, weights, piece ids, byte arcs), by
+    windows of start nodes, in the order of the start nodes. A byte arc has piece -1 and
+    its place in a list of ids."""
+    chars = np.frombuffer((WORD_START + word).encode("utf-32-le", "surrogatepass"), np.uint32)
+    windows = range(0, len(chars), WINDOW)
+    for begin in reversed(windows) if backward else windows:
+        starts = np.arange(begin, min(begin + WINDOW, len(chars)))
+        codes = np.zeros(len(starts), np.uint64)
+        parts, spelled = [], []
+        for size in range(1, vocabulary.longest + 1):
+            within = starts + size <= len(chars)
+            starts, codes = starts[within], codes[within]
+            if not len(starts):
+                break
+            with np.errstate(over="ignore"):
+                codes = _step(codes, chars[starts + size - 1].astype(np.uint64))
+            prefix, ids = vocabulary.find(codes)
+            if size == 1:
+                bare = starts[ids < 0]
+                spelled = [
+                    vocabulary.byte_ids[list(chr(c).encode("utf-8", "surrogatepass"))] for c in chars[bare]
+                ]
+                weights = np.array([scores[own].sum() for own in spelled], float)
+                parts.append((bare, bare + 1, weights, np.full(len(bare), -1), np.arange(len(bare))))
+            whole = ids >= 0
+            found = starts[whole]
+            parts.append((found, found + size, scores[ids[whole]], ids[whole], np.full(len(found), -1)))
+            starts, codes = starts[prefix], codes[prefix]
+        arcs = [np.concatenate(column) for column in zip(*parts)]
+        order = np.lexsort((arcs[1], arcs[0]))
+        yield [column[order] for column in arcs], spelled
+
+
+def _joined(here, other):
+    """log(exp(here) + exp(other))."""
+    if here < other:
+        here, other = other, here
+    return here if other == -inf else here + log1p(exp(other - here))
+
+
+def _long_forward(word, vocabulary, scores):
+    alpha = [-inf] * (len(word) + len(WORD_START) + 1)
+    alpha[0] = 0.0
+    for (starts, ends, weights, *_), _ in _long_windows(word, vocabulary, scores):
+        for start, end, weight in zip(starts.tolist(), ends.tolist(), weights.tolist()):
+            alpha[end] = _joined(alpha[end], alpha[start] + weight)
+    return alpha
+
+
+def _add_long_counts(total, word, times, vocabulary, scores):
+    """Adds the expected uses of pieces in one long word."""
+    alpha = np.array(_long_forward(word, vocabulary, scores))
+    beta = [-inf] * len(alpha)
+    beta[-1] = 0.0
+    for (starts, ends, weights, ids, places), spelled in _long_windows(word, vocabulary, scores, backward=True):
+        ahead = []
+        for start, end, weight in zip(starts[::-1].tolist(), ends[::-1].tolist(), weights[::-1].tolist()):
+            ahead.append(weight + beta[end])
+            beta[start] = _joined(beta[start], ahead[-1])
+        share = np.exp(alpha[starts] + np.array(ahead[::-1]) - alpha[-1]) * times
+        pieces = ids >= 0
+        total += np.bincount(ids[pieces], share[pieces], len(total))
+        for place, part in zip(places[~pieces], share[~pieces]):
+            np.add.at(total, spelled[place], part)
+
+
 def _forward(lengths, arcs, scores):
     alpha = np.full((len(lengths), int(lengths.max()) + 1), -np.inf)
     alpha[:, 0] = 0.0
@@ -159,6 +238,9 @@ def expected_counts(words, counts, vocabulary, scores):
     """Expected uses of each piece over all segmentations of the counted words."""
     total = np.zeros(vocabulary.size)
     counts = np.asarray(counts, float)
+    for word, times in zip(words, counts):
+        if len(word) > LONG_WORD:
+            _add_long_counts(total, word, times, vocabulary, scores)
     for chosen in _chunks(words):
         lengths, arcs = _arcs([words[i] for i in chosen], vocabulary)
         times = counts[chosen]

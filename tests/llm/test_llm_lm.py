@@ -6,7 +6,7 @@ import pytest
 from llm_tables import documents, found, no_documents, rows
 from pyspark.sql import functions as F
 
-from shelftrace.llm import lm_scoring
+from shelftrace.llm import lattice, lm_scoring
 from shelftrace.llm.lattice import Vocabulary, expected_counts, log_likelihoods
 from shelftrace.llm.queries import PIECE_FILE
 
@@ -95,3 +95,33 @@ def test_held_out_text_is_likelier_than_scrambled_text(spark, small):
     )
     means = {r[0]: r[1] for r in scored.groupBy(F.col("doc_id") < 0).agg(F.sum("score") / F.sum("n_tokens")).collect()}
     assert means[False] > means[True]
+
+
+@pytest.mark.parametrize("window", [1 << 16, 7])
+def test_long_words_are_scored_like_others(monkeypatch, window):
+    vocabulary = Vocabulary(PIECES, np.arange(256) % len(PIECES))
+    scores = np.log(np.arange(1, len(PIECES) + 1) / 50)
+    words = ["a", "ab" * 40, "bab" * 30, "üab" * 25, "b" * 70, "éü日" * 20]
+    counts = [1, 2, 1, 3, 1, 2]
+    want = log_likelihoods(words, vocabulary, scores), expected_counts(words, counts, vocabulary, scores)
+    monkeypatch.setattr(lattice, "LONG_WORD", 10)
+    monkeypatch.setattr(lattice, "WINDOW", window)
+    assert log_likelihoods(words, vocabulary, scores) == pytest.approx(want[0])
+    assert expected_counts(words, counts, vocabulary, scores) == pytest.approx(want[1])
+
+
+def test_a_word_of_fifty_thousand_characters_takes_no_seconds():
+    import random
+    import time
+
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE_FILE)
+    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    vocabulary = Vocabulary(pieces, [0] * 256)
+    scores = np.log(np.full(len(pieces), 1 / len(pieces)))
+    random.seed(2)
+    word = "".join(random.choices("etaoinshrdlu", k=50_000))
+    start = time.process_time()
+    score = log_likelihoods([word], vocabulary, scores)[0]
+    assert math.isfinite(score) and time.process_time() - start < 2
