@@ -502,4 +502,15 @@ SELECT page_id, position, CASE WHEN g % 29 <> 7 THEN sku END AS sku,
   CASE WHEN g % 29 <> 7 THEN product_name END AS product_name,
   CASE WHEN g % 29 = 7 THEN 'ValueError' END AS error
 FROM records JOIN (SELECT page_id, position, g FROM numbered) USING (page_id, position)""",
+    "sql_rules": f"""WITH {_RAW}
+SELECT row_no, {_trim('sku')} AS sku, {_price('current_price')} AS current_price,
+  CAST({_lenient("replace(discount, '%', '')", 'decimal(8,2)')} AS double) AS discount,
+  CAST({_lenient('rating', 'decimal(4,2)')} AS double) AS rating,
+  try_cast(trunc({_lenient("replace(reviews_count, ',', '')", 'decimal(18,2)')}) AS integer) AS reviews_count,
+  CAST(nullif(regexp_extract(replace(product_url, ',', ''), '[0-9]+(?:[.][0-9]+)?'), '') AS double) AS number
+FROM feed""",
+    "sql_cards": f"""WITH {_CARDS}
+SELECT page_id, count(*) AS cards, count(*) FILTER (p % 11 <> 0) AS with_sku,
+  count(*) FILTER (g % 13 <> 5) AS with_link, max(position) AS last_position
+FROM products GROUP BY page_id""",
 }

@@ -4,7 +4,7 @@ from dataclasses import astuple
 
 from pyspark.sql import functions as F
 
-from shelftrace.functions import numeric, text, urls
+from shelftrace.functions import numeric, sql, text, urls
 from shelftrace.operators import (
     cards,
     clean,
@@ -708,6 +708,38 @@ def card_catalogue(spark, sf_dir):
     return cards.catalogue(_records(spark, sf_dir))
 
 
+@query
+def sql_rules(spark, sf_dir):
+    """The rules called from SQL text."""
+    sql.register(spark)
+    return export.read_query(
+        spark,
+        """
+        SELECT row_no, shelf_strip(sku) AS sku, shelf_price(current_price) AS current_price,
+          CAST(shelf_percent(discount) AS double) AS discount, CAST(shelf_rating(rating) AS double) AS rating,
+          shelf_count(reviews_count) AS reviews_count, shelf_first_number(product_url) AS number
+        FROM {feed}
+        """,
+        feed=feeds.raw_feed(spark, sf_dir),
+    )
+
+
+@query
+def sql_cards(spark, sf_dir):
+    """Cards by the table function, counted by page in SQL."""
+    sql.register(spark)
+    return export.read_query(
+        spark,
+        """
+        SELECT page_id, count(*) AS cards, count(data_sku) AS with_sku, count(link_id) AS with_link,
+          max(position) AS last_position
+        FROM product_cards(TABLE(SELECT page_id, html FROM {pages}))
+        GROUP BY page_id
+        """,
+        pages=_listing(spark, sf_dir),
+    )
+
+
 @query
 def card_quarantine(spark, sf_dir):
     """Cards of pages on which some cannot be read: those go to quarantine, others stay."""

@@ -81,6 +81,23 @@ DIMENSION_SCHEMA = T.StructType(
     ]
 )
 
+# The two tables of a version store: versions as they were opened, and finished loads.
+VERSIONS = T.StructType(
+    [*DIMENSION_SCHEMA, T.StructField("load_id", T.StringType()), T.StructField("bucket", T.IntegerType())]
+)
+LOADS = T.StructType(
+    [
+        T.StructField("load_no", T.LongType()),
+        T.StructField("load_id", T.StringType()),
+        T.StructField("batch_id", T.StringType()),
+        T.StructField("change_time", T.TimestampNTZType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("inserted", T.LongType()),
+        T.StructField("last_product_id", T.LongType()),
+        T.StructField("last_stage_id", T.LongType()),
+    ]
+)
+
 # The columns of an export, in order.
 EXPORT_COLUMNS = [
     "product_id",

@@ -11,20 +11,12 @@ from datetime import datetime
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelftrace import schema
 from shelftrace.operators import history
 from shelftrace.sources.numbering import numbered
 from shelftrace.sources.shared import stored
 
-LOADS = (
-    "load_no long, load_id string, batch_id string, change_time timestamp_ntz, buckets int,"
-    " inserted long, last_product_id long, last_stage_id long"
-)
-PARTITIONS = [T.StructField("load_id", T.StringType()), T.StructField("bucket", T.IntegerType())]
-STORED = T.StructType([*schema.DIMENSION_SCHEMA, *PARTITIONS])
-
 
 class VersionStore:
     """`buckets` is the number of hash buckets of a new store; a merge reads those that its
@@ -32,15 +24,18 @@ class VersionStore:
 
     def __init__(self, spark, root, buckets=16):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        for name, kind, parts in (("loads", LOADS, []), ("versions", STORED, ["load_id", "bucket"])):
+        for name, kind, by in (("loads", schema.LOADS, []), ("versions", schema.VERSIONS, ["load_id", "bucket"])):
             empty = spark.createDataFrame([], kind).write.mode("ignore")
-            empty.partitionBy(*parts).parquet(f"{self.root}/{name}")
+            empty.partitionBy(*by).parquet(f"{self.root}/{name}")
 
     def staging_path(self):
         return f"{self.root}/staging"
 
+    def _read(self, name, kind):
+        return self.spark.read.schema(kind).parquet(f"{self.root}/{name}")
+
     def loads(self):
-        return self.spark.read.schema(LOADS).parquet(f"{self.root}/loads")
+        return self._read("loads", schema.LOADS)
 
     def state(self, batch_id=None):
         """(the last load as a row or None, is the batch among the loads); one aggregate."""
@@ -49,43 +44,36 @@ class VersionStore:
         applied = F.coalesce(F.max(F.col("batch_id").eqNullSafe(F.lit(batch_id))), F.lit(False))
         return tuple(done.agg(last, applied).first())
 
-    def _opened(self, buckets=None):
-        rows = self.spark.read.schema(STORED).parquet(f"{self.root}/versions")
-        if buckets is not None:
-            rows = rows.where(F.col("bucket").isin(buckets))
-        return rows.join(self.loads().select("load_id"), "load_id", "left_semi")
-
     def all_versions(self, buckets=None):
         """All versions with their ends, or those of some buckets."""
-        return history.with_ends(self._opened(buckets)).select(*schema.DIMENSION_SCHEMA.names)
+        rows = self._read("versions", schema.VERSIONS)
+        if buckets is not None:
+            rows = rows.where(F.col("bucket").isin(buckets))
+        opened = rows.join(self.loads().select("load_id"), "load_id", "left_semi")
+        return history.with_ends(opened).select(*schema.DIMENSION_SCHEMA.names)
 
     def current(self, buckets=None):
         return history.current_versions(self.all_versions(buckets))
 
     def apply(self, source, batch_id, change_time, last_stage_id=None, state=None):
-        """Merge one batch and return the number of new versions.
-
-        A batch that was loaded before changes nothing. The change time must be later
-        than that of the load before: versions would else end before they start.
-        """
+        """Merge one batch and return the number of new versions. A batch that was loaded
+        before changes nothing. Change times must grow: versions end where others begin."""
         last, applied = state or self.state(batch_id)
+        moment = datetime.fromisoformat(str(change_time))
         if applied:
             return 0
-        moment = datetime.fromisoformat(str(change_time))
         if last and last.change_time and moment <= last.change_time:
             raise ValueError(f"Change time {moment} is not later than {last.change_time}")
         # Read several times, so kept as files that outlive executors.
         source = stored(source.withColumn("bucket", self._bucket(last)), "source")
         met = [row[0] for row in source.select("bucket").distinct().collect()]
-        opened = history.openable(self.current(met), source)
-        opened = history.open_versions(opened, history.as_time(change_time))
+        opened = history.open_versions(history.openable(self.current(met), source), history.as_time(change_time))
         opened = numbered(opened, ["sku"], "product_id", last.last_product_id if last else 0)
         return self._add(opened, last, batch_id, moment, last_stage_id or 0)
 
     def adopt(self, table, batch_id="adopted", change_time=None):
-        """Take an existing dimension as the first load. Rows not yet marked as current or
-        closed become current, as `history.bootstrap` has it; both id sequences go on from
-        the table's highest."""
+        """Take an existing dimension as the first load, bootstrapped where rows are not yet
+        marked; both id sequences go on from the table's highest."""
         if self.state()[0]:
             raise RuntimeError("Only an empty store can adopt a table")
         rows = history.bootstrap(table).withColumn("bucket", self._bucket(None))
@@ -110,13 +98,12 @@ class VersionStore:
         found = seen.get
         if found.get("odd"):
             raise ValueError(f"{found['odd']} rows are neither current (1) nor closed (0)")
-        number, buckets, product, stage = (
-            (last.load_no, last.buckets, last.last_product_id, last.last_stage_id) if last else (0, self.buckets, 0, 0)
-        )
-        product, stage = max(product, found.get("product") or 0), max(stage, last_stage_id, found.get("stage") or 0)
-        inserted = found.get("inserted", 0)
-        row = (number + 1, load_id, batch_id, moment, buckets, inserted, product, stage)
-        cells = zip(row, T.StructType.fromDDL(LOADS))
-        done = self.spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in cells])
-        done.coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
-        return inserted
+        number, buckets, product, stage = (0, self.buckets, 0, 0)
+        if last:
+            number, buckets, product, stage = last.load_no, last.buckets, last.last_product_id, last.last_stage_id
+        product = max(product, found.get("product") or 0)
+        stage = max(stage, last_stage_id, found.get("stage") or 0)
+        row = (number + 1, load_id, batch_id, moment, buckets, found.get("inserted", 0), product, stage)
+        cells = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.LOADS)]
+        self.spark.range(1).select(*cells).coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
+        return found.get("inserted", 0)

@@ -23,7 +23,7 @@ def test_query(spark, oracle, small, name):
 def test_python_runs_for_cards_only(spark, small):
     # Those that write what they read again are not one plan; the stream has its own.
     apart = {"scd2_incremental", "csv_feed", "quarantine_split", "stage_batch", "landing_load", "cleaned_table"}
-    apart |= {"load_counts", "product_ids", "landing_files", "stream_changes", "crawl_order", "crawl_report", "crawl_report_capped"}
+    apart |= {"load_counts", "product_ids", "landing_files", "stream_changes", "sql_cards", "crawl_order", "crawl_report", "crawl_report_capped"}
     for name in set(QUERIES) - apart:
         uses_python = "MapInArrow" in plan(QUERIES[name](spark, small))
         assert uses_python == (name in (

@@ -162,3 +162,39 @@ def test_fingerprint(spark):
 def test_patterns_reject_a_trailing_line(spark, pattern):
     df = spark.createDataFrame([("5\n",)], "v string")
     assert df.select(F.regexp_extract("v", pattern, 1)).first()[0] == ""
+
+
+def test_sql_functions_agree_with_columns(spark):
+    from shelftrace.functions import numeric, sql, text, urls
+
+    sql.register(spark)
+    cells = [
+        None, "", " ", " A\u00a0", "a \t b\u3000c", "1,234", " 12.5 ", "1e3", "-0", "-5", "1_000", "\u0661\u0662.5", "5 %", "99.999",
+        "4.5 out of 5 (12)", "3 OUT  OF 5", "(1,2)", "x -7,000.5 y", "it's", "https://h/?page=7", "https://h/?x=1&page=%D9%A3#f",
+        "https://h/?page=1_0", "https://h/?page=a", "12345678901234567890", "2147483648",
+    ]
+    rules = {
+        "shelf_strip": text.strip, "shelf_collapse": text.collapse_whitespace, "shelf_price": numeric.parse_price,
+        "shelf_percent": numeric.lenient_percent, "shelf_rating": numeric.lenient_rating, "shelf_count": numeric.lenient_count,
+        "shelf_first_number": numeric.first_number, "shelf_stars": numeric.rating_phrase,
+        "shelf_reviews": numeric.reviews_in_parentheses, "shelf_page_number": urls.page_number,
+    }
+    assert rules.keys() == sql.FUNCTIONS.keys()
+    table = spark.createDataFrame([(c,) for c in cells], "c string")
+    table.createOrReplaceTempView("cells")
+    for name, rule in rules.items():
+        ours = [tuple(r) for r in table.select("c", rule("c")).collect()]
+        assert [tuple(r) for r in spark.sql(f"SELECT c, {name}(c) FROM cells").collect()] == ours, name
+
+
+def test_cards_as_a_table_function(spark):
+    from shelftrace.functions import sql
+
+    sql.register(spark)
+    card = '<article class="prd _fb col c-prd" data-sku="{}"><h3 class="name">{}</h3></article>'
+    rows = [(1, card.format("A", "x") + card.format("B", "&#" + "9" * 5000 + ";")), (2, "<p>"), (3, None), (None, card.format("C", "y"))]
+    spark.createDataFrame(rows, "page_id long, html string").createOrReplaceTempView("some_pages")
+    found = spark.sql("SELECT page_id, position, data_sku, name_text, parse_error IS NULL AS good FROM product_cards(TABLE(some_pages))")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(1, 0, "A", "x\n", True), (1, 1, None, None, False), (None, 0, "C", "y\n", True)], key=str
+    )
