@@ -2,6 +2,9 @@
 
 Toxic documents go, then those of no known language, then all but one of each group of
 near-duplicates; what is left is mixed to the sources' target weights and encoded.
+
+Every stage takes rows with any column null, repeated rows and an empty table, which gives
+an empty result. Columns beside doc_id, text, lang and source are carried along.
 """
 
 from pyspark.sql import functions as F
@@ -13,7 +16,9 @@ from shelftrace.sources.shared import stored
 
 
 def without_toxicity(spark, docs, sf_dir):
-    """Documents without toxic passages: those that the label is not likely for."""
+    """Documents without toxic passages: those that the label is not likely for. Rows are
+    judged by their text alone: a null or empty one is clean, repeated rows go or stay
+    together, and ids play no part."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels, remainder("doc_id", 5) != 0)
     scored = toxicity.detect(docs, model, score="__score", passages="__passages")
@@ -21,7 +26,9 @@ def without_toxicity(spark, docs, sf_dir):
 
 
 def known_language(spark, docs, sf_dir):
-    """Documents near enough to a language that is learnt from the documents."""
+    """Documents near enough to a language that is learnt from the documents. Rows are
+    judged by their text alone; one without letters, null included, is in no language
+    and goes."""
     model = langid.train(docs, remainder("doc_id", 4) != 2)
     found = langid.classify(
         docs, model, lang_pred="__lang", score="__score", rejected="__rejected"
@@ -30,17 +37,21 @@ def known_language(spark, docs, sf_dir):
 
 
 def one_of_each(spark, docs, sf_dir):
-    """One document of each class of near-duplicates, the one with the least id."""
+    """One document of each class of near-duplicates, the one with the least id; one
+    without an id only where no other is, and of rows with that id and the same text the
+    one whose columns hash lowest. Null and empty texts are copies of one another."""
     return near_dedup.deduplicate(docs)
 
 
 def mixed(spark, docs, sf_dir):
-    """The mix: every document as often as it is taken, 0 to 3 times."""
+    """The mix: every document as often as it is taken, 0 to 3 times. Rows without a source
+    are a source of their own; a null text has no words."""
     return mixing.mixed_documents(docs)
 
 
 def encoded(spark, docs, sf_dir):
-    """(doc_id, n_tokens, ids, decoded_sha256) of every document of the mix."""
+    """(doc_id, n_tokens, ids, decoded_sha256) of every document of the mix, repeated rows
+    and null ids too. A null text is empty and has no ids."""
     found = bpe.encode_documents(docs, WORD_BPE_FILE, decode=True)
     return found.select(
         "doc_id",
