@@ -21,6 +21,17 @@ def remainder(column, modulus):
     return F.pmod(F.crc32(text), F.lit(modulus))
 
 
+def free_names(df, *names):
+    """The names, each with underscores before it until no column of `df` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words_of(text):
     """Lower-cased words of a text as bytes; a null has none."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

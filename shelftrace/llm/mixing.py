@@ -10,7 +10,7 @@ sorted, and a source may hold any share of all rows.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shelftrace.llm.common import WORD_PATTERN
+from shelftrace.llm.common import WORD_PATTERN, free_names
 from shelftrace.sources.shared import stored
 
 WEIGHTS = (5, 2, 1)
@@ -167,10 +167,10 @@ def mixed_documents(docs, weights=WEIGHTS, most=MOST_REPEATS, seed=8, id="doc_id
     """The rows of the mix with all their columns, each as often as it is taken."""
     sized = sized_documents(docs, seed, id, text, source)
     limits = thresholds(sized, source_targets(sized, weights, most))
-    limits = limits.select("of", "repeats", "below")
-    limits = limits.toDF(*(f"__{c}" for c in limits.columns))
-    extra = (hash_value(id, seed) < F.col("__below")).cast("long")
-    times = F.least(F.col("__repeats") + extra, F.lit(most)).cast("int")
-    rows = docs.join(limits, F.col(source).eqNullSafe(F.col("__of")))
-    repeated = rows.withColumn("__time", F.explode(F.array_repeat(F.lit(1), times)))
+    of, repeats, below, time = free_names(docs, "of", "repeats", "below", "time")
+    limits = limits.select("of", "repeats", "below").toDF(of, repeats, below)
+    extra = (hash_value(id, seed) < F.col(below)).cast("long")
+    times = F.least(F.col(repeats) + extra, F.lit(most)).cast("int")
+    rows = docs.join(limits, F.col(source).eqNullSafe(F.col(of)))
+    repeated = rows.withColumn(time, F.explode(F.array_repeat(F.lit(1), times)))
     return repeated.select(*docs.columns)

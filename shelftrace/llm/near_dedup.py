@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from shelftrace.llm.common import free_names
 from shelftrace.llm.components import components
 from shelftrace.llm.shingles import (
     FREQUENCY_BUCKETS,
@@ -32,6 +33,9 @@ from shelftrace.sources.shared import stored
 THRESHOLD = 0.8
 # Texts of a bucket that one task compares with as many others.
 BLOCK = 512
+# Bucket mates, over all its buckets, that a centre meets in one place; it is copied to
+# further places for more.
+MATES = 4096
 ROWS_AT_ONCE = 256
 TOLERANCE = 1e-9
 
@@ -92,27 +96,37 @@ def band_keys(docs, idf):
 
 
 def shared_buckets(bands):
-    """(key, size, node) of all buckets with two texts or more."""
+    """(key, size, node) of all buckets with two texts or more. What is counted by key is
+    written before it is joined, here and below: a join of two shuffles can be split where
+    a key is hot, one with an aggregation on a side cannot."""
     rows = bands.select("node", F.posexplode("bands").alias("band", "hash"))
     rows = rows.select("node", F.xxhash64("band", "hash").alias("key"))
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    return stored(rows.join(sizes, "key"), "shared-buckets")
+    return stored(rows.join(stored(sizes, "sizes"), "key"), "shared-buckets")
 
 
 def centre_pairs(shared):
-    """(a, b): every text with the centres of its buckets, each pair once. The centre is
-    the text with the most neighbours over all its buckets, and in a bucket of copies of
-    one text that text."""
+    """(a, b, places): every text with the centres of its buckets, each pair once, and the
+    number of places that the centre is copied to. The centre is the text with the most
+    neighbours over all its buckets, and in a bucket of copies of one text that text."""
     degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
     ranked = shared.join(degrees, "node").select("key", F.struct("degree", "node").alias("rank"))
-    centres = ranked.groupBy("key").agg(F.max("rank")["node"].alias("centre"))
-    pairs = shared.select("key", "node").join(centres, "key").where("node != centre")
-    return pairs.select(
+    centres = ranked.groupBy("key").agg(F.max("rank").alias("rank"))
+    centres = centres.select(
+        "key",
+        F.col("rank.node").alias("centre"),
+        F.ceil(F.col("rank.degree") / MATES).cast("int").alias("places"),
+    )
+    pairs = shared.select("key", "node").join(stored(centres, "centres"), "key")
+    return pairs.where("node != centre").select(
         F.least("node", "centre").alias("other"),
         F.greatest("node", "centre").alias("mate"),
         "node",
         "centre",
-    ).dropDuplicates(["other", "mate"]).select(F.col("node").alias("a"), F.col("centre").alias("b"))
+        "places",
+    ).dropDuplicates(["other", "mate"]).select(
+        F.col("node").alias("a"), F.col("centre").alias("b"), "places"
+    )
 
 
 def texts_of(docs, nodes):
@@ -125,10 +139,17 @@ def texts_of(docs, nodes):
 
 
 def verified(pairs, texts, idf, threshold):
-    """The pairs (a, b) whose weighted Jaccard similarity reaches the threshold."""
+    """The pairs (a, b) whose weighted Jaccard similarity reaches the threshold. A centre
+    b with many mates is copied to its places, and its pairs are dealt to them."""
     shared = pairs.sparkSession.sparkContext.broadcast(idf)
+    pairs = stored(pairs, "pairs")
     met = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
-    met = met.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
+    met = met.withColumn("place", F.pmod(F.xxhash64("a"), F.col("places")).cast("int"))
+    centres = pairs.groupBy("b").agg(F.max("places").alias("places")).join(
+        texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b"
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("places") - 1))
+    met = met.join(centres.select("b", "b_text", every.alias("place")), ["b", "place"])
 
     def compare(batches):
         last, right = None, None
@@ -157,7 +178,7 @@ def open_buckets(shared, classes):
     largest = counted.groupBy("key").agg(
         F.count(F.lit(1)).alias("classes"), F.max(F.struct("rows", "class"))["class"].alias("largest")
     )
-    largest = largest.where(F.col("classes") > 1).drop("classes")
+    largest = stored(largest.where(F.col("classes") > 1).drop("classes"), "largest")
     return rows.join(largest, "key").withColumn("asks", F.col("class") != F.col("largest"))
 
 
@@ -290,10 +311,11 @@ def deduplicate(docs, threshold=THRESHOLD, id="doc_id", text="text"):
         known = F.coalesce(of_id.cast("string"), F.lit("null"))
         return F.md5(F.concat_ws(":", F.hex(of_node), known))
 
-    kept = kept.select(row_key(F.col("kept.node"), F.col("kept.first.id")).alias("__kept"))
+    (name,) = free_names(docs, "kept")
+    kept = kept.select(row_key(F.col("kept.node"), F.col("kept.first.id")).alias(name))
     node = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
-    rows = docs.withColumn("__kept", row_key(node, F.col(id)))
-    rows = rows.join(kept, "__kept", "left_semi")
+    rows = docs.withColumn(name, row_key(node, F.col(id)))
+    rows = rows.join(kept, name, "left_semi")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = rows.groupBy("__kept").agg(F.min_by(whole, F.md5(F.to_json(whole))).alias("__row"))
-    return one.select("__row.*")
+    one = rows.groupBy(name).agg(F.min_by(whole, F.md5(F.to_json(whole))).alias("whole"))
+    return one.select("whole.*")

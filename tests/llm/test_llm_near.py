@@ -83,6 +83,18 @@ def test_classes_equal_brute_force(spark, monkeypatch, block):
     assert sorted(found(near_dedup.near_duplicates(docs)), key=str) == class_ids(table)
 
 
+@pytest.mark.parametrize("mates", [16, 200])
+def test_a_centre_of_many_places(spark, monkeypatch, mates):
+    monkeypatch.setattr(near_dedup, "MATES", mates)
+    table = star(60, seed=3)
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    bands = near_dedup.band_keys(near_dedup.with_node(docs, "doc_id", "text"), np.ones(FREQUENCY_BUCKETS))
+    pairs = near_dedup.centre_pairs(near_dedup.shared_buckets(bands)).collect()
+    assert max(r["places"] for r in pairs) > 1
+    assert len({r["b"] for r in pairs}) == len({(r["b"], r["places"]) for r in pairs})
+    assert sorted(found(near_dedup.near_duplicates(docs)), key=str) == class_ids(table)
+
+
 def test_given_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     table = [tuple(r) for r in docs.select("doc_id", "text").collect()]
@@ -146,3 +158,8 @@ def test_of_equal_ids_and_texts_the_same_row_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra map<string,int>")
     kept = [near_dedup.deduplicate(docs.repartition(n, "source")).collect() for n in (1, 3, 7)]
     assert len(kept[0]) == 1 and kept[0] == kept[1] == kept[2]
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, "n", 3)], "doc_id long, text string, kept int, node string, size int")
+    assert found(near_dedup.deduplicate(docs)) == [(1, "a b", 7, "n", 3)]
