@@ -168,27 +168,34 @@ def least_cosines(texts, counts, idf, centres, letters):
     return cuts
 
 
+def sampled(docs, sample):
+    """(lang, text) of about `sample` of the rows (lang, text, place) of each language, by
+    place. Rows of one id and text count once, for they share a place."""
+    share = F.least(F.lit(float(1 << 20)), F.lit(float(sample << 20)) / F.count(F.lit(1)))
+    shares = docs.groupBy(F.col("lang").alias("of")).agg(F.ceil(share).alias("upto"))
+    # A number per language: the model, which goes to all tasks as well, is far larger.
+    chosen = docs.join(
+        F.broadcast(shares), (F.col("lang") == F.col("of")) & (F.col("place") < F.col("upto"))
+    )
+    return chosen.select("lang", "text", "place").distinct().select("lang", "text")
+
+
 def train(docs, training, sample=SAMPLE, text="text", lang="lang", id="doc_id"):
     """The model as a dict of arrays: languages, centroids, of (language number of each
     centroid), cut (least similarity of each language by class of length) and idf.
 
     Learns from rows where `training` holds, `lang` is not null and the text has a
-    letter. About `sample` documents of each language are clustered, one language to a
-    task; all others count towards the frequencies.
+    letter. About `sample` documents of each language, chosen by a hash of id and text,
+    are clustered, one language to a task; all others count towards the frequencies.
     """
     docs = docs.where(training & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"),
         F.col(lang).alias("lang"),
-        F.pmod(F.xxhash64(F.col(id), F.lit(5)), F.lit(1 << 20)).alias("place"),
+        F.pmod(F.xxhash64(F.col(id), F.col(text), F.lit(5)), F.lit(1 << 20)).alias("place"),
     )
     frequency, rows = document_frequencies(docs)
     idf = (np.log((rows + 1) / (frequency + 1)) + 1).astype(np.float32)
-    share = F.least(F.lit(float(1 << 20)), F.lit(float(sample << 20)) / F.count(F.lit(1)))
-    shares = docs.groupBy(F.col("lang").alias("of")).agg(F.ceil(share).alias("upto"))
-    # A number per language: the model, which goes to all tasks as well, is far larger.
-    chosen = docs.join(
-        F.broadcast(shares), (F.col("lang") == F.col("of")) & (F.col("place") < F.col("upto"))
-    )
+    chosen = sampled(docs, sample)
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def centroids(key, table):
@@ -209,8 +216,7 @@ def train(docs, training, sample=SAMPLE, text="text", lang="lang", id="doc_id"):
         )
 
     made = (
-        chosen.select("lang", "text")
-        .groupBy("lang")
+        chosen.groupBy("lang")
         .applyInArrow(centroids, "lang string, centroid binary, cut array<double>")
         .collect()
     )
@@ -232,7 +238,9 @@ def classify(docs, model, text="text", lang_pred="lang_pred", score="score", rej
 
     A null text, one without letters, or any text if no language was learnt gives `und`
     with score 0 and is rejected. Of equally near languages the first by name wins.
+    Columns of the names of the results are replaced.
     """
+    docs = docs.drop(lang_pred, score, rejected)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
 
