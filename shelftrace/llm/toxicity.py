@@ -1,8 +1,8 @@
 """Toxic passages as maximum-scoring segments of a text.
 
-Each word scores its log-odds between toxic and clean documents, shrunk by a Dirichlet
-prior of the words' overall frequency; words whose log-odds are not significant share
-one negative score. A linear scan finds all maximal segments. Scores of chance segments
+Each word scores the log-odds of its uses between toxic and clean documents, shrunk by a
+Dirichlet prior of the words' overall frequency; words whose log-odds are not significant
+share one negative score. A linear scan finds all maximal segments. Scores of chance segments
 follow an extreme-value law whose parameters come from clean documents; it turns a
 segment's score into the number of such segments expected by chance, and the logarithms
 of those of the significant segments add up to a document's evidence. A logistic curve
@@ -114,53 +114,70 @@ def labelled_sample(docs, labels, training, sample, id, text, label):
     return stored(alike.select("text", (F.col("share") >= 0.5).cast("int").alias("toxic")), "labelled")
 
 
-def document_counts(sample):
-    """(word, toxic, clean): documents of each label that hold the word."""
-    schema = pa.schema([("word", pa.binary()), ("toxic", pa.int64()), ("clean", pa.int64())])
+def word_counts(sample):
+    """(word, toxic, clean, toxic_docs, clean_docs): uses of the word in documents of each
+    label, and how many of them hold it."""
+    names = ["toxic", "clean", "toxic_docs", "clean_docs"]
+    schema = pa.schema([("word", pa.binary()), *((n, pa.int64()) for n in names)])
 
     def count(batches):
-        tables = (Counter(), Counter())
+        uses, held = (Counter(), Counter()), (Counter(), Counter())
 
         def flush():
-            words = list({**tables[0], **tables[1]})
+            words = list({**uses[0], **uses[1]})
             for start in range(0, len(words), WORDS_PER_BATCH):
                 part = words[start : start + WORDS_PER_BATCH]
-                yield batch_of(
-                    schema, [part, [tables[1][w] for w in part], [tables[0][w] for w in part]]
-                )
-            for table in tables:
+                tables = (uses[1], uses[0], held[1], held[0])
+                yield batch_of(schema, [part, *([table[w] for w in part] for table in tables)])
+            for table in uses + held:
                 table.clear()
 
         for batch in batches:
             for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                tables[toxic].update(set(tokens(text.as_py())))
-                if len(tables[0]) + len(tables[1]) > FLUSH_WORDS:
+                words = Counter(tokens(text.as_py()))
+                uses[toxic].update(words)
+                held[toxic].update(words.keys())
+                if len(uses[0]) + len(uses[1]) > FLUSH_WORDS:
                     yield from flush()
         yield from flush()
 
-    partial = sample.mapInArrow(count, "word binary, toxic long, clean long")
-    return partial.groupBy("word").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
-    )
+    kinds = ", ".join(f"{n} long" for n in names)
+    partial = sample.mapInArrow(count, f"word binary, {kinds}")
+    return partial.groupBy("word").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def log_odds(inside, outside, inside_all, outside_all):
+    """(log-odds of a word between two bodies of text, its variance), from counts that
+    hold their prior."""
+    odds = F.log(inside / (F.lit(inside_all) - inside)) - F.log(outside / (F.lit(outside_all) - outside))
+    return odds, 1 / inside + 1 / outside
 
 
 def word_scores(counts):
-    """(scores by word, score of the rest, lambda): log-odds with a Dirichlet prior of
-    the words' overall frequency, for words that are significantly toxic."""
-    sums = counts.agg(F.sum("toxic"), F.sum("clean"), F.count(F.lit(1))).first()
-    toxic, clean = float(sums[0] or 0), float(sums[1] or 0)
-    if not toxic or not clean:
+    """(scores by word, score of the rest, lambda): log-odds of a word's uses with a
+    Dirichlet prior of the words' overall frequency, for words that are significantly
+    toxic. Significance is by the documents that hold a word, for the uses within one
+    document are not independent."""
+    counts = stored(counts, "words")
+    names = ["toxic", "clean", "toxic_docs", "clean_docs"]
+    sums = counts.agg(*[F.sum(n) for n in names], F.count(F.lit(1))).first()
+    totals = [float(n or 0) for n in sums[:4]]
+    if not totals[0] or not totals[1]:
         return {}, -1.0, 1.0
-    prior = F.lit(PRIOR_COUNT) + F.lit(PRIOR_SHARE) * (F.col("toxic") + F.col("clean"))
-    whole_prior = PRIOR_COUNT * sums[2] + PRIOR_SHARE * (toxic + clean)
-    inside, outside = F.col("toxic") + prior, F.col("clean") + prior
-    odds = F.log(inside / (F.lit(toxic + whole_prior) - inside)) - F.log(
-        outside / (F.lit(clean + whole_prior) - outside)
-    )
-    rated = counts.withColumns({"odds": odds, "z": odds / F.sqrt(1 / inside + 1 / outside)})
-    chosen = highest(rated.where(F.col("z") >= LEAST_Z), F.floor(F.col("z") * 4), MOST_WORDS)
+
+    def rated(inside, outside, inside_all, outside_all):
+        prior = PRIOR_COUNT + PRIOR_SHARE * (F.col(inside) + F.col(outside))
+        whole = PRIOR_COUNT * sums[4] + PRIOR_SHARE * (inside_all + outside_all)
+        return log_odds(F.col(inside) + prior, F.col(outside) + prior, inside_all + whole, outside_all + whole)
+
+    odds, _ = rated(*names[:2], *totals[:2])
+    held_odds, variance = rated(*names[2:], *totals[2:])
+    chosen = counts.withColumns({"odds": odds, "z": held_odds / F.sqrt(variance)})
+    chosen = chosen.where((F.col("z") >= LEAST_Z) & (F.col("odds") > 0))
+    chosen = highest(chosen, F.floor(F.col("z") * 4), MOST_WORDS)
     chosen = chosen.select("word", "odds", "toxic", "clean").collect()
     # The rest: all other words as one, with the same kind of log-odds.
+    toxic, clean = totals[:2]
     held = [sum(r[2] for r in chosen), sum(r[3] for r in chosen)]
     odd = [(toxic - held[0] + 0.5) / (toxic + 1), (clean - held[1] + 0.5) / (clean + 1)]
     rest = min(math.log(odd[0] / odd[1]), -1e-3)
@@ -247,7 +264,7 @@ def train(docs, labels, training, sample=SAMPLE, id="doc_id", text="text", label
     over `labels`) holds. The driver gets the model's words and, of the sample, one
     number of evidence per document: both bounded."""
     rows = labelled_sample(docs, labels, training, sample, id, text, label)
-    words, rest, rate = word_scores(document_counts(rows))
+    words, rest, rate = word_scores(word_counts(rows))
     model = {"words": words, "rest": rest, "lambda": rate, "k": 1.0}
     # toArrow: some tens of bytes for each of at most about `sample` documents.
     found = _evidence(rows, model).toArrow().to_pandas()
@@ -265,7 +282,10 @@ PASSAGE = pa.struct(
 
 def detect(docs, model, text="text", score="score", passages="passages"):
     """The rows with a score (0 to 1) and passages: first and last word (from 0), score
-    and expected number by chance of every significant segment."""
+    and expected number by chance of every significant segment. Columns of the names of
+    the results are replaced.
+    """
+    docs = docs.drop(score, passages)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
 
