@@ -3,12 +3,14 @@
 import pytest
 from compare import connect, differences
 from llm_tables import documents
+from pyspark.sql import functions as F
 from test_llm_near import class_ids
 
 import corpus_pipeline
 from shelftrace.llm.oracle import SQL
 from shelftrace.llm.queries import QUERIES, WORD_BPE_FILE
-from shelftrace.llm import bpe, mixing
+from shelftrace.llm import bpe, langid, mixing, toxicity
+from shelftrace.llm.common import remainder
 
 
 @pytest.mark.parametrize("name", SQL)
@@ -43,6 +45,28 @@ def test_clean_documents_stay(stages):
         assert 0.85 * before.count() <= after.count() <= before.count()
 
 
+def test_first_stages_keep_what_the_operators_do(spark, small, stages):
+    """What stays is what the operators, asked by themselves, do not reject."""
+    _, before, after = stages[0]
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    scored = toxicity.score_documents(before, labels, remainder("doc_id", 5) != 0)
+    want = sorted(r[0] for r in scored.where("predicted = 0").select("doc_id").collect())
+    assert sorted(r[0] for r in after.select("doc_id").collect()) == want
+    _, before, after = stages[1]
+    named = langid.identify(before, remainder("doc_id", 4) != 2)
+    want = sorted(r[0] for r in named.where("not rejected").select("doc_id").collect())
+    assert sorted(r[0] for r in after.select("doc_id").collect()) == want
+
+
+def test_columns_of_any_name(spark, small, stages):
+    names = ["score", "passages", "lang_pred", "rejected", "kept", "of", "time", "below"]
+    docs = stages[0][1].withColumns({n: F.lit(n) for n in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, docs, small)
+        assert made.columns == docs.columns
+        assert made.select(*names).distinct().collect() == [tuple(names)]
+
+
 def test_one_of_each_class(stages):
     _, before, after = stages[2]
     classes = class_ids([tuple(r) for r in before.select("doc_id", "text").collect()])
