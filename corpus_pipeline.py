@@ -10,7 +10,7 @@ an empty result. Columns beside doc_id, text, lang and source are carried along.
 from pyspark.sql import functions as F
 
 from shelftrace.llm import bpe, langid, mixing, near_dedup, toxicity
-from shelftrace.llm.common import remainder, table
+from shelftrace.llm.common import free_names, remainder, table
 from shelftrace.llm.queries import WORD_BPE_FILE
 from shelftrace.sources.shared import stored
 
@@ -21,8 +21,9 @@ def without_toxicity(spark, docs, sf_dir):
     together, and ids play no part."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels, remainder("doc_id", 5) != 0)
-    scored = toxicity.detect(docs, model, score="__score", passages="__passages")
-    return scored.where(F.col("__score") < 0.5).select(*docs.columns)
+    score, passages = free_names(docs, "score", "passages")
+    scored = toxicity.detect(docs, model, score=score, passages=passages)
+    return scored.where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def known_language(spark, docs, sf_dir):
@@ -30,10 +31,9 @@ def known_language(spark, docs, sf_dir):
     judged by their text alone; one without letters, null included, is in no language
     and goes."""
     model = langid.train(docs, remainder("doc_id", 4) != 2)
-    found = langid.classify(
-        docs, model, lang_pred="__lang", score="__score", rejected="__rejected"
-    )
-    return found.where(~F.col("__rejected")).select(*docs.columns)
+    lang, score, rejected = free_names(docs, "lang_pred", "score", "rejected")
+    found = langid.classify(docs, model, lang_pred=lang, score=score, rejected=rejected)
+    return found.where(~F.col(rejected)).select(*docs.columns)
 
 
 def one_of_each(spark, docs, sf_dir):
