@@ -13,6 +13,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from shelftrace.llm.common import batch_of, frequency_level, highest, releasing
@@ -22,6 +23,8 @@ from shelftrace.sources.shared import stored
 # Most words whose numbers all tasks know; a number is three bytes at most.
 FREQUENT_WORDS = (1 << 21) - 2
 FLUSH_WORDS = 400_000
+# Of words that a part of the documents holds once, one in so many is counted.
+SPREAD = 64
 WORDS_PER_BATCH = 50_000
 WORDS_AT_ONCE = 2048
 ROWS_AT_ONCE = 256
@@ -55,30 +58,44 @@ def split_words(text):
     return spaced(text).split()
 
 
-def common_words(docs):
-    """(word, uses) of words that some part of the documents holds more than once. A word
-    that no part holds twice is not frequent; leaving it out halves what is shuffled."""
-    schema = pa.schema([("word", pa.string()), ("uses", pa.int64())])
+def common_words(docs, part_words=FLUSH_WORDS):
+    """(word, uses) of words that some part of the documents holds more than once, or that
+    many parts hold. Leaving out the others halves what is shuffled. Of words that a part
+    holds once, one in SPREAD is drawn, by word and part, and stands for as many: a word
+    that is drawn twice at least is spread out. The uses are only estimates of how
+    frequent a word is; no result depends on them."""
+    schema = pa.schema([("word", pa.string()), ("uses", pa.int64()), ("drawn", pa.int64())])
 
     def count(batches):
         found = Counter()
+        seed = zlib.crc32(str(TaskContext.get().partitionId()).encode())
 
         def flush():
-            words = [w for w, uses in found.items() if uses > 1]
+            words = [
+                w for w, uses in found.items() if uses > 1 or zlib.crc32(w, seed) % SPREAD == 0
+            ]
             for start in range(0, len(words), WORDS_PER_BATCH):
                 part = words[start : start + WORDS_PER_BATCH]
-                yield batch_of(schema, [[w.decode() for w in part], [found[w] for w in part]])
+                drawn = [int(found[w] == 1) for w in part]
+                uses = [SPREAD if d else found[w] for w, d in zip(part, drawn)]
+                yield batch_of(schema, [[w.decode() for w in part], uses, drawn])
             found.clear()
 
         for batch in batches:
             for value in batch.column("text"):
                 found.update(split_words(value.as_py()))
-                if len(found) > FLUSH_WORDS:
+                if len(found) > part_words:
                     yield from flush()
+                    seed = zlib.crc32(b"next", seed)
         yield from flush()
 
-    partial = docs.select("text").mapInArrow(releasing(count), "word string, uses long")
-    return partial.groupBy("word").agg(F.sum("uses").alias("uses"))
+    partial = docs.select("text").mapInArrow(
+        releasing(count), "word string, uses long, drawn long"
+    )
+    whole = partial.groupBy("word").agg(F.sum("uses").alias("uses"), F.sum("drawn").alias("drawn"))
+    # A word seen by one draw alone may be held by a single part.
+    lone = (F.col("drawn") == 1) & (F.col("uses") == SPREAD)
+    return whole.where(~lone).select("word", "uses")
 
 
 def encode_words(words, path):
@@ -106,7 +123,8 @@ def encode_words(words, path):
 def encode_places(rare, path):
     """(key, position, ids) of words by their places. All places of a word come together
     in one partition, in a row, so each word is encoded once and its ids go back to all
-    its places. A word here is rarer than every frequent one."""
+    its places. A word here is rarer than every frequent one, also one that many parts of
+    the documents hold once each."""
 
     def encode(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core

@@ -30,6 +30,16 @@ def test_special_tokens_keep_their_case():
     assert bpe.split_words("A <|X|> B") == [b"A".lower(), b"<|X|>", b"b"]
 
 
+def test_words_of_many_parts_are_common(spark):
+    # Every text is a part of its own: a word that all hold once, and words of one text.
+    texts = [(i, f"spread {' '.join(f'w{i}x{j}' for j in range(5))}") for i in range(4000)]
+    docs = spark.createDataFrame([*texts, (4000, "twice twice")], "id long, text string")
+    uses = dict(found(bpe.common_words(docs, part_words=1)))
+    assert 2000 < uses["spread"] < 8000
+    assert uses["twice"] == 2
+    assert set(uses) == {"spread", "twice"}
+
+
 def test_varints_round_trip():
     import numpy as np
 
