@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from shelftrace.llm.common import releasing
+
 DIMENSIONS = 1 << 12
 SAMPLE = 1000
 CLUSTERS = 4
@@ -95,7 +97,7 @@ def document_frequencies(docs):
             names=["dimension", "documents"],
         )
 
-    partial = docs.select("text").mapInArrow(count, "dimension int, documents long")
+    partial = docs.select("text").mapInArrow(releasing(count), "dimension int, documents long")
     frequency, rows = np.zeros(DIMENSIONS), 0
     for dimension, found in partial.groupBy("dimension").agg(F.sum("documents")).collect():
         if dimension < 0:
@@ -265,7 +267,7 @@ def classify(docs, model, text="text", lang_pred="lang_pred", score="score", rej
                 )
 
     return docs.mapInArrow(
-        nearest, f"{kinds}, {lang_pred} string, {score} double, {rejected} boolean"
+        releasing(nearest), f"{kinds}, {lang_pred} string, {score} double, {rejected} boolean"
     )
 
 

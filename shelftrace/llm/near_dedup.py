@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelftrace.llm.common import free_names
+from shelftrace.llm.common import free_names, releasing
 from shelftrace.llm.components import components
 from shelftrace.llm.shingles import (
     FREQUENCY_BUCKETS,
@@ -66,7 +66,7 @@ def bucket_weights(docs):
             names=["bucket", "documents"],
         )
 
-    partial = docs.select("text").mapInArrow(count, "bucket int, documents long")
+    partial = docs.select("text").mapInArrow(releasing(count), "bucket int, documents long")
     sums = stored(partial.groupBy("bucket").agg(F.sum("documents").alias("documents")), "buckets")
     every = sums.where(F.col("bucket") == -1).first()
     rows = every[1] if every else 0
@@ -92,7 +92,7 @@ def band_keys(docs, idf):
                     names=["node", "bands"],
                 )
 
-    return docs.select("node", "text").mapInArrow(sign, "node binary, bands array<long>")
+    return docs.select("node", "text").mapInArrow(releasing(sign), "node binary, bands array<long>")
 
 
 def shared_buckets(bands):
@@ -165,7 +165,7 @@ def verified(pairs, texts, idf, threshold):
                     keep.append(similarity(left, right) >= threshold - TOLERANCE)
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
-    return met.select("a", "b", "a_text", "b_text").mapInArrow(compare, "a binary, b binary")
+    return met.select("a", "b", "a_text", "b_text").mapInArrow(releasing(compare), "a binary, b binary")
 
 
 def open_buckets(shared, classes):

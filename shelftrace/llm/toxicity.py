@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from shelftrace.llm.common import batch_of, highest
+from shelftrace.llm.common import batch_of, highest, releasing
 from shelftrace.sources.shared import stored
 
 # Labelled documents that are learnt from are at most about so many, chosen by hash.
@@ -142,7 +142,7 @@ def word_counts(sample):
         yield from flush()
 
     kinds = ", ".join(f"{n} long" for n in names)
-    partial = sample.mapInArrow(count, f"word binary, {kinds}")
+    partial = sample.mapInArrow(releasing(count), f"word binary, {kinds}")
     return partial.groupBy("word").agg(*[F.sum(n).alias(n) for n in names])
 
 
@@ -227,7 +227,7 @@ def _evidence(sample, model):
                 names=["toxic", "evidence", "size", "largest"],
             )
 
-    return sample.mapInArrow(weigh, "toxic int, evidence double, size long, largest double")
+    return sample.mapInArrow(releasing(weigh), "toxic int, evidence double, size long, largest double")
 
 
 def _chance_factor(sizes, largest, rate):
@@ -305,7 +305,7 @@ def detect(docs, model, text="text", score="score", passages="passages"):
             )
 
     return docs.mapInArrow(
-        scan,
+        releasing(scan),
         f"{kinds}, {score} double, "
         f"{passages} array<struct<first int, last int, score double, expected double>>",
     )
