@@ -201,7 +201,8 @@ def train(docs, training, sample=SAMPLE, text="text", lang="lang", id="doc_id"):
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def centroids(key, table):
-        texts, letters = table.column("text").to_pylist(), letter_table()
+        # In order, so that every run starts its clusters from the same texts.
+        texts, letters = sorted(table.column("text").to_pylist()), letter_table()
         counts = gram_counts(texts, letters)
         known = counts.any(axis=1)
         texts, counts = [t for t, k in zip(texts, known) if k], counts[known]
