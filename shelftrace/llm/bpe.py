@@ -9,6 +9,8 @@ from all its places, encoded, and its ids are joined back by document and positi
 import os
 import zlib
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,22 @@ def load_tokenizer(path):
     return tokenizer
 
 
+@contextmanager
+def task_encoder(path):
+    """(function from a list of words to their encodings, type of an id) for one task. The
+    words are encoded in a thread of the task's own: the library keeps thousands of words
+    per thread for every tokenizer it has had, and lets go of them only when the thread
+    ends, so that a worker would grow with its tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    tokenizer = load_tokenizer(path)
+    with ThreadPoolExecutor(1) as own:
+
+        def encode(words):
+            return own.submit(tokenizer.encode_batch_fast, words, add_special_tokens=False).result()
+
+        yield encode, id_width(tokenizer)
+
+
 # A-Z in lower case and ASCII white space as spaces.
 SPACED = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 
@@ -103,19 +121,15 @@ def encode_words(words, path):
     four if the vocabulary asks for it."""
 
     def encode(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        tokenizer = load_tokenizer(path)
-        width = id_width(tokenizer)
-        for batch in batches:
-            for start in range(0, batch.num_rows, WORDS_AT_ONCE):
-                part = batch.slice(start, WORDS_AT_ONCE)
-                made = tokenizer.encode_batch_fast(
-                    part.column("word").to_pylist(), add_special_tokens=False
-                )
-                ids = [np.array(m.ids, width).tobytes() for m in made]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(ids, pa.binary())], names=["word", "uses", "ids"]
-                )
+        with task_encoder(path) as (encoded, width):
+            for batch in batches:
+                for start in range(0, batch.num_rows, WORDS_AT_ONCE):
+                    part = batch.slice(start, WORDS_AT_ONCE)
+                    made = encoded(part.column("word").to_pylist())
+                    ids = [np.array(m.ids, width).tobytes() for m in made]
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.array(ids, pa.binary())], names=["word", "uses", "ids"]
+                    )
 
     return words.select("word", "uses").mapInArrow(releasing(encode), "word string, uses long, ids binary")
 
@@ -127,25 +141,23 @@ def encode_places(rare, path):
     the documents hold once each."""
 
     def encode(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        tokenizer = load_tokenizer(path)
-        width = id_width(tokenizer)
         last = ids = None
-        for batch in batches:
-            for start in range(0, batch.num_rows, WORDS_AT_ONCE):
-                part = batch.slice(start, WORDS_AT_ONCE)
-                words = part.column("word").to_pylist()
-                fresh = [w for before, w in zip([last, *words], words) if w != before]
-                made = iter(tokenizer.encode_batch_fast(fresh, add_special_tokens=False))
-                placed = []
-                for word in words:
-                    if word != last:
-                        last, ids = word, np.array(next(made).ids, width).tobytes()
-                    placed.append(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in [*KEY, "position"]), pa.array(placed, pa.binary())],
-                    names=[*KEY, "position", "ids"],
-                )
+        with task_encoder(path) as (encoded, width):
+            for batch in batches:
+                for start in range(0, batch.num_rows, WORDS_AT_ONCE):
+                    part = batch.slice(start, WORDS_AT_ONCE)
+                    words = part.column("word").to_pylist()
+                    fresh = [w for before, w in zip([last, *words], words) if w != before]
+                    made = iter(encoded(fresh))
+                    placed = []
+                    for word in words:
+                        if word != last:
+                            last, ids = word, np.array(next(made).ids, width).tobytes()
+                        placed.append(ids)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(c) for c in [*KEY, "position"]), pa.array(placed, pa.binary())],
+                        names=[*KEY, "position", "ids"],
+                    )
 
     together = rare.repartition("word").sortWithinPartitions("word")
     return together.mapInArrow(

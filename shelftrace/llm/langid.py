@@ -38,7 +38,7 @@ _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 def letter_table():
     """Is a code point a letter, for all that Unicode has."""
-    return np.array([chr(c).isalpha() for c in range(0x110000)])
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
 def gram_counts(texts, letters):
@@ -69,9 +69,22 @@ def gram_counts(texts, letters):
 
 
 def unit_vectors(counts, idf):
-    vectors = np.log1p(counts) * idf
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
+    """By blocks of rows, so that what lies between takes little memory."""
+    out = np.empty(counts.shape, np.result_type(counts, idf))
+    for start in range(0, len(counts), ROWS_AT_ONCE):
+        vectors = np.log1p(counts[start : start + ROWS_AT_ONCE]) * idf
+        norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+        np.divide(vectors, norms, out=vectors, where=norms > 0)
+        out[start : start + ROWS_AT_ONCE] = vectors
+    return out
+
+
+def best_cosines(counts, idf, centres):
+    """The cosine of each row with its nearest centroid."""
+    found = [np.empty(0, np.float32)]
+    for start in range(0, len(counts), ROWS_AT_ONCE):
+        found.append((unit_vectors(counts[start : start + ROWS_AT_ONCE], idf) @ centres.T).max(axis=1))
+    return np.concatenate(found)
 
 
 def text_blocks(batch, name):
@@ -156,14 +169,15 @@ def least_cosines(texts, counts, idf, centres, letters):
     as long passages of longer ones are more similar to their centroid. That of a longer
     class is not less, whatever few texts it has."""
     chance = np.random.default_rng(SEED)
-    own, classes = (unit_vectors(counts, idf) @ centres.T).max(axis=1), length_class(counts)
+    own, classes = best_cosines(counts, idf, centres), length_class(counts)
     cuts, times = [], -(-PASSAGES // len(texts))
     for number, wanted in enumerate(LENGTHS):
         parts = [passage(t, wanted, letters, chance) for t in texts for _ in range(times)]
-        parts = gram_counts([p for p in parts if p], letters)
+        parts = [p for p in parts if p]
         cosines = [own[classes == number]]
-        if len(parts):
-            cosines.append((unit_vectors(parts, idf) @ centres.T).max(axis=1))
+        for start in range(0, len(parts), ROWS_AT_ONCE):
+            some = gram_counts(parts[start : start + ROWS_AT_ONCE], letters)
+            cosines.append(best_cosines(some, idf, centres))
         cosines = np.concatenate(cosines)
         least = np.quantile(cosines, UNDER, method="lower") if len(cosines) else 0.0
         cuts.append(max(SLACK * float(least), *cuts[-1:], 0.0))

@@ -54,3 +54,23 @@ def test_index_knows_its_words_only():
     hashes, checks, *_ = bpe.hashed_words(b" ".join([*words[::-1], b"w5000", b"w", b"0w"]))
     assert index.find(hashes, checks).tolist() == [*range(4999, -1, -1), 5000, 5000, 5000]
     assert bpe.WordIndex([]).find(hashes, checks).tolist() == [0] * 5003
+
+
+def test_workers_do_not_grow_with_the_tasks_that_encode():
+    # Each task loads the tokenizer anew; what the library keeps of its words must go too.
+    import ctypes
+    import gc
+    from pathlib import Path
+
+    def task(number):
+        words = [f"{(number * 20000 + i) * 2654435761 % 2**40:x}q" for i in range(20000)]
+        with bpe.task_encoder(WORD_BPE_FILE) as (encode, _):
+            assert len(encode(words)) == len(words)
+        del words
+        gc.collect()
+        ctypes.CDLL(None).malloc_trim(0)
+        held = Path("/proc/self/statm").read_text().split()
+        return (int(held[1]) - int(held[2])) * 4096 / 1e6
+
+    sizes = [task(number) for number in range(12)]
+    assert sizes[-1] - sizes[1] < 15
