@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelftrace.operators import columns, validate
+from shelftrace.sources.shared import open_files
 
 # Outer white space is data here, and a quote is escaped by doubling it.
 CSV_OPTIONS = {
@@ -45,11 +46,12 @@ def write_raw_sheet(records, path, format="csv"):
 def write_split(classified, path):
     """Valid and invalid rows in one pass over the input; returns both counts.
 
-    One job writes both routes as partitions of one folder. Reading a route
+    One job writes both routes as partitions of one folder, unsorted. Reading a route
     prunes the other.
     """
     watched, seen = validate.observe_routes(classified)
-    watched.write.mode("overwrite").partitionBy("is_valid").parquet(path)
+    with open_files(classified.sparkSession, 2):
+        watched.write.mode("overwrite").partitionBy("is_valid").parquet(path)
     return seen.get
 
 

@@ -4,6 +4,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import lru_cache
 
 
@@ -36,3 +37,16 @@ def stored(df, label):
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def open_files(spark, count):
+    """In here a task that writes `count` partitions or fewer keeps a file open for each.
+    Otherwise it sorts all its rows by partition first, and holds them for that."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

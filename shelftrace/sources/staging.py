@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shelftrace import schema
 from shelftrace.operators.columns import nan_to_null, require_columns
+from shelftrace.sources.shared import open_files
 
 
 def staged_rows(df, batch_id, source_file, base=0, order="row_no"):
@@ -36,13 +37,15 @@ def append_batch(staged, path, several=False):
     seen = Observation()
     if several:
         staged = staged.hint("rebalance", F.col("load_batch_id"))
-    staged.observe(
+    watched = staged.observe(
         seen,
         F.count(F.lit(1)).alias("staged"),
         F.max("stage_id").alias("last_stage_id"),
-    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "load_batch_id"
-    ).parquet(path)
+    )
+    with open_files(staged.sparkSession, 1):
+        watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "load_batch_id"
+        ).parquet(path)
     found = seen.get
     return found.get("staged", 0), found.get("last_stage_id")
 

@@ -324,3 +324,29 @@ def test_sketches_merge_over_batches(spark, tmp_path):
     many = spark.range(100_000).select(F.lit(1).alias("b"), F.col("id").alias("v"))
     estimate = profile.distinct_estimates(profile.distinct_sketches(many, "b", ["v"]), "b", ["v"], total=False)
     assert abs(estimate.first().distinct_v - 100_000) < 3_000
+
+
+def last_plan(spark):
+    """The plan of the last query that ran, as it was carried out."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return spark._jsparkSession.sharedState().statusStore().executionsList().last().physicalPlanDescription()
+
+
+def test_routes_and_batches_are_written_without_a_sort(spark, small, tmp_path):
+    # A sort by partition holds all rows of a task, and a landed file can be one task.
+    raw = feeds.raw_feed(spark, small)
+    classified = validate.classify(raw)
+    counts = feed.write_split(classified, str(tmp_path / "split"))
+    assert "Sort" not in last_plan(spark)
+    accepted = feed.read_accepted(spark, str(tmp_path / "split"), classified.schema)
+    rejected = feed.read_rejected(spark, str(tmp_path / "split"), classified.schema)
+    assert (accepted.count(), rejected.count()) == (counts["valid"], counts["invalid"])
+    assert counts["valid"] + counts["invalid"] == raw.count() and counts["invalid"] > 0
+
+    rows = staging.staged_rows(raw, "b1", "orders.parquet")
+    staged, last = staging.append_batch(rows, str(tmp_path / "staging"))
+    assert "Sort" not in last_plan(spark)
+    back = staging.read_batch(spark, str(tmp_path / "staging"), "b1")
+    assert back.count() == staged == raw.count()
+    assert back.agg({"stage_id": "max"}).first()[0] == last
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
