@@ -16,7 +16,7 @@ from shelftrace.functions.numeric import (
 from shelftrace.functions.text import collapse_whitespace, empty_to_null, first_present
 from shelftrace.functions.urls import with_resolved_url
 from shelftrace.operators import card_parser
-from shelftrace.operators.card_parser import CARD, RAW_FIELDS, page_rows
+from shelftrace.operators.card_parser import CARD, RAW_FIELDS, rows_by_part
 from shelftrace.operators.rank import first_per_key, identified
 
 # Executors get the parser with the task; they need no copy of this package.
@@ -47,16 +47,12 @@ def raw_cards(pages, html="html"):
     def parse(batches):
         types = [pa.int32()] + [pa.string()] * (len(fields) - 1)
         for batch in batches:
-            index, rows = [], []
-            for i, text in enumerate(batch.column(html)):
-                found = page_rows(text.as_py())
-                index.extend([i] * len(found))
-                rows.extend(found)
-            carried = batch.select(names).take(pa.array(index, pa.int64()))
-            parsed = [
-                pa.array([r.get(f) for r in rows], t) for f, t in zip(fields, types)
-            ]
-            yield pa.RecordBatch.from_arrays([*carried.columns, *parsed], names + fields)
+            for places, rows in rows_by_part(batch.column(html)):
+                carried = batch.select(names).take(pa.array(places, pa.int64()))
+                parsed = [
+                    pa.array([r.get(f) for r in rows], t) for f, t in zip(fields, types)
+                ]
+                yield pa.RecordBatch.from_arrays([*carried.columns, *parsed], names + fields)
 
     return candidates.mapInArrow(parse, out)
 

@@ -213,3 +213,39 @@ def test_crawl_of_pages(spark):
     assert [r.page for r in reached.orderBy("position").collect()] == [f"https://h/l/?page={n}" for n in (1, 3, 2)]
     found = crawl.crawl_catalogue(extract_records(listing), reached).collect()
     assert [(r.identity, r.product_name, r.crawl_position) for r in found] == [("S", "of one", 0)]
+
+
+def test_cards_leave_python_by_parts_of_a_batch():
+    # All cards of ten thousand pages at once would be held as dicts.
+    import pyarrow as pa
+
+    from shelftrace.operators import card_parser
+
+    page = '<article class="prd _fb col c-prd" data-sku="A"></article>' * 3
+    parts = list(card_parser.rows_by_part(pa.array([page, None, "<p>", page] * 300), size=100))
+    assert [len(rows) for _, rows in parts] == [150] * 12
+    places = [place for some, _ in parts for place in some]
+    assert places == [i for i in range(1200) if i % 4 in (0, 3) for _ in range(3)]
+
+
+def test_tags_that_are_kept_are_bounded_and_change_nothing(monkeypatch):
+    from shelftrace.operators import card_parser
+
+    monkeypatch.setattr(card_parser, "KNOWN", {})
+    page = (
+        '<ARTICLE class="prd _fb col c-prd" data-sku="S{0}"><a class="core" href="/{0}"><h3 class="name">n{0}'
+        '</h3><div class="prc">{0}</div></a></article><article class="prd">no</article>'
+    )
+    found = {}
+    for most in (4096, 3, 1):
+        monkeypatch.setattr(card_parser, "KNOWN_TAGS", most)
+        card_parser.KNOWN.clear()
+        found[most] = [read_cards(page.format(i) * 2) for i in range(50)]
+        assert 0 < len(card_parser.KNOWN) <= most
+    assert found[4096] == found[3] == found[1]
+    assert found[3][7][1]["name_text"].strip() == "n7" and len(found[3][7]) == 2
+
+
+def test_listing_spreads_keys_and_not_pages(spark, small):
+    stages = plan(feeds.listing_pages(spark, small)).split("Exchange hashpartitioning")
+    assert len(stages) == 2 and "array_join" in stages[0] and "array_join" not in stages[1]
