@@ -5,8 +5,9 @@ The scalar functions are SQL expressions, so they are planned like any other; th
 their patterns with the column functions. Python runs for cards only.
 """
 
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf
 
 import shelftrace.operators.card_parser as card_parser
 from shelftrace.functions import numeric, text, urls
@@ -65,18 +66,26 @@ FUNCTIONS = {
 CARD_TABLE = "product_cards"
 
 
-@udtf(
+@arrow_udtf(
     returnType="page_id bigint, position int, parse_error string, "
-    + ", ".join(f"{name} string" for name in card_parser.RAW_FIELDS),
-    useArrow=True,
+    + ", ".join(f"{name} string" for name in card_parser.RAW_FIELDS)
 )
 class ProductCards:
     """The raw fields of the cards of each page (page_id, html); a card that cannot be read
-    has its error, a page without cards has no row, and neither has a null page."""
-
-    def eval(self, row):
-        for card in card_parser.page_rows(row["html"]) if row["html"] else ():
-            yield (row["page_id"], card.get("position"), card.get("parse_error"), *map(card.get, card_parser.RAW_FIELDS))
+    has its error, a page without cards has no row, and neither has a null page. Pages come
+    in Arrow batches."""
+
+    def eval(self, pages: pa.RecordBatch):
+        fields = ["parse_error", *card_parser.RAW_FIELDS]
+        ids = pages.column("page_id").cast(pa.int64())
+        for places, rows in card_parser.rows_by_part(pages.column("html")):
+            yield pa.table(
+                {
+                    "page_id": ids.take(pa.array(places, pa.int64())),
+                    "position": pa.array([r.get("position") for r in rows], pa.int32()),
+                    **{f: pa.array([r.get(f) for r in rows], pa.string()) for f in fields},
+                }
+            )
 
 
 def register(spark):
