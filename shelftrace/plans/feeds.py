@@ -120,8 +120,9 @@ POISON = "&#" + "9" * 5000 + ";"
 
 
 def listing_pages(spark, sf_dir, poisoned=False):
-    """Listing pages rendered row by row, without a shuffle. If `poisoned`, the name of
-    every 29th card cannot be read."""
+    """Listing pages rendered row by row. The table that they are rendered from may lie in
+    a single part, so its keys are spread first, which costs less than to spread pages. If
+    `poisoned`, the name of every 29th card cannot be read."""
     first = F.col("c_custkey") * CARDS_PER_PAGE
     numbers = F.sequence(first, first + (CARDS_PER_PAGE - 1))
     products = F.transform(
@@ -145,7 +146,8 @@ def listing_pages(spark, sf_dir, poisoned=False):
         F.lit("</body></html>"),
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey")
-    return customer.select(
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return customer.repartition(parts, "c_custkey").select(
         F.col("c_custkey").alias("page_id"), F.expr(PAGE_URL).alias("url"), html.alias("html")
     )
 

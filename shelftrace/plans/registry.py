@@ -506,9 +506,8 @@ def _pages(spark, sf_dir):
 
 
 def _listing(spark, sf_dir):
-    """The listing pages as a stored table: rendered once, whatever reads them, and spread
-    by page, for the table that they are rendered from may lie in a single part."""
-    return stored(feeds.listing_pages(spark, sf_dir).repartition("page_id"), "listing")
+    """The listing pages as a stored table: rendered once, whatever reads them."""
+    return stored(feeds.listing_pages(spark, sf_dir), "listing")
 
 
 @query
@@ -743,7 +742,7 @@ def sql_cards(spark, sf_dir):
 @query
 def card_quarantine(spark, sf_dir):
     """Cards of pages on which some cannot be read: those go to quarantine, others stay."""
-    pages = stored(feeds.listing_pages(spark, sf_dir, poisoned=True).repartition("page_id"), "listing")
+    pages = stored(feeds.listing_pages(spark, sf_dir, poisoned=True), "listing")
     good = extract_records(pages).select(
         "page_id", "position", "sku", "product_name", F.lit(None).cast("string").alias("error")
     )
