@@ -385,6 +385,45 @@ def test_changes_in_a_stream(spark, tmp_path):
     assert arrive([("A", T[3], 10, "x")]) == second
 
 
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_products_share_a_state_in_the_stream(spark, tmp_path, monkeypatch, buckets):
+    """Against a fold of every product by itself, while Python is called per bucket."""
+    import random
+
+    monkeypatch.setattr(changes, "BUCKETS", buckets, raising=False)
+    random.seed(buckets)
+    fields = spark.createDataFrame([], "sku string, change_time timestamp_ntz, stage_id long, row_hash string").schema
+    folder, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    moments = [T[0].replace(microsecond=7), *T[1:6]]
+    known, want = {}, []
+    for arrival in range(3):
+        rows = [
+            (f"{random.choice('PQ')}{random.randrange(100)}", random.choice(moments), n, random.choice(["x", "y", None]))
+            for n in range(500 * arrival, 500 * arrival + 500)
+        ]
+        # A row without a stage id or time comes before the others, as when a batch is ranked.
+        rows += [("Z", T[arrival], None, "x"), ("Z", T[arrival], 1 << 60, "z"), (f"N{arrival}", None, 1, "x"), (f"N{arrival}", T[0], 2, "y")]
+        spark.createDataFrame(rows, fields).repartition(3).write.mode("append").parquet(folder)
+        query = changes.run_changes(spark, folder, fields, out, checkpoint)
+        query.awaitTermination()
+        assert query.exception() is None
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= buckets
+        last = {}
+        for sku, moment, stage, fingerprint in rows:
+            held = last.setdefault((sku, moment or datetime.min), (moment, stage, fingerprint))
+            if (held[1] or -1) < (stage or -1):
+                last[sku, moment or datetime.min] = (moment, stage, fingerprint)
+        for (sku, since), (moment, stage, fingerprint) in sorted(last.items()):
+            before, held = known.get(sku, (None, None))
+            late = before is not None and since <= before
+            if late or fingerprint != held:
+                want.append((sku, moment, stage, fingerprint, "late" if late else "opened"))
+            if not late:
+                known[sku] = (since, fingerprint)
+    found = spark.read.parquet(out).withColumn("change_time", F.col("change_time").cast("timestamp_ntz"))
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+
+
 def test_landed_rows_name_their_files(spark, tmp_path):
     folder, store = str(tmp_path / "landing"), VersionStore(spark, str(tmp_path / "dim"))
     for rows in ([(1, "A", "1", "2")], [(2, "B", "1", "2"), (3, "C", "1", "2")]):
